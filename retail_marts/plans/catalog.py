@@ -76,3 +76,306 @@ FROM p
 """)
 def q_sales_by_month(spark, d):
     return B.sales_by_month(wh(spark, d).sales)
+
+
+# ETL --------------------------------------------------------------------------
+
+from retail_marts.operators import etl as E  # noqa: E402
+from retail_marts.operators import warehouse as W  # noqa: E402
+from retail_marts.plans import standins  # noqa: E402
+from retail_marts.plans.star import sales_model, slice as star_slice  # noqa: E402
+from retail_marts.sources import SCHEMAS, read_table  # noqa: E402
+
+_READ_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+                "documents", "labels"]
+
+
+@query("read_table", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, CAST({len(SCHEMAS[t].fields)} AS BIGINT) AS n_columns "
+    f"FROM {t}" for t in _READ_TABLES))
+def q_read_table(spark, d):
+    """Every source read through its declared schema; rows and columns per table."""
+    from functools import reduce
+    parts = []
+    for t in _READ_TABLES:
+        df = read_table(spark, d, t)
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"))
+                       .select(F.lit(t).alias("table_name"), "row_count",
+                               F.lit(len(df.columns)).cast("bigint").alias("n_columns")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+ORDERS_STD_SPEC = {"o_orderstatus": "code", "o_totalprice": "money", "o_orderpriority": "code"}
+
+
+@query("standardise", """
+SELECT o_orderkey AS order_id, o_custkey AS customer_id,
+       upper(nullif(trim(o_orderstatus), '')) AS order_status,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS total_price,
+       o_orderdate AS ordered_at,
+       upper(nullif(trim(o_orderpriority), '')) AS priority
+FROM orders
+""")
+def q_standardise(spark, d):
+    """E2 on orders."""
+    return E.standardise(read_table(spark, d, "orders"), ORDERS_STD_SPEC,
+                         {"o_orderkey": "order_id", "o_custkey": "customer_id",
+                          "o_orderstatus": "order_status", "o_totalprice": "total_price",
+                          "o_orderdate": "ordered_at", "o_orderpriority": "priority"})
+
+
+@query("latest_per_key", """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1
+""")
+def q_latest_per_key(spark, d):
+    """The latest event of every user (ties by event id)."""
+    return E.latest_per_key(read_table(spark, d, "events"), ["user_id"], ["ts", "event_id"])
+
+
+def _line_checks(spark, d):
+    parents = [E.Parent("orders", read_table(spark, d, "orders"), {"l_orderkey": "o_orderkey"}),
+               E.Parent("part", read_table(spark, d, "part"), {"l_partkey": "p_partkey"}),
+               E.Parent("supplier", read_table(spark, d, "supplier"), {"l_suppkey": "s_suppkey"})]
+    rules = {"quantity not positive": F.col("l_quantity") > 0,
+             "discount outside 0..1": F.col("l_discount").between(0, 1),
+             "price negative": F.col("l_extendedprice") >= 0}
+    return parents, rules
+
+
+LINE_REASON_SQL = """
+CASE WHEN l.l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)
+          THEN 'missing orders'
+     WHEN l.l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey)
+          THEN 'missing part'
+     WHEN l.l_suppkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey)
+          THEN 'missing supplier'
+     WHEN NOT coalesce(l.l_quantity > 0, false) THEN 'quantity not positive'
+     WHEN NOT coalesce(l.l_discount BETWEEN 0 AND 1, false) THEN 'discount outside 0..1'
+     WHEN NOT coalesce(l.l_extendedprice >= 0, false) THEN 'price negative'
+END"""
+
+
+@query("split_rejects", f"""
+SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_shipdate,
+       {LINE_REASON_SQL} AS reject_reason
+FROM lineitem l
+""")
+def q_split_rejects(spark, d):
+    """E4 on lines: parents orders/part/supplier, value rules; every line with its reason."""
+    parents, rules = _line_checks(spark, d)
+    f = E.flag_rejects(read_table(spark, d, "lineitem"), rules, parents)
+    return f.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "reject_reason")
+
+
+@query("reconcile", f"""
+WITH fl AS (SELECT l.*, {LINE_REASON_SQL} AS reason FROM lineitem l),
+lo AS (SELECT fl.* FROM fl JOIN orders o ON fl.l_orderkey = o.o_orderkey WHERE fl.reason IS NULL),
+fo AS (SELECT o.*, CASE WHEN o.o_custkey IS NOT NULL AND NOT EXISTS
+                 (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey) THEN 'missing customer' END AS reason
+       FROM orders o),
+st AS (
+  SELECT 'lineitem' AS t, 'source' AS stage, COUNT(*) AS n, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS amt FROM fl
+  UNION ALL SELECT 'lineitem', 'accepted', COUNT(*), SUM(CAST(l_extendedprice AS DECIMAL(18,2))) FROM fl WHERE reason IS NULL
+  UNION ALL SELECT 'lineitem', 'rejected', COUNT(*), SUM(CAST(l_extendedprice AS DECIMAL(18,2))) FROM fl WHERE reason IS NOT NULL
+  UNION ALL SELECT 'lineitem', 'loaded', COUNT(*), SUM(CAST(l_extendedprice AS DECIMAL(18,2))) FROM lo
+  UNION ALL SELECT 'orders', 'source', COUNT(*), SUM(CAST(o_totalprice AS DECIMAL(18,2))) FROM fo
+  UNION ALL SELECT 'orders', 'accepted', COUNT(*), SUM(CAST(o_totalprice AS DECIMAL(18,2))) FROM fo WHERE reason IS NULL
+  UNION ALL SELECT 'orders', 'rejected', COUNT(*), SUM(CAST(o_totalprice AS DECIMAL(18,2))) FROM fo WHERE reason IS NOT NULL
+  UNION ALL SELECT 'orders', 'loaded', COUNT(*), SUM(CAST(o_totalprice AS DECIMAL(18,2))) FROM fo WHERE reason IS NULL
+),
+st2 AS (SELECT t, stage, n, CAST(coalesce(amt, 0) AS DECIMAL(18,2)) AS amt FROM st),
+w AS (
+  SELECT t AS table_name,
+    CAST(SUM(CASE WHEN stage='source' THEN n END) AS BIGINT) AS source_rows,
+    CAST(SUM(CASE WHEN stage='source' THEN amt END) AS DECIMAL(18,2)) AS source_amount,
+    CAST(SUM(CASE WHEN stage='accepted' THEN n END) AS BIGINT) AS accepted_rows,
+    CAST(SUM(CASE WHEN stage='accepted' THEN amt END) AS DECIMAL(18,2)) AS accepted_amount,
+    CAST(SUM(CASE WHEN stage='rejected' THEN n END) AS BIGINT) AS rejected_rows,
+    CAST(SUM(CASE WHEN stage='rejected' THEN amt END) AS DECIMAL(18,2)) AS rejected_amount,
+    CAST(SUM(CASE WHEN stage='loaded' THEN n END) AS BIGINT) AS loaded_rows,
+    CAST(SUM(CASE WHEN stage='loaded' THEN amt END) AS DECIMAL(18,2)) AS loaded_amount
+  FROM st2 GROUP BY t)
+SELECT *, coalesce(source_rows = accepted_rows + rejected_rows AND source_amount = accepted_amount + rejected_amount
+                   AND accepted_rows = loaded_rows AND accepted_amount = loaded_amount, false) AS balanced
+FROM w
+""")
+def q_reconcile(spark, d):
+    """E5: lines and orders through the reject split and the (unwritten) load."""
+    parents, rules = _line_checks(spark, d)
+    li, orders = read_table(spark, d, "lineitem"), read_table(spark, d, "orders")
+    ok, bad = E.split_rejects(li, rules, parents)
+    loaded = W.fact_sales(ok, orders)
+    o_ok, o_bad = E.split_rejects(orders, {}, [E.Parent("customer", read_table(spark, d, "customer"),
+                                                         {"o_custkey": "c_custkey"})])
+    return E.reconcile([
+        ("lineitem", {"source": li, "accepted": ok, "rejected": bad,
+                      "loaded": loaded.withColumnRenamed("gross_amount", "l_extendedprice")},
+         "l_extendedprice"),
+        ("orders", {"source": orders, "accepted": o_ok, "rejected": o_bad, "loaded": o_ok},
+         "o_totalprice")])
+
+
+# Warehouse ------------------------------------------------------------------------
+
+DIM_DATE_SQL = """
+WITH b AS (SELECT min(d) AS lo, max(d) AS hi FROM (
+    SELECT CAST(o_orderdate AS DATE) AS d FROM orders
+    UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem
+    UNION ALL SELECT CAST(ts AS DATE) FROM events)),
+days AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM b)
+SELECT CAST(year(date) * 10000 + month(date) * 100 + day(date) AS INTEGER) AS date_key, date,
+       CAST(year(date) AS INTEGER) AS year, CAST(quarter(date) AS INTEGER) AS quarter,
+       CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day,
+       CAST(weekofyear(date) AS INTEGER) AS iso_week, CAST(isodow(date) - 1 AS INTEGER) AS weekday,
+       CAST(date_trunc('month', date) AS DATE) AS month_start,
+       CAST(year(date) * 100 + month(date) AS INTEGER) AS month_key
+FROM days
+"""
+
+
+@query("dim_date", DIM_DATE_SQL)
+def q_dim_date(spark, d):
+    """W1 over every day the orders, lines and events touch."""
+    return wh(spark, d).dim_date
+
+
+GEO_SQL = "nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"
+
+
+@query("dim_customer", f"""
+SELECT sha256(CAST(c_custkey AS VARCHAR)) AS customer_key, c_custkey AS customer_id, c_name AS customer_name,
+       g.n_name AS nation, g.r_name AS region, c_mktsegment AS segment,
+       CAST(c_acctbal AS DECIMAL(18,2)) AS acct_balance
+FROM customer c LEFT JOIN (SELECT * FROM {GEO_SQL}) g ON c.c_nationkey = g.n_nationkey
+UNION ALL SELECT '-1', CAST(NULL AS BIGINT), NULL, NULL, NULL, NULL, CAST(NULL AS DECIMAL(18,2))
+""")
+def q_dim_customer(spark, d):
+    """W2."""
+    return wh(spark, d).dim_customer
+
+
+@query("dim_product", """
+SELECT sha256(CAST(p_partkey AS VARCHAR)) AS product_key, p_partkey AS product_id, p_name AS product_name,
+       p_brand AS brand, p_type AS product_type, p_size AS size,
+       CAST(p_retailprice AS DECIMAL(18,2)) AS retail_price
+FROM part
+UNION ALL SELECT '-1', CAST(NULL AS BIGINT), NULL, NULL, NULL, CAST(NULL AS INTEGER), CAST(NULL AS DECIMAL(18,2))
+""")
+def q_dim_product(spark, d):
+    """W3."""
+    return wh(spark, d).dim_product
+
+
+@query("dim_seller", f"""
+SELECT sha256(CAST(s_suppkey AS VARCHAR)) AS seller_key, s_suppkey AS seller_id, s_name AS seller_name,
+       g.n_name AS nation, g.r_name AS region, CAST(s_acctbal AS DECIMAL(18,2)) AS acct_balance
+FROM supplier s LEFT JOIN (SELECT * FROM {GEO_SQL}) g ON s.s_nationkey = g.n_nationkey
+UNION ALL SELECT '-1', CAST(NULL AS BIGINT), NULL, NULL, NULL, CAST(NULL AS DECIMAL(18,2))
+""")
+def q_dim_seller(spark, d):
+    """W4."""
+    return wh(spark, d).dim_seller
+
+
+@query("dim_key", """
+SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partkey AS product_id, l_suppkey AS seller_id,
+       sha256(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
+                        CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))) AS line_key
+FROM lineitem
+""")
+def q_dim_key(spark, d):
+    """Composite key of an order line."""
+    from retail_marts.functions.columns import dim_key
+    li = read_table(spark, d, "lineitem")
+    return li.select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
+                     F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
+                     dim_key("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("line_key"))
+
+
+@query("lookup", """
+SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id,
+       coalesce(sha256(CAST(c.c_custkey AS VARCHAR)), '-1') AS customer_key
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+""")
+def q_lookup(spark, d):
+    """Orders to the customer dimension."""
+    o = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"),
+                                              F.col("o_custkey").alias("customer_id"))
+    return W.lookup(o, wh(spark, d).dim_customer, {"customer_id": "customer_id"}, "customer_key")
+
+
+@query("fact_sales", f"""
+WITH {SALES_CTE}
+SELECT order_id, line_no, s.customer_id, product_id, seller_id,
+       coalesce(sha256(CAST(c.c_custkey AS VARCHAR)), '-1') AS customer_key,
+       coalesce(sha256(CAST(p.p_partkey AS VARCHAR)), '-1') AS product_key,
+       coalesce(sha256(CAST(su.s_suppkey AS VARCHAR)), '-1') AS seller_key,
+       CAST(year(ordered_at) * 10000 + month(ordered_at) * 100 + day(ordered_at) AS INTEGER) AS order_date_key,
+       CAST(year(shipped_at) * 10000 + month(shipped_at) * 100 + day(shipped_at) AS INTEGER) AS ship_date_key,
+       CAST(year(ordered_at) * 100 + month(ordered_at) AS INTEGER) AS month_key,
+       ordered_at, shipped_at, order_status, return_flag, line_status, quantity, gross_amount,
+       discount_rate, discount_amount, net_amount, tax_rate,
+       CAST(ROUND(net_amount * tax_rate, 2) AS DECIMAL(18,2)) AS tax_amount
+FROM sales_m s
+LEFT JOIN customer c ON s.customer_id = c.c_custkey
+LEFT JOIN part p ON s.product_id = p.p_partkey
+LEFT JOIN supplier su ON s.seller_id = su.s_suppkey
+""")
+def q_fact_sales(spark, d):
+    """W7 with dimension lookups."""
+    return wh(spark, d).sales
+
+
+@query("fact_payments", """
+SELECT event_id AS payment_id, user_id AS customer_id,
+       coalesce(sha256(CAST(c.c_custkey AS VARCHAR)), '-1') AS customer_key,
+       upper(nullif(trim(event_type), '')) AS payment_type,
+       CAST(value AS DECIMAL(18,2)) AS amount, ts AS paid_at,
+       CAST(year(ts) * 10000 + month(ts) * 100 + day(ts) AS INTEGER) AS date_key,
+       CAST(year(ts) * 100 + month(ts) AS INTEGER) AS month_key
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+WHERE event_type = 'purchase'
+""")
+def q_fact_payments(spark, d):
+    """Purchase events as payments (stand-in)."""
+    return wh(spark, d).payments(["purchase"])
+
+
+RATINGS_SQL = r"""
+SELECT l.doc_id AS rating_id, CAST(l.quality AS INTEGER) AS score,
+       CAST(l.quality >= 1 AS INTEGER) AS satisfied,
+       CAST(length(d.text) AS BIGINT) AS comment_chars,
+       CAST(CASE WHEN d.text IS NULL THEN NULL WHEN trim(d.text) = '' THEN 0
+                 ELSE len(string_split_regex(trim(d.text), '\s+')) END AS BIGINT) AS comment_words,
+       d.lang, d.source, d.text AS comment
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id
+"""
+
+
+@query("fact_ratings", RATINGS_SQL)
+def q_fact_ratings(spark, d):
+    """Labels + documents as ratings (stand-in)."""
+    return wh(spark, d).ratings
+
+
+@query("drill_across", f"""
+WITH {SALES_CTE},
+a AS (SELECT customer_id, CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue,
+             COUNT(DISTINCT order_id) AS orders, COUNT(*) AS lines FROM sales_m GROUP BY customer_id),
+b AS (SELECT user_id AS customer_id, COUNT(*) AS payments,
+             CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS paid_amount
+      FROM events WHERE event_type = 'purchase' GROUP BY user_id)
+SELECT coalesce(a.customer_id, b.customer_id) AS customer_id, net_revenue, orders, lines, payments, paid_amount
+FROM a FULL OUTER JOIN b ON a.customer_id = b.customer_id
+""")
+def q_drill_across(spark, d):
+    """Sales and payments side by side per customer."""
+    w = wh(spark, d)
+    return W.drill_across(
+        [(w.sales, [F.sum("net_amount").cast("decimal(18,2)").alias("net_revenue"),
+                    F.countDistinct("order_id").alias("orders"), F.count(F.lit(1)).alias("lines")]),
+         (w.payments(["purchase"]), [F.count(F.lit(1)).alias("payments"),
+                                     F.sum("amount").cast("decimal(18,2)").alias("paid_amount")])],
+        ["customer_id"])
