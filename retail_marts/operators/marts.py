@@ -10,10 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retail_marts.functions.columns import MONEY, month_start, ratio
 
 
+QUANTILE = T.DecimalType(20, 6)
+
+
 def _sum_money(c: str) -> Column:
     return F.sum(F.col(c)).cast(MONEY)
 
@@ -105,7 +109,7 @@ def new_vs_returning(orders: DataFrame) -> DataFrame:
     ``orders`` has order_id, customer_id, ordered_at (one row per order). An
     order is new if it is its customer's first by (date, order id); a
     customer is new in the month of that order. Orders without a customer
-    count in ``orders`` only.
+    count in ``orders`` only (neither new nor returning).
 
     No window over customers: the first order per customer is a ``min`` of a
     struct, combined map-side, so one customer with a huge order history
@@ -121,14 +125,15 @@ def new_vs_returning(orders: DataFrame) -> DataFrame:
     active = (o.filter(F.col("customer_id").isNotNull())
                .groupBy("month", "customer_id").agg(F.count(F.lit(1)).alias("n"))
                .groupBy("month").agg(F.count(F.lit(1)).alias("customers")))
-    per_month = o.groupBy("month").agg(F.count(F.lit(1)).alias("orders"))
+    per_month = o.groupBy("month").agg(F.count(F.lit(1)).alias("orders"),
+                                       F.count("customer_id").alias("known"))
     out = (per_month.join(active, "month", "left").join(new, "month", "left")
                     .fillna(0, ["customers", "new_customers"]))
     return out.select(
         "month",
         F.col("orders").cast("bigint").alias("orders"),
         F.col("new_customers").cast("bigint").alias("new_orders"),
-        (F.col("orders") - F.col("new_customers")).cast("bigint").alias("returning_orders"),
+        (F.col("known") - F.col("new_customers")).cast("bigint").alias("returning_orders"),
         F.col("customers").cast("bigint").alias("customers"),
         F.col("new_customers").cast("bigint").alias("new_customers"),
         (F.col("customers") - F.col("new_customers")).cast("bigint").alias("returning_customers"))
@@ -196,6 +201,10 @@ def payment_stats(pay: DataFrame, by: list[str], exact: bool = True,
     combined map-side; its size is the number of distinct amounts, which for
     cent values is bounded by the price range). ``exact=False`` uses
     ``percentile_approx`` with a fixed-size sketch.
+
+    Quantiles are decimal(20,6): interpolating between cent values at a
+    position with at most two decimals gives at most four decimals, so the
+    decimal is the exact quantile whatever the float rounding of the engine.
     """
     amt = F.col("amount").cast("double")
     if exact:
@@ -208,9 +217,8 @@ def payment_stats(pay: DataFrame, by: list[str], exact: bool = True,
                     q.alias("_q"))
                .select(*by, "payments", "amount",
                        ratio("amount", "payments").alias("mean_amount"),
-                       F.col("_q")[0].alias("median_amount"),
-                       F.col("_q")[1].alias("p90_amount"),
-                       F.col("_q")[2].alias("p99_amount")))
+                       *[F.col("_q")[i].cast(QUANTILE).alias(n) for i, n in
+                         enumerate(["median_amount", "p90_amount", "p99_amount"])]))
 
 
 # Satisfaction ---------------------------------------------------------------

@@ -379,3 +379,242 @@ def q_drill_across(spark, d):
          (w.payments(["purchase"]), [F.count(F.lit(1)).alias("payments"),
                                      F.sum("amount").cast("decimal(18,2)").alias("paid_amount")])],
         ["customer_id"])
+
+
+# Dashboard marts ------------------------------------------------------------------
+
+GEO_CUSTOMER_SQL = """
+geo AS (SELECT c.c_custkey, n.n_name AS nation, r.r_name AS region, c.c_mktsegment AS segment
+        FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+        LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+
+def _sales_with(w: Warehouse, dim: str, *cols: str) -> DataFrame:
+    dd = getattr(w, f"dim_{dim}")
+    return w.sales.join(dd.select(f"{dim}_key", *cols), f"{dim}_key", "left")
+
+
+@query("sales_kpis", f"""
+WITH {SALES_CTE}
+SELECT return_flag, line_status, CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue,
+       COUNT(DISTINCT order_id) AS orders, COUNT(*) AS lines, CAST(SUM(quantity) AS DECIMAL(18,2)) AS units,
+       CAST(CAST(SUM(net_amount) AS DECIMAL(18,2)) AS DOUBLE) / CAST(COUNT(DISTINCT order_id) AS DOUBLE)
+         AS avg_order_value
+FROM sales_m GROUP BY return_flag, line_status
+""")
+def q_sales_kpis(spark, d):
+    """B1 by return flag and line status."""
+    return B.sales_kpis(wh(spark, d).sales, ["return_flag", "line_status"])
+
+
+@query("sales_ytd", f"""
+WITH {SALES_CTE},
+m AS (SELECT CAST(date_trunc('month', ordered_at) AS DATE) AS month,
+             CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue FROM sales_m GROUP BY 1)
+SELECT month, net_revenue, CAST(year(month) AS INTEGER) AS year,
+       CAST(SUM(net_revenue) OVER (PARTITION BY year(month) ORDER BY month
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(18,2)) AS ytd_net_revenue
+FROM m
+""")
+def q_sales_ytd(spark, d):
+    """B3."""
+    return B.sales_ytd(wh(spark, d).sales)
+
+
+@query("sales_rollup", f"""
+WITH {SALES_CTE}, {GEO_CUSTOMER_SQL}
+SELECT region, nation, CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue, COUNT(*) AS lines,
+       CAST(GROUPING(region, nation) AS INTEGER) AS level
+FROM sales_m s LEFT JOIN geo ON s.customer_id = geo.c_custkey
+GROUP BY ROLLUP (region, nation)
+""")
+def q_sales_rollup(spark, d):
+    """Customer region > nation."""
+    return B.sales_rollup(_sales_with(wh(spark, d), "customer", "region", "nation"), ["region", "nation"])
+
+
+@query("sales_cube", f"""
+WITH {SALES_CTE}
+SELECT order_status, return_flag, line_status, CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue,
+       COUNT(*) AS lines, CAST(GROUPING(order_status) AS INTEGER) AS g_order_status,
+       CAST(GROUPING(return_flag) AS INTEGER) AS g_return_flag,
+       CAST(GROUPING(line_status) AS INTEGER) AS g_line_status
+FROM sales_m GROUP BY CUBE (order_status, return_flag, line_status)
+""")
+def q_sales_cube(spark, d):
+    """B5."""
+    return B.sales_cube(wh(spark, d).sales, ["order_status", "return_flag", "line_status"])
+
+
+@query("top_products", f"""
+WITH {SALES_CTE},
+p AS (SELECT product_id, CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue,
+             CAST(SUM(quantity) AS DECIMAL(18,2)) AS units FROM sales_m GROUP BY product_id),
+r AS (SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY net_revenue DESC, product_id) AS INTEGER) AS rank FROM p)
+SELECT * FROM r WHERE rank <= 10
+""")
+def q_top_products(spark, d):
+    """B6 overall, n = 10."""
+    return B.top_products(wh(spark, d).sales, 10)
+
+
+@query("top_products_by_brand", f"""
+WITH {SALES_CTE},
+p AS (SELECT s.product_id, pt.p_brand AS brand, CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue,
+             CAST(SUM(quantity) AS DECIMAL(18,2)) AS units
+      FROM sales_m s LEFT JOIN part pt ON s.product_id = pt.p_partkey GROUP BY 1, 2),
+r AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY brand ORDER BY net_revenue DESC, product_id) AS INTEGER)
+             AS rank FROM p)
+SELECT * FROM r WHERE rank <= 3
+""")
+def q_top_products_by_brand(spark, d):
+    """B6 within each brand, n = 3."""
+    return B.top_products(_sales_with(wh(spark, d), "product", "brand"), 3, within="brand")
+
+
+@query("new_vs_returning", """
+WITH o AS (
+  SELECT o_orderkey, o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+         CASE WHEN o_custkey IS NULL THEN 0 ELSE
+           ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) END AS rn
+  FROM orders)
+SELECT month, COUNT(*) AS orders,
+       CAST(SUM(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS BIGINT) AS new_orders,
+       CAST(COUNT(o_custkey) - SUM(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS BIGINT) AS returning_orders,
+       COUNT(DISTINCT o_custkey) AS customers,
+       CAST(SUM(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS BIGINT) AS new_customers,
+       CAST(COUNT(DISTINCT o_custkey) - SUM(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS BIGINT) AS returning_customers
+FROM o GROUP BY month
+""")
+def q_new_vs_returning(spark, d):
+    """B7 over all orders (with or without lines)."""
+    return B.new_vs_returning(wh(spark, d).orders)
+
+
+@query("repeat_rate", """
+WITH per AS (SELECT o_custkey, COUNT(*) AS n FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1),
+dist AS (SELECT n AS orders_per_customer, COUNT(*) AS customers FROM per GROUP BY 1)
+SELECT orders_per_customer, customers,
+       CAST(customers AS DOUBLE) / CAST(SUM(customers) OVER () AS DOUBLE) AS customer_share,
+       CAST(SUM(CASE WHEN orders_per_customer >= 2 THEN customers ELSE 0 END) OVER () AS DOUBLE)
+         / CAST(SUM(customers) OVER () AS DOUBLE) AS repeat_rate
+FROM dist
+""")
+def q_repeat_rate(spark, d):
+    """B8."""
+    return B.repeat_rate(wh(spark, d).orders)
+
+
+@query("customers_by", f"""
+WITH {SALES_CTE}, {GEO_CUSTOMER_SQL},
+per AS (SELECT customer_id, CAST(SUM(net_amount) AS DECIMAL(18,2)) AS rev FROM sales_m GROUP BY 1)
+SELECT region, segment, COUNT(*) AS customers, COUNT(per.rev) AS active_customers,
+       CAST(coalesce(SUM(rev), 0) AS DECIMAL(18,2)) AS net_revenue,
+       CAST(CAST(coalesce(SUM(rev), 0) AS DECIMAL(18,2)) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE)
+         AS revenue_per_customer
+FROM geo LEFT JOIN per ON geo.c_custkey = per.customer_id
+GROUP BY region, segment
+""")
+def q_customers_by(spark, d):
+    """B9 by region and market segment."""
+    w = wh(spark, d)
+    return B.customers_by(w.dim_customer, w.sales, ["region", "segment"])
+
+
+PAY_ALL_SQL = """
+pay AS (SELECT upper(nullif(trim(event_type), '')) AS payment_type, CAST(value AS DECIMAL(18,2)) AS amount,
+               ts AS paid_at FROM events)"""
+
+
+@query("payments_by_type", f"""
+WITH {PAY_ALL_SQL},
+t AS (SELECT payment_type, COUNT(*) AS payments, CAST(SUM(amount) AS DECIMAL(18,2)) AS amount
+      FROM pay GROUP BY 1)
+SELECT payment_type, payments, amount,
+       CAST(amount AS DOUBLE) / CAST(SUM(amount) OVER () AS DOUBLE) AS amount_share
+FROM t
+""")
+def q_payments_by_type(spark, d):
+    """B10 over every event type (the stand-in payment type)."""
+    return B.payments_by_type(wh(spark, d).payments())
+
+
+PIVOT_TYPES = ["CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"]
+
+
+@query("payments_pivot", f"""
+WITH {PAY_ALL_SQL}
+SELECT CAST(paid_at AS DATE) AS day,
+""" + ",\n".join(f"       CAST(SUM(CASE WHEN payment_type = '{t}' THEN amount END) AS DECIMAL(18,2)) "
+                 f"AS amount_{t.lower()}" for t in PIVOT_TYPES) + """
+FROM pay GROUP BY 1
+""")
+def q_payments_pivot(spark, d):
+    """B11 per day, one column per type."""
+    return B.payments_pivot(wh(spark, d).payments(), PIVOT_TYPES, period="day")
+
+
+@query("payment_stats", f"""
+WITH {PAY_ALL_SQL}
+SELECT payment_type, COUNT(*) AS payments, CAST(SUM(amount) AS DECIMAL(18,2)) AS amount,
+       CAST(CAST(SUM(amount) AS DECIMAL(18,2)) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS mean_amount,
+       CAST(quantile_cont(CAST(amount AS DOUBLE), 0.5) AS DECIMAL(20,6)) AS median_amount,
+       CAST(quantile_cont(CAST(amount AS DOUBLE), 0.9) AS DECIMAL(20,6)) AS p90_amount,
+       CAST(quantile_cont(CAST(amount AS DOUBLE), 0.99) AS DECIMAL(20,6)) AS p99_amount
+FROM pay GROUP BY 1
+""")
+def q_payment_stats(spark, d):
+    """B12 per type, exact percentiles."""
+    return B.payment_stats(wh(spark, d).payments(), ["payment_type"])
+
+
+@query("rating_distribution", f"""
+WITH r AS ({RATINGS_SQL}),
+d AS (SELECT lang, score, COUNT(*) AS ratings FROM r GROUP BY 1, 2)
+SELECT lang, score, ratings,
+       CAST(ratings AS DOUBLE) / CAST(SUM(ratings) OVER (PARTITION BY lang) AS DOUBLE) AS share
+FROM d
+""")
+def q_rating_distribution(spark, d):
+    """B13 per language."""
+    return B.rating_distribution(wh(spark, d).ratings, ["lang"])
+
+
+@query("satisfaction_by", f"""
+WITH r AS ({RATINGS_SQL})
+SELECT lang, source, COUNT(*) AS ratings,
+       CAST(SUM(score) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS mean_score,
+       CAST(SUM(satisfied) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS satisfied_rate
+FROM r GROUP BY lang, source HAVING COUNT(*) >= 5
+""")
+def q_satisfaction_by(spark, d):
+    """B14 per language and source, groups of at least 5 ratings."""
+    return B.satisfaction_by(wh(spark, d).ratings, ["lang", "source"], min_n=5)
+
+
+@query("slice_region_year", f"""
+WITH {SALES_CTE}, {GEO_CUSTOMER_SQL}
+SELECT region, CAST(year(ordered_at) AS INTEGER) AS order_year,
+       CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue, COUNT(DISTINCT order_id) AS orders
+FROM sales_m s LEFT JOIN geo ON s.customer_id = geo.c_custkey
+WHERE order_status = 'F'
+GROUP BY 1, 2 ORDER BY net_revenue DESC, region, order_year LIMIT 5
+""")
+def q_slice_region_year(spark, d):
+    """B15, slice 1: top 5 (region, year) by revenue of finished orders."""
+    return star_slice(sales_model(wh(spark, d)), ["net_revenue", "orders"], ["region", "order_year"],
+                      where=[("order_status", "=", "F")], order=[("net_revenue", "desc")], n=5)
+
+
+@query("slice_brand_units", f"""
+WITH {SALES_CTE}
+SELECT p.p_brand AS brand, CAST(SUM(quantity) AS DECIMAL(18,2)) AS units, COUNT(*) AS lines
+FROM sales_m s LEFT JOIN part p ON s.product_id = p.p_partkey
+WHERE p.p_size BETWEEN 10 AND 20 AND return_flag IN ('A', 'R')
+GROUP BY 1 ORDER BY units DESC, brand LIMIT 10
+""")
+def q_slice_brand_units(spark, d):
+    """B15, slice 2: top 10 brands by units, sizes 10-20, returned or accepted lines."""
+    return star_slice(sales_model(wh(spark, d)), ["units", "lines"], ["brand"],
+                      where=[("size", "between", (10, 20)), ("return_flag", "in", ["A", "R"])],
+                      order=[("units", "desc")], n=10)
