@@ -618,3 +618,140 @@ def q_slice_brand_units(spark, d):
     return star_slice(sales_model(wh(spark, d)), ["units", "lines"], ["brand"],
                       where=[("size", "between", (10, 20)), ("return_flag", "in", ["A", "R"])],
                       order=[("units", "desc")], n=10)
+
+
+# Customer segmentation ------------------------------------------------------------
+
+from retail_marts.operators import segment as C  # noqa: E402
+
+FEATURES_SQL = """
+feat AS (
+  SELECT o_custkey AS customer_id,
+         CAST(date_diff('day', max(CAST(o_orderdate AS DATE)),
+              (SELECT CAST(max(CAST(o_orderdate AS DATE)) + INTERVAL 1 DAY AS DATE) FROM orders)) AS INTEGER)
+           AS recency,
+         COUNT(*) AS frequency,
+         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS monetary
+  FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey)"""
+
+Z_SQL = """
+mom AS (SELECT avg(recency) AS m_r, stddev_samp(recency) AS s_r, avg(frequency) AS m_f,
+               stddev_samp(frequency) AS s_f, avg(CAST(monetary AS DOUBLE)) AS m_m,
+               stddev_samp(CAST(monetary AS DOUBLE)) AS s_m FROM feat),
+zf AS (
+  SELECT feat.*,
+    CAST(ROUND(CASE WHEN s_r = 0 THEN 0 ELSE (recency - m_r) / s_r END, 6) AS DECIMAL(18,6)) AS z_recency,
+    CAST(ROUND(CASE WHEN s_f = 0 THEN 0 ELSE (frequency - m_f) / s_f END, 6) AS DECIMAL(18,6)) AS z_frequency,
+    CAST(ROUND(CASE WHEN s_m = 0 THEN 0 ELSE (CAST(monetary AS DOUBLE) - m_m) / s_m END, 6) AS DECIMAL(18,6))
+      AS z_monetary
+  FROM feat, mom)"""
+
+
+def _features(spark, d):
+    w = wh(spark, d)
+    return C.customer_features(w.orders, C.default_as_of(w.orders))
+
+
+@query("customer_features", f"WITH {FEATURES_SQL} SELECT * FROM feat")
+def q_customer_features(spark, d):
+    """Recency / frequency / monetary, as of the day after the last order."""
+    return _features(spark, d)
+
+
+@query("rfm_scores", f"""
+WITH {FEATURES_SQL}
+SELECT customer_id,
+       CAST(ntile(5) OVER (ORDER BY recency DESC, customer_id) AS INTEGER) AS recency_score,
+       CAST(ntile(5) OVER (ORDER BY frequency, customer_id) AS INTEGER) AS frequency_score,
+       CAST(ntile(5) OVER (ORDER BY monetary, customer_id) AS INTEGER) AS monetary_score
+FROM feat
+""")
+def q_rfm_scores(spark, d):
+    """Quintile scores; recency high-to-low so the most recent score 5."""
+    f = _features(spark, d)
+    f = C.score(f, "recency", "customer_id", 5, descending=True)
+    f = C.score(f, "frequency", "customer_id", 5)
+    f = C.score(f, "monetary", "customer_id", 5)
+    return f.select("customer_id", "recency_score", "frequency_score", "monetary_score")
+
+
+@query("scale_features", f"""
+WITH {FEATURES_SQL}, {Z_SQL}
+SELECT customer_id, z_recency, z_frequency, z_monetary FROM zf
+""")
+def q_scale_features(spark, d):
+    """Z-scores of the three features (decimal(18,6))."""
+    scaled, _ = C.scale(_features(spark, d), C.FEATURES, "z")
+    return C.z_columns(scaled.select("customer_id", "z"), C.FEATURES)
+
+
+ZC = ["z_recency", "z_frequency", "z_monetary"]
+
+
+def _assigned(spark, d):
+    """Customers assigned to centres derived from the data: the mean z-vector
+    of each monetary quintile (rounded to 6 decimals)."""
+    f = _features(spark, d)
+    scaled, _ = C.scale(f, C.FEATURES, "z")
+    z = C.z_columns(scaled, C.FEATURES)
+    z = C.score(z, "monetary", "customer_id", 5)
+    cen = (z.groupBy("monetary_score")
+            .agg(*[F.round(F.sum(c).cast("double") / F.count(F.lit(1)).cast("double"), 6).alias(c)
+                   for c in ZC])
+            .orderBy("monetary_score").collect())        # 5 rows
+    from decimal import Decimal
+    centres = [[Decimal(f"{r[c]:.6f}") for c in ZC] for r in cen]
+    zz = z.select("customer_id", *C.FEATURES, *[F.col(c).cast("decimal(12,6)").alias(c) for c in ZC])
+    return C.assign(zz, centres, ZC)
+
+
+ASSIGN_SQL = f"""
+WITH {FEATURES_SQL}, {Z_SQL},
+sc AS (SELECT *, ntile(5) OVER (ORDER BY monetary, customer_id) AS ms FROM zf),
+cen AS (SELECT ms - 1 AS j,
+               CAST(ROUND(CAST(SUM(z_recency) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 6) AS DECIMAL(12,6)) AS cr,
+               CAST(ROUND(CAST(SUM(z_frequency) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 6) AS DECIMAL(12,6)) AS cf,
+               CAST(ROUND(CAST(SUM(z_monetary) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE), 6) AS DECIMAL(12,6)) AS cm
+        FROM sc GROUP BY ms),
+dist AS (
+  SELECT sc.customer_id, sc.recency, sc.frequency, sc.monetary, cen.j,
+         (CAST(z_recency AS DECIMAL(12,6)) - cr) * (CAST(z_recency AS DECIMAL(12,6)) - cr)
+         + (CAST(z_frequency AS DECIMAL(12,6)) - cf) * (CAST(z_frequency AS DECIMAL(12,6)) - cf)
+         + (CAST(z_monetary AS DECIMAL(12,6)) - cm) * (CAST(z_monetary AS DECIMAL(12,6)) - cm) AS d2
+  FROM sc CROSS JOIN cen),
+best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY d2, j) AS rn FROM dist),
+asg AS (SELECT customer_id, recency, frequency, monetary, CAST(j AS INTEGER) AS segment FROM best WHERE rn = 1)"""
+
+
+@query("assign_segments", ASSIGN_SQL + "\nSELECT customer_id, segment FROM asg")
+def q_assign_segments(spark, d):
+    """C6 assignment to data-derived centres (exact decimal distances)."""
+    return _assigned(spark, d).select("customer_id", "segment")
+
+
+@query("segment_profile", ASSIGN_SQL + """
+SELECT segment, COUNT(*) AS customers,
+       CAST(COUNT(*) AS DOUBLE) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE) AS share,
+       CAST(SUM(recency) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS mean_recency,
+       CAST(SUM(frequency) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS mean_frequency,
+       CAST(SUM(monetary) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS mean_monetary
+FROM asg GROUP BY segment
+""")
+def q_segment_profile(spark, d):
+    """C6 profile of the assignment above."""
+    return C.profile(_assigned(spark, d))
+
+
+@query("fit_segments")
+def q_fit_segments(spark, d):
+    """C4: k-means with k = 4 on scaled RFM; segment 0 = highest mean monetary.
+    Rows only: cluster numbering and seeding are not SQL."""
+    f = _features(spark, d)
+    seg = C.fit_segments(f, 4, seed=1)
+    return seg.transform(f).select("customer_id", "segment")
+
+
+@query("choose_k")
+def q_choose_k(spark, d):
+    """Cost and silhouette for k = 2..6. Rows only."""
+    return C.choose_k(_features(spark, d), [2, 3, 4, 5, 6], seed=1)
