@@ -755,3 +755,144 @@ def q_fit_segments(spark, d):
 def q_choose_k(spark, d):
     """Cost and silhouette for k = 2..6. Rows only."""
     return C.choose_k(_features(spark, d), [2, 3, 4, 5, 6], seed=1)
+
+
+# Satisfaction prediction ----------------------------------------------------------
+
+from retail_marts.operators import satisfaction as P  # noqa: E402
+
+TEST_SHARE = 0.3
+NUMERIC = ["comment_chars", "comment_words"]
+CATEGORICAL = ["lang", "source"]
+
+
+def _reviews(spark, d) -> DataFrame:
+    """Every document as a review (features only: text, length, lang, source)."""
+    docs = read_table(spark, d, "documents")
+    cand = docs.select(F.col("doc_id").alias("rating_id"), F.lit(None).cast("int").alias("score"),
+                       F.col("text").alias("comment"), "lang", "source")
+    return W.fact_ratings(cand).drop("score", "satisfied")
+
+
+def _training(spark, d):
+    return P.training_rows(_reviews(spark, d), read_table(spark, d, "labels")
+                           .withColumnRenamed("doc_id", "rating_id"), "rating_id", "quality")
+
+
+LABELLED_SQL = r"""
+lab AS (
+  SELECT d.doc_id AS rating_id, CAST(max(l.quality) >= 1 AS INTEGER) AS label, d.lang, d.source,
+         CAST(length(d.text) AS BIGINT) AS comment_chars,
+         CAST(CASE WHEN trim(d.text) = '' THEN 0 ELSE len(string_split_regex(trim(d.text), '\s+')) END AS BIGINT)
+           AS comment_words, d.text
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+  GROUP BY d.doc_id, d.lang, d.source, d.text)"""
+
+
+@query("training_rows", f"""
+WITH {LABELLED_SQL}
+SELECT rating_id, label, lang, source, comment_chars, comment_words FROM lab
+""")
+def q_training_rows(spark, d):
+    """Labelled reviews (label = quality)."""
+    lab, _ = _training(spark, d)
+    return lab.select("rating_id", "label", "lang", "source", "comment_chars", "comment_words")
+
+
+@query("unlabelled_rows", r"""
+SELECT d.doc_id AS rating_id, d.lang, d.source, CAST(length(d.text) AS BIGINT) AS comment_chars
+FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+""")
+def q_unlabelled_rows(spark, d):
+    """Reviews without a label, kept apart for scoring."""
+    _, unl = _training(spark, d)
+    return unl.select("rating_id", "lang", "source", "comment_chars")
+
+
+@query("split", f"""
+WITH {LABELLED_SQL}
+SELECT rating_id, label,
+       CASE WHEN substr(sha256(text), 1, 8) < '{P.test_threshold(TEST_SHARE)}' THEN 'test' ELSE 'train' END AS part
+FROM lab
+""")
+def q_split(spark, d):
+    """30 % test by hash of the review text (copies stay on one side)."""
+    lab, _ = _training(spark, d)
+    return P.split_flag(lab, "comment", TEST_SHARE).select("rating_id", "label", "part")
+
+
+@query("evaluate_length", f"""
+WITH {LABELLED_SQL},
+pred AS (SELECT label, comment_chars AS s, CASE WHEN comment_chars >= 2000 THEN 1 ELSE 0 END AS p FROM lab),
+cm AS (SELECT CAST(SUM(CASE WHEN label = 1 AND p = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+              CAST(SUM(CASE WHEN label = 0 AND p = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+              CAST(SUM(CASE WHEN label = 0 AND p = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+              CAST(SUM(CASE WHEN label = 1 AND p = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+              COUNT(*) AS n, CAST(SUM(label) AS BIGINT) AS pos FROM pred),
+sc AS (SELECT s, COUNT(*) AS c, SUM(label) AS p FROM pred GROUP BY s),
+rk AS (SELECT *, coalesce(SUM(c) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              AS before FROM sc),
+a AS (SELECT CAST(SUM(CAST(p AS HUGEINT) * (2 * before + c + 1)) - (SELECT CAST(pos AS HUGEINT) * (pos + 1) FROM cm)
+             AS DOUBLE) / CAST((SELECT 2 * CAST(pos AS HUGEINT) * (n - pos) FROM cm) AS DOUBLE) AS auc FROM rk),
+k AS (
+  SELECT 1 AS class, tp + fn AS support, tp + fp AS predicted, tp AS correct, tp, tn, n FROM cm
+  UNION ALL SELECT 0, tn + fp, tn + fn, tn, tp, tn, n FROM cm)
+SELECT class, support, predicted, correct,
+       CASE WHEN predicted = 0 THEN NULL ELSE CAST(correct AS DOUBLE) / CAST(predicted AS DOUBLE) END AS precision,
+       CASE WHEN support = 0 THEN NULL ELSE CAST(correct AS DOUBLE) / CAST(support AS DOUBLE) END AS recall,
+       CASE WHEN support + predicted = 0 THEN NULL
+            ELSE CAST(2 * correct AS DOUBLE) / CAST(support + predicted AS DOUBLE) END AS f1,
+       CAST(tp + tn AS DOUBLE) / CAST(n AS DOUBLE) AS accuracy,
+       (SELECT auc FROM a) AS auc,
+       CAST((SELECT pos FROM cm) AS DOUBLE) / CAST(n AS DOUBLE) AS base_rate
+FROM k
+""")
+def q_evaluate_length(spark, d):
+    """P5 with the review length as the score (prediction: 2,000 characters or more)."""
+    lab, _ = _training(spark, d)
+    return P.evaluate(lab, "label", "comment_chars", 2000)
+
+
+def _train_test(spark, d):
+    lab, _ = _training(spark, d)
+    return P.split(lab, "comment", TEST_SHARE)
+
+
+@query("feature_pipeline")
+def q_feature_pipeline(spark, d):
+    """Features fitted on the training part, applied to both parts. Rows only."""
+    from pyspark.ml.functions import vector_to_array
+    train, test = _train_test(spark, d)
+    fp = P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=1 << 16).fit(train)
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    arr = vector_to_array(F.col("features"))
+    return fp.transform(both).select("rating_id", "part", F.size(arr).alias("n_features"),
+                                     F.size(F.filter(arr, lambda x: x != 0)).alias("nonzeros"))
+
+
+MODEL_TEXT_FEATURES = {"baseline": 1 << 10, "logreg": 1 << 16, "rf": 1 << 12, "gbt": 1 << 12}
+
+
+@query("train_models")
+def q_train_models(spark, d):
+    """P4 + P5: baseline, logistic regression, random forest and boosted
+    trees (class-weighted) fitted on the training part, evaluated on the
+    test part at cut 0.5. Rows only."""
+    from functools import reduce
+    train, test = _train_test(spark, d)
+    out = []
+    for kind, nf in MODEL_TEXT_FEATURES.items():
+        feats = P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=nf)
+        m = P.train(train, kind, feats, weighted=(kind != "baseline"))
+        out.append(P.evaluate(P.predict(m, test), "label", "score", 0.5)
+                   .withColumn("model", F.lit(kind)))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("score_batch")
+def q_score_batch(spark, d):
+    """The logistic model scores every unlabelled review. Rows only."""
+    lab, unl = _training(spark, d)
+    m = P.train(lab, "logreg", P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=1 << 16),
+                weighted=True)
+    return P.score_batch(m, unl, "rating_id", version="logreg-v1")
