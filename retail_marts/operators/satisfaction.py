@@ -67,11 +67,21 @@ def split_flag(df: DataFrame, group: str, test_share: float, salt: str = "") ->
 
 # P2 ----------------------------------------------------------------------------
 
+def tokenizer(text: str, out: str = "_tok") -> RegexTokenizer:
+    """Lower-case words of two or more letters or digits (any script)."""
+    return RegexTokenizer(inputCol=text, outputCol=out, pattern=r"[^\p{L}\p{N}]+",
+                          minTokenLength=2, toLowercase=True)
+
+
 def feature_pipeline(numeric: list[str], categorical: list[str], text: str | None,
-                     num_text_features: int = 1 << 18, min_doc_freq: int = 2) -> Pipeline:
+                     num_text_features: int = 1 << 18, min_doc_freq: int = 2,
+                     tokens: str | None = None) -> Pipeline:
     """Numeric columns scaled; categorical columns indexed (unseen values get
     their own index) and one-hot encoded; text tokenised on non-letters,
-    hashed and IDF-weighted. Output vector ``features``."""
+    hashed and IDF-weighted. Output vector ``features``.
+
+    ``tokens`` names a column tokenised already (``tokenizer``), so several
+    models fitted on the same rows tokenise the text once."""
     stages, parts = [], []
     if numeric:
         stages += [VectorAssembler(inputCols=numeric, outputCol="_num_raw", handleInvalid="keep"),
@@ -83,10 +93,10 @@ def feature_pipeline(numeric: list[str], categorical: list[str], text: str | Non
         stages += [StringIndexer(inputCols=categorical, outputCols=idx, handleInvalid="keep"),
                    OneHotEncoder(inputCols=idx, outputCols=oh, handleInvalid="keep")]
         parts += oh
-    if text:
-        stages += [RegexTokenizer(inputCol=text, outputCol="_tok", pattern=r"[^\p{L}\p{N}]+",
-                                  minTokenLength=2, toLowercase=True),
-                   HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=num_text_features),
+    if text or tokens:
+        if not tokens:
+            stages.append(tokenizer(text, "_tok"))
+        stages += [HashingTF(inputCol=tokens or "_tok", outputCol="_tf", numFeatures=num_text_features),
                    IDF(inputCol="_tf", outputCol="_tfidf", minDocFreq=min_doc_freq)]
         parts.append("_tfidf")
     stages.append(VectorAssembler(inputCols=parts, outputCol="features"))
@@ -125,11 +135,14 @@ def _classifier(kind: str, params: dict, weighted: bool):
     if kind == "baseline":
         return MajorityBaseline()
     if kind == "logreg":
-        return LogisticRegression(**{"maxIter": 100, "regParam": 0.01, **w, **params})
+        # Sparse TF-IDF columns are not standardised: scaling rare terms up
+        # made the model slower and worse on held-out rows.
+        return LogisticRegression(**{"maxIter": 50, "regParam": 0.01, "standardization": False,
+                                     **w, **params})
     if kind == "rf":
         return RandomForestClassifier(**{"numTrees": 50, "maxDepth": 8, "seed": 11, **w, **params})
     if kind == "gbt":
-        return GBTClassifier(**{"maxIter": 30, "maxDepth": 4, "seed": 11, **w, **params})
+        return GBTClassifier(**{"maxIter": 20, "maxDepth": 4, "seed": 11, **w, **params})
     raise ValueError(f"unknown model kind {kind!r}")
 
 
@@ -145,10 +158,21 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def train(df: DataFrame, kind: str, features: Pipeline, params: dict | None = None,
           weighted: bool = False) -> PipelineModel:
-    """Fit the feature stages and one classifier on the training rows."""
-    data = class_weights(df) if weighted and kind != "baseline" else df
-    pipe = Pipeline(stages=list(features.getStages()) + [_classifier(kind, params or {}, weighted)])
-    return pipe.fit(data)
+    """Fit the feature stages and one classifier on the training rows.
+
+    The feature vectors are computed once and written to the checkpoint
+    folder before the classifier runs its many passes: the iterations read
+    (label, features) rows, not the text again, and a lost executor resumes
+    from the checkpoint.
+    """
+    if kind == "baseline":
+        return PipelineModel(stages=[MajorityBaseline().fit(df)])
+    data = class_weights(df) if weighted else df
+    fitted = features.fit(data)
+    cols = ["label", "features"] + (["weight"] if weighted else [])
+    x = fitted.transform(data).select(*cols).checkpoint(eager=True)
+    clf = _classifier(kind, params or {}, weighted).fit(x)
+    return PipelineModel(stages=list(fitted.stages) + [clf])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -156,6 +180,12 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("score", vector_to_array(F.col("probability"))[1])
 
 
+def scored(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` columns and ``score``, checkpointed: evaluation runs several
+    small jobs over the scores and should not re-run the features."""
+    return predict(model, df).select(*keep, "score").checkpoint(eager=True)
+
+
 # P5 ----------------------------------------------------------------------------
 
 def auc(df: DataFrame, label: str, score: str, **kw) -> float | None:

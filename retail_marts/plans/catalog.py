@@ -863,14 +863,14 @@ def q_feature_pipeline(spark, d):
     """Features fitted on the training part, applied to both parts. Rows only."""
     from pyspark.ml.functions import vector_to_array
     train, test = _train_test(spark, d)
-    fp = P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=1 << 16).fit(train)
+    fp = P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=1 << 14).fit(train)
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     arr = vector_to_array(F.col("features"))
     return fp.transform(both).select("rating_id", "part", F.size(arr).alias("n_features"),
                                      F.size(F.filter(arr, lambda x: x != 0)).alias("nonzeros"))
 
 
-MODEL_TEXT_FEATURES = {"baseline": 1 << 10, "logreg": 1 << 16, "rf": 1 << 12, "gbt": 1 << 12}
+MODEL_TEXT_FEATURES = {"baseline": 1 << 10, "logreg": 1 << 14, "rf": 1 << 12, "gbt": 1 << 12}
 
 
 @query("train_models")
@@ -879,20 +879,27 @@ def q_train_models(spark, d):
     trees (class-weighted) fitted on the training part, evaluated on the
     test part at cut 0.5. Rows only."""
     from functools import reduce
-    train, test = _train_test(spark, d)
+    lab, _ = _training(spark, d)
+    # one pass: split by text hash, tokenise, checkpoint; both parts read it
+    both = (P.tokenizer("comment", "tokens").transform(P.split_flag(lab, "comment", TEST_SHARE))
+             .drop("comment").checkpoint(eager=True))
+    train = both.filter(F.col("part") == "train").drop("part")
+    test = both.filter(F.col("part") == "test").drop("part")
     out = []
     for kind, nf in MODEL_TEXT_FEATURES.items():
-        feats = P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=nf)
+        feats = P.feature_pipeline(NUMERIC, CATEGORICAL, None, num_text_features=nf, tokens="tokens")
         m = P.train(train, kind, feats, weighted=(kind != "baseline"))
-        out.append(P.evaluate(P.predict(m, test), "label", "score", 0.5)
+        out.append(P.evaluate(P.scored(m, test, ["rating_id", "label"]), "label", "score", 0.5)
                    .withColumn("model", F.lit(kind)))
     return reduce(DataFrame.unionByName, out)
 
 
 @query("score_batch")
 def q_score_batch(spark, d):
-    """The logistic model scores every unlabelled review. Rows only."""
+    """A random forest fitted on every labelled review scores every
+    unlabelled one. Rows only."""
     lab, unl = _training(spark, d)
-    m = P.train(lab, "logreg", P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=1 << 16),
+    lab = lab.checkpoint(eager=True)
+    m = P.train(lab, "rf", P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=1 << 12),
                 weighted=True)
-    return P.score_batch(m, unl, "rating_id", version="logreg-v1")
+    return P.score_batch(m, unl, "rating_id", version="rf-v1")
