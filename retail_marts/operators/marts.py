@@ -34,15 +34,27 @@ def sales_kpis(sales: DataFrame, by: list[str]) -> DataFrame:
                  .withColumn("avg_order_value", ratio("net_revenue", "orders")))
 
 
+def month_spine(monthly: DataFrame, col: str = "month") -> DataFrame:
+    """Every month from the first to the last month of ``monthly`` (bounded
+    by the calendar: twelve rows a year)."""
+    b = monthly.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
+    return b.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias(col))
+
+
 def sales_by_month(sales: DataFrame) -> DataFrame:
     """B2: net revenue per month and its change on the previous month.
 
-    The first month has no previous one (null); a zero base gives null.
-    ``lag`` runs over the monthly totals (one row per month), not the lines.
+    Months without sales between the first and the last show 0, so the
+    change always compares calendar neighbours. The first month has no
+    previous one (null); a zero base gives null. ``lag`` runs over the
+    monthly totals (one row per month), not the lines.
     """
-    m = (sales.groupBy(month_start("ordered_at").alias("month"))
-              .agg(_sum_money("net_amount").alias("net_revenue"),
-                   F.countDistinct("order_id").alias("orders")))
+    agg = (sales.groupBy(month_start("ordered_at").alias("month"))
+                .agg(_sum_money("net_amount").alias("net_revenue"),
+                     F.countDistinct("order_id").alias("orders")))
+    m = (month_spine(agg).join(agg, "month", "left")
+         .select("month", F.coalesce("net_revenue", F.lit(0).cast(MONEY)).cast(MONEY).alias("net_revenue"),
+                 F.coalesce("orders", F.lit(0)).cast("bigint").alias("orders")))
     w = Window.orderBy("month")
     prev = F.lag("net_revenue").over(w)
     return (m.withColumn("prev_net_revenue", prev)

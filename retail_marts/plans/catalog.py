@@ -67,7 +67,11 @@ m AS (
          COUNT(DISTINCT order_id) AS orders
   FROM sales_m GROUP BY 1
 ),
-p AS (SELECT *, LAG(net_revenue) OVER (ORDER BY month) AS prev_net_revenue FROM m)
+sp AS (SELECT CAST(unnest(generate_series(CAST(min(month) AS TIMESTAMP), CAST(max(month) AS TIMESTAMP),
+                                          INTERVAL 1 MONTH)) AS DATE) AS month FROM m),
+f AS (SELECT sp.month, CAST(coalesce(m.net_revenue, 0) AS DECIMAL(18,2)) AS net_revenue,
+             coalesce(m.orders, 0) AS orders FROM sp LEFT JOIN m ON sp.month = m.month),
+p AS (SELECT *, LAG(net_revenue) OVER (ORDER BY month) AS prev_net_revenue FROM f)
 SELECT month, net_revenue, orders, prev_net_revenue,
        CASE WHEN prev_net_revenue IS NULL OR prev_net_revenue = 0 THEN NULL
             ELSE CAST(net_revenue - prev_net_revenue AS DOUBLE) / CAST(prev_net_revenue AS DOUBLE)
