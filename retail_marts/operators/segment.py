@@ -109,16 +109,17 @@ def prepare(df: DataFrame, key: str, partitions: int) -> DataFrame:
 
 
 def fit_segments(df: DataFrame, k: int, seed: int = 1, cols: list[str] = FEATURES,
-                 key: str = "customer_id", partitions: int = 8, max_iter: int = 40) -> Segments:
+                 key: str = "customer_id", partitions: int = 8, max_iter: int = 40,
+                 rank_by: str = "monetary") -> Segments:
     """C4: scale ``cols`` and fit k-means (k-means|| seeding). Segment
-    numbers follow descending mean ``monetary`` (or the last column)."""
+    numbers follow the descending mean of ``rank_by``."""
     data = prepare(df, key, partitions)
     pipe = Pipeline(stages=[
         VectorAssembler(inputCols=cols, outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="_z", withMean=True, withStd=True),
         KMeans(featuresCol="_z", predictionCol="_cluster", k=k, seed=seed, maxIter=max_iter)])
     model = pipe.fit(data)
-    rank_col = "monetary" if "monetary" in cols else cols[-1]
+    rank_col = rank_by
     means = (model.transform(data).groupBy("_cluster")
                   .agg(F.avg(F.col(rank_col).cast("double")).alias("m")).collect())  # k rows
     by_value = sorted(means, key=lambda r: (-r["m"], r["_cluster"]))

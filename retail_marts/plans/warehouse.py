@@ -95,12 +95,12 @@ def load(spark: SparkSession, src: str, dst: str) -> DataFrame:
              "discount outside 0..1": F.col("l_discount").between(0, 1),
              "price negative": F.col("l_extendedprice") >= 0}
     flagged = etl.flag_rejects(li, rules, parents).withColumn(
-        "accepted", F.col("reject_reason").isNull())
+        "outcome", F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected"))
     checked = os.path.join(dst, "_checked_lineitem")
-    flagged.write.mode("overwrite").partitionBy("accepted").parquet(checked)
-    checked_df = spark.read.parquet(checked)
-    ok = checked_df.filter("accepted").drop("accepted", "reject_reason")
-    bad = checked_df.filter(~F.col("accepted")).drop("accepted")
+    flagged.write.mode("overwrite").partitionBy("outcome").parquet(checked)
+    checked_df = spark.read.schema(flagged.schema).parquet(checked)
+    ok = checked_df.filter(F.col("outcome") == "accepted").drop("outcome", "reject_reason")
+    bad = checked_df.filter(F.col("outcome") == "rejected").drop("outcome")
     write_table(bad, os.path.join(dst, "rejects_lineitem"))
 
     sales = W.fact_sales(ok, orders)
