@@ -6,8 +6,8 @@ computes the same numbers in parallel:
 
 1. a bounded sample of the ordering tuples gives splitters (the sample size
    depends on the number of buckets, not on the data);
-2. every row gets the number of its bucket by a binary search over the
-   splitter literals, comparing whole tuples, so even one value that holds a
+2. every row gets the number of its bucket by a binary search over a
+   literal array of splitter tuples (compared as structs), so even one value that holds a
    third of the rows is spread over many buckets by the tie-breaking columns;
 3. per-bucket totals (one row per bucket) give each bucket's offset;
 4. a window partitioned by bucket finishes the running total inside each
@@ -20,47 +20,78 @@ the last column) so that the order is total.
 
 from __future__ import annotations
 
+import datetime
+import decimal
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _tuple_lt(cols: list[Column], values: tuple) -> Column:
-    """Lexicographic (cols) < (values)."""
-    cond = None
-    for i in range(len(cols) - 1, -1, -1):
-        lit = F.lit(values[i])
-        here = cols[i] < lit
-        cond = here if cond is None else (here | ((cols[i] == lit) & cond))
-    return cond
+def _json_value(v):
+    if isinstance(v, decimal.Decimal):
+        return str(v)
+    if isinstance(v, (datetime.date, datetime.datetime)):
+        return v.isoformat()
+    return v
 
 
-def _bucket_expr(cols: list[Column], splitters: list[tuple]) -> Column:
-    """Number of splitters <= (cols): a balanced tree of comparisons."""
-    def build(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2          # splitter index mid-1 separates
-        return F.when(_tuple_lt(cols, splitters[mid - 1]), build(lo, mid - 1)).otherwise(build(mid, hi))
-    return build(0, len(splitters))
+def _literal_array(values: list, element_type: str) -> Column:
+    """One array literal from Python values: a JSON string parsed by
+    ``from_json`` (constant-folded once), instead of one Column per value."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{element_type}>")
+
+
+def _with_bucket(df: DataFrame, order: list[str], splitters: list[tuple], out: str = "_b") -> DataFrame:
+    """Add ``out`` = number of splitters <= (order...), by binary search.
+
+    The splitters are one literal array of structs; each search step is one
+    struct comparison, so a thousand splitters cost ten steps and the
+    generated code stays small. Splitters only balance the buckets, so their
+    JSON round trip cannot change a result.
+    """
+    if not splitters:
+        return df.withColumn(out, F.lit(0))
+    fields = [f"c{i}" for i in range(len(order))]
+    stype = "struct<" + ",".join(f"{f}:{df.schema[c].dataType.simpleString()}"
+                                 for f, c in zip(fields, order)) + ">"
+    spl = _literal_array([{f: _json_value(v) for f, v in zip(fields, tup)} for tup in splitters], stype)
+    key = F.struct(*[F.col(c).alias(f) for f, c in zip(fields, order)])
+    n = len(splitters)
+    steps = []
+    step = 1 << (n.bit_length() - 1)
+    while step >= 1:
+        steps.append(step)
+        step >>= 1
+    d = df.withColumn(out, F.lit(0))
+    for step in steps:
+        cand = F.col(out) + step
+        probe = F.element_at(spl, F.least(cand, F.lit(n)))
+        d = d.withColumn(out, F.when((cand <= n) & (probe <= key), cand).otherwise(F.col(out)))
+    return d
 
 
 def running_total(df: DataFrame, order: list[str], value: str | Column | None = None,
-                  out: str = "_cum", rows_per_bucket: int = 1_000_000,
-                  sample_per_bucket: int = 32, seed: int = 7) -> tuple[DataFrame, int]:
+                  out: str = "_cum", rows_per_bucket: int = 1_000_000, max_buckets: int = 1024,
+                  sample_per_bucket: int = 32, seed: int = 7,
+                  checkpoint: bool = True) -> tuple[DataFrame, int]:
     """Add ``out`` = inclusive running sum of ``value`` (default 1, i.e. the
     row number) in ``order`` (ascending). Returns (frame, row count).
 
-    Runs three small jobs (count, sample, bucket totals) whose results are
-    bounded by the number of buckets, then one distributed window.
+    The input is checkpointed first (``spark.checkpoint.dir``), so the four
+    passes below read one fixed snapshot and do not recompute the upstream
+    plan. Three small jobs follow (count, sample, bucket totals) whose results
+    are bounded by the number of buckets (at most ``max_buckets``: beyond
+    that the buckets grow instead, and their window sorts spill), then one
+    distributed window.
     """
+    if checkpoint:
+        df = df.checkpoint(eager=True)
     n = df.count()
     val = F.lit(1).cast("bigint") if value is None else (F.col(value) if isinstance(value, str) else value)
     d = df.withColumn("_v", val)
-    buckets = max(1, math.ceil(n / max(1, rows_per_bucket)))
-    cols = [F.col(c) for c in order]
+    buckets = min(max_buckets, max(1, math.ceil(n / max(1, rows_per_bucket))))
     splitters: list[tuple] = []
     if buckets > 1:
         frac = min(1.0, buckets * sample_per_bucket / n)
@@ -69,13 +100,13 @@ def running_total(df: DataFrame, order: list[str], value: str | Column | None =
         if keys:
             step = len(keys) / buckets
             splitters = sorted({keys[min(len(keys) - 1, int(round(step * i)))] for i in range(1, buckets)})
-    d = d.withColumn("_b", _bucket_expr(cols, splitters) if splitters else F.lit(0))
+    d = _with_bucket(d, order, splitters, "_b")
     totals = {r["_b"]: r["t"] for r in d.groupBy("_b").agg(F.sum("_v").alias("t")).collect()}
     offsets, acc = [], 0
     for b in range(len(splitters) + 1):
         offsets.append(acc)
         acc += totals.get(b) or 0
-    off = F.array(*[F.lit(o) for o in offsets])[F.col("_b")]
+    off = F.element_at(_literal_array(offsets, "bigint"), F.col("_b") + 1)
     w = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     res = d.withColumn(out, off + F.sum("_v").over(w)).drop("_v", "_b")
     return res, n

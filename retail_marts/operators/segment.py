@@ -100,16 +100,19 @@ class Segments:
                 .drop("_cluster", "_raw", "_z")
 
 
-def prepare(df: DataFrame, key: str, partitions: int) -> DataFrame:
-    """Fix the row placement (hash of the key, sorted by key) and cut the
-    lineage with a reliable checkpoint in ``spark.checkpoint.dir``: k-means
-    passes over the rows many times, its seeding depends on row placement,
-    and a lost executor then recomputes from the checkpoint, not the sources."""
+def prepare(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Fix the row placement (hash of the key into ``partitions``, default
+    ``spark.sql.shuffle.partitions``; sorted by key) and cut the lineage with
+    a reliable checkpoint in ``spark.checkpoint.dir``: k-means passes over
+    the rows many times, its seeding depends on row placement, and a lost
+    executor then recomputes from the checkpoint, not the sources."""
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(partitions, key).sortWithinPartitions(key).checkpoint(eager=True)
 
 
 def fit_segments(df: DataFrame, k: int, seed: int = 1, cols: list[str] = FEATURES,
-                 key: str = "customer_id", partitions: int = 8, max_iter: int = 40,
+                 key: str = "customer_id", partitions: int | None = None, max_iter: int = 40,
                  rank_by: str = "monetary") -> Segments:
     """C4: scale ``cols`` and fit k-means (k-means|| seeding). Segment
     numbers follow the descending mean of ``rank_by``."""
@@ -132,7 +135,7 @@ def fit_segments(df: DataFrame, k: int, seed: int = 1, cols: list[str] = FEATURE
 # C5 ----------------------------------------------------------------------------
 
 def choose_k(df: DataFrame, ks: list[int], seed: int = 1, cols: list[str] = FEATURES,
-             key: str = "customer_id", partitions: int = 8) -> DataFrame:
+             key: str = "customer_id", partitions: int | None = None) -> DataFrame:
     """Training cost (within-cluster sum of squares) and mean silhouette
     (squared Euclidean) for each k. One row per k."""
     data = prepare(df, key, partitions)
