@@ -34,11 +34,17 @@ def sales_kpis(sales: DataFrame, by: list[str]) -> DataFrame:
                  .withColumn("avg_order_value", ratio("net_revenue", "orders")))
 
 
-def month_spine(monthly: DataFrame, col: str = "month") -> DataFrame:
-    """Every month from the first to the last month of ``monthly`` (bounded
-    by the calendar: twelve rows a year)."""
-    b = monthly.agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    return b.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias(col))
+def fill_months(monthly: DataFrame, measures: dict[str, Column], col: str = "month") -> DataFrame:
+    """Add a row for every month missing between the first and the last
+    month of ``monthly`` (one row per month), with the ``measures``' zero
+    values. Works on the monthly rows alone (``lead`` + ``sequence``), so the
+    fact under them is not read twice."""
+    withnext = monthly.withColumn("_next", F.lead(col).over(Window.orderBy(col)))
+    upto = F.coalesce(F.add_months(F.col("_next"), -1), F.col(col))
+    g = withnext.withColumn("_m", F.explode(F.sequence(F.col(col), upto, F.expr("INTERVAL 1 MONTH"))))
+    same = F.col("_m") == F.col(col)
+    return g.select(F.col("_m").alias(col),
+                    *[F.when(same, F.col(name)).otherwise(zero).alias(name) for name, zero in measures.items()])
 
 
 def sales_by_month(sales: DataFrame) -> DataFrame:
@@ -52,9 +58,7 @@ def sales_by_month(sales: DataFrame) -> DataFrame:
     agg = (sales.groupBy(month_start("ordered_at").alias("month"))
                 .agg(_sum_money("net_amount").alias("net_revenue"),
                      F.countDistinct("order_id").alias("orders")))
-    m = (month_spine(agg).join(agg, "month", "left")
-         .select("month", F.coalesce("net_revenue", F.lit(0).cast(MONEY)).cast(MONEY).alias("net_revenue"),
-                 F.coalesce("orders", F.lit(0)).cast("bigint").alias("orders")))
+    m = fill_months(agg, {"net_revenue": F.lit(0).cast(MONEY), "orders": F.lit(0).cast("bigint")})
     w = Window.orderBy("month")
     prev = F.lag("net_revenue").over(w)
     return (m.withColumn("prev_net_revenue", prev)

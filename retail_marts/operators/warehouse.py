@@ -9,6 +9,7 @@ comes out of any engine. Every dimension carries one unknown member
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -116,24 +117,37 @@ def dim_seller(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
 # W6 ------------------------------------------------------------------------
 
 def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], key: str,
-           as_: str | None = None) -> DataFrame:
+           as_: str | None = None, key_of: Callable[..., Column] | None = dim_key) -> DataFrame:
     """Add ``dim``'s surrogate ``key`` to ``fact`` by natural key.
 
     ``on`` maps fact columns to the dimension's natural key columns. A left
-    join against the distinct (natural key, key) pairs, so the fact keeps
-    exactly its rows; no match (or a null natural key) gives ``'-1'``.
-    The join strategy is left to Catalyst/AQE: a dimension under the
-    broadcast threshold is broadcast, a large one is joined by sort-merge
-    with AQE splitting skewed fact partitions.
+    join against the distinct natural keys of the dimension, so the fact
+    keeps exactly its rows; no match (or a null natural key) gives ``'-1'``.
+
+    Every dimension here keys its rows with ``dim_key`` (W5), so the key of
+    a matched row is derived from the natural key (``key_of``) and only the
+    natural key columns cross the join. The right side is a hash aggregate
+    unique on the join key: when a query does not use the key, Catalyst
+    removes the whole join. With ``key_of=None`` the key is read from the
+    dimension instead. The join strategy is left to Catalyst/AQE: a dimension
+    under the broadcast threshold is broadcast, a large one is joined by
+    sort-merge with AQE splitting skewed fact partitions.
     """
     as_ = as_ or key
     nat = list(on.values())
-    right = (dim.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in nat]))
-                .select(*[F.col(c).alias(f"_n{j}") for j, c in enumerate(nat)], F.col(key).alias("_key"))
-                .dropDuplicates([f"_n{j}" for j in range(len(nat))]))
-    cond = reduce(lambda a, b: a & b, [F.col(fc) == F.col(f"_n{j}") for j, fc in enumerate(on)])
+    present = dim.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in nat]))
+    names = [f"_n{j}" for j in range(len(nat))]
+    if key_of is not None:
+        right = present.select(*[F.col(c).alias(n) for n, c in zip(names, nat)]).distinct() \
+                       .withColumn("_hit", F.lit(True))
+        matched = F.when(F.col("_hit"), key_of(*[F.col(fc) for fc in on]))
+    else:
+        right = present.groupBy(*[F.col(c).alias(n) for n, c in zip(names, nat)]) \
+                       .agg(F.max(key).alias("_key"))
+        matched = F.col("_key")
+    cond = reduce(lambda a, b: a & b, [F.col(fc) == F.col(n) for fc, n in zip(on, names)])
     out = fact.join(right, cond, "left")
-    return out.select(*fact.columns, F.coalesce(F.col("_key"), F.lit(UNKNOWN_KEY)).alias(as_))
+    return out.select(*fact.columns, F.coalesce(matched, F.lit(UNKNOWN_KEY)).alias(as_))
 
 
 # W7 ------------------------------------------------------------------------
