@@ -176,10 +176,12 @@ def customers_by(dim_customer: DataFrame, sales: DataFrame, by: list[str]) -> Da
     by customer attributes. Sales are summed per customer first, then joined
     to the dimension with a left join, so customers without orders count (with
     zero revenue). The unknown member is not a customer and is left out.
+    The join is on the natural key, so the fact needs no key lookup here.
     """
-    per = sales.groupBy("customer_key").agg(_sum_money("net_amount").alias("rev"))
+    per = (sales.filter(F.col("customer_id").isNotNull())
+                .groupBy("customer_id").agg(_sum_money("net_amount").alias("rev")))
     d = dim_customer.filter(F.col("customer_id").isNotNull())
-    j = d.join(per, "customer_key", "left")
+    j = d.join(per, "customer_id", "left")
     return (j.groupBy(*by)
              .agg(F.count(F.lit(1)).alias("customers"),
                   F.count("rev").alias("active_customers"),

@@ -1,7 +1,9 @@
 """Session helper.
 
-Sets only what the operators rely on (UTC session zone, AQE, dynamic
-partition overwrite) and never overrides a value the cluster already set.
+Sets only what the operators rely on (AQE, dynamic partition overwrite) and
+never overrides a value the cluster already set, except the partition
+overwrite mode that a correct fact reload needs. No operator depends on the
+session time zone: every timestamp in the model is ``timestamp_ntz``.
 """
 
 from __future__ import annotations
@@ -11,39 +13,42 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings the library needs; applied only where the session leaves them unset.
+# Settings the library relies on. On a new session they are defaults; on an
+# existing (cluster) session only unset ones are filled in.
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
+# Needed for correct results whatever the cluster says: a fact reload must
+# replace only the months it holds.
+_PINNED = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 
 
 def get_spark(master: str | None = None, app: str = "retail_marts", **conf: str) -> SparkSession:
-    """Return the active session, creating one if needed.
-
-    ``master`` is only used when no session exists (tests, bench); on a
-    cluster the submitter's master and settings win.
-    """
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    for k, v in _DEFAULTS.items():
-        if k in conf:
-            continue
-        if spark.conf.get(k, None) is None or k in ("spark.sql.session.timeZone",
-                                                    "spark.sql.sources.partitionOverwriteMode"):
-            # The zone and overwrite mode change results, so they are pinned.
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on an existing session
-                pass
+    """Return the active session, or create one (tests, bench) with ``master``,
+    the defaults above and ``conf``. An existing session keeps its settings;
+    only unset defaults are added."""
+    active = SparkSession.getActiveSession()
+    if active is None:
+        builder = SparkSession.builder.appName(app)
+        if master:
+            builder = builder.master(master)
+        for k, v in {**_DEFAULTS, **_PINNED, **conf}.items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
+    else:
+        spark = active
+        for k, v in _DEFAULTS.items():
+            if spark.conf.get(k, None) is None:
+                try:
+                    spark.conf.set(k, v)
+                except Exception:  # a static setting of a running session
+                    pass
+    for k, v in _PINNED.items():
+        spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
 
