@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retail_marts.functions.columns import MONEY, month_start, ratio
+from retail_marts.operators.ranking import exact_percentiles, null_safe_on
 
 
 QUANTILE = T.DecimalType(20, 6)
@@ -212,31 +213,38 @@ def payments_pivot(pay: DataFrame, types: list[str], period: str = "month") -> D
 
 
 def payment_stats(pay: DataFrame, by: list[str], exact: bool = True,
-                  accuracy: int = 10000) -> DataFrame:
+                  accuracy: int = 10000, **kw) -> DataFrame:
     """Payments, mean, median, p90 and p99 of the amount per ``by``.
 
-    ``exact=True`` uses ``percentile`` (keeps a value -> count map per group,
-    combined map-side; its size is the number of distinct amounts, which for
-    cent values is bounded by the price range). ``exact=False`` uses
-    ``percentile_approx`` with a fixed-size sketch.
+    ``exact=True``: exact interpolated percentiles computed without gathering
+    a group into one task (``ranking.exact_percentiles``), in exact decimals.
+    ``exact=False``: ``percentile_approx`` with a fixed-size sketch per group.
 
     Quantiles are decimal(20,6): interpolating between cent values at a
-    position with at most two decimals gives at most four decimals, so the
-    decimal is the exact quantile whatever the float rounding of the engine.
+    position with at most two decimals gives at most four decimals.
     """
-    amt = F.col("amount").cast("double")
+    names = ["median_amount", "p90_amount", "p99_amount"]
+    base = (pay.groupBy(*by)
+               .agg(F.count(F.lit(1)).alias("payments"), _sum_money("amount").alias("amount"))
+               .select(*by, "payments", "amount", ratio("amount", "payments").alias("mean_amount")))
     if exact:
-        q = F.percentile(amt, F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
+        q = exact_percentiles(pay.withColumn("amount", F.col("amount").cast(MONEY)), by, "amount",
+                              [0.5, 0.9, 0.99], **kw)
+        q = q.select(*[F.col(b).alias(f"_q_{b}") for b in by],
+                     *[F.col(f"p{i}").alias(n) for i, n in enumerate(names)])
     else:
-        q = F.percentile_approx(amt, [0.5, 0.9, 0.99], accuracy).cast("array<double>")
-    return (pay.groupBy(*by)
-               .agg(F.count(F.lit(1)).alias("payments"),
-                    _sum_money("amount").alias("amount"),
-                    q.alias("_q"))
-               .select(*by, "payments", "amount",
-                       ratio("amount", "payments").alias("mean_amount"),
-                       *[F.col("_q")[i].cast(QUANTILE).alias(n) for i, n in
-                         enumerate(["median_amount", "p90_amount", "p99_amount"])]))
+        approx = F.percentile_approx(F.col("amount").cast("double"), [0.5, 0.9, 0.99], accuracy)
+        q = pay.groupBy(*[F.col(b).alias(f"_q_{b}") for b in by]).agg(approx.alias("_a")).select(
+            *[f"_q_{b}" for b in by], *[F.col("_a")[i].cast(QUANTILE).alias(n) for i, n in enumerate(names)])
+    if not by:
+        return _side_by_side(base, q)
+    joined = base.join(q, null_safe_on(by, [f"_q_{b}" for b in by]), "inner")
+    return joined.drop(*[f"_q_{b}" for b in by])
+
+
+def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two one-row frames as one row (a join on a constant key, not a cross join)."""
+    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 # Satisfaction ---------------------------------------------------------------

@@ -166,3 +166,13 @@ def test_empty_inputs_keep_schema(spark):
     for df in (B.sales_by_month(s), B.sales_ytd(s), B.top_products(s, 3), B.sales_kpis(s, ["return_flag"])):
         assert df.count() == 0 and len(df.columns) > 0
     assert B.sales_kpis(s, []).count() == 1          # a grand total is one row
+
+
+def test_payment_stats_null_type_group_and_approx(spark):
+    rows = {r.payment_type: r for r in B.payment_stats(_pay(spark), ["payment_type"]).collect()}
+    assert rows[None].payments == 2 and rows[None].median_amount == D("14.025")
+    assert rows["CREDIT_CARD"].median_amount == D("30.00")
+    approx = {r.payment_type: r for r in B.payment_stats(_pay(spark), ["payment_type"], exact=False).collect()}
+    assert set(approx) == set(rows)
+    total = B.payment_stats(_pay(spark), []).collect()
+    assert len(total) == 1 and total[0].payments == 6
