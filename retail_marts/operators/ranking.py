@@ -79,19 +79,24 @@ def running_total(df: DataFrame, order: list[str], value: str | Column | None =
     """Add ``out`` = inclusive running sum of ``value`` (default 1, i.e. the
     row number) in ``order`` (ascending). Returns (frame, row count).
 
-    The input is checkpointed first (``spark.checkpoint.dir``), so the four
-    passes below read one fixed snapshot and do not recompute the upstream
-    plan. Three small jobs follow (count, sample, bucket totals) whose results
-    are bounded by the number of buckets (at most ``max_buckets``: beyond
-    that the buckets grow instead, and their window sorts spill), then one
-    distributed window.
+    A count decides the number of buckets. Up to ``rows_per_bucket`` rows
+    one ordered window does the job. Beyond that the input is checkpointed
+    (``spark.checkpoint.dir``), so the passes below read one fixed snapshot
+    and do not recompute the upstream plan; two small jobs follow (sample,
+    bucket totals) whose results are bounded by the number of buckets (at
+    most ``max_buckets``: beyond that the buckets grow instead, and their
+    window sorts spill), then one distributed window.
     """
-    if checkpoint:
-        df = df.checkpoint(eager=True)
     n = df.count()
     val = F.lit(1).cast("bigint") if value is None else (F.col(value) if isinstance(value, str) else value)
-    d = df.withColumn("_v", val)
     buckets = min(max_buckets, max(1, math.ceil(n / max(1, rows_per_bucket))))
+    if buckets == 1:
+        # small input (at most rows_per_bucket rows): one ordered window
+        w1 = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.sum(val).over(w1)), n
+    if checkpoint:
+        df = df.checkpoint(eager=True)
+    d = df.withColumn("_v", val)
     splitters: list[tuple] = []
     if buckets > 1:
         frac = min(1.0, buckets * sample_per_bucket / n)
