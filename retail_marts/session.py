@@ -53,24 +53,26 @@ def get_spark(master: str | None = None, app: str = "retail_marts", **conf: str)
     return spark
 
 
-_CKPT_SET: dict[int, str] = {}
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is read as is.
-    Only where it is unset (local tests) a scratch folder is made.
+    On a cluster the setting must point at shared storage; it is read from
+    the session and never replaced. A folder already given to the
+    SparkContext is kept. Only where the setting is unset and the master is
+    local (tests, bench) a scratch folder is made; on a cluster that is an
+    error, since a machine-local folder would not survive a lost executor.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) for this cluster")
         path = tempfile.mkdtemp(prefix="retail-marts-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if _CKPT_SET.get(id(spark.sparkContext)) != path:
-        spark.sparkContext.setCheckpointDir(path)
-        _CKPT_SET[id(spark.sparkContext)] = path
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
