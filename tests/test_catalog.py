@@ -60,3 +60,22 @@ def test_load_writes_warehouse_and_balances(spark, tmp_out):
     load(spark, SF0001, tmp_out)
     assert spark.read.parquet(f"{tmp_out}/fact_sales").count() == rec[0].loaded_rows
     assert spark.read.parquet(f"{tmp_out}/dim_customer").filter("customer_key = '-1'").count() == 1
+
+
+def test_load_maps_unknown_customers_to_unknown_member(spark, tmp_out):
+    """A customer missing from the dimension must not leave a dangling key."""
+    import shutil
+    src = os.path.join(tmp_out, "src")
+    os.makedirs(src)
+    for t in ("region", "nation", "supplier", "part", "orders", "lineitem", "events", "documents", "labels"):
+        shutil.copytree(f"{SF0001}/{t}.parquet", f"{src}/{t}.parquet") if os.path.isdir(
+            f"{SF0001}/{t}.parquet") else shutil.copy(f"{SF0001}/{t}.parquet", f"{src}/{t}.parquet")
+    cust = spark.read.parquet(f"{SF0001}/customer.parquet")
+    first = cust.agg({"c_custkey": "min"}).first()[0]
+    cust.filter(f"c_custkey <> {first}").write.parquet(f"{src}/customer.parquet")
+    load(spark, src, os.path.join(tmp_out, "wh"))
+    sales = spark.read.parquet(os.path.join(tmp_out, "wh", "fact_sales"))
+    dim = spark.read.parquet(os.path.join(tmp_out, "wh", "dim_customer"))
+    dangling = sales.join(dim, "customer_key", "left_anti").count()
+    assert dangling == 0
+    assert sales.filter(f"customer_id = {first}").filter("customer_key = '-1'").count() > 0
