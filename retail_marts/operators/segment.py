@@ -7,6 +7,7 @@ frequency and monetary value per customer is our choice.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -100,14 +101,20 @@ class Segments:
                 .drop("_cluster", "_raw", "_z")
 
 
-def prepare(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """Fix the row placement (hash of the key into ``partitions``, default
-    ``spark.sql.shuffle.partitions``; sorted by key) and cut the lineage with
-    a reliable checkpoint in ``spark.checkpoint.dir``: k-means passes over
-    the rows many times, its seeding depends on row placement, and a lost
-    executor then recomputes from the checkpoint, not the sources."""
+def prepare(df: DataFrame, key: str, partitions: int | None = None,
+            rows_per_partition: int = 500_000) -> DataFrame:
+    """Fix the row placement (hash of the key into ``partitions``, sorted by
+    key) and cut the lineage with a reliable checkpoint in
+    ``spark.checkpoint.dir``: k-means passes over the rows many times, its
+    seeding depends on row placement, and a lost executor then recomputes
+    from the checkpoint, not the sources.
+
+    By default the partition count follows the row count (one count job), so
+    small inputs do not pay for hundreds of tasks per iteration, large ones
+    get ``rows / rows_per_partition`` partitions, and the result does not
+    depend on the cluster's shuffle setting."""
     if partitions is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(1, math.ceil(df.count() / rows_per_partition))
     return df.repartition(partitions, key).sortWithinPartitions(key).checkpoint(eager=True)
 
 
