@@ -83,9 +83,12 @@ class Parent:
 
 
 def flag_rejects(df: DataFrame, rules: dict[str, Column] | None = None,
-                 parents: list[Parent] | None = None) -> DataFrame:
+                 parents: list[Parent] | None = None,
+                 first: dict[str, Column] | None = None) -> DataFrame:
     """Add ``reject_reason``: null for an accepted row, else the first broken
-    check (parents first, then rules, in the order given).
+    check (``first``, then parents, then rules, in the order given).
+    ``first`` holds checks that must hold and are already resolved on
+    ``df`` (e.g. a parent joined upstream for its attributes).
 
     A rule is a boolean column that must be true; null counts as broken. A
     child key that is null is *not* an orphan (it maps to the unknown member
@@ -95,7 +98,8 @@ def flag_rejects(df: DataFrame, rules: dict[str, Column] | None = None,
     """
     rules = rules or {}
     parents = parents or []
-    reasons: list[Column] = []
+    reasons: list[Column] = [F.when(~F.coalesce(c, F.lit(False)), F.lit(name))
+                             for name, c in (first or {}).items()]
     out = df
     for i, p in enumerate(parents):
         flag = f"_p{i}"
