@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_marts.operators import marts as B
-from retail_marts.plans.warehouse import Warehouse
+from retail_marts.plans.warehouse import Warehouse, line_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -142,10 +142,7 @@ def _line_checks(spark, d):
     parents = [E.Parent("orders", read_table(spark, d, "orders"), {"l_orderkey": "o_orderkey"}),
                E.Parent("part", read_table(spark, d, "part"), {"l_partkey": "p_partkey"}),
                E.Parent("supplier", read_table(spark, d, "supplier"), {"l_suppkey": "s_suppkey"})]
-    rules = {"quantity not positive": F.col("l_quantity") > 0,
-             "discount outside 0..1": F.col("l_discount").between(0, 1),
-             "price negative": F.col("l_extendedprice") >= 0}
-    return parents, rules
+    return parents, line_rules()
 
 
 LINE_REASON_SQL = """

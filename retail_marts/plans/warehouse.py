@@ -75,6 +75,13 @@ class Warehouse:
         return standins.orders_source(self.table("orders"))
 
 
+def line_rules() -> dict:
+    """E4 value rules for order lines (reason -> condition that must hold)."""
+    return {"quantity not positive": F.col("l_quantity") > 0,
+            "discount outside 0..1": F.col("l_discount").between(0, 1),
+            "price negative": F.col("l_extendedprice") >= 0}
+
+
 def load(spark: SparkSession, src: str, dst: str) -> DataFrame:
     """Batch load of the warehouse into ``dst``; returns the E5 reconciliation.
 
@@ -98,9 +105,7 @@ def load(spark: SparkSession, src: str, dst: str) -> DataFrame:
     li_o = li.join(o_side, li.l_orderkey == o_side.o_orderkey, "left")
     parents = [etl.Parent("part", wh.table("part"), {"l_partkey": "p_partkey"}),
                etl.Parent("supplier", wh.table("supplier"), {"l_suppkey": "s_suppkey"})]
-    rules = {"quantity not positive": F.col("l_quantity") > 0,
-             "discount outside 0..1": F.col("l_discount").between(0, 1),
-             "price negative": F.col("l_extendedprice") >= 0}
+    rules = line_rules()
     first = {"missing orders": F.col("l_orderkey").isNull() | F.col("o_orderkey").isNotNull()}
     flagged = etl.flag_rejects(li_o, rules, parents, first).withColumn(
         "outcome", F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected"))
