@@ -128,24 +128,23 @@ def new_vs_returning(orders: DataFrame) -> DataFrame:
     customer is new in the month of that order. Orders without a customer
     count in ``orders`` only (neither new nor returning).
 
-    No window over customers: the first order per customer is a ``min`` of a
-    struct, combined map-side, so one customer with a huge order history
-    does not land in one task.
+    One scan and one shuffle of the orders: a partial + final aggregate per
+    (month, customer) keeps the count and the earliest (date, order id);
+    everything else is computed from that much smaller table. No window over
+    customers, so one customer with a huge order history does not land in
+    one task.
     """
-    o = orders.select("order_id", "customer_id", month_start("ordered_at").alias("month"),
-                      F.col("ordered_at"))
-    first = (o.filter(F.col("customer_id").isNotNull())
-              .groupBy("customer_id")
-              .agg(F.min(F.struct("ordered_at", "order_id")).alias("f"))
-              .select(month_start("f.ordered_at").alias("month")))
+    mc = (orders.groupBy(month_start("ordered_at").alias("month"), F.col("customer_id"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ordered_at", "order_id")).alias("f")))
+    known = mc.filter(F.col("customer_id").isNotNull())
+    first = (known.groupBy("customer_id").agg(F.min("f").alias("f"))
+                  .select(month_start("f.ordered_at").alias("month")))
     new = first.groupBy("month").agg(F.count(F.lit(1)).alias("new_customers"))
-    active = (o.filter(F.col("customer_id").isNotNull())
-               .groupBy("month", "customer_id").agg(F.count(F.lit(1)).alias("n"))
-               .groupBy("month").agg(F.count(F.lit(1)).alias("customers")))
-    per_month = o.groupBy("month").agg(F.count(F.lit(1)).alias("orders"),
-                                       F.count("customer_id").alias("known"))
-    out = (per_month.join(active, "month", "left").join(new, "month", "left")
-                    .fillna(0, ["customers", "new_customers"]))
+    per_month = mc.groupBy("month").agg(
+        F.sum("n").alias("orders"),
+        F.sum(F.when(F.col("customer_id").isNotNull(), F.col("n")).otherwise(0)).alias("known"),
+        F.count("customer_id").alias("customers"))
+    out = per_month.join(new, "month", "left").fillna(0, ["new_customers"])
     return out.select(
         "month",
         F.col("orders").cast("bigint").alias("orders"),
