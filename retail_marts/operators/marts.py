@@ -130,21 +130,21 @@ def new_vs_returning(orders: DataFrame) -> DataFrame:
 
     One scan and one shuffle of the orders: a partial + final aggregate per
     (month, customer) keeps the count and the earliest (date, order id);
-    everything else is computed from that much smaller table. No window over
-    customers, so one customer with a huge order history does not land in
-    one task.
+    everything else is computed from that much smaller table, where a
+    customer has at most one row per month, so the window per customer is
+    small even for a customer with a huge order history.
     """
     mc = (orders.groupBy(month_start("ordered_at").alias("month"), F.col("customer_id"))
                 .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ordered_at", "order_id")).alias("f")))
-    known = mc.filter(F.col("customer_id").isNotNull())
-    first = (known.groupBy("customer_id").agg(F.min("f").alias("f"))
-                  .select(month_start("f.ordered_at").alias("month")))
-    new = first.groupBy("month").agg(F.count(F.lit(1)).alias("new_customers"))
-    per_month = mc.groupBy("month").agg(
+    # a customer has at most one row per month here, so this window is small
+    first = F.min("f").over(Window.partitionBy("customer_id"))
+    flagged = mc.withColumn("_first_month", month_start(first.getField("ordered_at")))
+    is_new = F.col("customer_id").isNotNull() & (F.col("_first_month") == F.col("month"))
+    out = flagged.groupBy("month").agg(
         F.sum("n").alias("orders"),
         F.sum(F.when(F.col("customer_id").isNotNull(), F.col("n")).otherwise(0)).alias("known"),
-        F.count("customer_id").alias("customers"))
-    out = per_month.join(new, "month", "left").fillna(0, ["new_customers"])
+        F.count("customer_id").alias("customers"),
+        F.sum(F.when(is_new, 1).otherwise(0)).alias("new_customers"))
     return out.select(
         "month",
         F.col("orders").cast("bigint").alias("orders"),

@@ -31,7 +31,11 @@ def test_unused_lookups_are_removed_but_used_ones_kept(spark):
 
 def test_latest_per_key_and_first_orders_use_aggregates_not_windows(spark):
     assert "Window" not in _plan(E.queries()["latest_per_key"](spark, SF0001))
-    assert "Window" not in _plan(E.queries()["new_vs_returning"](spark, SF0001))
+    plan = _plan(E.queries()["new_vs_returning"](spark, SF0001))
+    assert _scans(plan) == ["orders"]                 # one scan of the orders
+    # the only window runs above the (month, customer) aggregate
+    window_part = plan.split("Window")[1]
+    assert "partial_count" in window_part and "partial_min" in window_part
 
 
 def test_top_n_per_group_is_limited_before_the_shuffle(spark):
