@@ -53,3 +53,11 @@ def sample_rows(df: DataFrame, key: Column, limit: int) -> list:
     any cluster. Only for the bounded samples that models are fitted on."""
     h = F.xxhash64(key.cast("string"), F.lit(17))
     return df.withColumn("__h", h).orderBy("__h", key).limit(limit).drop("__h").collect()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
