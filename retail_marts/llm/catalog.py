@@ -2,10 +2,30 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+from retail_marts.llm.bm25_decontam import op7_bm25_decontam
+from retail_marts.llm.chat_events import OP10_SQL, op10_chat_events
+from retail_marts.llm.cnn_toxicity import op2_cnn_toxicity
+from retail_marts.llm.feistel_pii import op9_feistel_pii
+from retail_marts.llm.poisson_mix import OP4_SQL, op4_poisson_mix
 from retail_marts.llm.probminhash import op5_probminhash_neardup
+from retail_marts.llm.pu_quality import op8_pu_quality
+from retail_marts.llm.va_file import OP1_SQL, op1_va_file
 
 QUERIES = {
+    "op1_va_file": op1_va_file,
+    "op2_cnn_toxicity": op2_cnn_toxicity,
+    "op4_poisson_mix": op4_poisson_mix,
     "op5_probminhash_neardup": op5_probminhash_neardup,
+    "op7_bm25_decontam": op7_bm25_decontam,
+    "op8_pu_quality": op8_pu_quality,
+    "op9_feistel_pii": op9_feistel_pii,
+    "op10_chat_events": op10_chat_events,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_va_file": OP1_SQL,
+    "op4_poisson_mix": OP4_SQL,
+    "op10_chat_events": OP10_SQL,
+}
