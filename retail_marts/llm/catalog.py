@@ -7,6 +7,7 @@ from retail_marts.llm.bm25_decontam import op7_bm25_decontam
 from retail_marts.llm.chat_events import OP10_SQL, op10_chat_events
 from retail_marts.llm.cnn_toxicity import op2_cnn_toxicity
 from retail_marts.llm.feistel_pii import op9_feistel_pii
+from retail_marts.llm.language_mixture import op3_language_mixture
 from retail_marts.llm.poisson_mix import OP4_SQL, op4_poisson_mix
 from retail_marts.llm.probminhash import op5_probminhash_neardup
 from retail_marts.llm.pu_quality import op8_pu_quality
@@ -15,6 +16,7 @@ from retail_marts.llm.va_file import OP1_SQL, op1_va_file
 QUERIES = {
     "op1_va_file": op1_va_file,
     "op2_cnn_toxicity": op2_cnn_toxicity,
+    "op3_language_mixture": op3_language_mixture,
     "op4_poisson_mix": op4_poisson_mix,
     "op5_probminhash_neardup": op5_probminhash_neardup,
     "op7_bm25_decontam": op7_bm25_decontam,

@@ -186,9 +186,9 @@ def op1_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = """
-WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+WITH v AS (SELECT DISTINCT vec_id, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+             AND len([x for x in embedding if x IS NULL OR NOT isfinite(x::DOUBLE)]) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
       FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
