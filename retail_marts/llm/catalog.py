@@ -8,6 +8,7 @@ from retail_marts.llm.chat_events import OP10_SQL, op10_chat_events
 from retail_marts.llm.cnn_toxicity import op2_cnn_toxicity
 from retail_marts.llm.feistel_pii import op9_feistel_pii
 from retail_marts.llm.language_mixture import op3_language_mixture
+from retail_marts.llm.maxent_lm import op6_maxent_lm
 from retail_marts.llm.poisson_mix import OP4_SQL, op4_poisson_mix
 from retail_marts.llm.probminhash import op5_probminhash_neardup
 from retail_marts.llm.pu_quality import op8_pu_quality
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_language_mixture": op3_language_mixture,
     "op4_poisson_mix": op4_poisson_mix,
     "op5_probminhash_neardup": op5_probminhash_neardup,
+    "op6_maxent_lm": op6_maxent_lm,
     "op7_bm25_decontam": op7_bm25_decontam,
     "op8_pu_quality": op8_pu_quality,
     "op9_feistel_pii": op9_feistel_pii,
