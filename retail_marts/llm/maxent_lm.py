@@ -124,31 +124,56 @@ class Weights:
     @staticmethod
     def rows(features: list[np.ndarray], cls: np.ndarray | None = None) -> list[np.ndarray]:
         if cls is None:
-            return [(T.mix(f + np.uint64(11)) >> _SHIFT).astype(np.int64) for f in features]
-        own = (cls.astype(np.uint64) + np.uint64(1)) * _G
-        return [(T.mix(f + own) >> _SHIFT).astype(np.int64) for f in features]
+            return [(f * _G >> _SHIFT).astype(np.uint16) for f in features]  # the hashes are mixed already
+        own = T.mix(cls.astype(np.uint64) + np.uint64(1))
+        return [((f ^ own) * _G >> _SHIFT).astype(np.uint16) for f in features]
 
     @staticmethod
-    def log_softmax(start: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-        z = np.broadcast_to(start, (rows[0].size, weights.shape[1])).copy()
-        for r in rows:
-            z += weights[r]
+    def logits(start: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+        """Feature sums, the greatest of each token at zero."""
+        z = start + weights.take(rows[0], 0)
+        for r in rows[1:]:
+            z += weights.take(r, 0)
         z -= z.max(1, keepdims=True)
-        z -= np.log(np.exp(z).sum(1, keepdims=True))
         return z
 
+    @staticmethod
+    def log_probability(start: np.ndarray, weights: np.ndarray, rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
+        z = Weights.logits(start, weights, rows)
+        own = z[np.arange(target.size), target]
+        return own - np.log(np.exp(z, out=z).sum(1))
+
+
+def _sums(x: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that end at ``end``; runs of one row, the most, are only copied."""
+    out = x.take(end, 0)
+    size = np.diff(end, prepend=-1)
+    left = np.flatnonzero(size > 1)
+    back = 1
+    while left.size > 16:  # one more row of every run that still has one
+        out[left] += x.take(end[left] - back, 0)
+        back += 1
+        left = left[size[left] > back]
+    for k in left:
+        out[k] += x[end[k] - size[k] + 1:end[k] - back + 1].sum(0)
+    return out
+
 
 def _steps(weights: np.ndarray, acc: np.ndarray, seen: np.ndarray, start: np.ndarray, rows: list[np.ndarray], target: np.ndarray) -> None:
     """One gradient step on a batch: every feature's row moves towards the targets."""
-    g = -np.exp(Weights.log_softmax(start, weights, rows))
+    g = Weights.logits(start, weights, rows)
+    np.exp(g, out=g)
+    g *= -1 / g.sum(1, keepdims=True)
     g[np.arange(target.size), target] += 1
     for r in rows:
         order = np.argsort(r, kind="stable")
-        at = np.flatnonzero(np.diff(r[order], prepend=-1))
-        u, total = r[order][at], np.add.reduceat(g[order], at, axis=0)
-        acc[u] += (total * total).mean(1)
-        seen[u] += np.diff(np.append(at, r.size))
-        weights[u] += STEP * total / np.sqrt(acc[u])[:, None]
+        by = r[order]
+        end = np.append(np.flatnonzero(by[1:] != by[:-1]), by.size - 1)
+        u, total = by[end], _sums(g.take(order, 0), end)
+        acc[u] += np.einsum("ij,ij->i", total, total) / total.shape[1]
+        seen[u] += np.diff(end, prepend=-1)
+        total *= (STEP / np.sqrt(acc[u]))[:, None]
+        weights[u] += total
 
 
 def train_partition(v: Vocabulary, w: Weights):
@@ -237,11 +262,10 @@ def score_tokens(v: Vocabulary, w: Weights, h: np.ndarray, starts: np.ndarray) -
         s = slice(at, at + BATCH)
         f, n = [x[s] for x in features], number[s]
         cls = np.where(n >= 0, n // MEMBERS, CLASSES - 1)
-        out = Weights.log_softmax(w.cls_start, w.cls, Weights.rows(f))[np.arange(cls.size), cls].astype(np.float64)
+        out = Weights.log_probability(w.cls_start, w.cls, Weights.rows(f), cls).astype(np.float64)
         k = np.flatnonzero(n >= 0)
         if k.size:
-            lp = Weights.log_softmax(w.mem_start[cls[k]], w.mem, Weights.rows([x[k] for x in f], cls[k]))
-            out[k] += lp[np.arange(k.size), n[k] % MEMBERS]
+            out[k] += Weights.log_probability(w.mem_start[cls[k]], w.mem, Weights.rows([x[k] for x in f], cls[k]), n[k] % MEMBERS)
         model[s] = out / np.log(10)
     own = (c >= 0) & (number < 0)
     model[own] += v.rest(c[own])
