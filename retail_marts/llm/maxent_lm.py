@@ -15,8 +15,8 @@ is (c + 0.1) / (N' + 0.1 (V' + 1)) over that class's counts. Features, hashed to
 second and third last alone (skips). Weights start at the token frequencies.
 
 Training is by distributed gradient updates: in each of ``ROUNDS`` rounds the documents
-of that round (all learning documents are in one) update a copy of the weights per
-partition by row-wise Adagrad steps; the copies' changes are averaged row by row, each
+of that round (all learning documents are in one) update copies of the weights, one for about
+``COPY_TOKENS`` tokens, by row-wise Adagrad steps; the copies' changes are averaged row by row, each
 weighed by how many tokens touched the row there, by groups of ``FAN`` copies at a time.
 
 Scoring goes through whole documents in numpy batches with the ``FREQUENT`` most
@@ -47,6 +47,7 @@ ROW_BITS = 15                 # rows of each of the two weight tables
 FREQUENT = 1 << 17
 ROUNDS, FAN, BLOCKS = 2, 32, 64
 STEP, BATCH = 0.5, 8192
+COPY_TOKENS = 1 << 20         # tokens of a round that a copy of the weights is worth
 END = np.uint64(0xE0D0FE0DC0FFEE01)
 _G = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(64 - ROW_BITS)
@@ -238,8 +239,10 @@ def train(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> tuple[Voc
     w = Weights(v)
     src = docs.withColumn("round", F.pmod(F.xxhash64("doc_id", F.lit(41)), F.lit(rounds)))
     size = (1 << ROW_BITS) // BLOCKS
+    copies = max(-(-v.total // (rounds * COPY_TOKENS)), docs.sparkSession.sparkContext.defaultParallelism)
     for k in range(rounds if v.size else 0):
-        change = src.where(F.col("round") == k).select("text").mapInArrow(train_partition(v, w), "block int, seen binary, change binary")
+        # small partitions share a copy: changes grow with the tokens, not with the number of partitions
+        change = src.where(F.col("round") == k).select("text").coalesce(copies).mapInArrow(train_partition(v, w), "block int, seen binary, change binary")
         few = (change.withColumn("part", F.spark_partition_id() % FAN).groupBy("block", "part")
                .applyInPandas(lambda pdf: _average(pdf), "block int, seen binary, change binary"))
         whole = few.groupBy("block").applyInPandas(lambda pdf: _average(pdf), "block int, seen binary, change binary")
