@@ -73,7 +73,7 @@ def final_messages(events: DataFrame) -> DataFrame:
     # fold: the parts from the last edit or regeneration on, joined once
     last = F.array_max(F.transform("log", lambda x, i: F.when(x["kind"] != "delta", i).otherwise(0)))
     one = kept.groupBy("conv_id", "msg").agg(log.alias("log")).withColumn("last", last)
-    role = F.coalesce(F.element_at(F.filter(F.transform("log", lambda x: x["role"]), lambda r: r != ""), F.lit(-1)), F.lit(""))
+    role = F.coalesce(F.try_element_at(F.filter(F.transform("log", lambda x: x["role"]), lambda r: r != ""), F.lit(-1)), F.lit(""))
     return one.select("conv_id", "msg", role.alias("role"), F.array_join(F.transform(
         F.slice("log", F.col("last") + 1, F.size("log")), lambda x: x["text"]), "").alias("text"))
 
