@@ -163,7 +163,7 @@ def test_language_model_counts_and_gain(spark):
     have = sorted((x["n_tokens"], round(x["base_score"], 4)) for x in got)
     assert np.abs(np.array(have, float) - np.array(want, float)).max() < 1e-2
     own = [x for x in got if x["doc_id"] is not None and x["doc_id"] < 300]
-    assert sum(x["score"] for x in own) > 0.8 * sum(x["base_score"] for x in own)  # pairs are learned
+    assert sum(x["score"] for x in own) > 0.9 * sum(x["base_score"] for x in own)  # pairs are learned, from 36,000 tokens
     # the model's probabilities of all next tokens, one unknown among them, sum to one
     h, s = maxent_lm.tokens(pa.array(["a1 b1"]))
     every = np.append(v.hashes, np.uint64(12345))
