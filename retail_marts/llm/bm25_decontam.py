@@ -106,14 +106,16 @@ class Index:
         for k, e in enumerate(found):
             rest[k // BLOCK] = max(rest[k // BLOCK], float(e["w"][~self.opens[e["t"]]].sum()))
         self.need = threshold - rest
-        # maxima by (word, block), words in order
-        post = post[self.opens[post[:, 0].astype(int)]] if len(post) else post
-        key = post[:, 0].astype(np.int64) * max(self.blocks, 1) + post[:, 1].astype(np.int64)
-        uniq, inv = np.unique(key, return_inverse=True)
-        best = np.zeros(uniq.size)
-        np.maximum.at(best, inv, post[:, 2])
-        self.post_block, self.post_max = (uniq % max(self.blocks, 1)).astype(np.int64), best
-        self.post_at = np.searchsorted(uniq // max(self.blocks, 1), np.arange(self.vocab.size + 1))
+        # one posting per (word, block), words in order: the weights of the block's entries, and the largest of them
+        width = max(self.blocks, 1)
+        slot = np.concatenate([np.full(e["t"].size, k % BLOCK) for k, e in enumerate(found)]) if found else np.zeros(0, int)
+        uniq, inv = np.unique(post[:, 0].astype(np.int64) * width + post[:, 1].astype(np.int64), return_inverse=True)
+        self.post_weights = np.zeros((uniq.size, BLOCK))
+        self.post_weights[inv, slot] = post[:, 2]
+        self.post_block, self.post_max = uniq % width, self.post_weights.max(axis=1, initial=0.0)
+        self.post_at = np.searchsorted(uniq // width, np.arange(self.vocab.size + 1))
+        self.grams = {n: np.unique(np.concatenate(g)) for n in range(1, GRAM + 1)
+                      if (g := [e[side] for e in found for side in ("question", "answer") if self.gram_words(e, side) == n])}
         self.gate = np.zeros(1 << 16, bool)
         self.gate[(self.vocab >> np.uint64(48)).astype(int)] = True
 
@@ -127,54 +129,97 @@ class Index:
             out[maybe[hit]] = at[hit]
         return out
 
+    @staticmethod
+    def gram_words(e: dict, side: str) -> int:
+        """Words in a run of that side of an entry; fewer than five only if the side has fewer."""
+        return min(GRAM, (e["n"] + (side == "question")) // 2)
+
+    def postings(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of words ``t``: each posting's place in ``t`` and its number."""
+        many = self.post_at[t + 1] - self.post_at[t]
+        at = np.repeat(self.post_at[t] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum()))
+        return np.repeat(np.arange(t.size), many), at
+
     def search(self, words: T.Words) -> list[dict[int, tuple[float, float, float]]]:
         """Per document the verified entries: item -> (score, question, answer)."""
         found: list[dict[int, tuple[float, float, float]]] = [{} for _ in range(words.starts.size - 1)]
         if not self.vocab.size or not words.hash.size:
             return found
         term = self.lookup(words.hash)
-        # stripes of 32 words, numbered through all documents
-        count = np.diff(words.starts)
-        per = -(-count // STRIPE)
+        # stripes of 32 words, numbered through all documents; each known word once a stripe
+        per = -(-np.diff(words.starts) // STRIPE)
         first = np.concatenate([[0], np.cumsum(per)])
-        stripe = first[words.doc] + (np.arange(words.hash.size) - words.starts[words.doc]) // STRIPE
-        doc_of = np.repeat(np.arange(count.size), per)
+        doc_of = np.repeat(np.arange(per.size), per)
+        # windows start at every stripe but a document's last two, which the window before holds
+        start = np.arange(doc_of.size) - first[doc_of] <= np.maximum(per[doc_of] - WINDOW, 0)
+        known = np.flatnonzero(term >= 0)
+        stripe = first[words.doc[known]] + (known - words.starts[words.doc[known]]) // STRIPE
+        size = self.vocab.size
+        once = np.unique(stripe * size + term[known])
+        stripe, t = once // size, once % size
+        reached = None
         step = max(64, 2_000_000 // self.blocks)
-        for lo in range(0, int(first[-1]), step):  # stripes at a time; two more make the last windows whole
-            hi = min(lo + step + WINDOW - 1, int(first[-1]))
-            a, b = np.searchsorted(stripe, [lo, hi])
-            t = term[a:b]
-            ok = np.flatnonzero((t >= 0) & self.opens[t])
-            t, s = t[ok], stripe[a:b][ok] - lo
-            many = self.post_at[t + 1] - self.post_at[t]
-            at = np.repeat(self.post_at[t] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(int(many.sum()))
-            bound = np.bincount(np.repeat(s, many) * self.blocks + self.post_block[at], weights=self.post_max[at],
-                                minlength=(hi - lo) * self.blocks).reshape(hi - lo, self.blocks)
-            window = bound.copy()
-            d = doc_of[lo:hi]
-            for j in range(1, WINDOW):
-                window[:-j] += np.where((d[j:] == d[:-j])[:, None], bound[j:], 0)
-            for s0, blk in zip(*np.nonzero(window[:min(step, hi - lo)] >= self.need[None, :] - 1e-9)):
-                self._block(words, term, int(lo + s0), int(blk), int(d[s0]), first, found)
+        for lo in range(0, doc_of.size, step):  # windows that start in these stripes
+            hi = min(lo + step, doc_of.size)
+            a, b = np.searchsorted(stripe, [lo, hi + WINDOW - 1])
+            pairs = []
+            for j in range(WINDOW):
+                w = stripe[a:b] - j
+                ok = (w >= lo) & (w < hi)
+                ok[ok] = start[w[ok]] & (doc_of[w[ok]] == doc_of[stripe[a:b][ok]])
+                pairs.append((w[ok] - lo) * size + t[a:b][ok])
+            pair = np.unique(np.concatenate(pairs))
+            window, word = pair // size, pair % size  # each window's distinct words
+            # block bound, from the words that open blocks
+            opens = self.opens[word]
+            row, at = self.postings(word[opens])
+            cell = window[opens][row] * self.blocks + self.post_block[at]
+            bound = np.bincount(cell, weights=self.post_max[at], minlength=(hi - lo) * self.blocks).reshape(hi - lo, self.blocks)
+            goes_on = bound >= self.need[None, :] - 1e-9
+            # exact scores of the entries of the blocks that go on
+            some = goes_on.any(axis=1)[window]
+            row, at = self.postings(word[some])
+            cell = window[some][row] * self.blocks + self.post_block[at]
+            live = goes_on.ravel()[cell]
+            cells, number = np.unique(cell[live], return_inverse=True)
+            score = np.stack([np.bincount(number, weights=self.post_weights[at[live], k], minlength=cells.size) for k in range(BLOCK)], 1)
+            c, k = np.nonzero(score >= self.threshold - 1e-9)
+            if not c.size:
+                continue
+            # verification; passages in whose neighbourhood no entry's run of words occurs need none
+            if reached is None:
+                reached = self._reached(words)
+            s, e = cells[c] // self.blocks + lo, cells[c] % self.blocks * BLOCK + k
+            d = doc_of[s]
+            begin = words.starts[d] + (s - first[d]) * STRIPE
+            left = np.maximum(words.starts[d], begin - ENTRY)
+            right = np.minimum(words.starts[d + 1], np.minimum(begin + WINDOW * STRIPE, words.starts[d + 1]) + ENTRY)
+            near: dict[tuple[int, int], dict[int, np.ndarray]] = {}
+            for i in np.flatnonzero(reached[right] > reached[left]):
+                entry, span = self.entries[e[i]], (int(left[i]), int(right[i]))
+                if entry["item"] is None:
+                    continue
+                if span not in near:
+                    part = words.hash[span[0]:span[1]]
+                    near[span] = {n: T.shingles(part, np.array([0, part.size]), n)[0] for n in self.grams}
+                share = [float(np.isin(entry[side], near[span][self.gram_words(entry, side)]).mean()) if entry[side].size else 0.0
+                         for side in ("question", "answer")]
+                if max(share) >= ONE_PART or min(share) >= BOTH_PARTS:
+                    had = found[d[i]].get(entry["item"], (0.0, 0.0, 0.0))
+                    found[d[i]][entry["item"]] = max(had, (float(score[c[i], k[i]]), *share))
         return found
 
-    def _block(self, words, term, s, blk, doc, first, found) -> None:
-        """Exact scores of a block's entries for the window that starts at stripe ``s``, and their check."""
-        base = words.starts[doc]
-        a = base + (s - first[doc]) * STRIPE
-        b = min(a + WINDOW * STRIPE, words.starts[doc + 1])
-        here, grams = np.unique(term[a:b]), None
-        for e in self.entries[blk * BLOCK:(blk + 1) * BLOCK]:
-            score = float(e["w"][np.isin(e["t"], here, assume_unique=True)].sum())
-            if score < self.threshold - 1e-9 or e["item"] is None:
-                continue
-            if grams is None:
-                near = words.hash[max(base, a - ENTRY):min(words.starts[doc + 1], b + ENTRY)]
-                grams = {n: T.shingles(near, np.array([0, near.size]), n)[0] for n in range(1, GRAM + 1)}
-            part = [float(np.isin(g, grams[n]).mean()) if g.size else 0.0
-                    for g, n in ((e["question"], min(GRAM, (e["n"] + 1) // 2)), (e["answer"], min(GRAM, e["n"] // 2)))]
-            if max(part) >= ONE_PART or min(part) >= BOTH_PARTS:
-                found[doc][e["item"]] = max(found[doc].get(e["item"], (0.0, 0.0, 0.0)), (score, *part))
+    def _reached(self, words: T.Words) -> np.ndarray:
+        """Running count of the words at which a run begins that some entry holds too."""
+        hit = np.zeros(words.hash.size + 1, np.int64)
+        count = np.diff(words.starts)
+        for n, grams in self.grams.items():
+            h, d = T.shingles(words.hash, words.starts, n)
+            runs = np.maximum(count - n + 1, np.minimum(count, 1))  # a shorter document counts as one
+            at = words.starts[d] + np.arange(h.size) - (np.cumsum(runs) - runs)[d]
+            place = np.minimum(np.searchsorted(grams, h), grams.size - 1)
+            hit[at[grams[place] == h] + 1] = 1
+        return np.cumsum(hit)
 
 
 def build(items: DataFrame, question: str = "text", answer: str | None = None, item_id: str = "item_id") -> list[Index]:
@@ -207,21 +252,27 @@ def build(items: DataFrame, question: str = "text", answer: str | None = None, i
     return out
 
 
-def find_leaks(docs: DataFrame, index: list[Index], out: str, text: str = "text") -> DataFrame:
-    """The columns of ``docs`` and ``out``: its verified items, by id, as an array of structs."""
+def find_leaks(docs: DataFrame, index: list[Index], out: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns of ``docs`` (or those of ``keep``) and ``out``: its verified items, by id, as an array of structs."""
     df = docs.withColumn(out, F.lit(None).cast(HITS))
-    schema = S.StructType([*docs.schema.fields, S.StructField(out, df.schema[out].dataType)])
+    keep = docs.columns if keep is None else keep
+    if not index:
+        return df.select(*keep, out)
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())]))
     scratch = Scratch(docs.sparkSession, "leaks")
-    for shard in index:
-        def run(batches: Iterator[pa.RecordBatch], shard: Index = shard) -> Iterator[pa.RecordBatch]:
+    for n, shard in enumerate(index):
+        # the last pass is the last to need the text
+        names = keep if n + 1 == len(index) else docs.columns
+        schema = S.StructType([*(docs.schema[c] for c in names), S.StructField(out, df.schema[out].dataType)])
+
+        def run(batches: Iterator[pa.RecordBatch], shard: Index = shard, names: list[str] = names) -> Iterator[pa.RecordBatch]:
             for whole in batches:
                 for b in T.chunks(whole, text):
                     hits = [{x["item_id"]: x for x in had or ()} for had in b.column(out).to_pylist()]
                     for own, new in zip(hits, shard.search(T.Words(b.column(text), T.ALNUM))):
                         own.update({i: dict(zip(("item_id", "score", "question", "answer"), (i, *v))) for i, v in new.items()})
                     lists = pa.array([[h[i] for i in sorted(h)] for h in hits], kind)
-                    yield pa.RecordBatch.from_arrays([*b.columns[:-1], lists], names=b.schema.names)
+                    yield pa.RecordBatch.from_arrays([*map(b.column, names), lists], names=[*names, out])
 
         df = df.mapInArrow(run, schema)
         if len(index) > 1:
@@ -238,7 +289,7 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
 def op7_bm25_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, contaminated, n_items, items, best score and overlaps."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    df = find_leaks(docs, build(table(spark, sf_dir, "benchmark")), "hits").withColumn("hits", F.coalesce("hits", F.array()))
+    df = find_leaks(docs, build(table(spark, sf_dir, "benchmark")), "hits", keep=["doc_id"]).withColumn("hits", F.coalesce("hits", F.array()))
     return df.select("doc_id", (F.size("hits") > 0).cast("int").alias("contaminated"), F.size("hits").alias("n_items"),
                      F.col("hits.item_id").alias("items"), F.array_max("hits.score").alias("score"),
                      F.array_max("hits.question").alias("question_overlap"), F.array_max("hits.answer").alias("answer_overlap"))
