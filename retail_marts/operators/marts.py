@@ -38,12 +38,12 @@ def sales_kpis(sales: DataFrame, by: list[str]) -> DataFrame:
 def fill_months(monthly: DataFrame, measures: dict[str, Column], col: str = "month") -> DataFrame:
     """Add a row for every month missing between the first and the last
     month of ``monthly`` (one row per month), with the ``measures``' zero
-    values. Works on the monthly rows alone (``lead`` + ``sequence``), so the
+    values; the row of a null month stays. Works on the monthly rows alone (``lead`` + ``sequence``), so the
     fact under them is not read twice."""
     withnext = monthly.withColumn("_next", F.lead(col).over(Window.orderBy(col)))
     upto = F.coalesce(F.add_months(F.col("_next"), -1), F.col(col))
-    g = withnext.withColumn("_m", F.explode(F.sequence(F.col(col), upto, F.expr("INTERVAL 1 MONTH"))))
-    same = F.col("_m") == F.col(col)
+    g = withnext.withColumn("_m", F.explode_outer(F.sequence(F.col(col), upto, F.expr("INTERVAL 1 MONTH"))))
+    same = F.col("_m").eqNullSafe(F.col(col))
     return g.select(F.col("_m").alias(col),
                     *[F.when(same, F.col(name)).otherwise(zero).alias(name) for name, zero in measures.items()])
 
@@ -61,7 +61,7 @@ def sales_by_month(sales: DataFrame) -> DataFrame:
                      F.countDistinct("order_id").alias("orders")))
     m = fill_months(agg, {"net_revenue": F.lit(0).cast(MONEY), "orders": F.lit(0).cast("bigint")})
     w = Window.orderBy("month")
-    prev = F.lag("net_revenue").over(w)
+    prev = F.when(F.lag("month").over(w).isNotNull(), F.lag("net_revenue").over(w))  # undated rows are no month
     return (m.withColumn("prev_net_revenue", prev)
              .withColumn("mom_change", ratio(F.col("net_revenue") - F.col("prev_net_revenue"),
                                              F.col("prev_net_revenue"))))

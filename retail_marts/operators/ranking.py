@@ -2,119 +2,54 @@
 
 ``row_number()`` / ``ntile()`` / a running ``sum`` over a window with no
 ``partitionBy`` moves every row into a single task. ``running_total``
-computes the same numbers in parallel:
-
-1. a bounded sample of the ordering tuples gives splitters (the sample size
-   depends on the number of buckets, not on the data);
-2. every row gets the number of its bucket by a binary search over a
-   literal array of splitter tuples (compared as structs), so even one value that holds a
-   third of the rows is spread over many buckets by the tie-breaking columns;
-3. per-bucket totals (one row per bucket) give each bucket's offset;
-4. a window partitioned by bucket finishes the running total inside each
-   bucket, and the offset is added.
-
-The splitters only balance the work: any splitters give the exact result.
-Ordering columns must be non-null and should identify a row (add a key as
-the last column) so that the order is total.
+computes the same numbers in parallel, by one algorithm at every size:
+
+1. ``repartitionByRange`` on the whole ordering tuple, so that even one value
+   that holds a third of the rows is spread by the tie-breaking columns; the
+   partition's number is stored with the row and the result is checkpointed;
+2. partition totals (one row per partition) give each partition's offset;
+3. a window partitioned by that number finishes the running total inside each
+   partition, and the offset is added.
+
+The ranges only balance the work: any ranges give the exact result. Ordering
+columns may be null (nulls first, as in a window) and should identify a row
+(add a key as the last column) so that the order is total.
 """
 
 from __future__ import annotations
 
-import datetime
-import decimal
-import json
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _json_value(v):
-    if isinstance(v, decimal.Decimal):
-        return str(v)
-    if isinstance(v, (datetime.date, datetime.datetime)):
-        return v.isoformat()
-    return v
-
-
-def _literal_array(values: list, element_type: str) -> Column:
-    """One array literal from Python values: a JSON string parsed by
-    ``from_json`` (constant-folded once), instead of one Column per value."""
-    return F.from_json(F.lit(json.dumps(values)), f"array<{element_type}>")
-
-
-def _with_bucket(df: DataFrame, order: list[str], splitters: list[tuple], out: str = "_b") -> DataFrame:
-    """Add ``out`` = number of splitters <= (order...), by binary search.
-
-    The splitters are one literal array of structs; each search step is one
-    struct comparison, so a thousand splitters cost ten steps and the
-    generated code stays small. Splitters only balance the buckets, so their
-    JSON round trip cannot change a result.
-    """
-    if not splitters:
-        return df.withColumn(out, F.lit(0))
-    fields = [f"c{i}" for i in range(len(order))]
-    stype = "struct<" + ",".join(f"{f}:{df.schema[c].dataType.simpleString()}"
-                                 for f, c in zip(fields, order)) + ">"
-    spl = _literal_array([{f: _json_value(v) for f, v in zip(fields, tup)} for tup in splitters], stype)
-    key = F.struct(*[F.col(c).alias(f) for f, c in zip(fields, order)])
-    n = len(splitters)
-    steps = []
-    step = 1 << (n.bit_length() - 1)
-    while step >= 1:
-        steps.append(step)
-        step >>= 1
-    d = df.withColumn(out, F.lit(0))
-    for step in steps:
-        cand = F.col(out) + step
-        probe = F.element_at(spl, F.least(cand, F.lit(n)))
-        d = d.withColumn(out, F.when((cand <= n) & (probe <= key), cand).otherwise(F.col(out)))
-    return d
+MIN_BUCKETS = 8
 
 
 def running_total(df: DataFrame, order: list[str], value: str | Column | None = None,
-                  out: str = "_cum", rows_per_bucket: int = 1_000_000, max_buckets: int = 1024,
-                  sample_per_bucket: int = 32, seed: int = 7,
-                  checkpoint: bool = True) -> tuple[DataFrame, int]:
+                  out: str = "_cum", rows_per_bucket: int = 1_000_000) -> tuple[DataFrame, int]:
     """Add ``out`` = inclusive running sum of ``value`` (default 1, i.e. the
-    row number) in ``order`` (ascending). Returns (frame, row count).
-
-    A count decides the number of buckets. Up to ``rows_per_bucket`` rows
-    one ordered window does the job. Beyond that the input is checkpointed
-    (``spark.checkpoint.dir``), so the passes below read one fixed snapshot
-    and do not recompute the upstream plan; two small jobs follow (sample,
-    bucket totals) whose results are bounded by the number of buckets (at
-    most ``max_buckets``: beyond that the buckets grow instead, and their
-    window sorts spill), then one distributed window.
+    row number; a null value counts as 0) in ``order`` (ascending), in the type
+    that ``sum`` of the value has. Returns (frame, row count).
+
+    A count decides the number of ranges: one per ``rows_per_bucket`` rows, at
+    least ``MIN_BUCKETS``, without an upper limit.
     """
     n = df.count()
     val = F.lit(1).cast("bigint") if value is None else (F.col(value) if isinstance(value, str) else value)
-    buckets = min(max_buckets, max(1, math.ceil(n / max(1, rows_per_bucket))))
-    if buckets == 1:
-        # small input (at most rows_per_bucket rows): one ordered window
-        w1 = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(out, F.sum(val).over(w1)), n
-    if checkpoint:
-        df = df.checkpoint(eager=True)
-    d = df.withColumn("_v", val)
-    splitters: list[tuple] = []
-    if buckets > 1:
-        frac = min(1.0, buckets * sample_per_bucket / n)
-        sample = d.select(*order).sample(False, frac, seed).collect()
-        keys = sorted({tuple(r) for r in sample})
-        if keys:
-            step = len(keys) / buckets
-            splitters = sorted({keys[min(len(keys) - 1, int(round(step * i)))] for i in range(1, buckets)})
-    d = _with_bucket(d, order, splitters, "_b")
-    totals = {r["_b"]: r["t"] for r in d.groupBy("_b").agg(F.sum("_v").alias("t")).collect()}
-    offsets, acc = [], 0
-    for b in range(len(splitters) + 1):
-        offsets.append(acc)
-        acc += totals.get(b) or 0
-    off = F.element_at(_literal_array(offsets, "bigint"), F.col("_b") + 1)
+    kind = df.select(F.sum(val).alias("t")).schema["t"].dataType
+    buckets = max(MIN_BUCKETS, math.ceil(n / max(1, rows_per_bucket)))
+    d = (df.withColumn("_v", F.coalesce(val.cast(kind), F.lit(0).cast(kind)))
+           .repartitionByRange(buckets, *order).withColumn("_b", F.spark_partition_id()).checkpoint(eager=True))
+    # one row per range; the checkpoint keeps its small window out of the plan of the rows
+    totals = d.groupBy("_b").agg(F.sum("_v").alias("_t"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_b", F.coalesce(F.sum("_t").over(before).cast(kind), F.lit(0).cast(kind)).alias("_off")) \
+                    .checkpoint(eager=True)
     w = Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    res = d.withColumn(out, off + F.sum("_v").over(w)).drop("_v", "_b")
-    return res, n
+    res = d.join(offsets, "_b").withColumn(out, (F.col("_off") + F.sum("_v").over(w)).cast(kind))
+    return res.select(*df.columns, out) if out not in df.columns else res.select(*df.columns), n
 
 
 def global_row_number(df: DataFrame, order: list[str], out: str = "_rank", **kw) -> tuple[DataFrame, int]:
@@ -155,7 +90,6 @@ def exact_percentiles(df: DataFrame, by: list[str], value: str, ps: list[float],
     at the two neighbouring indices. No group is gathered into one task, and
     the interpolation is exact decimal arithmetic.
     """
-    from decimal import Decimal
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     cum, _ = running_total(counts, [*by, value], "_c", "_cum", **kw)
     # per-group start and size, as aggregates joined back on the group keys
@@ -165,9 +99,8 @@ def exact_percentiles(df: DataFrame, by: list[str], value: str, ps: list[float],
         rows = cum.join(groups, null_safe_on(by, [f"_g_{b}" for b in by]), "inner") \
                   .drop(*[f"_g_{b}" for b in by])
     else:
-        groups = cum.agg(F.lit(0).cast("bigint").alias("_start"), F.sum("_c").alias("_n"))
-        rows = cum.withColumn("_start", F.lit(0).cast("bigint")).withColumn(
-            "_n", F.sum("_c").over(Window.partitionBy()))
+        total = counts.agg(F.sum("_c")).first()[0]  # one number
+        rows = cum.withColumn("_start", F.lit(0).cast("bigint")).withColumn("_n", F.lit(total).cast("bigint"))
     hi_excl = F.col("_cum") - F.col("_start")          # index after this value's last row
     lo_incl = hi_excl - F.col("_c")                    # index of this value's first row
     aggs = []

@@ -244,4 +244,5 @@ def score_batch(model: PipelineModel, df: DataFrame, key: str, path: str | None
                                     F.lit(version).alias("model_version"))
     if path:
         out.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.schema(out.schema).parquet(path)  # not scored again
     return out

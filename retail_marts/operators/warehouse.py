@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retail_marts.operators.etl import latest_per_key
 from retail_marts.functions.columns import (
     MONEY, RATE, UNKNOWN_KEY, date_key, dim_key, month_key, month_start, to_day,
 )
@@ -77,9 +78,16 @@ def _with_unknown(dim: DataFrame, key: str) -> DataFrame:
     return dim.unionByName(row)
 
 
+def _one_per_key(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The rows of a dimension's source, of a key listed more than once the largest (E3's rule for ties);
+    a null key is no member, the unknown one stands for it."""
+    return latest_per_key(df.where(F.col(key).isNotNull()).select(key, *columns), [key], [])
+
+
 def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """One row per customer, geography folded in."""
     geo = _geography(nation, region)
+    customer = _one_per_key(customer, "c_custkey", ["c_name", "c_nationkey", "c_mktsegment", "c_acctbal"])
     d = (customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey, "left")
          .select(dim_key("c_custkey").alias("customer_key"),
                  F.col("c_custkey").alias("customer_id"),
@@ -92,6 +100,7 @@ def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> D
 
 def dim_product(part: DataFrame) -> DataFrame:
     """One row per part."""
+    part = _one_per_key(part, "p_partkey", ["p_name", "p_brand", "p_type", "p_size", "p_retailprice"])
     d = part.select(dim_key("p_partkey").alias("product_key"),
                     F.col("p_partkey").alias("product_id"),
                     F.col("p_name").alias("product_name"),
@@ -105,6 +114,7 @@ def dim_product(part: DataFrame) -> DataFrame:
 def dim_seller(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """One row per supplier, geography folded in."""
     geo = _geography(nation, region)
+    supplier = _one_per_key(supplier, "s_suppkey", ["s_name", "s_nationkey", "s_acctbal"])
     d = (supplier.join(F.broadcast(geo), supplier.s_nationkey == geo.n_nationkey, "left")
          .select(dim_key("s_suppkey").alias("seller_key"),
                  F.col("s_suppkey").alias("seller_id"),
@@ -270,10 +280,16 @@ def fact_ratings(ratings: DataFrame, satisfied_from: int = 1) -> DataFrame:
 def drill_across(parts: list[tuple[DataFrame, list[Column]]], keys: list[str]) -> DataFrame:
     """Aggregate every fact to the shared ``keys`` first, then full
     outer join the small results on those keys. A process with no rows for a
-    key shows nulls. Joining facts row to row would multiply measures.
+    key shows nulls; a null key is one key. Joining facts row to row would multiply measures.
 
     Each aggregate leaves its output hash-partitioned on ``keys``; the full
     outer joins reuse that partitioning.
     """
-    aggs = [df.groupBy(*keys).agg(*measures) for df, measures in parts]
-    return reduce(lambda a, b: a.join(b, on=keys, how="full_outer"), aggs)
+    def both(a: DataFrame, b: DataFrame) -> DataFrame:
+        right = b.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in b.columns if c not in keys])
+        on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+        j = a.join(right, on, "full_outer")
+        return j.select(*[F.coalesce(k, f"_r_{k}").alias(k) for k in keys],
+                        *[c for c in j.columns if c not in keys and c not in {f"_r_{k}" for k in keys}])
+
+    return reduce(both, [df.groupBy(*keys).agg(*measures) for df, measures in parts])

@@ -8,6 +8,7 @@ writes the warehouse (E1 -> E2 -> E4 -> W -> E6 -> E5) to a target folder.
 from __future__ import annotations
 
 import os
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from retail_marts.functions.columns import MONEY
 from retail_marts.operators import etl, warehouse as W
 from retail_marts.plans import standins
-from retail_marts.sources import read_table, write_fact, write_table
+from retail_marts.sources import read_table, remove_table, write_fact, write_table
 
 
 class Warehouse:
@@ -106,11 +107,12 @@ def load(spark: SparkSession, src: str, dst: str) -> DataFrame:
     parents = [etl.Parent("part", wh.table("part"), {"l_partkey": "p_partkey"}),
                etl.Parent("supplier", wh.table("supplier"), {"l_suppkey": "s_suppkey"})]
     rules = line_rules()
-    first = {"missing orders": F.col("l_orderkey").isNull() | F.col("o_orderkey").isNotNull()}
+    # a line without an order has no date and no customer: a null order key is a reject too
+    first = {"missing orders": F.col("o_orderkey").isNotNull()}
     flagged = etl.flag_rejects(li_o, rules, parents, first).withColumn(
         "outcome", F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected"))
-    checked = os.path.join(dst, "_checked_lineitem")
-    flagged.write.mode("overwrite").partitionBy("outcome").parquet(checked)
+    checked = os.path.join(dst, f"_checked_lineitem-{uuid.uuid4().hex[:12]}")  # this run's own; removed below
+    flagged.write.partitionBy("outcome").parquet(checked)
     checked_df = spark.read.schema(flagged.schema).parquet(checked)
     ok = checked_df.filter(F.col("outcome") == "accepted").drop("outcome", "reject_reason")
     bad = checked_df.filter(F.col("outcome") == "rejected").drop("outcome").select(*li.columns, "reject_reason")
@@ -120,12 +122,18 @@ def load(spark: SparkSession, src: str, dst: str) -> DataFrame:
     # customer was looked up on the order side ('-1' when unknown).
     sales = W.sales_measures(ok)
     write_fact(sales, os.path.join(dst, "fact_sales"), "month_key")
-    pay = W.fact_payments(standins.payments_source(wh.table("events")), wh.dim_customer)
+    pay = W.fact_payments(standins.payments_source(wh.table("events"), ["purchase"]), wh.dim_customer)
     write_fact(pay, os.path.join(dst, "fact_payments"), "month_key")
     write_table(wh.ratings, os.path.join(dst, "fact_ratings"))
 
-    loaded = spark.read.parquet(os.path.join(dst, "fact_sales"))
-    return etl.reconcile([("lineitem", {"source": li.withColumn("m", F.col("l_extendedprice").cast(MONEY)),
+    # only the months of this load: the fact may hold others from earlier ones
+    months = sales.select(F.col("month_key").alias("_m")).distinct()
+    fact = spark.read.parquet(os.path.join(dst, "fact_sales"))
+    loaded = fact.join(months, fact.month_key.eqNullSafe(months["_m"]), "left_semi")
+    result = etl.reconcile([("lineitem", {"source": li.withColumn("m", F.col("l_extendedprice").cast(MONEY)),
                                         "accepted": ok.withColumn("m", F.col("l_extendedprice").cast(MONEY)),
                                         "rejected": bad.withColumn("m", F.col("l_extendedprice").cast(MONEY)),
                                         "loaded": loaded.withColumn("m", F.col("gross_amount"))}, "m")])
+    write_table(result, os.path.join(dst, "reconciliation"))
+    remove_table(spark, checked)
+    return spark.read.parquet(os.path.join(dst, "reconciliation"))

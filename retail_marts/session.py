@@ -1,8 +1,7 @@
 """Session helper.
 
-Sets only what the operators rely on (AQE, dynamic partition overwrite) and
-never overrides a value the cluster already set, except the partition
-overwrite mode that a correct fact reload needs. No operator depends on the
+Sets only what the operators rely on (AQE) and never overrides a value the
+cluster already set; a fact's writer names its own overwrite mode. No operator depends on the
 session time zone: every timestamp in the model is ``timestamp_ntz``.
 """
 
@@ -22,10 +21,6 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
 }
-# Needed for correct results whatever the cluster says: a fact reload must
-# replace only the months it holds.
-_PINNED = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
-
 
 def get_spark(master: str | None = None, app: str = "retail_marts", **conf: str) -> SparkSession:
     """Return the active session, or create one (tests, bench) with ``master``,
@@ -36,7 +31,7 @@ def get_spark(master: str | None = None, app: str = "retail_marts", **conf: str)
         builder = SparkSession.builder.appName(app)
         if master:
             builder = builder.master(master)
-        for k, v in {**_DEFAULTS, **_PINNED, **conf}.items():
+        for k, v in {**_DEFAULTS, **conf}.items():
             builder = builder.config(k, v)
         spark = builder.getOrCreate()
     else:
@@ -47,8 +42,6 @@ def get_spark(master: str | None = None, app: str = "retail_marts", **conf: str)
                     spark.conf.set(k, v)
                 except Exception:  # a static setting of a running session
                     pass
-    for k, v in _PINNED.items():
-        spark.conf.set(k, v)
     checkpoint_dir(spark)
     return spark
 

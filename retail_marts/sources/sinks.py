@@ -16,10 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 def write_fact(df: DataFrame, path: str, by: str | list[str] = "month_key") -> None:
     """Write ``df`` under ``path`` partitioned by ``by``; replaces only the months it holds."""
     cols = [by] if isinstance(by, str) else list(by)
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     (df.hint("rebalance", *cols)
-       .write.mode("overwrite").partitionBy(*cols).parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path))
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -27,5 +25,8 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def read_written(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a staging table that a job made, in whatever store it lies."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)
