@@ -1,9 +1,15 @@
 """PII: validated numbers, dates and mail addresses replaced by format-preserving Feistel pseudonyms.
 
-Native: one regular expression finds candidates, each is validated, and a keyed
-Feistel network permutes its symbols inside its own format. All of it is SQL
-functions over arrays of symbols; no Python runs on the executors. The same key
-gives equal values equal pseudonyms in every document, so links survive.
+Native: one regular expression finds every place where a candidate can start, also
+inside another one. From left to right the admissible prefixes there are validated, the
+longest first, what is left is searched again as text, and a keyed Feistel network permutes
+the value's symbols inside its own format. All of it is SQL functions over arrays of symbols;
+no Python runs on the executors. The same key gives equal values equal pseudonyms in every
+document, so links survive.
+
+A prefix ends where a whole group does. An IBAN is tried at its country's length first, a
+phone number after +1 or +7 at 11 digits. Other phone numbers have no length of their own: a
+group of digits after one is taken with it as far as 15 digits.
 
 | kind | validated by | permuted | kept |
 | --- | --- | --- | --- |
@@ -45,7 +51,20 @@ PHONE = (r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
 CARD = r"\d(?:[ -]?\d){12,18}"
 SSN = r"\d{3}-\d{2}-\d{4}"
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
-CANDIDATE = rf"{MAIL}|(?<![A-Za-z0-9]|\d\.)(?:{DATE}|{IPV4}|{PHONE}|{CARD}|{SSN}|{IBAN})(?![A-Za-z0-9]|[.-]\d)"
+END = r"(?![A-Za-z0-9]|[.-]\d)"
+#: Where a candidate starts; no character is consumed, so starts inside a candidate are found too.
+START = rf"(?={MAIL}|(?<![A-Za-z0-9]|\d\.)(?:{DATE}|{IPV4}|{PHONE}|{CARD}|{SSN}|{IBAN}){END})"
+#: White space that no candidate holds, before a word with a digit or @: candidates hold single blanks between [A-Z0-9)] and [A-Z0-9(].
+BREAK = r"(?=[\t\n\x0B\f\r][^\s0-9@]*+[0-9@])|(?=(?:(?<![A-Z0-9)]) | (?![A-Z0-9(]))[^\s0-9@]*+[0-9@])"
+#: No candidate is longer (a mail address: 64 + 1 + 8 * 64 + 24), one more character shows its end.
+REACH = 640
+#: Length of an IBAN by country; others are tried at every length.
+IBAN_LENGTH = {land: n for n, lands in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for land in lands.split()}
+FOUND = "struct<size:int,new:string>"
 
 
 def _let(value: Column, use) -> Column:
@@ -121,7 +140,7 @@ def _card(m: Column, key: str) -> Column:
         body = permute(F.substring(d, F.lit(1), F.length(d) - 1), "card", key)
         return _let(body, lambda p: fill(m, F.concat(p, F.pmod(10 - luhn_sum(F.concat(p, F.lit("0"))) % 10, F.lit(10)).cast("string"))))
 
-    return _let(_bare(m), lambda d: F.when(luhn_sum(d) % 10 == 0, new(d)).otherwise(m))
+    return _let(_bare(m), lambda d: F.when(luhn_sum(d) % 10 == 0, new(d)))
 
 
 def _iban(m: Column, key: str) -> Column:
@@ -131,25 +150,25 @@ def _iban(m: Column, key: str) -> Column:
             land, F.lpad((98 - mod97(F.concat(p, land, F.lit("00")))).cast("string"), 2, "0"), p)))
 
     ok = lambda b: mod97(F.concat(F.substring(b, F.lit(5), F.length(b) - 4), F.substring(b, 1, 4))) == 1
-    return _let(_bare(m), lambda b: F.when(ok(b), new(b)).otherwise(m))
+    return _let(_bare(m), lambda b: F.when(ok(b), new(b)))
 
 
 def _phone(m: Column, key: str) -> Column:
     code = F.regexp_extract(m, r"^\+(?:\d{1,3}(?=[ .(-])|\d{2})", 0)
     rest = F.substring(m, F.length(code) + 1, F.length(m))
     n = F.length(_bare(m))
-    return F.when((n >= 10) & (n <= 15), F.concat(code, _let(rest, lambda r: fill(r, permute(_bare(r), "phone", key))))).otherwise(m)
+    return F.when((n >= 10) & (n <= 15), F.concat(code, _let(rest, lambda r: fill(r, permute(_bare(r), "phone", key)))))
 
 
 def _ssn(m: Column, key: str) -> Column:
     void = m.rlike(r"^(000|666|9..)|^...-00|-0000$")
-    return F.when(void, m).otherwise(fill(m, permute(_bare(m), "ssn", key)))
+    return F.when(~void, fill(m, permute(_bare(m), "ssn", key)))
 
 
 def _ipv4(m: Column, key: str) -> Column:
     parts = F.transform(F.split(m, r"\."), lambda x: x.cast("int"))
     new = F.array_join(feistel(parts, F.array_repeat(F.lit(256), 4), "ipv4", key).cast("array<string>"), ".")
-    return F.when(F.forall(parts, lambda x: x < 256), new).otherwise(m)
+    return F.when(F.forall(parts, lambda x: x < 256), new)
 
 
 def _date(m: Column, key: str) -> Column:
@@ -174,35 +193,73 @@ def _date(m: Column, key: str) -> Column:
     dmy = lambda t: F.concat(two(F.day(t)), mark, two(F.month(t)), mark, F.year(t).cast("string"))
     mdy = lambda t: F.concat(two(F.month(t)), mark, two(F.day(t)), mark, F.year(t).cast("string"))
     a, b, c = part
-    return (F.when(a > 31, F.when(valid(a, b, c), new(a, b, c, ymd)).otherwise(m))
-            .when(valid(c, b, a), new(c, b, a, dmy)).when((mark == "/") & valid(c, a, b), new(c, a, b, mdy)).otherwise(m))
+    return (F.when(a > 31, F.when(valid(a, b, c), new(a, b, c, ymd)))
+            .when(valid(c, b, a), new(c, b, a, dmy)).when((mark == "/") & valid(c, a, b), new(c, a, b, mdy)))
 
 
 def _mail(m: Column, key: str) -> Column:
     local = F.substring_index(m, "@", 1)
     return F.when(local.rlike("[A-Za-z0-9]"), F.concat(
-        _let(local, lambda x: fill(x, permute(_bare(x), "mail", key))), F.substring(m, F.length(local) + 1, F.length(m)))).otherwise(m)
+        _let(local, lambda x: fill(x, permute(_bare(x), "mail", key))), F.substring(m, F.length(local) + 1, F.length(m))))
+
+
+def _valid(m: Column, new) -> Column:
+    """Length and pseudonym of ``m``, null where it is empty or fails validation."""
+    return _let(m, lambda m: _let(F.when(m != "", new(m)), lambda q: F.when(q.isNotNull(), F.struct(
+        F.length(m).cast("int").alias("size"), q.alias("new")))))
+
+
+def _longest(w: Column, kind: str, first: str, more: str, sizes: Column, new) -> Column:
+    """The first of ``sizes`` (letters and digits) at which the start of ``w`` is of the kind and valid."""
+    def prefix(n: Column) -> Column:
+        form = F.concat(F.lit(f"^{first}(?:{more}){{"), (n - 1).cast("string"), F.lit("}" + END))
+        m = F.call_function("regexp_extract", w, form, F.lit(0))
+        return _let(m, lambda m: F.when(m.rlike(f"^(?:{kind})$"), m).otherwise(""))
+
+    return F.aggregate(sizes, F.lit(None).cast(FOUND), lambda had, n: F.coalesce(had, _valid(prefix(n), new)))
+
+
+def pseudonym(w: Column, key: str) -> Column:
+    """Length and pseudonym of the value at the start of ``w``, null where there is none."""
+    one = lambda p, new: _valid(F.regexp_extract(w, f"^(?:{p}){END}", 0), lambda m: new(m, key))
+    down = lambda own, top, least: F.concat(F.array(F.coalesce(own, F.lit(top))), F.sequence(F.lit(top), F.lit(least), F.lit(-1)))
+    land = F.create_map(*(F.lit(x) for pair in IBAN_LENGTH.items() for x in pair))
+    return F.coalesce(
+        _valid(F.regexp_extract(w, f"^{MAIL}", 0), lambda m: _mail(m, key)), one(DATE, _date), one(IPV4, _ipv4),
+        F.when(w.rlike(f"^(?:{PHONE})"), _longest(w, PHONE, r"[+(]?\d", r"[ .()-]{0,2}\d", down(F.when(w.rlike(r"^\+[17]"), 11), 15, 10), lambda m: _phone(m, key))),
+        one(SSN, _ssn),
+        F.when(w.rlike(f"^{CARD}"), _longest(w, CARD, r"\d", r"[ -]?\d", F.sequence(F.lit(19), F.lit(13), F.lit(-1)), lambda m: _card(m, key))),
+        F.when(w.rlike(f"^{IBAN}"), _longest(w, IBAN, "[A-Z]", " ?[A-Z0-9]", down(F.element_at(land, F.substring(w, 1, 2)), 35, 12), lambda m: _iban(m, key))))
+
 
+def _scan(run: Column, key: str) -> Column:
+    """Text of ``run`` with pseudonyms, and the number of values replaced. ``run`` starts with white space."""
+    def step(s: Column, part: Column) -> Column:
+        ahead = F.substring(run, s["at"] + 1, F.lit(REACH))
+        hit = F.when((s["at"] > 0) & (s["at"] >= s["upto"]), _let(ahead, lambda w: pseudonym(w, key)))
+        rest = lambda n: F.substring(part, F.greatest(n, F.lit(0)) + 1, F.length(part))
+        return _let(hit, lambda h: F.struct(
+            (s["at"] + F.length(part)).cast("int").alias("at"), F.coalesce(s["at"] + h["size"], s["upto"]).cast("int").alias("upto"),
+            F.concat(s["text"], F.coalesce(h["new"], F.lit("")), rest(F.coalesce(h["size"], s["upto"] - s["at"]))).alias("text"),
+            (s["n"] + F.coalesce((h["new"] != F.substring(run, s["at"] + 1, h["size"])).cast("int"), F.lit(0))).cast("int").alias("n")))
 
-def pseudonym(m: Column, key: str) -> Column:
-    """The pseudonym of one candidate, or the candidate where it fails validation."""
-    whole = lambda p: m.rlike(f"^(?:{p})$")
-    return (F.when(m.contains("@"), _mail(m, key)).when(whole(DATE), _date(m, key)).when(whole(IPV4), _ipv4(m, key))
-            .when(whole(PHONE), _phone(m, key)).when(whole(SSN), _ssn(m, key)).when(whole(CARD), _card(m, key)).otherwise(_iban(m, key)))
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("upto"), F.lit("").alias("text"), F.lit(0).alias("n"))
+    return F.aggregate(F.split(run, START, -1), zero, step, lambda s: F.struct(s["text"].alias("text"), s["n"].alias("n")))
 
 
 def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text: str = "text", count: str | None = None) -> DataFrame:
     """The columns of ``docs`` with pseudonyms in ``text``; ``count`` names a column for the number of values replaced."""
-    found, new = free_name(docs, "found"), free_name(docs, "new")
+    new = free_name(docs, "new")
     t = F.col(text)
-    df = docs.withColumn(found, F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))))
-    df = df.withColumn(new, F.transform(found, lambda m: pseudonym(m, key)))
-    whole = F.array_join(F.zip_with(F.split(t, CANDIDATE), F.col(new), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    df = df.withColumn(text, F.when(F.size(new) > 0, whole).otherwise(t))
+    plain = lambda r: F.struct(r.alias("text"), F.lit(0).alias("n"))
+    runs = F.split(F.concat(F.lit("\n"), t), BREAK, -1)  # the line break is taken away again
+    df = docs.withColumn(new, F.when(t.rlike("[0-9@]"), F.transform(
+        runs, lambda r: F.when(r.rlike(START), _scan(r, key)).otherwise(plain(r)))))
+    whole = F.array_join(F.transform(F.col(new), lambda x: x["text"]), "")
+    df = df.withColumn(text, F.when(F.col(new).isNotNull(), F.substring(whole, F.lit(2), F.length(whole))).otherwise(t))
     if count:
-        df = df.withColumn(count, F.coalesce(F.aggregate(
-            F.zip_with(found, new, lambda a, b: (a != b).cast("int")), F.lit(0), lambda a, x: a + x), F.lit(0)))
-    return df.drop(found, new)
+        df = df.withColumn(count, F.coalesce(F.aggregate(F.col(new), F.lit(0), lambda a, x: a + x["n"]), F.lit(0)))
+    return df.drop(new)
 
 
 def op9_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

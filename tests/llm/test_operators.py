@@ -205,6 +205,21 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert got[3]["text"] == bad and got[4]["text"] is None and got[5]["text"] == "" and got[6]["text"] == LONG
 
 
+def test_pseudonyms_of_values_beside_other_digits_and_capitals(spark):
+    """Each value gets the pseudonym it has alone, and what stands beside it stays."""
+    card, amex, iban, austrian, phone = "4111 1111 1111 1111", "378282246310005", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "+1 (555) 123-4567"
+    beside = [("", card, " 12/27"), ("", "4111111111111111", " 123 cvv"), ("", iban, " BIC CAIXESBB"), ("", "ES9121000418450200051332", " 2024 paid"),
+              ("", austrian, " IS mine"), ("", phone, " 1234 5678"), ("", phone, " 24 times"), ("no 12 ", card, " ok"), ("A1 ", iban, "."), ("7 ", "2021-02-28", " 12")]
+    rows = [(i, a + v + b) for i, (a, v, b) in enumerate(beside)] + [(100 + i, v) for i, (_, v, _) in enumerate(beside)]
+    rows += [(200, f"{amex} {card} {iban}"), (201, amex), (202, f"\n{card}\n"), (203, "7 " * 3000)]
+    got = {r["doc_id"]: r for r in feistel_pii.pseudonymise(docs(spark, rows), count="n").collect()}
+    for i, (a, v, b) in enumerate(beside):
+        assert got[100 + i]["text"] != v and got[100 + i]["n"] == 1
+        assert got[i]["text"] == a + got[100 + i]["text"] + b and got[i]["n"] == 1
+    assert got[200]["text"] == " ".join(got[i]["text"] for i in (201, 100, 102)) and got[200]["n"] == 3
+    assert got[202]["text"] == f"\n{got[100]['text']}\n"
+
+
 # 10 chat
 
 def test_chat_events_fold_and_round_trip(spark):
