@@ -1,6 +1,7 @@
 """Benchmark decontamination: BM25 index of the test items, block-max WAND, overlap check.
 
-Test items are cut into entries of at most 64 words. The inverted index holds for
+Test items are cut into entries of at most 64 words, as equal in length as can be, so a
+longer item has entries of 32 words or more. The inverted index holds for
 each word the entries it occurs in with its BM25 weight, as a share of the
 entry's own score, so an entry found whole scores 1. Entries stand in blocks
 of four, and for each word and block the largest weight is kept.
@@ -19,12 +20,15 @@ many passages at once:
 All entries at or above the threshold are retrieved and verified: the entry's
 first half is its question, the second its answer (or the columns given), and
 their runs of five words are looked up in the passage with its neighbours. A
-document is contaminated if one part is found to 0.8 or both to 0.5.
+document is contaminated if one part is found to 0.8 or both to 0.5. A part of fewer
+than eight words (under four runs) is too little to tell: the whole entry stands in
+its place. No match rests on fewer than five words.
 
 The index goes to the executors in shards of at most ``SHARD_BYTES`` of item text;
 each shard is one pass over the documents, whatever their number.
 
-Defined cases: null or wordless documents and items match nothing; repeated
+Defined cases: null or wordless documents and items match nothing, nor do items of
+fewer than five words, which any text may hold; repeated
 items are reported once each; items with a null id aren't reported; other
 columns stay as they are; empty tables give no hits.
 """
@@ -43,6 +47,7 @@ from retail_marts.llm import text as T
 from retail_marts.llm.common import Scratch, free_name, table
 
 ENTRY, STRIPE, WINDOW, BLOCK, GRAM = 64, 32, 3, 4, 5
+LEAST = 8  # words of a part that can stand alone
 K1, B = 1.2, 0.75
 SHARD_BYTES = 8 << 20
 THRESHOLD, ONE_PART, BOTH_PARTS = 0.35, 0.8, 0.5
@@ -65,13 +70,15 @@ def entries(items: list[tuple[int, str, str]]) -> list[dict]:
         q, a = w.hash[:w.starts[1]], w.hash[w.starts[1]:]
         words, half = np.concatenate([q, a]), q.size if a.size else (q.size + 1) // 2
         side = np.arange(words.size) < half
-        for at in range(0, words.size, ENTRY):
-            part, own = words[at:at + ENTRY], side[at:at + ENTRY]
+        pieces = -(-words.size // ENTRY)
+        for part, own in zip(np.array_split(words, pieces), np.array_split(side, pieces)) if pieces else ():
             if own.all() or not own.any():  # a piece of a long item lies on one side: halve it
                 own = np.arange(part.size) < (part.size + 1) // 2
             terms, tf = np.unique(part, return_counts=True)
-            out.append({"item": item, "n": part.size, "terms": terms, "tf": tf,
-                        "question": _grams(part[own]), "answer": _grams(part[~own])})
+            sides = {"question": part[own], "answer": part[~own]}
+            sides = {k: x if x.size >= LEAST else part if part.size >= GRAM else part[:0] for k, x in sides.items()}
+            out.append({"item": item, "n": part.size, "terms": terms, "tf": tf, "words": {k: x.size for k, x in sides.items()},
+                        **{k: _grams(x) for k, x in sides.items()}})
     return out
 
 
@@ -131,8 +138,8 @@ class Index:
 
     @staticmethod
     def gram_words(e: dict, side: str) -> int:
-        """Words in a run of that side of an entry; fewer than five only if the side has fewer."""
-        return min(GRAM, (e["n"] + (side == "question")) // 2)
+        """Words in a run of that side of an entry; 0 for a side without runs."""
+        return min(GRAM, e["words"][side])
 
     def postings(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of words ``t``: each posting's place in ``t`` and its number."""

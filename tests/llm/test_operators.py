@@ -191,6 +191,23 @@ def test_decontamination_catches_planted_items(spark):
     assert bm25_decontam.clean_documents(docs(spark, rows), bench.limit(0)).count() == len(rows)
 
 
+def test_short_pieces_and_items_leave_clean_documents(spark):
+    """A word or short phrase shared with an item is no leak; the item itself is one, whatever its length."""
+    r = np.random.default_rng(17)
+    word = lambda n: " ".join(f"t{x}" for x in r.integers(0, 4000, n))
+    items = [(n, f"{word(n - 1)} common") for n in (64, 65, 66, 70, 130)] + [(n, f"{word(n - 2)} common phrase") for n in (2, 3, 9)] + [(1, "common")]
+    half = {i: t.split()[:(len(t.split()) + 1) // 2] for i, t in items}
+    clean = [(i, f"{word(100)} common {word(100)} common phrase {word(20)}") for i in range(20)]
+    clean += [(30 + k, f"{word(80)} {' '.join(half[9])} {word(80)}") for k in range(2)]  # five words of the item of nine
+    leaks = [(100 + i, f"{word(120)} {t} {word(120)}") for i, t in items if i > 3]
+    leaks += [(500 + i, f"{word(120)} {' '.join(half[i])} {word(120)}") for i in (64, 65, 66, 70, 130)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {x["doc_id"]: [h["item_id"] for h in x["hits"] or []] for x in bm25_decontam.find_leaks(docs(spark, clean + leaks), bm25_decontam.build(bench), "hits").collect()}
+    assert not any(got[i] for i, _ in clean)
+    assert all(got[i] == [i - (500 if i >= 500 else 100)] for i, _ in leaks)
+    assert {x["doc_id"] for x in bm25_decontam.clean_documents(docs(spark, clean + leaks), bench).collect()} == {i for i, _ in clean}
+
+
 # 9 personal data
 
 def test_pseudonyms_keep_format_and_links(spark):
