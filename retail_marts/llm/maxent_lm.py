@@ -5,18 +5,22 @@ per document. Counts of all learning tokens are kept by 64-bit hash, as a table
 shared folder that grows with the corpus.
 
 Vocabulary: the ``CLASSES - 1`` times ``MEMBERS`` most frequent tokens form classes of
-equal size by frequency; all other tokens, unknown ones too, are the last class.
+equal size by frequency; all other tokens, unknown ones too, are the last class, a tree
+with ``FAN_OUT`` branches a node. A token's way through it is the leading bits of its hash,
+so a token never seen has one too; the tree is as deep as its distinct tokens ask for, about
+``LEAF`` a leaf, and at most ``DEPTH`` levels.
 
     P(token | history) = P(class | history) * P(token | class, history)
+    in the last class:   P(branch | history) * P(branch | node, history) * ... * P(token | leaf)
 
-Both factors are softmaxes over sums of feature weights; in the last class the second
-is (c + 0.1) / (N' + 0.1 (V' + 1)) over that class's counts. Features, hashed to rows of
-``CLASSES`` or ``MEMBERS`` weights: none, the last token, the last two, and the
+All but the last factor are softmaxes over sums of feature weights; in a leaf it is
+(c + 0.1) / (N' + 0.1 (V' + 1)) over that leaf's counts. Features, hashed to rows of
+``CLASSES``, ``MEMBERS`` or ``FAN_OUT`` weights: none, the last token, the last two, and the
 second and third last alone (skips). Weights start at the token frequencies.
 
 Training is by distributed gradient updates: in each of ``ROUNDS`` rounds the documents
 of that round (all learning documents are in one) update copies of the weights, one for about
-``COPY_TOKENS`` tokens, by row-wise Adagrad steps; the copies' changes are averaged row by row, each
+``COPY_TOKENS`` tokens and dealt by a hash of the document, so the cluster doesn't matter, by row-wise Adagrad steps; the copies' changes are averaged row by row, each
 weighed by how many tokens touched the row there, by groups of ``FAN`` copies at a time.
 
 Scoring goes through whole documents in numpy batches with the ``FREQUENT`` most
@@ -43,11 +47,14 @@ from retail_marts.llm import text as T
 from retail_marts.llm.common import Scratch, fold, table
 
 CLASSES, MEMBERS = 32, 32
-ROW_BITS = 15                 # rows of each of the two weight tables
+FAN_BITS = 5
+FAN_OUT, LEAF, DEPTH = 1 << FAN_BITS, 16, 4
+ROW_BITS = 15                 # rows of each of the three weight tables
 FREQUENT = 1 << 17
 ROUNDS, FAN, BLOCKS = 2, 32, 64
 STEP, BATCH = 0.5, 8192
 COPY_TOKENS = 1 << 20         # tokens of a round that a copy of the weights is worth
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 END = np.uint64(0xE0D0FE0DC0FFEE01)
 _G = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(64 - ROW_BITS)
@@ -93,9 +100,28 @@ class Vocabulary:
         share = np.zeros((CLASSES, MEMBERS))
         share.reshape(-1)[:size] = counts[:size]
         self.member = share
-        self.by_class = np.append(share[:-1].sum(1), self.rest_total + 0.1 * (self.rest_distinct + 1))
+        depth = 0
+        while depth < DEPTH and LEAF * FAN_OUT ** depth < self.rest_distinct:
+            depth += 1
+        self.leaves(depth, np.full(1, self.rest_total), np.full(1, self.rest_distinct))
+
+    def leaves(self, depth: int, total: np.ndarray, distinct: np.ndarray) -> None:
+        """The last class's tree: counts and distinct tokens of each leaf."""
+        self.depth, self.room = depth, total + 0.1 * (distinct + 1)
+        self.by_class = np.append(self.member[:-1].sum(1), self.room.sum())
         self.class_mask = np.where((self.by_class > 0), 0, -1e9).astype(np.float32)
 
+    def leaf(self, h: np.ndarray) -> np.ndarray:
+        return (h >> np.uint64(64 - FAN_BITS * self.depth)).astype(np.int64) if self.depth else np.zeros(h.size, np.int64)
+
+    def path(self, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Node and branch of tokens of the last class, level by level; nodes are numbered from the root on."""
+        leaf, first = self.leaf(h), 0
+        for level in range(self.depth):
+            down = leaf >> FAN_BITS * (self.depth - 1 - level)
+            yield first + (down >> FAN_BITS), down % FAN_OUT
+            first += FAN_OUT ** level
+
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(count, or -1 for a token that isn't frequent; number in the classes, or -1)."""
         if not self.hashes.size:
@@ -107,20 +133,28 @@ class Vocabulary:
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
 
-    def rest(self, c: np.ndarray) -> np.ndarray:
-        return np.log10((c + 0.1) / (self.rest_total + 0.1 * (self.rest_distinct + 1)))
+    def rest(self, c: np.ndarray, leaf: np.ndarray | int = 0) -> np.ndarray:
+        """log10 probability of a token of count ``c`` in its leaf."""
+        return np.log10((c + 0.1) / self.room[leaf])
 
 
 class Weights:
-    """Two tables of 2^ROW_BITS rows: over classes by feature, over members by (feature, class).
+    """Three tables of 2^ROW_BITS rows: over classes by feature, over members by (feature, class),
+    over branches by (feature, node).
 
-    Row c of ``start`` is the frequency model of class c's members; it takes no hashed row."""
+    Row c of ``start`` is the frequency model of class c's members (node c's branches); it takes no hashed row."""
 
     def __init__(self, v: Vocabulary):
         self.cls = np.zeros((1 << ROW_BITS, CLASSES), np.float32)
         self.mem = np.zeros((1 << ROW_BITS, MEMBERS), np.float32)
+        self.tail = np.zeros((1 << ROW_BITS, FAN_OUT), np.float32)
         self.cls_start = (np.log(np.maximum(v.by_class, 1e-9)) + v.class_mask).astype(np.float32)
         self.mem_start = (np.log(np.maximum(v.member, 1e-9)) + v.known_mask).astype(np.float32)
+        levels = [v.room.reshape(FAN_OUT ** k, FAN_OUT, -1).sum(2) for k in range(v.depth)]
+        self.tail_start = np.log(np.concatenate([np.zeros((0, FAN_OUT)), *levels])).astype(np.float32)
+
+    def tables(self) -> list[np.ndarray]:
+        return [self.cls, self.mem, self.tail]
 
     @staticmethod
     def rows(features: list[np.ndarray], cls: np.ndarray | None = None) -> list[np.ndarray]:
@@ -180,7 +214,7 @@ def _steps(weights: np.ndarray, acc: np.ndarray, seen: np.ndarray, start: np.nda
 def train_partition(v: Vocabulary, w: Weights):
     """Task that updates a copy of the weights by its documents and yields the change, in blocks of rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [w.cls.copy(), w.mem.copy()]
+        tables = [x.copy() for x in w.tables()]
         acc = [np.ones(1 << ROW_BITS, np.float32) for _ in tables]
         seen = [np.zeros(1 << ROW_BITS, np.float32) for _ in tables]
         for whole in batches:
@@ -192,11 +226,14 @@ def train_partition(v: Vocabulary, w: Weights):
                     f, n = [x[s] for x in features], number[s]
                     c = np.where(n >= 0, n // MEMBERS, CLASSES - 1)
                     _steps(tables[0], acc[0], seen[0], w.cls_start, Weights.rows(f), c)
+                    k = np.flatnonzero(n < 0)
+                    for node, branch in v.path(h[s][k]) if k.size else ():
+                        _steps(tables[2], acc[2], seen[2], w.tail_start[node], Weights.rows([x[k] for x in f], node), branch)
                     k = np.flatnonzero(n >= 0)
                     if k.size:
                         _steps(tables[1], acc[1], seen[1], w.mem_start[c[k]], Weights.rows([x[k] for x in f], c[k]), n[k] % MEMBERS)
         size = (1 << ROW_BITS) // BLOCKS
-        for t, (new, old) in enumerate(zip(tables, (w.cls, w.mem))):
+        for t, (new, old) in enumerate(zip(tables, w.tables())):
             for k in range(BLOCKS):
                 own = slice(k * size, (k + 1) * size)
                 if seen[t][own].any():
@@ -236,28 +273,46 @@ def train(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> tuple[Voc
     c, t = top.column("c").to_numpy(), top.column("token").to_numpy().astype(np.int64)
     order = np.lexsort((t, -c))
     v = Vocabulary(t[order].view(np.uint64), c[order], int(total["n"]), int(total["v"]))
+    if v.depth:
+        leaf = F.shiftrightunsigned("token", 64 - FAN_BITS * v.depth)
+        known = t[order][:v.size].tolist()
+        own = counts.where(~F.col("token").isin(known)).groupBy(leaf.alias("leaf")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).toArrow()
+        sums = np.zeros((2, FAN_OUT ** v.depth), np.int64)  # of a size that DEPTH bounds
+        sums[:, own.column("leaf").to_numpy()] = own.column("n").to_numpy(), own.column("v").to_numpy()
+        v.leaves(v.depth, *sums)
     w = Weights(v)
     src = docs.withColumn("round", F.pmod(F.xxhash64("doc_id", F.lit(41)), F.lit(rounds)))
     size = (1 << ROW_BITS) // BLOCKS
-    copies = max(-(-v.total // (rounds * COPY_TOKENS)), docs.sparkSession.sparkContext.defaultParallelism)
-    for k in range(rounds if v.size else 0):
-        # small partitions share a copy: changes grow with the tokens, not with the number of partitions
-        change = src.where(F.col("round") == k).select("text").coalesce(copies).mapInArrow(train_partition(v, w), "block int, seen binary, change binary")
-        few = (change.withColumn("part", F.spark_partition_id() % FAN).groupBy("block", "part")
-               .applyInPandas(lambda pdf: _average(pdf), "block int, seen binary, change binary"))
-        whole = few.groupBy("block").applyInPandas(lambda pdf: _average(pdf), "block int, seen binary, change binary")
-        new = Weights(v)
-        new.cls, new.mem = w.cls.copy(), w.mem.copy()
-        for r in whole.collect():  # the weights themselves: a fixed size
-            at = r["block"] % BLOCKS * size
-            (new.cls, new.mem)[r["block"] // BLOCKS][at:at + size] += np.frombuffer(bytes(r["change"]), np.float16).reshape(size, -1)
-        w = new
+    copies = max(-(-v.total // (rounds * COPY_TOKENS)), 1)
+    deal = F.xxhash64("doc_id", "text", F.lit(43))
+    # a round's shuffles are deleted with its end, they are read once
+    conf = docs.sparkSession.conf
+    had = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        for k in range(rounds if v.size else 0):
+            # changes grow with the tokens, not with the number of partitions; the order of a copy's documents is fixed
+            dealt = src.where(F.col("round") == k).select("text", deal.alias("deal")).repartition(copies, "deal").coalesce(copies).sortWithinPartitions("deal")
+            change = dealt.select("text").mapInArrow(train_partition(v, w), "block int, seen binary, change binary")
+            few = change
+            if copies > FAN:
+                few = (change.withColumn("part", F.spark_partition_id() % -(-copies // FAN)).groupBy("block", "part")
+                       .applyInPandas(lambda pdf: _average(pdf), "block int, seen binary, change binary"))
+            whole = few.groupBy("block").applyInPandas(lambda pdf: _average(pdf), "block int, seen binary, change binary")
+            new = Weights(v)
+            new.cls, new.mem, new.tail = (x.copy() for x in w.tables())
+            for r in whole.collect():  # the weights themselves: a fixed size
+                at = r["block"] % BLOCKS * size
+                new.tables()[r["block"] // BLOCKS][at:at + size] += np.frombuffer(bytes(r["change"]), np.float16).reshape(size, -1)
+            w = new
+    finally:
+        conf.set(CLEANUP, had)
     return v, w
 
 
 def score_tokens(v: Vocabulary, w: Weights, h: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per token: count (-1: not among the frequent), base and model log10 probability; a token that isn't
-    frequent has only its class in the model's, and no base."""
+    frequent has only its class and leaf in the model's, and no base."""
     c, number = v.find(h)
     features = contexts(h, starts)
     model = np.zeros(h.size)
@@ -266,12 +321,15 @@ def score_tokens(v: Vocabulary, w: Weights, h: np.ndarray, starts: np.ndarray) -
         f, n = [x[s] for x in features], number[s]
         cls = np.where(n >= 0, n // MEMBERS, CLASSES - 1)
         out = Weights.log_probability(w.cls_start, w.cls, Weights.rows(f), cls).astype(np.float64)
+        k = np.flatnonzero(n < 0)
+        for node, branch in v.path(h[s][k]) if k.size else ():
+            out[k] += Weights.log_probability(w.tail_start[node], w.tail, Weights.rows([x[k] for x in f], node), branch)
         k = np.flatnonzero(n >= 0)
         if k.size:
             out[k] += Weights.log_probability(w.mem_start[cls[k]], w.mem, Weights.rows([x[k] for x in f], cls[k]), n[k] % MEMBERS)
         model[s] = out / np.log(10)
     own = (c >= 0) & (number < 0)
-    model[own] += v.rest(c[own])
+    model[own] += v.rest(c[own], v.leaf(h[own]))
     return c, np.where(c >= 0, v.base(np.maximum(c, 0)), 0.0), model
 
 
@@ -284,6 +342,8 @@ def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, w: Weights) -> Data
             for b in T.chunks(whole):
                 h, starts = tokens(b.column("text"))
                 c, base, model = score_tokens(v, w, h, starts)
+                late = c < 0  # their counts are joined below
+                model[late] -= np.log10(v.room[v.leaf(h[late])])
                 rare = [np.unique(x[n < 0], return_counts=True) for x, n in
                         ((h[i:j], c[i:j]) for i, j in zip(starts[:-1], starts[1:]))]
                 at = np.concatenate([[0], np.cumsum([len(u) for u, _ in rare])]).astype(np.int64)
@@ -304,7 +364,7 @@ def score(docs: DataFrame, counts: DataFrame, v: Vocabulary, w: Weights) -> Data
     ten = lambda n, d: F.log10((c + 0.1) / F.lit(n + 0.1 * (d + 1)))
     late = (seen.join(few, "token", "left").groupBy("row")
             .agg(F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("more"), F.sum(F.col("tf") * ten(v.total, v.distinct)).alias("more_base"),
-                 F.sum(F.col("tf") * ten(v.rest_total, v.rest_distinct)).alias("more_score")))
+                 F.sum(F.col("tf") * F.log10(c + 0.1)).alias("more_score")))
     add = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
     return (part.drop("rare", "tf").join(late, "row", "left")
             .select("doc_id", "n_tokens", add("n_known", "more"), add("base_score", "more_base"), add("score", "more_score")))

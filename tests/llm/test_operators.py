@@ -177,6 +177,32 @@ def test_language_model_counts_and_gain(spark):
     assert {x["score"] for x in maxent_lm.score(d, maxent_lm.token_counts(d.limit(0)), *empty).collect()} == {0.0}
 
 
+def test_language_model_tells_rare_words_apart(spark):
+    """Pairs of words outside the frequent classes are learned too; all probabilities sum to one, whatever the parallelism."""
+    r = np.random.default_rng(16)
+    rows = [(i, " ".join(f"k{x} v{x}" for x in r.integers(0, 1500, 100))) for i in range(600)]
+    d = docs(spark, rows).select("doc_id", "text")
+    counts = maxent_lm.token_counts(d).cache()
+    v, w = maxent_lm.train(d, counts)
+    assert v.rest_distinct > 2000 and v.depth == 2
+    h, s = maxent_lm.tokens(pa.array([t for _, t in rows]))
+    c, number = v.find(h)
+    n = np.flatnonzero((number < 0) & (np.arange(h.size) - np.repeat(s[:-1], np.diff(s)) < 200))
+    n = n[(n - s[np.searchsorted(s, n, "right") - 1]) % 2 == 1]  # the second words of pairs
+    _, base, model = maxent_lm.score_tokens(v, w, h, s)
+    assert n.size > 10_000 and model[n].mean() > base[n].mean() + 0.25
+    # one unknown token for each leaf
+    k1 = np.uint64(v.hashes[0])
+    unknown = (np.arange(v.room.size, dtype=np.uint64) << np.uint64(64 - 5 * v.depth)) + np.uint64(7)
+    every = np.concatenate([v.hashes, unknown])
+    one = np.stack([np.full(every.size, k1), every], 1).ravel()
+    cnt, _, lp = maxent_lm.score_tokens(v, w, one, np.arange(0, one.size + 1, 2))
+    lp = lp[1::2] + np.where(cnt[1::2] < 0, v.rest(np.zeros(every.size), v.leaf(every)), 0)
+    assert (10 ** lp).sum() == pytest.approx(1, abs=1e-3)
+    again = maxent_lm.train(d.repartition(3), counts)[1]
+    assert all(np.array_equal(x, y) for x, y in zip(w.tables(), again.tables()))
+
+
 # 7 decontamination
 
 def test_decontamination_catches_planted_items(spark):
