@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from retail_marts.llm import bm25_decontam, feistel_pii, poisson_mix, probminhash, pu_quality
 from retail_marts.llm.common import Scratch, free_name, table
 
-#: No stage but the mixing can be written in SQL; tests compare each with a brute-force version.
+#: No stage but the mixing can be written in SQL; tests run the stages on odd and empty tables, a brute-force comparison is open.
 ORACLE_SQL = None
 
 

@@ -12,8 +12,8 @@ with the logistic loss; when the bracket turns negative the step goes the other
 way, which keeps the network from fitting the unlabelled set as negatives.
 
 A document's features are shares of its whole text: which character classes
-follow which, capitals, digits, marks, repeated neighbours, distinct words,
-repeated lines. Labels, language, source and id are no features.
+follow which, capitals, digits, marks, repeated neighbours, distinct words.
+Labels, language, source and id are no features.
 
 Parameters with a bound: ``sample`` rows for each of the two training sets, in
 the order of a hash of the id (rows of features, about 3 kB each, go to the
