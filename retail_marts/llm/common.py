@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,34 +25,39 @@ def fold(id_col: Column, n: int) -> Column:
 class Scratch:
     """Tables of one run in the shared folder of ``spark.checkpoint.dir``. Each
     write gets a folder of its own and is read back, which cuts the lineage: a
-    lost executor costs a re-read, not a recomputation. ``close`` deletes what
-    later steps no longer read."""
+    lost executor costs a re-read, not a recomputation. ``drop`` deletes tables
+    that no later step reads, ``close`` all but those a lazy result still reads;
+    those go when the Python process ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+        self._tables: list[tuple[DataFrame, str]] = []
+        atexit.register(self._end)
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}-{uuid.uuid4().hex[:6]}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self._tables.append((out, path))
+        return out
 
     def drop(self, *frames: DataFrame) -> None:
-        """Delete the folders behind frames that ``put`` returned."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for df in frames:
-            for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-                if self.root.split("://")[-1].split("/", 1)[-1] in folder:
-                    path = jvm.org.apache.hadoop.fs.Path(folder)
-                    path.getFileSystem(conf).delete(path, True)
-
-
-def sample_rows(df: DataFrame, key: Column, limit: int) -> list:
-    """At most ``limit`` rows in the order of a hash of ``key``: the same rows on
-    any cluster. Only for the bounded samples that models are fitted on."""
-    h = F.xxhash64(key.cast("string"), F.lit(17))
-    return df.withColumn("__h", h).orderBy("__h", key).limit(limit).drop("__h").collect()
+        """Delete the tables that ``put`` returned as ``frames``; other frames are left alone."""
+        for i in [i for i, (df, _) in enumerate(self._tables) if any(df is f for f in frames)][::-1]:
+            self._delete(self._tables.pop(i)[1])
+
+    def close(self, *keep: DataFrame) -> None:
+        """Delete every table of the run but those in ``keep``."""
+        self.drop(*[df for df, _ in self._tables if not any(df is k for k in keep)])
+
+    def _delete(self, path: str) -> None:
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+    def _end(self) -> None:
+        if self.spark.sparkContext._jsc is not None:  # the session still runs
+            self._delete(self.root)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -92,10 +92,10 @@ class Words:
     """Words of a chunk: ``hash`` and ``doc`` per word, ``at`` and ``end`` (bytes) per word,
     ``starts`` per document (index of its first word, one more entry than documents)."""
 
-    def __init__(self, col: pa.Array, word: np.ndarray = TOKEN, ascii_only: bool = False):
+    def __init__(self, col: pa.Array, word: np.ndarray = TOKEN, ascii_only: bool = False, as_is: bool = False):
         raw, offs = buffers(col)
         self.raw, self.offs = raw, offs
-        self.bytes = _LOWER[raw] if ascii_only else lower_bytes(raw)
+        self.bytes = raw if as_is else _LOWER[raw] if ascii_only else lower_bytes(raw)
         inside = word[raw]
         edge = inside[1:] != inside[:-1]
         cut = np.zeros(raw.size + 1, bool)
@@ -124,6 +124,18 @@ class Words:
         return self.part(self.at, np.minimum(self.at + n, self.end))
 
 
+class Runs:
+    """Hashes of any run of words: ``of(a, b)`` for words a to b (arrays), from running sums."""
+
+    def __init__(self, words: np.ndarray):
+        up, self._down = _powers(words.size + 1)
+        self._total = np.zeros(words.size + 1, np.uint64)
+        np.cumsum(words * up[:words.size], out=self._total[1:])
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return mix((self._total[b] - self._total[a]) * self._down[a] + (b - a).astype(np.uint64))
+
+
 def shingles(words: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every run of ``n`` words inside one document, and each run's document. A
     document of 1 to n - 1 words has one shingle, its whole word list."""
