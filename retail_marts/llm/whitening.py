@@ -110,7 +110,7 @@ def dqds(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     while work:
         q, e, total = work.pop()
         while q:
-            if len(q) == 1 or e[-1] <= _EPS * (total + q[-1]) * 0.25:
+            if len(q) == 1 or e[-1] <= _EPS * _EPS * (total + q[-1]):
                 found.append(max(total + q[-1], 0.0))
                 q, e = q[:-1], e[:-1]
                 continue
