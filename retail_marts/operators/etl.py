@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retail_marts.functions.columns import MONEY, RATE, blank_to_null
+from retail_marts.operators.skew import HotKeys, match_keys
 
 # E2 ------------------------------------------------------------------------
 
@@ -84,7 +85,9 @@ class Parent:
 
 def flag_rejects(df: DataFrame, rules: dict[str, Column] | None = None,
                  parents: list[Parent] | None = None,
-                 first: dict[str, Column] | None = None) -> DataFrame:
+                 first: dict[str, Column] | None = None,
+                 hot: HotKeys | None = HotKeys(), spread: list[str] | None = None,
+                 counted: DataFrame | None = None) -> DataFrame:
     """Add ``reject_reason``: null for an accepted row, else the first broken
     check (``first``, then parents, then rules, in the order given).
     ``first`` holds checks that must hold and are already resolved on
@@ -93,8 +96,9 @@ def flag_rejects(df: DataFrame, rules: dict[str, Column] | None = None,
     A rule is a boolean column that must be true; null counts as broken. A
     child key that is null is *not* an orphan (it maps to the unknown member
     later); a non-null key with no parent row is. Each parent costs one left
-    join against its distinct key columns, so a parent with repeated keys
-    cannot multiply child rows.
+    join against its distinct key columns (``skew.match_keys``: hot keys from a
+    side table, the rest by shuffle), so a parent with repeated keys cannot
+    multiply child rows. ``hot``, ``spread`` and ``counted`` are passed on to it.
     """
     rules = rules or {}
     parents = parents or []
@@ -102,15 +106,9 @@ def flag_rejects(df: DataFrame, rules: dict[str, Column] | None = None,
                              for name, c in (first or {}).items()]
     out = df
     for i, p in enumerate(parents):
-        flag = f"_p{i}"
-        right = p.df.select(*[F.col(pc).alias(f"_k{i}_{j}") for j, pc in enumerate(p.on.values())]) \
-                    .distinct().withColumn(flag, F.lit(True))
-        cond = reduce(lambda a, b: a & b,
-                      [F.col(cc) == F.col(f"_k{i}_{j}") for j, cc in enumerate(p.on.keys())])
-        out = out.join(right, cond, "left")
+        out = match_keys(out, p.df, p.on, f"_p{i}", hot=hot, spread=spread, counted=df if counted is None else counted)
         child_present = reduce(lambda a, b: a & b, [F.col(cc).isNotNull() for cc in p.on.keys()])
-        reasons.append(F.when(child_present & F.col(flag).isNull(), F.lit(p.reason)))
-        out = out.drop(*[f"_k{i}_{j}" for j in range(len(p.on))])
+        reasons.append(F.when(child_present & F.col(f"_p{i}").isNull(), F.lit(p.reason)))
     for name, cond in rules.items():
         reasons.append(F.when(~F.coalesce(cond, F.lit(False)), F.lit(name)))
     reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")

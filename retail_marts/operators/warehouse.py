@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retail_marts.operators.etl import latest_per_key
+from retail_marts.operators.skew import HotKeys, match_keys
 from retail_marts.functions.columns import (
     MONEY, RATE, UNKNOWN_KEY, date_key, dim_key, month_key, month_start, to_day,
 )
@@ -63,9 +64,8 @@ def date_bounds(df: DataFrame, *cols: str) -> DataFrame:
 # W2-W4 ---------------------------------------------------------------------
 
 def _geography(nation: DataFrame, region: DataFrame) -> DataFrame:
-    """Nation with its region. Both are bounded by the number of countries
-    of the world, so both are broadcast."""
-    return (nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
+    """Nation with its region; Catalyst broadcasts what is small enough."""
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
                   .select("n_nationkey", F.col("n_name").alias("nation"), F.col("r_name").alias("region")))
 
 
@@ -88,7 +88,7 @@ def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> D
     """One row per customer, geography folded in."""
     geo = _geography(nation, region)
     customer = _one_per_key(customer, "c_custkey", ["c_name", "c_nationkey", "c_mktsegment", "c_acctbal"])
-    d = (customer.join(F.broadcast(geo), customer.c_nationkey == geo.n_nationkey, "left")
+    d = (customer.join(geo, customer.c_nationkey == geo.n_nationkey, "left")
          .select(dim_key("c_custkey").alias("customer_key"),
                  F.col("c_custkey").alias("customer_id"),
                  F.col("c_name").alias("customer_name"),
@@ -115,7 +115,7 @@ def dim_seller(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
     """One row per supplier, geography folded in."""
     geo = _geography(nation, region)
     supplier = _one_per_key(supplier, "s_suppkey", ["s_name", "s_nationkey", "s_acctbal"])
-    d = (supplier.join(F.broadcast(geo), supplier.s_nationkey == geo.n_nationkey, "left")
+    d = (supplier.join(geo, supplier.s_nationkey == geo.n_nationkey, "left")
          .select(dim_key("s_suppkey").alias("seller_key"),
                  F.col("s_suppkey").alias("seller_id"),
                  F.col("s_name").alias("seller_name"),
@@ -127,7 +127,9 @@ def dim_seller(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
 # W6 ------------------------------------------------------------------------
 
 def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], key: str,
-           as_: str | None = None, key_of: Callable[..., Column] | None = dim_key) -> DataFrame:
+           as_: str | None = None, key_of: Callable[..., Column] | None = dim_key,
+           hot: HotKeys | None = HotKeys(), spread: list[str] | None = None,
+           counted: DataFrame | None = None) -> DataFrame:
     """Add ``dim``'s surrogate ``key`` to ``fact`` by natural key.
 
     ``on`` maps fact columns to the dimension's natural key columns. A left
@@ -136,27 +138,23 @@ def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], key: str,
 
     Every dimension here keys its rows with ``dim_key`` (W5), so the key of
     a matched row is derived from the natural key (``key_of``) and only the
-    natural key columns cross the join. The right side is a hash aggregate
-    unique on the join key: when a query does not use the key, Catalyst
-    removes the whole join. With ``key_of=None`` the key is read from the
-    dimension instead. The join strategy is left to Catalyst/AQE: a dimension
-    under the broadcast threshold is broadcast, a large one is joined by
-    sort-merge with AQE splitting skewed fact partitions.
+    natural key columns cross the join. With ``key_of=None`` the key is read
+    from the dimension instead. When a query does not use the key, Catalyst
+    removes the whole join.
+
+    AQE can't split a hot key here, as the distinct keys are an aggregate; the
+    join itself does (``skew.match_keys``): keys that hold a large share of the
+    fact are resolved from a bounded side table, null keys pass by, the rest is
+    joined by shuffle. ``hot``, ``spread`` and ``counted`` are passed on to it;
+    ``hot=None`` joins plainly.
     """
     as_ = as_ or key
-    nat = list(on.values())
-    present = dim.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in nat]))
-    names = [f"_n{j}" for j in range(len(nat))]
     if key_of is not None:
-        right = present.select(*[F.col(c).alias(n) for n, c in zip(names, nat)]).distinct() \
-                       .withColumn("_hit", F.lit(True))
+        out = match_keys(fact, dim, on, "_hit", hot=hot, spread=spread, counted=counted)
         matched = F.when(F.col("_hit"), key_of(*[F.col(fc) for fc in on]))
     else:
-        right = present.groupBy(*[F.col(c).alias(n) for n, c in zip(names, nat)]) \
-                       .agg(F.max(key).alias("_key"))
-        matched = F.col("_key")
-    cond = reduce(lambda a, b: a & b, [F.col(fc) == F.col(n) for fc, n in zip(on, names)])
-    out = fact.join(right, cond, "left")
+        out = match_keys(fact, dim, on, "_hit", key, hot, spread, counted)
+        matched = F.col("_hit")
     return out.select(*fact.columns, F.coalesce(matched, F.lit(UNKNOWN_KEY)).alias(as_))
 
 
@@ -174,14 +172,16 @@ def sales_orders(orders: DataFrame, dim_customer: DataFrame | None = None) -> Da
                       F.upper(F.trim(F.col("o_orderstatus"))).alias("order_status"),
                       F.col("o_orderdate").alias("ordered_at"))
     if dim_customer is not None:
-        return lookup(o, dim_customer, {"customer_id": "customer_id"}, "customer_key")
+        return lookup(o, dim_customer, {"customer_id": "customer_id"}, "customer_key", spread=["o_orderkey"])
     return o.withColumn("customer_key", dim_key("customer_id"))
 
 
 def sales_measures(lines_with_orders: DataFrame, dim_product: DataFrame | None = None,
-                   dim_seller: DataFrame | None = None) -> DataFrame:
+                   dim_seller: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
     """The sales fact from lines (source columns) already joined to
-    ``sales_orders``: measures, product and seller keys, date keys."""
+    ``sales_orders``: measures, product and seller keys, date keys. Hot
+    product and seller keys are counted in ``lines``, the lines before the join."""
+    lines = lines_with_orders if lines is None else lines
     s = lines_with_orders.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("seller_id"),
@@ -193,11 +193,13 @@ def sales_measures(lines_with_orders: DataFrame, dim_product: DataFrame | None =
         F.col("l_shipdate").alias("shipped_at"),
         "customer_id", "customer_key", "order_status", "ordered_at")
     if dim_product is not None:
-        s = lookup(s, dim_product, {"product_id": "product_id"}, "product_key")
+        s = lookup(s, dim_product, {"product_id": "product_id"}, "product_key", spread=["order_id", "line_no"],
+                   counted=lines.select(F.col("l_partkey").alias("product_id")))
     else:
         s = s.withColumn("product_key", dim_key("product_id"))
     if dim_seller is not None:
-        s = lookup(s, dim_seller, {"seller_id": "seller_id"}, "seller_key")
+        s = lookup(s, dim_seller, {"seller_id": "seller_id"}, "seller_key", spread=["order_id", "line_no"],
+                   counted=lines.select(F.col("l_suppkey").alias("seller_id")))
     else:
         s = s.withColumn("seller_key", dim_key("seller_id"))
     disc = _money_round(F.col("gross_amount") * F.col("discount_rate"))
@@ -230,7 +232,7 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame, dim_customer: DataFrame |
     """
     o = sales_orders(orders, dim_customer)
     joined = lineitem.join(o, lineitem.l_orderkey == o.o_orderkey, "inner")
-    return sales_measures(joined, dim_product, dim_seller)
+    return sales_measures(joined, dim_product, dim_seller, lineitem)
 
 
 # W8 ------------------------------------------------------------------------
@@ -249,7 +251,7 @@ def fact_payments(payments: DataFrame, dim_customer: DataFrame | None = None) ->
         F.col("amount").cast(MONEY).alias("amount"),
         F.col("paid_at"))
     if dim_customer is not None:
-        p = lookup(p, dim_customer, {"customer_id": "customer_id"}, "customer_key")
+        p = lookup(p, dim_customer, {"customer_id": "customer_id"}, "customer_key", spread=["payment_id"])
     else:
         p = p.withColumn("customer_key", dim_key("customer_id"))
     return p.select("payment_id", "customer_id", "customer_key", "payment_type", "amount", "paid_at",

@@ -9,6 +9,7 @@ money as decimal(18,2), counts as bigint, ratios as one double division.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from retail_marts.operators import marts as B
 from retail_marts.plans.warehouse import Warehouse, line_rules
+from retail_marts.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,6 +84,15 @@ def q_sales_by_month(spark, d):
     return B.sales_by_month(wh(spark, d).sales)
 
 
+@query("sales_by_month_loaded", ORACLE["sales_by_month"])
+def q_sales_by_month_loaded(spark, d):
+    """B2 from the published warehouse (E6, S3): load, publish, read the month-partitioned fact."""
+    from retail_marts.plans.warehouse import load_version
+    root = scratch_path(spark, f"published-{uuid.uuid4().hex[:12]}")
+    load_version(spark, d, root)
+    return B.sales_by_month(Warehouse.from_loaded(spark, root).sales)
+
+
 # ETL --------------------------------------------------------------------------
 
 from retail_marts.operators import etl as E  # noqa: E402
@@ -170,6 +181,25 @@ def q_split_rejects(spark, d):
     return f.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "reject_reason")
 
 
+# Orphans: parents without every third (orders: seventh) key, so that reasons and the unknown member occur.
+ORPHAN_REASON_SQL = (LINE_REASON_SQL.replace("o.o_orderkey = l.l_orderkey", "o.o_orderkey = l.l_orderkey AND o.o_orderkey % 7 <> 0")
+                     .replace("p.p_partkey = l.l_partkey", "p.p_partkey = l.l_partkey AND p.p_partkey % 3 <> 0")
+                     .replace("s.s_suppkey = l.l_suppkey", "s.s_suppkey = l.l_suppkey AND s.s_suppkey % 3 <> 0"))
+
+
+@query("split_rejects_orphans", f"""
+SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, l.l_shipdate,
+       {ORPHAN_REASON_SQL} AS reject_reason
+FROM lineitem l
+""")
+def q_split_rejects_orphans(spark, d):
+    """E4 against parents that lack keys; hot and null keys take their own path (skew.match_keys)."""
+    (orders, part, supplier), rules = _line_checks(spark, d)
+    orders.df, part.df, supplier.df = orders.df.where("o_orderkey % 7 <> 0"), part.df.where("p_partkey % 3 <> 0"), supplier.df.where("s_suppkey % 3 <> 0")
+    f = E.flag_rejects(read_table(spark, d, "lineitem"), rules, [orders, part, supplier], spread=["l_orderkey", "l_linenumber"])
+    return f.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "reject_reason")
+
+
 @query("reconcile", f"""
 WITH fl AS (SELECT l.*, {LINE_REASON_SQL} AS reason FROM lineitem l),
 lo AS (SELECT fl.* FROM fl JOIN orders o ON fl.l_orderkey = o.o_orderkey WHERE fl.reason IS NULL),
@@ -307,6 +337,28 @@ def q_lookup(spark, d):
     return W.lookup(o, wh(spark, d).dim_customer, {"customer_id": "customer_id"}, "customer_key")
 
 
+@query("lookup_orphans", """
+SELECT e.event_id, e.user_id AS customer_id, coalesce(sha256(CAST(c.c_custkey AS VARCHAR)), '-1') AS customer_key
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey AND c.c_custkey % 3 <> 0
+""")
+def q_lookup_orphans(spark, d):
+    """Events to a customer dimension without every third customer; those become '-1'."""
+    e = read_table(spark, d, "events").select("event_id", F.col("user_id").alias("customer_id"))
+    return W.lookup(e, wh(spark, d).dim_customer.where("customer_id % 3 <> 0"), {"customer_id": "customer_id"}, "customer_key", spread=["event_id"])
+
+
+@query("heavy_keys", "SELECT CAST(0 AS BIGINT) AS missed")
+def q_heavy_keys(spark, d):
+    """Customers with over 2 % of the events that the sketch doesn't list (none)."""
+    from retail_marts.operators.skew import HotKeys, heavy_keys
+    e = read_table(spark, d, "events").where("user_id IS NOT NULL")
+    exact = e.groupBy(F.col("user_id").alias("item")).agg(F.count(F.lit(1)).alias("n"))
+    total = e.agg(F.count(F.lit(1)).alias("total"))
+    hot = exact.join(total).where(F.col("n") > F.lit(0.02) * F.col("total")).select("item")
+    listed = heavy_keys(e, ["user_id"], HotKeys(share=0.02, k=64)).select("item")
+    return hot.join(listed, "item", "left_anti").agg(F.count(F.lit(1)).alias("missed"))
+
+
 @query("fact_sales", f"""
 WITH {SALES_CTE}
 SELECT order_id, line_no, s.customer_id, product_id, seller_id,

@@ -1,8 +1,9 @@
 """The warehouse as a lazy model over a source folder, and the batch load.
 
 ``Warehouse`` builds every dimension and fact as a DataFrame plan over the
-source Parquet files; nothing runs until a mart is asked for. ``load``
-writes the warehouse (E1 -> E2 -> E4 -> W -> E6 -> E5) to a target folder.
+source Parquet files; nothing runs until a mart is asked for. ``load_version``
+publishes the warehouse (E1 -> E2 -> E4 -> W -> E6 -> E5) as the next version of a
+folder, which ``Warehouse.from_loaded`` reads; ``load`` replaces plain tables.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_marts.functions.columns import MONEY
+from retail_marts.functions.columns import MONEY, month_key
 from retail_marts.operators import etl, warehouse as W
 from retail_marts.plans import standins
 from retail_marts.sources import read_table, remove_table, write_fact, write_table
+from retail_marts.sources.published import Publication, read_published
 
 
 class Warehouse:
@@ -25,8 +27,8 @@ class Warehouse:
 
     ``lookups=True`` resolves every fact key through its dimension (W6),
     which costs one join per dimension. ``lookups=False`` derives the keys
-    from the natural keys; use it when the rows were checked against their
-    parents already (``load`` does that with ``split_rejects``).
+    from the natural keys. Sales are accepted lines either way
+    (``checked_lines``), so the marts and the load see the same sales.
     """
 
     def __init__(self, spark: SparkSession, src: str, lookups: bool = True):
@@ -55,13 +57,36 @@ class Warehouse:
         ev = self.table("events").select(F.col("ts").alias("t"))
         return W.dim_date(W.date_bounds(o.unionByName(li).unionByName(ev), "t"))
 
+    @classmethod
+    def from_loaded(cls, spark: SparkSession, root: str, version: int | None = None) -> "LoadedWarehouse":
+        """The tables that ``load_version`` has published under ``root``."""
+        return LoadedWarehouse(spark, root, version)
+
     # facts
+    def checked_lines(self, customers: DataFrame | None = None) -> DataFrame:
+        """Every order line with its order's attributes and its ``reject_reason`` (E4): the one
+        place that decides which lines are sales, for the marts and for the load alike.
+
+        The order side (one row per order key, the latest; customer looked up in
+        ``customers``) is joined to the lines once: the same join says whether a
+        line's order exists and carries the order attributes into the fact, so
+        the lines are shuffled by order key once.
+        """
+        li = self.table("lineitem")
+        o_side = W.sales_orders(etl.latest_per_key(self.table("orders"), ["o_orderkey"], ["o_orderdate"]), customers)
+        li_o = li.join(o_side, li.l_orderkey == o_side.o_orderkey, "left")
+        parents = [etl.Parent("part", self.table("part"), {"l_partkey": "p_partkey"}),
+                   etl.Parent("supplier", self.table("supplier"), {"l_suppkey": "s_suppkey"})]
+        # a line without an order has no date and no customer: a null order key is a reject too
+        first = {"missing orders": F.col("o_orderkey").isNotNull()}
+        return etl.flag_rejects(li_o, line_rules(), parents, first, spread=["l_orderkey", "l_linenumber"], counted=li)
+
     @cached_property
     def sales(self) -> DataFrame:
-        if self.lookups:
-            return W.fact_sales(self.table("lineitem"), self.table("orders"),
-                                self.dim_customer, self.dim_product, self.dim_seller)
-        return W.fact_sales(self.table("lineitem"), self.table("orders"))
+        """W7 from accepted lines. Product and seller were checked, so their keys are derived
+        from the natural keys; the customer is looked up on the order side."""
+        ok = self.checked_lines(self.dim_customer if self.lookups else None).filter(F.col("reject_reason").isNull())
+        return W.sales_measures(ok.drop("reject_reason"))
 
     def payments(self, only_types: list[str] | None = None) -> DataFrame:
         src = standins.payments_source(self.table("events"), only_types)
@@ -83,39 +108,102 @@ def line_rules() -> dict:
             "price negative": F.col("l_extendedprice") >= 0}
 
 
+class LoadedWarehouse(Warehouse):
+    """The same dimensions and facts, read from a published load: no source table is
+    joined or checked again, and a filter on months prunes the facts' folders."""
+
+    def __init__(self, spark: SparkSession, root: str, version: int | None = None):
+        super().__init__(spark, root)
+        self.version = version
+
+    def table(self, name: str) -> DataFrame:
+        return read_published(self.spark, self.src, name, self.version)
+
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        return self.table("dim_customer")
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        return self.table("dim_product")
+
+    @cached_property
+    def dim_seller(self) -> DataFrame:
+        return self.table("dim_seller")
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self.table("dim_date")
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return self.table("fact_sales")
+
+    @cached_property
+    def ratings(self) -> DataFrame:
+        return self.table("fact_ratings")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self.table("fact_orders").drop("month_key")
+
+    def payments(self, only_types: list[str] | None = None) -> DataFrame:
+        p = self.table("fact_payments")
+        return p.filter(F.col("payment_type").isin(*[t.strip().upper() for t in only_types])) if only_types else p
+
+
+def _reconciled(spark: SparkSession, li: DataFrame, ok: DataFrame, bad: DataFrame, loaded: DataFrame) -> DataFrame:
+    price = lambda df, c="l_extendedprice": df.select(F.col(c).cast(MONEY).alias("m"))
+    return etl.reconcile([("lineitem", {"source": price(li), "accepted": price(ok), "rejected": price(bad),
+                                        "loaded": price(loaded, "gross_amount")}, "m")])
+
+
+def _staged_lines(wh: Warehouse, path: str) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected lines of one checked pass, written once partitioned by outcome."""
+    flagged = wh.checked_lines(wh.dim_customer).withColumn(
+        "outcome", F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected"))
+    flagged.write.partitionBy("outcome").parquet(path)
+    checked = wh.spark.read.schema(flagged.schema).parquet(path)
+    ok = checked.filter(F.col("outcome") == "accepted").drop("outcome", "reject_reason")
+    bad = checked.filter(F.col("outcome") == "rejected").drop("outcome")
+    return ok, bad.select(*wh.table("lineitem").columns, "reject_reason")
+
+
+def load_version(spark: SparkSession, src: str, root: str) -> DataFrame:
+    """Batch load of the warehouse as the next published version of ``root``; returns the E5
+    reconciliation. Readers see the version before until all tables are written, and a load
+    that ends early changes nothing (``sources.published``). Facts hold the months of earlier
+    loads that this one doesn't bring. All payment types are kept; readers choose."""
+    wh, out = Warehouse(spark, src, lookups=False), Publication(spark, root)
+    for name in ("dim_customer", "dim_product", "dim_seller", "dim_date"):
+        out.add_table(getattr(wh, name), name)
+    ok, bad = _staged_lines(wh, out.folder("_checked_lineitem"))
+    out.add_table(bad, "rejects_lineitem")
+    sales = out.add_fact(W.sales_measures(ok), "fact_sales")
+    out.add_fact(W.fact_payments(standins.payments_source(wh.table("events")), wh.dim_customer), "fact_payments")
+    latest = etl.latest_per_key(wh.table("orders"), ["o_orderkey"], ["o_orderdate"])
+    out.add_fact(standins.orders_source(latest).withColumn("month_key", month_key("ordered_at")), "fact_orders")
+    out.add_table(wh.ratings, "fact_ratings")
+    result = out.add_table(_reconciled(spark, wh.table("lineitem"), ok, bad, sales), "reconciliation")
+    remove_table(spark, out.folder("_checked_lineitem"))
+    out.publish()
+    return result
+
+
 def load(spark: SparkSession, src: str, dst: str) -> DataFrame:
-    """Batch load of the warehouse into ``dst``; returns the E5 reconciliation.
-
-    Lines are checked once against orders, parts and suppliers (one left
-    join each, E4; the orders join also brings the order attributes); the
-    flagged rows are written once, partitioned by outcome, so accepted and
-    rejected rows come from a single pass. Accepted lines then take their
-    product and seller keys from the natural keys (no second lookup join);
-    customers are looked up on the order side.
+    """Batch load of the warehouse into plain tables under ``dst``, replaced in place (``load_version``
+    keeps versions instead); returns the E5 reconciliation.
+
+    Lines are checked once against orders, parts and suppliers
+    (``Warehouse.checked_lines``); the flagged rows are written once, partitioned by
+    outcome, so accepted and rejected rows come from a single pass.
     """
     wh = Warehouse(spark, src, lookups=False)
     for name in ("dim_customer", "dim_product", "dim_seller", "dim_date"):
         write_table(getattr(wh, name), os.path.join(dst, name))
 
-    li, orders = wh.table("lineitem"), wh.table("orders")
-    # The order side (one row per order key, customer looked up) is joined
-    # to the lines once: the same join says whether a line's order exists
-    # and carries the order attributes into the fact, so the line table is
-    # shuffled by order key once, not twice.
-    o_side = W.sales_orders(etl.latest_per_key(orders, ["o_orderkey"], ["o_orderdate"]), wh.dim_customer)
-    li_o = li.join(o_side, li.l_orderkey == o_side.o_orderkey, "left")
-    parents = [etl.Parent("part", wh.table("part"), {"l_partkey": "p_partkey"}),
-               etl.Parent("supplier", wh.table("supplier"), {"l_suppkey": "s_suppkey"})]
-    rules = line_rules()
-    # a line without an order has no date and no customer: a null order key is a reject too
-    first = {"missing orders": F.col("o_orderkey").isNotNull()}
-    flagged = etl.flag_rejects(li_o, rules, parents, first).withColumn(
-        "outcome", F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected"))
     checked = os.path.join(dst, f"_checked_lineitem-{uuid.uuid4().hex[:12]}")  # this run's own; removed below
-    flagged.write.partitionBy("outcome").parquet(checked)
-    checked_df = spark.read.schema(flagged.schema).parquet(checked)
-    ok = checked_df.filter(F.col("outcome") == "accepted").drop("outcome", "reject_reason")
-    bad = checked_df.filter(F.col("outcome") == "rejected").drop("outcome").select(*li.columns, "reject_reason")
+    ok, bad = _staged_lines(wh, checked)
     write_table(bad, os.path.join(dst, "rejects_lineitem"))
 
     # product and seller were checked above, so their keys are derived; the
@@ -130,10 +218,6 @@ def load(spark: SparkSession, src: str, dst: str) -> DataFrame:
     months = sales.select(F.col("month_key").alias("_m")).distinct()
     fact = spark.read.parquet(os.path.join(dst, "fact_sales"))
     loaded = fact.join(months, fact.month_key.eqNullSafe(months["_m"]), "left_semi")
-    result = etl.reconcile([("lineitem", {"source": li.withColumn("m", F.col("l_extendedprice").cast(MONEY)),
-                                        "accepted": ok.withColumn("m", F.col("l_extendedprice").cast(MONEY)),
-                                        "rejected": bad.withColumn("m", F.col("l_extendedprice").cast(MONEY)),
-                                        "loaded": loaded.withColumn("m", F.col("gross_amount"))}, "m")])
-    write_table(result, os.path.join(dst, "reconciliation"))
+    write_table(_reconciled(spark, wh.table("lineitem"), ok, bad, loaded), os.path.join(dst, "reconciliation"))
     remove_table(spark, checked)
     return spark.read.parquet(os.path.join(dst, "reconciliation"))
