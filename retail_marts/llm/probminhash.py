@@ -13,17 +13,19 @@ similarity. Classes are the connected components of the links.
    later than every register of the document (early termination).
 3. Banding: 30 bands of 5 of the 150 registers; a pair at 0.8 shares no band
    with a chance of 7e-6.
-4. A bucket of two is a pair to verify. A larger bucket isn't expanded into
-   pairs: blocks of it are spanned by their most similar signatures
-   (`_forest`), which joins a group of any size with about one pair a member.
-5. Pairs are verified on whole texts. Members of a bucket that then still lie in
-   different classes are compared with all of that bucket, so no link that
-   shares a bucket is lost.
+4. A bucket isn't expanded into pairs: its members are compared with its centre,
+   the one that meets most others over all buckets, which joins a group of any
+   size with about one pair a member. Pairs are verified on whole texts.
+5. Where a bucket then still holds several classes, an exact filter looks for
+   links between them: documents meet only in their rarest shingles, up to the
+   weight that a pair at the threshold must reach (`_rare_pairs`). A group that shares a
+   long template but no more than that pairs nobody; no link is lost.
 6. Components by alternating large-star and small-star steps on tables.
 
-Defined cases: null or wordless texts are alone in their class; a text of one to
-four words is one shingle; rows with a null id take part under no class (null
-class); rows that share an id count as copies of one document; an empty table
+Nodes are texts, numbered by a 64-bit hash of their MD5 (two different texts share a number with a
+chance of 2^-64). Defined cases: null or wordless texts are alone in their class; a text of one to
+four words is one shingle; rows with a null id link others but have no class
+themselves (null class); rows that share an id are judged by their own texts; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -32,9 +34,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retail_marts.llm import text as T
@@ -42,8 +43,6 @@ from retail_marts.llm.common import Scratch, table
 
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
-BLOCK = 256        # members of a bucket that are compared in one group
-LIKELY = 0.62      # signature agreement below which a pair at 0.8 is 5.5 standard errors away
 _G = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,7 +106,7 @@ def probability_jaccard(h1, w1, h2, w2) -> float:
     return float(np.sum(1.0 / (above / xs + below / ys)))
 
 
-_SIGNED = "doc_id long, key string, bands array<long>, sig binary"
+_SIGNED = "node long, bands array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,54 +121,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for r in range(ROWS):
                 keys = T.mix(keys * _G + sig[:, r::ROWS][:, :BANDS] + np.uint64(r + 1))
             keys = T.mix(keys + np.arange(1, BANDS + 1, dtype=np.uint64) * _G).view(np.int64)
-            small = (sig & np.uint64(0xFFFF)).astype(np.uint16)
-            mask = pa.array(~has)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)),
                 pa.array(keys[has].ravel(), pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("key"), lists,
-                 pa.array([s.tobytes() if ok else None for s, ok in zip(small, has)], pa.binary())],
-                names=["doc_id", "key", "bands", "sig"])
-            del mask
-
-
-def _forest(ids: np.ndarray, sig: np.ndarray, label: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Pairs that span the likely-similar members with the greatest signature agreement
-    (Prim's algorithm, one row of agreements at a time)."""
-    n = len(ids)
-    out, left = [], np.ones(n, bool)
-    best, parent = np.full(n, -1.0), np.full(n, -1)
-    for _ in range(n):
-        pick = np.where(left, best, -2.0)
-        k = int(pick.argmax())
-        if pick[k] < LIKELY:
-            k = int(np.flatnonzero(left)[0])
-        else:
-            out.append((int(ids[parent[k]]), int(ids[k])))
-        left[k] = False
-        agree = (sig == sig[k]).mean(axis=1)
-        better = agree > best
-        best[better], parent[better] = agree[better], k
-    return out
-
-
-def _span(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.drop_duplicates("node").sort_values("node")
-    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), REGISTERS)
-    return pd.DataFrame(_forest(pdf["node"].to_numpy(), sig), columns=["a", "b"], dtype="int64")
-
-
-def _across(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Likely pairs of a minor member and any member of another class."""
-    ids, label, minor = pdf["node"].to_numpy(), pdf["label"].to_numpy(), pdf["minor"].to_numpy()
-    sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), REGISTERS)
-    out = []
-    for k in np.flatnonzero(minor):
-        ok = (label != label[k]) & ~(minor & (ids == ids[k]))
-        ok[ok] = (sig[ok] == sig[k]).mean(axis=1) >= LIKELY
-        out += [(min(int(ids[k]), int(x)), max(int(ids[k]), int(x))) for x in ids[ok]]
-    return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
+            yield pa.RecordBatch.from_arrays([b.column("node"), lists], names=["node", "bands"])
 
 
 def _similarity(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,73 +164,99 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """One row per input row: doc_id, class_id (smallest id of its class), copies (rows of the same text)."""
+    """One row per input row: doc_id, class_id (smallest id of its class), copies (rows of the same
+    text), key (MD5 of the text), group (a number of the class that no other class has, also where
+    different texts share an id; null for texts without words)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = scratch.put(src.withColumn("key", F.md5(F.col("text").cast("binary"))).mapInArrow(_sign, _SIGNED), "signed")
-    # copies of one text: one node, the smallest id
-    texts = scratch.put(signed.where("sig IS NOT NULL AND doc_id IS NOT NULL")
-                        .groupBy("key").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies")), "texts")
-    nodes = signed.where("sig IS NOT NULL").join(
-        texts.select("key", F.col("node").alias("doc_id")), ["key", "doc_id"])
-    posted = scratch.put(nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band")).distinct(), "posted")
-    buckets = scratch.put(
-        posted.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"),
-                                   F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("members"))
-        .where("n > 1").groupBy("n", "a", "b", "members").agg(F.min("band").alias("band")), "buckets")
-    pairs = buckets.where("n = 2").select("a", "b")
-    # larger buckets: blocks by hash, each with the first block beside it
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    member = (posted.join(buckets.where("n > 2").select("band", "n"), "band")
-              .withColumn("blocks", blocks).withColumn("own", own))
-    sig = signed.where("sig IS NOT NULL").select(F.col("doc_id").alias("node"), "key", "sig").join(
-        texts.select("key", "node"), ["key", "node"]).drop("key")
-    member = scratch.put(member.join(sig, "node"), "members")
-    dealt = member.withColumn("block", F.explode(
-        F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))))
-    spanned = dealt.select("band", "block", "node", "sig").groupBy("band", "block").applyInPandas(_span, "a long, b long")
-    checked = scratch.put(_verified(src, texts, signed, pairs.union(spanned), scratch), "checked")
-    links = checked.where(F.col("sim") >= threshold - 1e-12).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("key", F.md5(F.col("text").cast("binary")))
+    node = F.xxhash64("key")
+    # copies of one text: one node
+    rows = scratch.put(src.select("doc_id", "key", F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False)).alias("worded")), "rows")
+    texts = scratch.put(rows.where("worded").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
+                        .select("key", node.alias("node"), "first", "copies"), "texts")
+    signed = src.where("text IS NOT NULL").select(node.alias("node"), "text").mapInArrow(_sign, _SIGNED)
+    posted = scratch.put(signed.select("node", F.explode("bands").alias("band")).distinct(), "posted")
+    # a bucket's centre is the member that meets most others; every other member is compared with it
+    sizes = posted.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    member = scratch.put(posted.join(sizes, "band"), "members")
+    scratch.drop(posted)
+    met = member.groupBy("node").agg(F.sum("n").alias("met"))
+    named = scratch.put(member.join(met, "node").select("band", "n", "node", F.struct("met", "node").alias("rank")), "ranked")
+    centre = scratch.put(named.groupBy("band").agg(F.max("rank").alias("top")).select("band", F.col("top.node").alias("centre")), "centres")
+    star = named.join(centre, "band").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))
+    scratch.drop(member)
+    links = scratch.put(_linked(src, node, star, threshold, scratch), "links")
     labels = scratch.put(components(links, scratch), "labels")
-    # what a bucket still holds in different classes, compared with the whole bucket
-    named = member.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    sizes = named.groupBy("band", "label").agg(F.count("*").alias("c"))
-    major = sizes.groupBy("band").agg(F.max_by("label", F.struct("c", "label")).alias("major"),
-                                      F.count("*").alias("classes"), (F.sum("c") - F.max("c")).alias("minors")).where("classes > 1")
-    open_ = scratch.put(named.join(major, "band").withColumn("minor", F.col("label") != F.col("major")), "open")
-    cut = F.ceil(F.col("minors") / BLOCK).cast("int")
-    every = open_.select("band", "node", "label", "sig", F.lit(False).alias("minor"), F.col("own").alias("right"),
-                         F.explode(F.sequence(F.lit(0), cut - 1)).alias("left"))
-    few = open_.where("minor").select("band", "node", "label", "sig", F.lit(True).alias("minor"),
-                                      F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("right"),
-                                      F.pmod(F.xxhash64("node", F.lit(5)), cut).cast("int").alias("left"))
-    across = (every.unionByName(few).groupBy("band", "left", "right").applyInPandas(_across, "a long, b long")
-              .distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti"))
-    more = scratch.put(_verified(src, texts, signed, across, scratch).where(F.col("sim") >= threshold - 1e-12), "more")
+    # members of buckets that still hold several classes: compared by what they share beyond the frequent shingles
+    both = named.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    open_ = scratch.put(both.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band"), "several")
+    left = scratch.put(both.join(open_, "band").select("node", "label").distinct(), "open")
+    scratch.drop(named, centre, open_)
+    more = scratch.put(_linked(src, node, _rare_pairs(src, node, left, threshold, scratch), threshold, scratch), "more")
     if not more.isEmpty():
-        links = links.union(more.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        labels = scratch.put(components(links, scratch), "labels")
-    known = texts.join(labels, "node", "left").select("key", F.coalesce("label", "node").alias("label"), "copies")
-    named = signed.select("doc_id", F.when(F.col("sig").isNotNull() & F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
-    return named.join(known, "key", "left").select(
-        "doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "doc_id")).alias("class_id"),
-        F.coalesce("copies", F.lit(1)).alias("copies"))
-
-
-def _verified(src: DataFrame, texts: DataFrame, signed: DataFrame, pairs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs (a < b) with their exact similarity, from the whole texts."""
-    pairs = scratch.put(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                        .where("a <> b").distinct(), "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    whole = scratch.put(src.join(ids, "doc_id", "left_semi"), "whole")
-    return (pairs.join(whole.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(whole.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-            .mapInArrow(_similarity, "a long, b long, sim double")
-            .groupBy("a", "b").agg(F.max("sim").alias("sim")))
+        old, labels = labels, scratch.put(components(links.union(more), scratch), "labels")
+        scratch.drop(old)
+    known = texts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    known = scratch.put(known, "known")
+    least = known.groupBy("label").agg(F.min("first").alias("class_id"))
+    classes = scratch.put(known.join(least, "label").select("key", "class_id", "copies", F.col("label").alias("group")), "classes")
+    scratch.close(rows, classes)
+    out = rows.withColumn("k", F.when(F.col("worded"), F.col("key"))).join(classes.withColumnRenamed("key", "k"), "k", "left")
+    # texts without words, and rows without an id, stand alone
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id"))
+    return out.select("doc_id", own.alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"), "key", "group")
+
+
+def _rare_pairs(src: DataFrame, node: Column, open_: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """Every pair (a, b) of nodes of different labels that can reach ``threshold``, found by its rarest shared shingle.
+
+    Let X and Y be the shares of two documents' shingle weight that lies in shingles of both. Their
+    probability Jaccard similarity is at most 1 / (1/X + 1/Y - 1), so at t both shares are at least t and the
+    larger at least 2t / (1 + t). Taken in the order of rising frequency, what comes before the rarest shared
+    shingle is not shared: at most 1 - t of either, (1 - t) / (1 + t) of one. So only a document's rarest
+    shingles are listed, up to these weights, and a pair meets in one that is in a short list. What a large
+    group shares comes last in every list and pairs nobody.
+    """
+    own = src.select(node.alias("node"), "text").join(open_.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    bag = scratch.put(own.mapInArrow(_bag, "node long, shingle long, w double"), "bag")
+    common = bag.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    shared = scratch.put(bag.join(common, "shingle"), "common")
+    scratch.drop(bag)
+    rest = Window.partitionBy("node").orderBy(F.desc("df"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # weight before a shingle in rising frequency: all that isn't in it or after it
+    before = shared.withColumn("before", 1.0 - F.sum("w").over(rest))
+    listed = before.where(F.col("before") <= 1 - threshold + 1e-9).select("shingle", "node", (F.col("before") <= (1 - threshold) / (1 + threshold) + 1e-9).alias("short"))
+    listed = scratch.put(listed.join(open_, "node"), "listed")
+    scratch.drop(shared)
+    able = listed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("short").alias("s")).where("x <> y AND s").select("shingle")
+    met = scratch.put(listed.join(able, "shingle"), "met")
+    a = met.where("short").select("shingle", F.col("node").alias("a"), F.col("label").alias("la"))
+    b = met.select("shingle", F.col("node").alias("b"), F.col("label").alias("lb"))
+    return a.join(b, "shingle").where("la <> lb").select("a", "b")
+
+
+def _bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for b in T.chunks(whole):
+            h, d, w = weighted_shingles(T.Words(b.column("text")))
+            yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(d)), pa.array(h.view(np.int64)), pa.array(w)], names=["node", "shingle", "w"])
+
+
+def _linked(src: DataFrame, node: Column, pairs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """Pairs (u, v) whose exact similarity, from the whole texts, reaches the threshold."""
+    pairs = scratch.put(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
+    ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    whole = scratch.put(src.select(node.alias("node"), "text").join(ids, "node", "left_semi").dropDuplicates(["node"]), "whole")
+    found = (pairs.join(whole.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+             .join(whole.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+             .mapInArrow(_similarity, "a long, b long, sim double").where(F.col("sim") >= threshold - 1e-12)
+             .select(F.col("a").alias("u"), F.col("b").alias("v")))
+    out = scratch.put(found, "found")
+    scratch.drop(pairs, whole)
+    return out
 
 
 def op5_probminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its near-duplicate class: doc_id, class_id, copies."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("key", "group")

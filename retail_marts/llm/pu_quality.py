@@ -4,7 +4,8 @@ Trusted positives are documents labelled quality 1; the unlabelled set is drawn
 from all documents of the learning folds, whatever their label. Negative labels
 are never used. The class prior is estimated from how a first classifier's
 scores of held-back positives and unlabelled documents compare: the smallest
-ratio of the two upper tails. A one-hidden-layer network then minimises
+ratio of the two upper tails. The cut between 0 and 1 is the one of least estimated
+error on rows held back from the network. A one-hidden-layer network then minimises
 
     prior * R_p(+)  +  max(0, R_u(-) - prior * R_p(-))
 
@@ -12,7 +13,7 @@ with the logistic loss; when the bracket turns negative the step goes the other
 way, which keeps the network from fitting the unlabelled set as negatives.
 
 A document's features are shares of its whole text: which character classes
-follow which, capitals, digits, marks, repeated neighbours, distinct words.
+follow which, capitals, digits, marks, distinct words.
 Labels, language, source and id are no features.
 
 Parameters with a bound: ``sample`` rows for each of the two training sets, in
@@ -139,18 +140,31 @@ def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, epochs: int = 40, b
 
 def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     """Share of positives among the unlabelled: smallest ratio of the scores' upper
-    tails on rows that the scoring network has not seen."""
-    half_p, half_u = len(pos) // 2, len(unl) // 2
-    net = fit_nnpu(pos[:half_p], unl[:half_u], 0.5, epochs=15, seed=2)
-    sp, su = net.forward(pos[half_p:])[1], net.forward(unl[half_u:])[1]
-    cuts = np.quantile(sp, np.linspace(0.02, 0.9, 45))
-    qp = (sp[None, :] >= cuts[:, None]).mean(1)
-    qu = (su[None, :] >= cuts[:, None]).mean(1)
-    slack = np.sqrt(np.log(4 / 0.1) / 2) * (1 / np.sqrt(len(su)) + 1 / np.sqrt(len(sp))) / 2
+    tails, on rows that the scoring network has not seen (two halves, each scored by
+    the network of the other)."""
+    levels, qu = np.concatenate([np.linspace(0.002, 0.02, 10), np.linspace(0.04, 0.9, 44)]), []
+    for k in (0, 1):
+        net = fit_nnpu(pos[k::2], unl[k::2], 0.5, epochs=15, seed=2 + k)
+        sp, su = net.forward(pos[1 - k::2])[1], net.forward(unl[1 - k::2])[1]
+        qu.append((su[None, :] >= np.quantile(sp, levels)[:, None]).mean(1))
+    qu, qp = np.mean(qu, axis=0), 1 - levels
+    slack = np.sqrt(np.log(4 / 0.1) / 2) * (1 / np.sqrt(len(unl)) + 1 / np.sqrt(len(pos))) / 2
     best = int(np.argmin((qu + slack) / qp))
     return float(np.clip(qu[best] / qp[best], 0.05, 0.97))
 
 
+def choose_cut(sp: np.ndarray, su: np.ndarray, prior: float, slack: float = 0.003) -> float:
+    """Cut for the scores of held-back positives and unlabelled rows: the highest one whose estimated
+    error (missed positives, and accepted rows beyond the positives' share, not below zero) is within
+    ``slack`` of the least. Where the classes lie apart, every cut between them has that error; the
+    highest leaves nothing but positives above it."""
+    cuts = np.sort(np.concatenate([sp, su]))
+    p = 1 - np.searchsorted(np.sort(sp), cuts) / len(sp)
+    u = 1 - np.searchsorted(np.sort(su), cuts) / len(su)
+    error = prior * (1 - p) + np.maximum(0.0, u - prior * p)
+    return float(cuts[np.flatnonzero(error <= error.min() + slack)[-1]])
+
+
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for b in T.chunks(whole):
@@ -172,19 +186,24 @@ def train(docs: DataFrame, labels: DataFrame, learn, sample: int = 6000) -> dict
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
             .where(learn).join(chosen, "doc_id").select("doc_id", "kind", "text")
             .mapInArrow(_feature_rows, "doc_id long, kind int, x binary"))
-    got = sorted(((r["kind"], r["doc_id"], bytes(r["x"])) for r in
-                  rows.groupBy("doc_id", "kind").agg(F.min("x").alias("x")).collect()))
-    x = {k: np.array([np.frombuffer(v, np.float32) for kind, _, v in got if kind == k]).reshape(-1, FEATURES) for k in (0, 1)}
+    got = rows.groupBy("doc_id", "kind").agg(F.min("x").alias("x")).orderBy("kind", "doc_id").toArrow()  # 2 * sample rows at most
+    kind = got.column("kind").to_numpy()
+    flat = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(-1, FEATURES)
+    del got
+    x = {k: flat[kind == k] for k in (0, 1)}
     if len(x[1]) < 4 or len(x[0]) < 4:
         return {"p": None, "prior": None}
     r = np.random.default_rng(3)
     for k in x:
-        x[k] = x[k][r.permutation(len(x[k]))].astype(np.float64)
-    mean, std = x[0].mean(0), x[0].std(0) + 0.05
-    pos, unl = (x[1] - mean) / std, (x[0] - mean) / std
-    pos, unl = np.clip(pos, -8, 8), np.clip(unl, -8, 8)
+        x[k] = x[k][r.permutation(len(x[k]))]
+    mean, std = x[0].mean(0, dtype=np.float64), x[0].std(0, dtype=np.float64) + 0.05
+    pos, unl = (np.clip((x[k] - mean) / std, -8, 8).astype(np.float32) for k in (1, 0))
     prior = estimate_prior(pos, unl)
-    net = fit_nnpu(pos, unl, prior)
+    # a sixth of either set is held back for the cut; the bias moves so that it lies at a score of 0.5
+    hold = lambda a: np.arange(len(a)) % 6 == 5
+    net = fit_nnpu(pos[~hold(pos)], unl[~hold(unl)], prior)
+    if hold(pos).any() and hold(unl).any():
+        net.p[3] = net.p[3] - choose_cut(net.forward(pos[hold(pos)])[1], net.forward(unl[hold(unl)])[1], prior)
     return {"p": [a.astype(np.float32) for a in net.p], "mean": mean.astype(np.float32), "std": std.astype(np.float32), "prior": prior}
 
 

@@ -212,9 +212,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeat_spans(src: DataFrame, window: int, scratch: Scratch) -> DataFrame:
     """(id, key, spans): word ranges to remove from each text that has some."""
     marks = scratch.put(src.where("text IS NOT NULL").select("id", "key", "text").mapInArrow(_mark(window), _MARKS), "marks")
-    shared = marks.groupBy("g").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("g")
-    open_ = scratch.put(marks.join(shared, "g", "left_semi"), "open")
-    scratch.drop(marks)
+    shared = scratch.put(marks.groupBy("g").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("g"), "shared")
+    open_ = scratch.put(marks.join(shared, "g", "left_semi"), "open")  # a table on either side: Spark can split a hot g
+    scratch.drop(marks, shared)
     distinct = scratch.put(open_.groupBy("b1", "b2").agg(
         F.min("id").alias("first"), F.max("id").alias("last"), F.min("g").alias("g"), F.min("n").alias("n"),
         F.min(F.struct("id", "key", "at")).alias("one")), "distinct")
