@@ -4,14 +4,14 @@
 returns a DataFrame that is written as Parquet and reread as the next one's
 docs. All but the last return the columns of ``docs``.
 
-Defined cases: rows with a null id pass the near-duplicate stage as they are; of
-rows that share an id it keeps one, the smallest text (null last); null and wordless texts don't
+Defined cases: rows with a null id and texts without words pass the near-duplicate stage as they are; rows
+that share an id are judged by their texts, of rows with equal id and text one stays; null and wordless texts don't
 pass the quality stage; every stage gives an empty table for an empty one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_marts.llm import bm25_decontam, feistel_pii, poisson_mix, probminhash, pu_quality
@@ -29,11 +29,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one of the smallest id."""
-    kept = (probminhash.near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct())
-    n, first = free_name(docs, "n"), Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    one = docs.join(kept, "doc_id", "left_semi").withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(n)
-    return one.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """One document of each near-duplicate class, that of the smallest id (then key of the text)."""
+    best = (probminhash.near_duplicates(docs).where("doc_id IS NOT NULL AND group IS NOT NULL").groupBy("group")
+            .agg(F.min(F.struct("doc_id", "key")).alias("b")))
+    i, k, own = free_name(docs, "kept_id"), free_name(docs, "kept_key"), free_name(docs, "own_key")
+    kept = best.select(F.col("b.doc_id").alias(i), F.col("b.key").alias(k))
+    keyed = docs.withColumn(own, F.md5(F.col("text").cast("string").cast("binary")))
+    one = keyed.join(kept, (F.col("doc_id") == F.col(i)) & F.col(own).eqNullSafe(F.col(k)), "left_semi")
+    alone = ~F.coalesce(F.col("text").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))  # no words: in no class
+    return one.dropDuplicates(["doc_id", own]).select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull() | alone))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +74,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         done = scratch.put(stage(spark, docs, sf_dir), name)
-        if docs.inputFiles() and name != STAGES[0][0]:
-            scratch.drop(docs)
+        scratch.drop(docs)
         docs = done
     return docs

@@ -54,7 +54,7 @@ def test_a_hot_key_does_not_fill_one_task(spark):
         assert max(spread) <= 2 * spread[len(spread) // 2]
         flagged = E.flag_rejects(child(spark), {}, [E.Parent("p", parent(spark, False), {"k": "p"})], spread=["id"])
         assert max(sizes(flagged)) <= 2 * sizes(flagged)[len(sizes(flagged)) // 2]
-        assert flagged.where("k = 1 AND reject_reason = 'missing p'").count() == 40_000
+        assert flagged.where("k = 1 AND reject_reason = 'missing p'").count() == child(spark).where("k = 1").count() >= 40_000
         assert flagged.where("k IS NULL AND reject_reason IS NOT NULL").count() == 0
     finally:
         for k, v in old.items():
