@@ -280,18 +280,24 @@ def fact_ratings(ratings: DataFrame, satisfied_from: int = 1) -> DataFrame:
 # W10 -----------------------------------------------------------------------
 
 def drill_across(parts: list[tuple[DataFrame, list[Column]]], keys: list[str]) -> DataFrame:
-    """Aggregate every fact to the shared ``keys`` first, then full
-    outer join the small results on those keys. A process with no rows for a
-    key shows nulls; a null key is one key. Joining facts row to row would multiply measures.
-
-    Each aggregate leaves its output hash-partitioned on ``keys``; the full
-    outer joins reuse that partitioning.
+    """Aggregate every fact to the shared ``keys`` first, then put the
+    small results side by side. A process with no rows for a key shows nulls; a
+    null key is one key. Joining facts row to row would multiply measures.
+
+    The keys must be conformed: of one type in all facts. The results are stacked,
+    each with nulls for the measures of the others, and one aggregate picks every
+    measure's value, so n facts cost one shuffle of their results and no chain of
+    outer joins.
     """
-    def both(a: DataFrame, b: DataFrame) -> DataFrame:
-        right = b.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in b.columns if c not in keys])
-        on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-        j = a.join(right, on, "full_outer")
-        return j.select(*[F.coalesce(k, f"_r_{k}").alias(k) for k in keys],
-                        *[c for c in j.columns if c not in keys and c not in {f"_r_{k}" for k in keys}])
-
-    return reduce(both, [df.groupBy(*keys).agg(*measures) for df, measures in parts])
+    kinds = [{k: df.schema[k].dataType for k in keys} for df, _ in parts]
+    odd = [k for k in keys if len({str(x[k]) for x in kinds}) > 1]
+    if odd:
+        raise ValueError(f"not conformed, types differ: {odd}")
+    results = [df.groupBy(*keys).agg(*measures) for df, measures in parts]
+    names = [c for r in results for c in r.columns if c not in keys]
+    again = sorted({c for c in names if names.count(c) > 1})
+    if again:
+        raise ValueError(f"measures of one name in several facts: {again}")
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
+    # a key has one row of each process: the value that isn't null is the measure
+    return stacked.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names])

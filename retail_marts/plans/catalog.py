@@ -98,7 +98,7 @@ def q_sales_by_month_loaded(spark, d):
 from retail_marts.operators import etl as E  # noqa: E402
 from retail_marts.operators import warehouse as W  # noqa: E402
 from retail_marts.plans import standins  # noqa: E402
-from retail_marts.plans.star import sales_model, slice as star_slice  # noqa: E402
+from retail_marts.plans.star import customers_model, payments_model, ratings_model, sales_model, slice as star_slice  # noqa: E402
 from retail_marts.sources import SCHEMAS, read_table  # noqa: E402
 
 _READ_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -434,6 +434,32 @@ def q_drill_across(spark, d):
         ["customer_id"])
 
 
+@query("drill_across_three", f"""
+WITH {SALES_CTE},
+a AS (SELECT CAST(year(ordered_at) * 100 + month(ordered_at) AS INTEGER) AS month_key,
+             CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue, COUNT(*) AS lines FROM sales_m GROUP BY 1),
+b AS (SELECT CAST(year(ts) * 100 + month(ts) AS INTEGER) AS month_key, COUNT(*) AS payments,
+             CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS paid_amount
+      FROM events WHERE event_type = 'purchase' GROUP BY 1),
+c AS (SELECT CAST(year(o.o_orderdate) * 100 + month(o.o_orderdate) AS INTEGER) AS month_key, COUNT(*) AS ratings,
+             CAST(SUM(CAST(l.quality >= 1 AS INTEGER)) AS BIGINT) AS satisfied
+      FROM labels l JOIN documents d ON l.doc_id = d.doc_id LEFT JOIN orders o ON o.o_orderkey = l.doc_id GROUP BY 1),
+k AS (SELECT month_key FROM a UNION SELECT month_key FROM b UNION SELECT month_key FROM c)
+SELECT k.month_key, net_revenue, lines, payments, paid_amount, ratings, satisfied FROM k
+LEFT JOIN a ON k.month_key IS NOT DISTINCT FROM a.month_key LEFT JOIN b ON k.month_key IS NOT DISTINCT FROM b.month_key
+LEFT JOIN c ON k.month_key IS NOT DISTINCT FROM c.month_key
+""")
+def q_drill_across_three(spark, d):
+    """Sales, payments and ratings by month (ratings dated by an arbitrary pairing, see standins)."""
+    from retail_marts.functions.columns import month_key
+    w = wh(spark, d)
+    ratings = standins.dated_ratings(w.ratings, w.orders).withColumn("month_key", month_key("rated_at"))
+    return W.drill_across(
+        [(w.sales, [F.sum("net_amount").cast("decimal(18,2)").alias("net_revenue"), F.count(F.lit(1)).alias("lines")]),
+         (w.payments(["purchase"]), [F.count(F.lit(1)).alias("payments"), F.sum("amount").cast("decimal(18,2)").alias("paid_amount")]),
+         (ratings, [F.count(F.lit(1)).alias("ratings"), F.sum("satisfied").alias("satisfied")])], ["month_key"])
+
+
 # Dashboard marts ------------------------------------------------------------------
 
 GEO_CUSTOMER_SQL = """
@@ -499,6 +525,19 @@ def q_sales_cube(spark, d):
     return B.sales_cube(wh(spark, d).sales, ["order_status", "return_flag", "line_status"])
 
 
+@query("sales_cube_orders", f"""
+WITH {SALES_CTE}
+SELECT order_status, return_flag, line_status, CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue,
+       COUNT(*) AS lines, COUNT(DISTINCT order_id) AS orders, CAST(GROUPING(order_status) AS INTEGER) AS g_order_status,
+       CAST(GROUPING(return_flag) AS INTEGER) AS g_return_flag,
+       CAST(GROUPING(line_status) AS INTEGER) AS g_line_status
+FROM sales_m GROUP BY CUBE (order_status, return_flag, line_status)
+""")
+def q_sales_cube_orders(spark, d):
+    """B5 with distinct orders at every level, from bitmaps of the finest cells."""
+    return B.sales_cube_orders(wh(spark, d).sales, ["order_status", "return_flag", "line_status"])
+
+
 @query("top_products", f"""
 WITH {SALES_CTE},
 p AS (SELECT product_id, CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue,
@@ -673,6 +712,73 @@ def q_slice_brand_units(spark, d):
                       order=[("units", "desc")], n=10)
 
 
+@query("slice_sales_quarter", f"""
+WITH {SALES_CTE}, {GEO_CUSTOMER_SQL}
+SELECT CAST(year(ordered_at) AS INTEGER) AS year, CAST(quarter(ordered_at) AS INTEGER) AS quarter, region,
+       CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue, COUNT(*) AS lines
+FROM sales_m s LEFT JOIN geo ON s.customer_id = geo.c_custkey
+WHERE quarter(ordered_at) IN (1, 2) GROUP BY 1, 2, 3
+""")
+def q_slice_sales_quarter(spark, d):
+    """B15, sales dashboard by the date dimension: first half-years by region."""
+    return star_slice(sales_model(wh(spark, d)), ["net_revenue", "lines"], ["year", "quarter", "region"], where=[("quarter", "in", [1, 2])])
+
+
+@query("slice_payments", f"""
+WITH {GEO_CUSTOMER_SQL}
+SELECT upper(nullif(trim(event_type), '')) AS payment_type, segment, COUNT(*) AS payments,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(value) AS DOUBLE) AS mean_amount
+FROM events e LEFT JOIN geo ON e.user_id = geo.c_custkey WHERE isodow(ts) - 1 < 5 GROUP BY 1, 2
+""")
+def q_slice_payments(spark, d):
+    """B15, payment dashboard: working days by type and customer segment."""
+    return star_slice(payments_model(wh(spark, d)), ["payments", "amount", "mean_amount"], ["payment_type", "segment"], where=[("weekday", "<", 5)])
+
+
+@query("slice_ratings", f"""
+WITH r AS ({RATINGS_SQL})
+SELECT lang, source, COUNT(*) AS ratings, CAST(SUM(score) AS DOUBLE) / CAST(COUNT(score) AS DOUBLE) AS mean_score,
+       CAST(SUM(satisfied) AS BIGINT) AS satisfied
+FROM r WHERE comment_words >= 50 GROUP BY lang, source
+""")
+def q_slice_ratings(spark, d):
+    """B15, satisfaction dashboard: longer comments by language and source."""
+    return star_slice(ratings_model(wh(spark, d)), ["ratings", "mean_score", "satisfied"], ["lang", "source"], where=[("comment_words", ">=", 50)])
+
+
+CUSTOMER_STAR_SQL = f"""
+{GEO_CUSTOMER_SQL},
+per AS (SELECT o_custkey, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS v FROM orders WHERE o_custkey IS NOT NULL GROUP BY 1),
+cust AS (SELECT geo.*, coalesce(n, 0) AS n_orders, v, CASE WHEN coalesce(n, 0) = 0 THEN 'none' WHEN n = 1 THEN 'one' ELSE 'repeat' END AS loyalty
+         FROM geo LEFT JOIN per ON geo.c_custkey = per.o_custkey)"""
+
+
+@query("slice_customers", f"""
+WITH {CUSTOMER_STAR_SQL}
+SELECT region, loyalty, COUNT(*) AS customers, CAST(SUM(n_orders) AS BIGINT) AS orders, CAST(SUM(v) AS DECIMAL(18,2)) AS order_value,
+       CAST(SUM(n_orders) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS mean_orders
+FROM cust WHERE segment IN ('BUILDING', 'MACHINERY') GROUP BY region, loyalty
+""")
+def q_slice_customers(spark, d):
+    """B15, customer dashboard: two segments by region and loyalty."""
+    return star_slice(customers_model(wh(spark, d)), ["customers", "orders", "order_value", "mean_orders"], ["region", "loyalty"],
+                      where=[("segment", "in", ["BUILDING", "MACHINERY"])])
+
+
+@query("slice_stored", f"""
+WITH {SALES_CTE}, {GEO_CUSTOMER_SQL}
+SELECT region, CAST(year(ordered_at) AS INTEGER) AS year, CAST(SUM(net_amount) AS DECIMAL(18,2)) AS net_revenue, COUNT(*) AS lines
+FROM sales_m s LEFT JOIN geo ON s.customer_id = geo.c_custkey WHERE return_flag <> 'N' GROUP BY 1, 2
+""")
+def q_slice_stored(spark, d):
+    """B15 from stored aggregates: built once, the request answered from the smallest that covers it."""
+    from retail_marts.plans.lattice import Lattice
+    stored = Lattice.build(sales_model(wh(spark, d)), scratch_path(spark, f"lattice-{uuid.uuid4().hex[:12]}"),
+                           [["region", "nation", "year", "quarter", "return_flag"], ["region", "year", "return_flag"], ["year", "quarter"]])
+    return stored.slice(["net_revenue", "lines"], ["region", "year"], where=[("return_flag", "!=", "N")])
+
+
 # Customer segmentation ------------------------------------------------------------
 
 from retail_marts.operators import segment as C  # noqa: E402

@@ -32,6 +32,13 @@ def ratings_source(labels: DataFrame, documents: DataFrame) -> DataFrame:
                           F.col("text").alias("comment"), "lang", "source"))
 
 
+def dated_ratings(ratings: DataFrame, orders: DataFrame) -> DataFrame:
+    """Ratings with a month. The tables pair no rating with an order; rating i is given the date
+    of order i, an *arbitrary* pairing that stands for the real one."""
+    when = orders.select(F.col("order_id").alias("rating_id"), F.col("ordered_at").alias("rated_at"))
+    return ratings.join(when, "rating_id", "left")
+
+
 def orders_source(orders: DataFrame) -> DataFrame:
     """Orders at order grain for the customer marts."""
     return orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
