@@ -226,14 +226,16 @@ def _rare_pairs(src: DataFrame, node: Column, open_: DataFrame, threshold: float
     rest = Window.partitionBy("node").orderBy(F.desc("df"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # weight before a shingle in rising frequency: all that isn't in it or after it
     before = shared.withColumn("before", 1.0 - F.sum("w").over(rest))
-    listed = before.where(F.col("before") <= 1 - threshold + 1e-9).select("shingle", "node", (F.col("before") <= (1 - threshold) / (1 + threshold) + 1e-9).alias("short"))
+    listed = before.where(F.col("before") <= 1 - threshold + 1e-9).select("shingle", "node", "before", (F.col("before") <= (1 - threshold) / (1 + threshold) + 1e-9).alias("short"))
     listed = scratch.put(listed.join(open_, "node"), "listed")
     scratch.drop(shared)
     able = listed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("short").alias("s")).where("x <> y AND s").select("shingle")
     met = scratch.put(listed.join(able, "shingle"), "met")
-    a = met.where("short").select("shingle", F.col("node").alias("a"), F.col("label").alias("la"))
-    b = met.select("shingle", F.col("node").alias("b"), F.col("label").alias("lb"))
-    return a.join(b, "shingle").where("la <> lb").select("a", "b")
+    a = met.where("short").select("shingle", F.col("node").alias("a"), F.col("label").alias("la"), (1 / (1 - F.col("before"))).alias("xa"))
+    b = met.select("shingle", F.col("node").alias("b"), F.col("label").alias("lb"), (1 / (1 - F.col("before"))).alias("xb"))
+    # were this the rarest shared one, X and Y were at most what is left: the pair must still reach the threshold
+    able = F.col("xa") + F.col("xb") <= 1 + 1 / threshold + 1e-8
+    return a.join(b, "shingle").where((F.col("la") != F.col("lb")) & able & (F.col("a") != F.col("b"))).select("a", "b")
 
 
 def _bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
