@@ -14,8 +14,9 @@ similarity. Classes are the connected components of the links.
 3. Banding: 30 bands of 5 of the 150 registers; a pair at 0.8 shares no band
    with a chance of 7e-6.
 4. A bucket isn't expanded into pairs: its members are compared with its centre,
-   the one that meets most others over all buckets, which joins a group of any
-   size with about one pair a member. Pairs are verified on whole texts.
+   the one that meets most others over all buckets: first every member with its
+   best centre, then with a centre of each other class that its buckets lead to, which joins
+   a group of any size with about one pair a member. Pairs are verified on whole texts.
 5. Where a bucket then still holds several classes, an exact filter looks for
    links between them: documents meet only in their rarest shingles, up to the
    weight that a pair at the threshold must reach (`_rare_pairs`). A group that shares a
@@ -183,11 +184,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     scratch.drop(posted)
     met = member.groupBy("node").agg(F.sum("n").alias("met"))
     named = scratch.put(member.join(met, "node").select("band", "n", "node", F.struct("met", "node").alias("rank")), "ranked")
-    centre = scratch.put(named.groupBy("band").agg(F.max("rank").alias("top")).select("band", F.col("top.node").alias("centre")), "centres")
-    star = named.join(centre, "band").where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b"))
+    centre = scratch.put(named.groupBy("band").agg(F.max("rank").alias("top")), "centres")
+    top = F.struct(F.col("top.met").alias("met"), F.col("top.node").alias("node"))
+    star = scratch.put(named.join(centre, "band").where("node <> top.node").select("node", top.alias("top")).distinct(), "star")
     scratch.drop(member)
-    links = scratch.put(_linked(src, node, star, threshold, scratch), "links")
+    # first its best centre for every member, then one centre of each class that its buckets lead to besides its own
+    first = star.groupBy("node").agg(F.max("top").alias("top")).select(F.col("node").alias("a"), F.col("top.node").alias("b"))
+    links = scratch.put(_linked(src, node, first, threshold, scratch), "links")
     labels = scratch.put(components(links, scratch), "labels")
+    to = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    apart = (star.select("node", F.col("top.node").alias("b")).join(labels, "node", "left").join(to, "b", "left")
+             .withColumn("la", F.coalesce("label", "node")).withColumn("lb", F.coalesce("lb", "b")).where("la <> lb")
+             .groupBy("node", "lb").agg(F.max("b").alias("b")).select(F.col("node").alias("a"), "b"))
+    apart = apart.join(first, ["a", "b"], "left_anti")
+    links = scratch.put(links.union(_linked(src, node, apart, threshold, scratch)), "links")
+    labels = scratch.put(components(links, scratch), "labels")
+    scratch.drop(star)
     # members of buckets that still hold several classes: compared by what they share beyond the frequent shingles
     both = named.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     open_ = scratch.put(both.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band"), "several")
