@@ -901,18 +901,79 @@ def q_segment_profile(spark, d):
     return C.profile(_assigned(spark, d))
 
 
-@query("fit_segments")
+def _kmeans_sql(ks: list[int], seed: int, steps: int) -> str:
+    """C4 / C5 as plain SQL: scaling, hash-seeded k-means++ and ``steps`` Lloyd steps written out one by
+    one; ``cen`` (k, j, a, b, c) holds the last centres, ``near`` (k, customer_id, j, d) the nearest one."""
+    cols = [("a", "recency"), ("b", "frequency"), ("c", "monetary")]
+    x = {n: f"CAST({f} AS DECIMAL(18,4))" for n, f in cols}
+    moments = ", ".join(f"CAST(SUM({e}) AS DOUBLE) AS s_{n}, CAST(SUM(CAST({e} AS DECIMAL(38,4)) * CAST({e} AS DECIMAL(38,4))) AS DOUBLE) AS q_{n}" for n, e in x.items())
+    spread = ", ".join(f"s_{n} / n AS m_{n}, sqrt(greatest((q_{n} - s_{n} * s_{n} / n) / (n - 1), 0)) AS d_{n}" for n in x)
+    z = ", ".join(f"CAST(CASE WHEN d_{n} = 0 THEN 0 ELSE floor((CAST({e} AS DOUBLE) - m_{n}) / d_{n} * CAST(1000000 AS DOUBLE)) END AS BIGINT) AS {n}"
+                  for n, e in x.items())
+    dist = " + ".join(f"CAST(z.{n} - s.{n} AS DOUBLE) * CAST(z.{n} - s.{n} AS DOUBLE)" for n in x)
+    parts = [FEATURES_SQL.strip(),
+             f"mo AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n, {moments} FROM feat)",
+             f"sp AS (SELECT {spread} FROM mo)",
+             f"z AS MATERIALIZED (SELECT customer_id, monetary, {z} FROM feat, sp)"]
+    for j in range(max(ks)):
+        u = (f"(CAST(CAST('0x' || substr(md5('{seed}|{j}|' || CAST(customer_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) + 0.5)"
+             f" / CAST(4503599627370496 AS DOUBLE)")
+        w = f"(SELECT MIN({dist}) FROM seeds{j - 1} s)" if j else "1.0"
+        before = f"SELECT * FROM seeds{j - 1} UNION ALL " if j else ""
+        parts.append(f"seeds{j} AS MATERIALIZED ({before}(SELECT {j} AS j, a, b, c FROM z "
+                     f"ORDER BY {w} / -ln({u}) DESC, customer_id DESC LIMIT 1))")
+    values = ", ".join(f"({k})" for k in ks)
+    parts.append(f"cen0 AS MATERIALIZED (SELECT k, j, a, b, c FROM seeds{max(ks) - 1}, (VALUES {values}) AS v(k) WHERE j < k)")
+
+    def near(t):
+        return (f"(SELECT k, customer_id, m.j AS j, m.d AS d FROM (SELECT s.k, z.customer_id, "
+                f"min(struct_pack(d := {dist}, j := s.j)) AS m FROM z, cen{t} s GROUP BY ALL))")
+    for t in range(steps):
+        mean = ", ".join(f"CAST(coalesce((g.{n} - ((g.{n} % g.n) + g.n) % g.n) // g.n, s.{n}) AS BIGINT) AS {n}" for n in x)
+        sums = ", ".join(f"SUM(z.{n}) AS {n}" for n in x)
+        parts.append(f"cen{t + 1} AS MATERIALIZED (SELECT s.k, s.j, {mean} FROM cen{t} s LEFT JOIN "
+                     f"(SELECT e.k, e.j, COUNT(*) AS n, {sums} FROM {near(t)} e JOIN z USING (customer_id) GROUP BY e.k, e.j) g "
+                     f"ON g.k = s.k AND g.j = s.j)")
+    parts += [f"cen AS (SELECT * FROM cen{steps})", f"near AS MATERIALIZED {near(steps)}"]
+    return "WITH " + ",\n".join(parts)
+
+
+@query("fit_segments", _kmeans_sql([4], 1, 40) + """,
+val AS (SELECT j, CAST(SUM(CAST(monetary AS DECIMAL(18,4))) AS DOUBLE) / COUNT(*) AS m FROM near JOIN z USING (customer_id) GROUP BY j),
+num AS (SELECT cen.j, CAST(ROW_NUMBER() OVER (ORDER BY m DESC NULLS LAST, cen.j) - 1 AS INTEGER) AS segment
+        FROM cen LEFT JOIN val ON val.j = cen.j)
+SELECT customer_id, segment FROM near JOIN num USING (j)
+""")
 def q_fit_segments(spark, d):
-    """C4: k-means with k = 4 on scaled RFM; segment 0 = highest mean monetary.
-    Rows only: cluster numbering and seeding are not SQL."""
+    """C4: k-means with k = 4 on scaled RFM; segment 0 = highest mean monetary."""
     f = _features(spark, d)
     seg = C.fit_segments(f, 4, seed=1)
     return seg.transform(f).select("customer_id", "segment")
 
 
-@query("choose_k")
+@query("choose_k", _kmeans_sql([2, 3, 4, 5, 6], 1, 40) + """,
+p AS (SELECT near.k, near.j, near.d, z.customer_id, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b, CAST(c AS DOUBLE) AS c,
+             CAST(a AS DOUBLE) * CAST(a AS DOUBLE) + CAST(b AS DOUBLE) * CAST(b AS DOUBLE) + CAST(c AS DOUBLE) * CAST(c AS DOUBLE) AS norm
+      FROM near JOIN z USING (customer_id)),
+g AS MATERIALIZED (
+  SELECT k, j, CAST(COUNT(*) AS DOUBLE) AS n, CAST(CAST(SUM(CAST(a AS BIGINT)) AS BIGINT) AS DOUBLE) AS sa,
+         CAST(CAST(SUM(CAST(b AS BIGINT)) AS BIGINT) AS DOUBLE) AS sb, CAST(CAST(SUM(CAST(c AS BIGINT)) AS BIGINT) AS DOUBLE) AS sc,
+         CAST(CAST(SUM(CAST(norm AS BIGINT)) AS BIGINT) AS DOUBLE) AS q, SUM(CAST(d AS BIGINT)) AS cost
+  FROM p GROUP BY k, j),
+m AS (SELECT p.k, p.customer_id, p.j = g.j AS own, g.n,
+             p.norm - CAST(2 AS DOUBLE) * (p.a * sa + p.b * sb + p.c * sc) / n + q / n AS e
+      FROM p JOIN g ON g.k = p.k),
+ab AS (SELECT k, customer_id, MAX(CASE WHEN own AND n > 1 THEN e * n / (n - 1) END) AS a, MIN(CASE WHEN NOT own THEN e END) AS b
+       FROM m GROUP BY k, customer_id),
+s AS (SELECT k, COUNT(*) AS n, SUM(CAST(floor(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) <= 0 THEN 0
+        ELSE (b - a) / greatest(a, b) END * CAST(1000000 AS DOUBLE)) AS BIGINT)) AS t FROM ab GROUP BY k),
+t AS (SELECT k, SUM(cost) AS cost FROM g GROUP BY k)
+SELECT CAST(k AS INTEGER) AS k, CAST(CAST(cost // 100000000 AS BIGINT) AS DOUBLE) / CAST(10000 AS DOUBLE) AS cost,
+       CAST(CAST(t.t AS BIGINT) AS DOUBLE) / CAST(n AS DOUBLE) / CAST(1000000 AS DOUBLE) AS silhouette
+FROM (SELECT s.k, s.n, s.t, t.cost FROM s JOIN t ON s.k = t.k) t
+""")
 def q_choose_k(spark, d):
-    """Cost and silhouette for k = 2..6. Rows only."""
+    """Cost and silhouette for k = 2..6, all in the same passes."""
     return C.choose_k(_features(spark, d), [2, 3, 4, 5, 6], seed=1)
 
 

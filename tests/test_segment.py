@@ -85,3 +85,50 @@ def test_profile_shares(spark):
     rows = {r.segment: r for r in C.profile(df).collect()}
     assert rows[0].customers == 2 and rows[0].mean_recency == 2.0 and rows[0].mean_monetary == 4.0
     assert sum(r.share for r in rows.values()) == pytest.approx(1.0)
+
+
+def test_segments_do_not_depend_on_placement(spark):
+    """Same centres, costs and silhouettes, bit for bit, from 1, 4 and 16 partitions."""
+    df = _planted(spark)
+    cols = ["r", "f", "m", "c"]
+    fits = [C.fit_segments(df.repartition(p + 1), 4, seed=2, cols=cols, key="id", partitions=p, rank_by="m") for p in (1, 4, 16)]
+    assert all(f == fits[0] for f in fits)
+    tables = [C.choose_k(df, [2, 3, 5], seed=2, cols=cols, key="id", partitions=p).collect() for p in (1, 4, 16)]
+    assert tables[1] == tables[0] and tables[2] == tables[0]
+
+
+def test_choose_k_equals_brute_force(spark):
+    """Cost and silhouette against all pairs of rows in plain Python."""
+    df = _planted(spark)
+    cols = ["r", "f", "m"]
+    seg = C.fit_segments(df, 3, seed=5, cols=cols, key="id", rank_by="m")
+    zs = [seg.scaling.units(c) for c in cols]
+    pts = [(r[0], [r[i] / C.MICRO for i in (1, 2, 3)]) for r in
+           seg.transform(df).select("segment", *[z.alias(f"z{i}") for i, z in enumerate(zs)]).collect()]
+
+    def d(p, q):
+        return sum((x - y) ** 2 for x, y in zip(p, q))
+    inverse = {s: c for c, s in enumerate(seg.order)}
+    cost = sum(d(p, [v / C.MICRO for v in seg.centres[inverse[s]]]) for s, p in pts)
+    sil = 0.0
+    for i, (s, p) in enumerate(pts):
+        mean = {t: [d(p, q) for j, (u, q) in enumerate(pts) if u == t and j != i] for t in range(3)}
+        mean = {t: sum(v) / len(v) for t, v in mean.items()}
+        a, b = mean[s], min(v for t, v in mean.items() if t != s)
+        sil += (b - a) / max(a, b) / len(pts)
+    got = C.choose_k(df, [3], seed=5, cols=cols, key="id").first()
+    assert got.cost == pytest.approx(cost, abs=2e-4)
+    assert got.silhouette == pytest.approx(sil, abs=2e-6)
+
+
+def test_segments_nulls_repeats_and_empty(spark):
+    df = _planted(spark)
+    odd = df.unionByName(df.limit(1).withColumn("id", F.lit(1000).cast("bigint")).withColumn("m", F.lit(None).cast("double")))
+    seg = C.fit_segments(odd, 3, seed=5, cols=["r", "m"], key="id", rank_by="m")
+    assert [r.segment for r in seg.transform(odd).where("id = 1000").collect()] == [None]
+    same = spark.createDataFrame([(i, 1.0) for i in range(5)], "id bigint, m double")
+    one = C.fit_segments(same, 3, cols=["m"], key="id", rank_by="m")       # fewer different rows than centres
+    assert {r.segment for r in one.transform(same).collect()} == {0}
+    assert C.choose_k(same, [2], cols=["m"], key="id").first() == (2, 0.0, 0.0)
+    none = C.fit_segments(same.limit(0), 3, cols=["m"], key="id", rank_by="m")
+    assert none.transform(same).where("segment IS NOT NULL").count() == 0
