@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from retail_marts.functions.columns import month_key
 from retail_marts.operators import marts as B
 from retail_marts.plans.warehouse import Warehouse, line_rules
 from retail_marts.session import scratch_path
@@ -99,7 +100,7 @@ from retail_marts.operators import etl as E  # noqa: E402
 from retail_marts.operators import warehouse as W  # noqa: E402
 from retail_marts.plans import standins  # noqa: E402
 from retail_marts.plans.star import customers_model, payments_model, ratings_model, sales_model, slice as star_slice  # noqa: E402
-from retail_marts.sources import SCHEMAS, read_table  # noqa: E402
+from retail_marts.sources import SCHEMAS, column_totals, read_table  # noqa: E402
 
 _READ_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                 "documents", "labels"]
@@ -120,6 +121,25 @@ def q_read_table(spark, d):
     return reduce(DataFrame.unionByName, parts)
 
 
+def _contents_sql(t: str) -> str:
+    """One line per column of a table: nulls, and the exact sum of a number (to four decimals), of the
+    characters of a text or of the days since 1970 of a time."""
+    kinds = {"string": "length({0})", "timestamp_ntz": "date_diff('day', DATE '1970-01-01', CAST({0} AS DATE))"}
+    one = []
+    for f in SCHEMAS[t].fields:
+        e = kinds.get(f.dataType.simpleString(), "{0}").format(f.name)
+        one.append(f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({f.name}) AS null_count, "
+                   f"CAST(coalesce(SUM(CAST({e} AS DECIMAL(28,4))), 0) AS DECIMAL(38,4)) AS total FROM {t}")
+    return "\nUNION ALL\n".join(one)
+
+
+@query("read_table_contents", "\nUNION ALL\n".join(_contents_sql(t) for t in _READ_TABLES))
+def q_read_table_contents(spark, d):
+    """Every declared column of every source read: rows, nulls and an exact sum."""
+    from functools import reduce
+    return reduce(DataFrame.unionByName, [column_totals(read_table(spark, d, t), t) for t in _READ_TABLES])
+
+
 ORDERS_STD_SPEC = {"o_orderstatus": "code", "o_totalprice": "money", "o_orderpriority": "code"}
 
 
@@ -248,6 +268,58 @@ def q_reconcile(spark, d):
          "o_totalprice")])
 
 
+def _rows_sql(name: str, cols: str, key: str, period: str, altered: str) -> str:
+    """The rows of ``name`` against ``altered`` (a query giving the same columns), as multisets, then by key."""
+    key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in key.split(", "))
+    return f"""SELECT '{name}' AS table_name, CAST(coalesce(min(p) FILTER (a), min(p)) AS INTEGER) AS period, key,
+  CASE WHEN count(*) FILTER (NOT a) < count(*) FILTER (a) THEN 'missing'
+       WHEN count(*) FILTER (NOT a) > count(*) FILTER (a) THEN 'extra' ELSE 'changed' END AS difference,
+  count(*) FILTER (a) AS source_rows, count(*) FILTER (NOT a) AS loaded_rows
+FROM (SELECT true AS a, {key} AS key, {period} AS p FROM {name}
+      UNION ALL SELECT false, {key}, {period} FROM ({altered}))
+WHERE key IN (SELECT {key} FROM ((SELECT {cols} FROM {name} EXCEPT ALL SELECT {cols} FROM ({altered}))
+              UNION ALL (SELECT {cols} FROM ({altered}) EXCEPT ALL SELECT {cols} FROM {name})))
+GROUP BY key"""
+
+
+def _columns(t: str) -> str:
+    return ", ".join(f.name for f in SCHEMAS[t].fields)
+
+
+_LINE_ENDS = "(SELECT {0}(l_orderkey * 100 + l_linenumber) FROM lineitem)"
+
+
+@query("reconcile_rows", "\nUNION ALL\n".join([
+    _rows_sql("orders", _columns("orders"), "o_orderkey", "coalesce(year(o_orderdate) * 100 + month(o_orderdate), -1)",
+              """SELECT * REPLACE (o_totalprice + CASE o_orderkey WHEN (SELECT min(o_orderkey) FROM orders) THEN 1
+                 WHEN (SELECT max(o_orderkey) FROM orders) THEN -1 ELSE 0 END AS o_totalprice) FROM orders"""),
+    _rows_sql("lineitem", _columns("lineitem"), "l_orderkey, l_linenumber", "coalesce(year(l_shipdate) * 100 + month(l_shipdate), -1)",
+              f"""SELECT * REPLACE (l_quantity + CASE l_orderkey * 100 + l_linenumber WHEN {_LINE_ENDS.format("min")} THEN 1
+                 WHEN {_LINE_ENDS.format("max")} THEN -1 ELSE 0 END AS l_quantity) FROM lineitem"""),
+    _rows_sql("events", _columns("events"), "event_id", "coalesce(year(ts) * 100 + month(ts), -1)",
+              """SELECT * REPLACE (CASE WHEN event_id = (SELECT max(event_id) FROM events) THEN NULL ELSE props END AS props) FROM events"""),
+    _rows_sql("labels", _columns("labels"), "doc_id", "-1",
+              """SELECT * FROM labels WHERE doc_id <> (SELECT max(doc_id) FROM labels)
+                 UNION ALL SELECT * FROM labels WHERE doc_id = (SELECT min(doc_id) FROM labels)"""),
+]))
+def q_reconcile_rows(spark, d):
+    """E5 by row: whole tables against copies in which two amounts changed so that sums agree, one value became
+    null, and one row was lost and another loaded twice."""
+    orders, li, ev, lab = (read_table(spark, d, t) for t in ("orders", "lineitem", "events", "labels"))
+    line = F.col("l_orderkey") * 100 + F.col("l_linenumber")
+    o, l, e, b = (df.agg(F.min(k).alias("lo"), F.max(k).alias("hi")).first()
+                  for df, k in ((orders, "o_orderkey"), (li, line), (ev, "event_id"), (lab, "doc_id")))
+
+    def shift(col, key, ends):
+        by = F.when(key == ends["lo"], 1.0).when(key == ends["hi"], -1.0).otherwise(0.0)
+        return {col: F.col(col) + by}
+    return E.reconcile_rows([
+        E.Compared("orders", orders, orders.withColumns(shift("o_totalprice", F.col("o_orderkey"), o)), ["o_orderkey"], month_key("o_orderdate")),
+        E.Compared("lineitem", li, li.withColumns(shift("l_quantity", line, l)), ["l_orderkey", "l_linenumber"], month_key("l_shipdate")),
+        E.Compared("events", ev, ev.withColumn("props", F.when(F.col("event_id") != e["hi"], F.col("props"))), ["event_id"], month_key("ts")),
+        E.Compared("labels", lab, lab.where(F.col("doc_id") != b["hi"]).unionByName(lab.where(F.col("doc_id") == b["lo"])), ["doc_id"])])
+
+
 # Warehouse ------------------------------------------------------------------------
 
 DIM_DATE_SQL = """

@@ -66,3 +66,57 @@ def test_reconcile_balances_and_empty_gives_one_line(spark):
     e = E.reconcile([("lines", {"source": empty, "accepted": empty, "rejected": empty, "loaded": empty},
                       "price")]).collect()
     assert len(e) == 1 and e[0].source_rows == 0 and e[0].source_amount == D("0.00") and e[0].balanced
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_reconcile_rows_finds_changes_that_cancel(spark):
+    a = spark.createDataFrame([(1, 1, D("5.00"), 202001), (2, 1, D("7.00"), 202001), (3, 1, D("9.00"), 202002), (4, 1, None, 202002)],
+                              "k int, n int, amt decimal(18,2), m int")
+    b = spark.createDataFrame([(4, 1, None, 202002), (3, 1, D("9.00"), 202002), (2, 1, D("6.00"), 202001), (1, 1, D("6.00"), 202001)], a.schema)
+    for buckets in (1, 2, 64):
+        for n in (1, 7):
+            got = E.reconcile_rows([E.Compared("t", a.repartition(n), b, ["k"], F.col("m"))], buckets)
+            assert _rows(got) == [("t", 202001, "1", "changed", 1, 1), ("t", 202001, "2", "changed", 1, 1)]
+    assert E.reconcile_rows([E.Compared("t", a, a.repartition(3), ["k"], F.col("m"))]).count() == 0
+
+
+def test_reconcile_rows_counts_repeats_nulls_and_moves(spark):
+    schema = "k string, x int, y int, m int"
+    a = spark.createDataFrame([("a", 1, None, 1), ("b", 2, 2, 1), ("b", 2, 2, 1), ("c", 3, 3, 1), (None, 4, 4, None)], schema)
+    b = spark.createDataFrame([("a", None, 1, 1), ("b", 2, 2, 1), ("c", 3, 3, 2), (None, 4, 4, None), (None, 4, 4, None)], schema)
+    got = E.reconcile_rows([E.Compared("t", a, b, ["k"], F.col("m"))])
+    assert _rows(got) == [("t", -1, "", "extra", 1, 2),           # repeated, without key or month
+                          ("t", 1, "a", "changed", 1, 1),         # null moved to another column
+                          ("t", 1, "b", "missing", 2, 1),
+                          ("t", 1, "c", "changed", 1, 1)]         # moved to another month
+    empty = a.limit(0)
+    assert E.reconcile_rows([E.Compared("t", empty, empty, ["k"])]).count() == 0
+    assert {r[3] for r in _rows(E.reconcile_rows([E.Compared("t", a, empty, ["k"])]))} == {"missing"}
+
+
+def test_reconcile_rows_refuses_other_columns(spark):
+    import pytest
+    a = spark.createDataFrame([(1, 2)], "k int, x int")
+    with pytest.raises(ValueError):
+        E.reconcile_rows([E.Compared("t", a, a.withColumn("x", F.col("x").cast("bigint")), ["k"])])
+
+
+def test_reconcile_rows_holds_a_hot_key(spark):
+    """A third of the rows under one key is one line of each task's partial aggregate, not a task of its own."""
+    a = spark.range(30_000, numPartitions=6).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    b = a.withColumn("v", F.when(F.col("v") == 3, F.lit(4)).otherwise(F.col("v")))
+    got = _rows(E.reconcile_rows([E.Compared("t", a, b, ["k"])]))
+    assert got == [("t", -1, "0", "changed", 10_000, 10_000)]
+
+
+def test_column_totals(spark):
+    import datetime as dt
+    from retail_marts.sources import column_totals
+    df = spark.createDataFrame([(1, "ab", 1.5, dt.datetime(1970, 1, 3)), (None, None, 2.25, None), (2, "cde", None, dt.datetime(1970, 1, 2))],
+                               "n bigint, s string, d double, t timestamp_ntz")
+    got = {r.column_name: (r.row_count, r.null_count, r.total) for r in column_totals(df, "x").collect()}
+    assert got == {"n": (3, 1, D("3.0000")), "s": (3, 1, D("5.0000")), "d": (3, 1, D("3.7500")), "t": (3, 1, D("3.0000"))}
+    assert [r.row_count for r in column_totals(df.limit(0), "x").collect()] == [0] * 4
