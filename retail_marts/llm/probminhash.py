@@ -111,8 +111,10 @@ _SIGNED = "node long, bands array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    done: set[int] = set()  # a text that the task has signed already isn't signed again
     for whole in batches:
-        for b in T.chunks(whole):
+        fresh = [n not in done and not done.add(n) for n in whole.column("node").to_pylist()]
+        for b in T.chunks(whole.filter(pa.array(fresh, pa.bool_()))):
             words = T.Words(b.column("text"))
             h, d, w = weighted_shingles(words)
             sig = signatures(h, d, w, b.num_rows)
@@ -177,11 +179,15 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     texts = scratch.put(rows.where("worded").groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
                         .select("key", node.alias("node"), "first", "copies"), "texts")
     signed = src.where("text IS NOT NULL").select(node.alias("node"), "text").mapInArrow(_sign, _SIGNED)
-    posted = scratch.put(signed.select("node", F.explode("bands").alias("band")).distinct(), "posted")
+    posted = scratch.put(signed.select("node", F.explode("bands").alias("band")), "posted")  # copies in other tasks post again
     # a bucket's centre is the member that meets most others; every other member is compared with it
-    sizes = posted.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    member = scratch.put(posted.join(sizes, "band"), "members")
+    sizes = (posted.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("x"), F.max("node").alias("y"))
+             .where("x <> y").select("band", "n"))
+    member = scratch.put(posted.join(sizes, "band").distinct(), "members")
     scratch.drop(posted)
+    # the texts that any pair can need, once for every round of verification
+    some = member.select("node").distinct()
+    whole = scratch.put(src.select(node.alias("node"), "text").join(some, "node", "left_semi").dropDuplicates(["node"]), "whole")
     met = member.groupBy("node").agg(F.sum("n").alias("met"))
     named = scratch.put(member.join(met, "node").select("band", "n", "node", F.struct("met", "node").alias("rank")), "ranked")
     centre = scratch.put(named.groupBy("band").agg(F.max("rank").alias("top")), "centres")
@@ -190,14 +196,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     scratch.drop(member)
     # first its best centre for every member, then one centre of each class that its buckets lead to besides its own
     first = star.groupBy("node").agg(F.max("top").alias("top")).select(F.col("node").alias("a"), F.col("top.node").alias("b"))
-    links = scratch.put(_linked(src, node, first, threshold, scratch), "links")
+    links = scratch.put(_linked(whole, F.col("node"), first, threshold, scratch), "links")
     labels = scratch.put(components(links, scratch), "labels")
     to = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
     apart = (star.select("node", F.col("top.node").alias("b")).join(labels, "node", "left").join(to, "b", "left")
              .withColumn("la", F.coalesce("label", "node")).withColumn("lb", F.coalesce("lb", "b")).where("la <> lb")
              .groupBy("node", "lb").agg(F.max("b").alias("b")).select(F.col("node").alias("a"), "b"))
-    apart = apart.join(first, ["a", "b"], "left_anti")
-    links = scratch.put(links.union(_linked(src, node, apart, threshold, scratch)), "links")
+    apart = scratch.put(apart.join(first, ["a", "b"], "left_anti"), "apart")
+    links = scratch.put(links.union(_linked(_of(whole, apart), F.col("node"), apart, threshold, scratch)), "links")
     labels = scratch.put(components(links, scratch), "labels")
     scratch.drop(star)
     # members of buckets that still hold several classes: compared by what they share beyond the frequent shingles
@@ -205,7 +211,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     open_ = scratch.put(both.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band"), "several")
     left = scratch.put(both.join(open_, "band").select("node", "label").distinct(), "open")
     scratch.drop(named, centre, open_)
-    more = scratch.put(_linked(src, node, _rare_pairs(src, node, left, threshold, scratch), threshold, scratch), "more")
+    rare = scratch.put(_rare_pairs(whole, left, threshold, scratch), "rare")
+    more = scratch.put(_linked(_of(whole, rare), F.col("node"), rare, threshold, scratch), "more")
     if not more.isEmpty():
         old, labels = labels, scratch.put(components(links.union(more), scratch), "labels")
         scratch.drop(old)
@@ -220,7 +227,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     return out.select("doc_id", own.alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"), "key", "group")
 
 
-def _rare_pairs(src: DataFrame, node: Column, open_: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+def _rare_pairs(whole: DataFrame, open_: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """Every pair (a, b) of nodes of different labels that can reach ``threshold``, found by its rarest shared shingle.
 
     Let X and Y be the shares of two documents' shingle weight that lies in shingles of both. Their
@@ -230,7 +237,7 @@ def _rare_pairs(src: DataFrame, node: Column, open_: DataFrame, threshold: float
     shingles are listed, up to these weights, and a pair meets in one that is in a short list. What a large
     group shares comes last in every list and pairs nobody.
     """
-    own = src.select(node.alias("node"), "text").join(open_.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    own = whole.join(open_.select("node"), "node", "left_semi")
     bag = scratch.put(own.mapInArrow(_bag, "node long, shingle long, w double"), "bag")
     common = bag.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     shared = scratch.put(bag.join(common, "shingle"), "common")
@@ -257,18 +264,20 @@ def _bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(d)), pa.array(h.view(np.int64)), pa.array(w)], names=["node", "shingle", "w"])
 
 
-def _linked(src: DataFrame, node: Column, pairs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
-    """Pairs (u, v) whose exact similarity, from the whole texts, reaches the threshold."""
-    pairs = scratch.put(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
+def _of(whole: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of the documents in ``pairs``."""
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    whole = scratch.put(src.select(node.alias("node"), "text").join(ids, "node", "left_semi").dropDuplicates(["node"]), "whole")
-    found = (pairs.join(whole.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-             .join(whole.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    return whole.join(ids, "node", "left_semi")
+
+
+def _linked(whole: DataFrame, node: Column, pairs: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """Pairs (u, v) whose exact similarity, from the whole texts, reaches the threshold."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+    found = (pairs.join(whole.select(node.alias("a"), F.col("text").alias("text_a")), "a")
+             .join(whole.select(node.alias("b"), F.col("text").alias("text_b")), "b")
              .mapInArrow(_similarity, "a long, b long, sim double").where(F.col("sim") >= threshold - 1e-12)
              .select(F.col("a").alias("u"), F.col("b").alias("v")))
-    out = scratch.put(found, "found")
-    scratch.drop(pairs, whole)
-    return out
+    return scratch.put(found, "found")
 
 
 def op5_probminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
