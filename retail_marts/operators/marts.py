@@ -8,6 +8,8 @@ runs over months, types or scores, whose count does not grow with the data.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -236,6 +238,46 @@ def payments_pivot(pay: DataFrame, types: list[str], period: str = "month") -> D
     return p.select(period, *[F.col(f"`{t}`").cast(MONEY).alias(f"amount_{t.lower()}") for t in types])
 
 
+def payment_sketches(pay: DataFrame, by: list[str], k: int = 800) -> DataFrame:
+    """B12, approximate form, to be stored: payments, amount and a KLL quantile sketch of the amounts per ``by``
+    and month (``month`` null: undated).
+
+    A sketch's size depends on ``k`` alone (some kilobytes) and is built map-side, so a hot type shuffles
+    sketches, not rows. Payments without an amount are counted but not sketched. ``sketch_stats``
+    merges the sketches over any set of months and any coarser grouping.
+    """
+    value = F.col("amount").cast("double")
+    return (pay.withColumn("month", month_start("paid_at")).groupBy(*by, "month")
+               .agg(F.count(F.lit(1)).alias("payments"), _sum_money("amount").alias("amount"),
+                    F.kll_sketch_agg_double(value, F.lit(k)).alias("sketch")))
+
+
+def sketch_stats(stored: DataFrame, by: list[str], ranks: dict[str, float] | None = None) -> DataFrame:
+    """Payments, amount, mean and approximate quantiles per ``by`` from rows of ``payment_sketches`` (filter them to a
+    period first). With k = 800 a quantile's rank is off by less than 0.01 (99 % bound: about 0.004);
+    ``ranks`` maps output names to ranks. A group without amounts has null quantiles."""
+    ranks = ranks or {"median_amount": 0.5, "p90_amount": 0.9, "p99_amount": 0.99}
+    m = stored.groupBy(*by).agg(F.sum("payments").cast("bigint").alias("payments"), _sum_money("amount").alias("amount"),
+                                F.kll_merge_agg_double("sketch").alias("_s"))
+    some = F.kll_sketch_get_n_double("_s") > 0
+    return m.select(*by, "payments", "amount", ratio("amount", "payments").alias("mean_amount"),
+                    *[F.when(some, F.kll_sketch_get_quantile_double("_s", F.lit(float(r)))).alias(n) for n, r in ranks.items()])
+
+
+def rank_errors(pay: DataFrame, quantiles: DataFrame, by: list[str], ranks: dict[str, float]) -> DataFrame:
+    """How far each quantile's exact rank in ``pay`` lies from the asked one, per ``by`` (0 where the asked rank falls within
+    the share of rows equal to it): one aggregate, ``quantiles`` holding a row per group."""
+    q = quantiles.select(*[F.col(c).alias(f"_{c}") for c in by], *ranks)
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    v = F.col("amount").cast("double")
+    rows = pay.where("amount IS NOT NULL").join(q, on)
+    agg = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"),
+                                *[F.sum((v < F.col(n)).cast("bigint")).alias(f"_lt_{n}") for n in ranks],
+                                *[F.sum((v <= F.col(n)).cast("bigint")).alias(f"_le_{n}") for n in ranks])
+    return agg.select(*by, *[F.greatest(ratio(f"_lt_{n}", "_n") - F.lit(r), F.lit(r) - ratio(f"_le_{n}", "_n"), F.lit(0.0)).alias(n)
+                             for n, r in ranks.items()])
+
+
 def payment_stats(pay: DataFrame, by: list[str], exact: bool = True,
                   accuracy: int = 10000, **kw) -> DataFrame:
     """Payments, mean, median, p90 and p99 of the amount per ``by``.

@@ -21,8 +21,9 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retail_marts.functions.columns import ratio
 from retail_marts.operators.ranking import running_total
@@ -238,11 +239,20 @@ def evaluate(df: DataFrame, label: str, score: str, cut: float, **kw) -> DataFra
 def score_batch(model: PipelineModel, df: DataFrame, key: str, path: str | None = None,
                 version: str | None = None, cut: float = 0.5) -> DataFrame:
     """Score rows in batch: key, probability of class 1, class at ``cut``,
-    model version. Written to ``path`` (Parquet) when given."""
+    model version. With ``path``, written there (Parquet) in the version's own
+    partition: a repeated run replaces its version and leaves the others alone
+    (``read_scores`` reads all of them); the rows written are returned, not scored again."""
     version = version or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
     out = predict(model, df).select(key, "score", (F.col("score") >= cut).cast("int").alias("predicted"),
                                     F.lit(version).alias("model_version"))
     if path:
-        out.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(out.schema).parquet(path)  # not scored again
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model_version").parquet(path)
+        return read_scores(df.sparkSession, path, df.schema[key].dataType, key).where(F.col("model_version") == version)
     return out
+
+
+def read_scores(spark: SparkSession, path: str, key_type: T.DataType, key: str) -> DataFrame:
+    """Every stored version of ``score_batch``; a filter on ``model_version`` prunes the folders read."""
+    schema = T.StructType([T.StructField(key, key_type), T.StructField("score", T.DoubleType()),
+                           T.StructField("predicted", T.IntegerType()), T.StructField("model_version", T.StringType())])
+    return spark.read.schema(schema).parquet(path)

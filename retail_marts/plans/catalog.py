@@ -732,6 +732,25 @@ def q_payment_stats(spark, d):
     return B.payment_stats(wh(spark, d).payments(), ["payment_type"])
 
 
+_RANKS = {"median_within": 0.5, "p90_within": 0.9, "p99_within": 0.99}
+
+
+@query("payment_stats_sketched", f"""
+WITH {PAY_ALL_SQL}
+SELECT payment_type, COUNT(*) AS payments, CAST(SUM(amount) AS DECIMAL(18,2)) AS amount,
+       1 AS median_within, 1 AS p90_within, 1 AS p99_within
+FROM pay GROUP BY 1
+""")
+def q_payment_stats_sketched(spark, d):
+    """B12 from stored monthly sketches merged per type; 1 where the quantile's exact rank is within 0.01 of the asked one."""
+    pay = wh(spark, d).payments()
+    stored = B.payment_sketches(pay, ["payment_type"])
+    got = B.sketch_stats(stored, ["payment_type"], _RANKS)
+    off = B.rank_errors(pay, got, ["payment_type"], _RANKS)
+    return (got.select(F.col("payment_type").alias("_t"), "payments", "amount").join(off, F.col("_t").eqNullSafe(F.col("payment_type")))
+            .select("payment_type", "payments", "amount", *[(F.col(n) <= 0.01).cast("int").alias(n) for n in _RANKS]))
+
+
 @query("rating_distribution", f"""
 WITH r AS ({RATINGS_SQL}),
 d AS (SELECT lang, score, COUNT(*) AS ratings FROM r GROUP BY 1, 2)
@@ -1195,3 +1214,23 @@ def q_score_batch(spark, d):
     m = P.train(lab, "rf", P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=1 << 12),
                 weighted=True)
     return P.score_batch(m, unl, "rating_id", version="rf-v1")
+
+
+@query("score_versions", """
+WITH u AS (SELECT COUNT(*) AS n, COUNT(DISTINCT d.doc_id) AS k FROM documents d
+           WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id))
+SELECT 'rf-v1' AS model_version, n AS scored, k AS reviews, n AS within FROM u
+UNION ALL SELECT 'rf-v2', n, k, n FROM u
+""")
+def q_score_versions(spark, d):
+    """Every unlabelled review scored and stored under two model versions, one of them twice; read back per version."""
+    lab, unl = _training(spark, d)
+    lab = lab.checkpoint(eager=True)
+    path = scratch_path(spark, "scores-" + uuid.uuid4().hex[:8])
+    features = P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=1 << 12)
+    model = P.train(lab, "rf", features, weighted=True)
+    for version, cut in (("rf-v1", 0.5), ("rf-v2", 0.6), ("rf-v1", 0.4)):
+        P.score_batch(model, unl, "rating_id", path, version, cut)
+    return (P.read_scores(spark, path, unl.schema["rating_id"].dataType, "rating_id").groupBy("model_version")
+            .agg(F.count(F.lit(1)).alias("scored"), F.countDistinct("rating_id").alias("reviews"),
+                 F.sum(F.col("score").between(0, 1).cast("bigint")).alias("within")))

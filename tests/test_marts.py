@@ -176,3 +176,26 @@ def test_payment_stats_null_type_group_and_approx(spark):
     assert set(approx) == set(rows)
     total = B.payment_stats(_pay(spark), []).collect()
     assert len(total) == 1 and total[0].payments == 6
+
+
+def test_stored_sketches_merge_to_any_period(spark):
+    """Quantiles from monthly sketches, merged, lie within 0.01 of the asked rank; counts and sums are exact."""
+    from retail_marts.operators import marts
+    pay = spark.range(60_000, numPartitions=7).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE concat('t', id % 2) END AS payment_type",
+        "CASE WHEN id % 100 = 7 THEN NULL ELSE CAST(pow(hash(id) % 1000, 2) / 100 AS DECIMAL(18,2)) END AS amount",
+        "CASE WHEN id % 50 = 1 THEN NULL ELSE timestamp_ntz '2020-01-15' + make_interval(0, CAST(id % 12 AS INT)) END AS paid_at")
+    ranks = {"q1": 0.01, "q50": 0.5, "q99": 0.99}
+    stored = marts.payment_sketches(pay, ["payment_type"]).checkpoint()
+    assert 0 < stored.count() <= 3 * 13
+    for part, rows in ((stored, pay), (stored.where("month < '2020-05-01'"), pay.where("paid_at < '2020-05-01'"))):
+        got = marts.sketch_stats(part, ["payment_type"], ranks)
+        off = marts.rank_errors(rows, got, ["payment_type"], ranks).collect()
+        assert len(off) == 3 and all(0 <= r[n] <= 0.01 for r in off for n in ranks)
+        want = {r.payment_type: (r.n, r.s) for r in rows.groupBy("payment_type").agg(F.count(F.lit(1)).alias("n"), F.sum("amount").alias("s")).collect()}
+        assert {r.payment_type: (r.payments, r.amount) for r in got.collect()} == want
+    whole = marts.sketch_stats(stored, [], ranks).collect()
+    assert len(whole) == 1 and whole[0].payments == 60_000
+    none = pay.where("payment_type = 't1'").withColumn("amount", F.lit(None).cast("decimal(18,2)"))
+    assert marts.sketch_stats(marts.payment_sketches(none, ["payment_type"]), ["payment_type"]).first().median_amount is None
+    assert marts.sketch_stats(marts.payment_sketches(pay.limit(0), ["payment_type"]), ["payment_type"]).count() == 0

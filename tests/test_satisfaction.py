@@ -103,3 +103,18 @@ def test_score_batch_writes_with_version(spark, tmp_out):
     back = spark.read.parquet(path)
     assert back.count() == 200 and back.select("model_version").distinct().collect()[0][0] == "v7"
     assert back.filter((F.col("score") < 0) | (F.col("score") > 1)).count() == 0
+
+
+def test_a_repeated_run_replaces_its_own_version_alone(spark, tmp_out):
+    df = _signal(spark, 200)
+    m = P.train(df.filter("part = 'train'").drop("part"), "logreg", P.feature_pipeline(["x1"], ["cat"], "text", num_text_features=1 << 8))
+    path = tmp_out + "/scores"
+    rows = df.drop("label")
+    P.score_batch(m, rows, "id", path, version="v1")
+    P.score_batch(m, rows.limit(50), "id", path, version="v2")
+    again = P.score_batch(m, rows.limit(70), "id", path, version="v1")
+    assert again.count() == 70 and {r.model_version for r in again.collect()} == {"v1"}
+    stored = P.read_scores(spark, path, df.schema["id"].dataType, "id")
+    assert {r.model_version: r["count"] for r in stored.groupBy("model_version").count().collect()} == {"v1": 70, "v2": 50}
+    plan = stored.where("model_version = 'v2'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(model_version" in plan
