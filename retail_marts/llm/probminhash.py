@@ -44,6 +44,7 @@ from retail_marts.llm.common import Scratch, table
 
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
+PRIOR = 16  # rarer shingles that a listed one carries, so that a pair is made once and not at every shared shingle
 _G = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -242,19 +243,24 @@ def _rare_pairs(whole: DataFrame, open_: DataFrame, threshold: float, scratch: S
     common = bag.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     shared = scratch.put(bag.join(common, "shingle"), "common")
     scratch.drop(bag)
-    rest = Window.partitionBy("node").orderBy(F.desc("df"), F.desc("shingle")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    falling = Window.partitionBy("node").orderBy(F.desc("df"), F.desc("shingle"))
+    rest = falling.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # weight before a shingle in rising frequency: all that isn't in it or after it
-    before = shared.withColumn("before", 1.0 - F.sum("w").over(rest))
-    listed = before.where(F.col("before") <= 1 - threshold + 1e-9).select("shingle", "node", "before", (F.col("before") <= (1 - threshold) / (1 + threshold) + 1e-9).alias("short"))
+    before = (shared.withColumn("before", 1.0 - F.sum("w").over(rest))
+              .withColumn("prior", F.collect_list("shingle").over(falling.rowsBetween(1, PRIOR))))
+    listed = before.where(F.col("before") <= 1 - threshold + 1e-9).select("shingle", "node", "before", "prior", (F.col("before") <= (1 - threshold) / (1 + threshold) + 1e-9).alias("short"))
     listed = scratch.put(listed.join(open_, "node"), "listed")
     scratch.drop(shared)
     able = listed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("short").alias("s")).where("x <> y AND s").select("shingle")
     met = scratch.put(listed.join(able, "shingle"), "met")
-    a = met.where("short").select("shingle", F.col("node").alias("a"), F.col("label").alias("la"), (1 / (1 - F.col("before"))).alias("xa"))
-    b = met.select("shingle", F.col("node").alias("b"), F.col("label").alias("lb"), (1 / (1 - F.col("before"))).alias("xb"))
+    a = met.where("short").select("shingle", F.col("node").alias("a"), F.col("label").alias("la"), (1 / (1 - F.col("before"))).alias("xa"), F.col("prior").alias("pa"))
+    b = met.select("shingle", F.col("node").alias("b"), F.col("label").alias("lb"), (1 / (1 - F.col("before"))).alias("xb"), F.col("prior").alias("pb"), F.col("short").alias("sb"))
     # were this the rarest shared one, X and Y were at most what is left: the pair must still reach the threshold
     able = F.col("xa") + F.col("xb") <= 1 + 1 / threshold + 1e-8
-    return a.join(b, "shingle").where((F.col("la") != F.col("lb")) & able & (F.col("a") != F.col("b"))).select("a", "b")
+    # a pair that shares one of the rarer shingles just before has met there, where both conditions are weaker
+    first = ~F.arrays_overlap("pa", "pb")
+    once = (F.col("a") < F.col("b")) | ~F.col("sb")
+    return a.join(b, "shingle").where((F.col("la") != F.col("lb")) & able & (F.col("a") != F.col("b")) & once & first).select("a", "b")
 
 
 def _bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
