@@ -7,18 +7,20 @@ the value's symbols inside its own format. All of it is SQL functions over array
 no Python runs on the executors. The same key gives equal values equal pseudonyms in every
 document, so links survive.
 
-A prefix ends where a whole group does. An IBAN is tried at its country's length first, a
-phone number after +1 or +7 at 11 digits. Other phone numbers have no length of their own: a
+A prefix ends where a whole group does. An IBAN is tried at its country's length first, a card
+number at its issuer's (15, 14 or 16 digits), a phone number at its country's: what follows such a
+value doesn't change its pseudonym. Phone numbers of other countries have no length of their own: a
 group of digits after one is taken with it as far as 15 digits.
 
 | kind | validated by | permuted | kept |
 | --- | --- | --- | --- |
 | card number | 13 to 19 digits, Luhn | all digits but the last | separators; the check digit is made anew |
-| IBAN | remainder modulo 97 | account part, letters as letters | country, spaces; check digits made anew |
-| phone | 10 to 15 digits | digits after the country code | country code, separators |
+| IBAN | remainder modulo 97; in small letters the country's length too | account part, letters as letters | country, spaces, case; check digits made anew |
+| phone | 10 to 15 digits; without + in groups of 3-3-4 or after a leading 0, alone among digits | digits after the country code | country code, separators |
 | social security number | area, group, serial not void | all digits | hyphens |
 | IPv4 address | octets up to 255 | the four octets | dots |
-| date 1800 to 2199 | calendar | the day's number in the 400 years | order, separators, zero padding |
+| IPv6 address | eight groups, or fewer with `::` after one that holds a digit | the eight groups | case; written without `::` |
+| date 1800 to 2199 | calendar; digits, or an English month's name between them | the day's number in the 400 years | order, separators, zero padding, a time after T |
 | mail address | address syntax | local part, letters as letters | case, dots, domain |
 
 Feistel: symbols s_i with radix r_i are cut into halves that take turns; in each
@@ -40,22 +42,39 @@ from pyspark.sql import functions as F
 from retail_marts.llm.common import free_name, table
 
 ROUNDS = 10
-#: Only a default for trials; a run that must not be undone by others passes its own key.
-DEFAULT_KEY = "change-me"
+#: Session setting with the key of the registered query and the pipeline.
+KEY_SETTING = "spark.retail_marts.pii.key"
+#: Their key where it is unset, for trials: anyone who reads this can undo it.
+TRIAL_KEY = "change-me"
 
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-DATE = r"\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}"
+DATE = r"\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{4}\.\d{2}\.\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{2}-\d{2}-\d{4}"
+MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+MONTH = (r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?"
+         r"|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)")
+DATE_NAMED = rf"\d{{1,2}} {MONTH} \d{{4}}"
 IPV4 = r"\d{1,3}(?:\.\d{1,3}){3}"
+HEX = "[0-9A-Fa-f]{1,4}"
+IPV6 = rf"(?<!:)(?:(?:{HEX}:){{7}}{HEX}|(?=[A-Fa-f]{{0,3}}[0-9])(?:{HEX}:){{1,6}}(?::{HEX}){{1,6}})(?!:)"
 PHONE = (r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
          r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}")
+#: National numbers, only where no other group of digits stands beside them.
+NATIONAL = r"(?<!\d )(?:[2-9]\d{2} \d{3} \d{4}|0\d{2,4} \d{3,4} \d{3,4})(?! \d)"
+#: Digits of a phone number with its country code, likeliest first.
+PHONE_DIGITS = {(11,): "1 7 27 30 31 33 34 36 41 46 48 60 61 66", (12,): "20 40 44 52 57 62 63 82 90 91 92 351 380 420", (10, 11): "32 45 47 64 65",
+                (12, 11, 13): "39 43 49 353 358", (12, 11): "81 54", (13, 12): "55 86"}
 CARD = r"\d(?:[ -]?\d){12,18}"
+CARD_DOTS = r"\d{4}(?:\.\d{4}){3}|\d{4}\.\d{6}\.\d{5}"
+#: A card number may have a hyphen and one or two digits after it.
+CARD_END = r"(?![A-Za-z0-9]|\.\d|-\d{3})"
 SSN = r"\d{3}-\d{2}-\d{4}"
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
-END = r"(?![A-Za-z0-9]|[.-]\d)"
+IBAN_SMALL = r"[a-z]{2}\d{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?"
+END = r"(?![A-SU-Za-z0-9]|T(?!\d{2}:\d{2})|[.-]\d)"
 #: Where a candidate starts; no character is consumed, so starts inside a candidate are found too.
-START = rf"(?={MAIL}|(?<![A-Za-z0-9]|\d\.)(?:{DATE}|{IPV4}|{PHONE}|{CARD}|{SSN}|{IBAN}){END})"
-#: White space that no candidate holds, before a word with a digit or @: candidates hold single blanks between [A-Z0-9)] and [A-Z0-9(].
-BREAK = r"(?=[\t\n\x0B\f\r][^\s0-9@]*+[0-9@])|(?=(?:(?<![A-Z0-9)]) | (?![A-Z0-9(]))[^\s0-9@]*+[0-9@])"
+START = rf"(?={MAIL}|(?<![A-Za-z0-9]|\d\.)(?:{DATE}|{DATE_NAMED}|{IPV4}|{IPV6}|{PHONE}|{NATIONAL}|{CARD}|{CARD_DOTS}|{SSN}|{IBAN}|{IBAN_SMALL}){END})"
+#: White space that no candidate holds, before a word with a digit or @: candidates hold single blanks between [A-Z0-9)] or a month and [A-Z0-9(].
+BREAK = rf"(?=[\t\n\x0B\f\r][^\s0-9@]*+[0-9@])|(?=(?: (?<!(?:[A-Z0-9)]|{MONTH}) )| (?![A-Z0-9(]))[^\s0-9@]*+[0-9@])"
 #: No candidate is longer (a mail address: 64 + 1 + 8 * 64 + 24), one more character shows its end.
 REACH = 640
 #: Length of an IBAN by country; others are tried at every length.
@@ -171,30 +190,59 @@ def _ipv4(m: Column, key: str) -> Column:
     return F.when(F.forall(parts, lambda x: x < 256), new)
 
 
+def _ipv6(m: Column, key: str) -> Column:
+    short = m.contains("::")
+    left, right = F.split(F.substring_index(m, "::", 1), ":"), F.split(F.substring_index(m, "::", -1), ":")
+    zeros = F.array_repeat(F.lit("0"), F.lit(8) - F.size(left) - F.size(right))
+    groups = F.when(short, F.concat(left, zeros, right)).otherwise(F.split(m, ":"))
+    given = F.size(F.split(m, ":+"))
+
+    def new(g: Column) -> Column:
+        code = feistel(F.transform(g, lambda x: F.conv(x, 16, 10).cast("int")), F.array_repeat(F.lit(65536), 8), "ipv6", key)
+        out = F.array_join(F.transform(code, lambda x: F.hex(x)), ":")
+        return F.when(m.rlike("[A-F]"), out).otherwise(F.lower(out))
+
+    return F.when((short & (given < 8)) | (~short & (given == 8)), _let(groups, new))
+
+
+def _is_day(y: Column, mo: Column, d: Column) -> Column:
+    last = F.when(mo.isin(4, 6, 9, 11), 30).when(mo != 2, 31).when(
+        (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0)), 29).otherwise(28)
+    return y.between(1800, 2199) & mo.between(1, 12) & (d >= 1) & (d <= last)
+
+
+def _new_day(y: Column, mo: Column, d: Column, key: str, form) -> Column:
+    """``form`` of the pseudonym of a valid day."""
+    start = F.lit("1800-01-01").cast("date")
+    day = F.date_diff(F.make_date(y, mo, d), start)
+    code = feistel(F.array(F.floor(day / 773).cast("int"), (day % 773).cast("int")),
+                   F.array(F.lit(189), F.lit(773)), "date", key)
+    return _let(code, lambda c: _let(F.date_add(start, F.get(c, F.lit(0)) * 773 + F.get(c, F.lit(1))), form))
+
+
+def _two(x: Column, padded: Column) -> Column:
+    return F.when(padded, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string"))
+
+
 def _date(m: Column, key: str) -> Column:
-    part = [F.regexp_extract(m, r"^(\d+)\D(\d+)\D(\d+)$", i).cast("int") for i in (1, 2, 3)]
+    a, b, c = (F.regexp_extract(m, r"^(\d+)\D(\d+)\D(\d+)$", i).cast("int") for i in (1, 2, 3))
     mark = F.regexp_extract(m, r"^\d+(\D)", 1)
     padded = F.length(m) == 10
+    ymd = lambda t: F.concat(F.year(t).cast("string"), mark, _two(F.month(t), padded), mark, _two(F.day(t), padded))
+    dmy = lambda t: F.concat(_two(F.day(t), padded), mark, _two(F.month(t), padded), mark, F.year(t).cast("string"))
+    mdy = lambda t: F.concat(_two(F.month(t), padded), mark, _two(F.day(t), padded), mark, F.year(t).cast("string"))
+    return (F.when(a > 31, F.when(_is_day(a, b, c), _new_day(a, b, c, key, ymd)))
+            .when(_is_day(c, b, a), _new_day(c, b, a, key, dmy))
+            .when(mark.isin("/", "-") & _is_day(c, a, b), _new_day(c, a, b, key, mdy)))
 
-    def valid(y: Column, mo: Column, d: Column) -> Column:
-        last = F.when(mo.isin(4, 6, 9, 11), 30).when(mo != 2, 31).when(
-            (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0)), 29).otherwise(28)
-        return y.between(1800, 2199) & mo.between(1, 12) & (d >= 1) & (d <= last)
 
-    def new(y: Column, mo: Column, d: Column, form) -> Column:
-        start = F.lit("1800-01-01").cast("date")
-        day = F.date_diff(F.make_date(y, mo, d), start)
-        code = feistel(F.array(F.floor(day / 773).cast("int"), (day % 773).cast("int")),
-                       F.array(F.lit(189), F.lit(773)), "date", key)
-        return _let(code, lambda c: _let(F.date_add(start, F.get(c, F.lit(0)) * 773 + F.get(c, F.lit(1))), form))
-
-    two = lambda x: F.when(padded, F.lpad(x.cast("string"), 2, "0")).otherwise(x.cast("string"))
-    ymd = lambda t: F.concat(F.year(t).cast("string"), mark, two(F.month(t)), mark, two(F.day(t)))
-    dmy = lambda t: F.concat(two(F.day(t)), mark, two(F.month(t)), mark, F.year(t).cast("string"))
-    mdy = lambda t: F.concat(two(F.month(t)), mark, two(F.day(t)), mark, F.year(t).cast("string"))
-    a, b, c = part
-    return (F.when(a > 31, F.when(valid(a, b, c), new(a, b, c, ymd)))
-            .when(valid(c, b, a), new(c, b, a, dmy)).when((mark == "/") & valid(c, a, b), new(c, a, b, mdy)))
+def _date_named(m: Column, key: str) -> Column:
+    day, name, year = (F.regexp_extract(m, r"^(\d+) (\w+) (\d+)$", i) for i in (1, 2, 3))
+    y, d = year.cast("int"), day.cast("int")
+    mo = F.array_position(F.array(*map(F.lit, MONTHS)), F.substring(name, 1, 3)).cast("int")
+    form = lambda t: F.concat(_two(F.day(t), F.length(day) == 2), F.lit(" "), F.when(F.length(name) == 3, F.date_format(t, "MMM")).otherwise(
+        F.date_format(t, "MMMM")), F.lit(" "), F.year(t).cast("string"))
+    return F.when(_is_day(y, mo, d), _new_day(y, mo, d, key, form))
 
 
 def _mail(m: Column, key: str) -> Column:
@@ -209,10 +257,10 @@ def _valid(m: Column, new) -> Column:
         F.length(m).cast("int").alias("size"), q.alias("new")))))
 
 
-def _longest(w: Column, kind: str, first: str, more: str, sizes: Column, new) -> Column:
+def _longest(w: Column, kind: str, first: str, more: str, sizes: Column, new, end: str = END) -> Column:
     """The first of ``sizes`` (letters and digits) at which the start of ``w`` is of the kind and valid."""
     def prefix(n: Column) -> Column:
-        form = F.concat(F.lit(f"^{first}(?:{more}){{"), (n - 1).cast("string"), F.lit("}" + END))
+        form = F.concat(F.lit(f"^{first}(?:{more}){{"), (n - 1).cast("string"), F.lit("}" + end))
         m = F.call_function("regexp_extract", w, form, F.lit(0))
         return _let(m, lambda m: F.when(m.rlike(f"^(?:{kind})$"), m).otherwise(""))
 
@@ -222,14 +270,19 @@ def _longest(w: Column, kind: str, first: str, more: str, sizes: Column, new) ->
 def pseudonym(w: Column, key: str) -> Column:
     """Length and pseudonym of the value at the start of ``w``, null where there is none."""
     one = lambda p, new: _valid(F.regexp_extract(w, f"^(?:{p}){END}", 0), lambda m: new(m, key))
-    down = lambda own, top, least: F.concat(F.array(F.coalesce(own, F.lit(top))), F.sequence(F.lit(top), F.lit(least), F.lit(-1)))
-    land = F.create_map(*(F.lit(x) for pair in IBAN_LENGTH.items() for x in pair))
+    down = lambda own, top, least: F.concat(own, F.sequence(F.lit(top), F.lit(least), F.lit(-1)))
+    land = F.element_at(F.create_map(*(F.lit(x) for pair in IBAN_LENGTH.items() for x in pair)), F.upper(F.substring(w, 1, 2)))
+    none = F.array().cast("array<int>")
+    digits = F.coalesce(*(F.when(w.rlike(rf"^\+(?:{'|'.join(codes.split())})"), F.array(*map(F.lit, n))) for n, codes in PHONE_DIGITS.items()), none)
+    issuer = F.when(w.rlike("^3[47]"), 15).when(w.rlike("^3[068]"), 14).otherwise(16)
     return F.coalesce(
-        _valid(F.regexp_extract(w, f"^{MAIL}", 0), lambda m: _mail(m, key)), one(DATE, _date), one(IPV4, _ipv4),
-        F.when(w.rlike(f"^(?:{PHONE})"), _longest(w, PHONE, r"[+(]?\d", r"[ .()-]{0,2}\d", down(F.when(w.rlike(r"^\+[17]"), 11), 15, 10), lambda m: _phone(m, key))),
-        one(SSN, _ssn),
-        F.when(w.rlike(f"^{CARD}"), _longest(w, CARD, r"\d", r"[ -]?\d", F.sequence(F.lit(19), F.lit(13), F.lit(-1)), lambda m: _card(m, key))),
-        F.when(w.rlike(f"^{IBAN}"), _longest(w, IBAN, "[A-Z]", " ?[A-Z0-9]", down(F.element_at(land, F.substring(w, 1, 2)), 35, 12), lambda m: _iban(m, key))))
+        _valid(F.regexp_extract(w, f"^{MAIL}", 0), lambda m: _mail(m, key)), one(DATE, _date), one(DATE_NAMED, _date_named),
+        one(IPV4, _ipv4), one(IPV6, _ipv6), one(NATIONAL, _phone),
+        F.when(w.rlike(f"^(?:{PHONE})"), _longest(w, PHONE, r"[+(]?\d", r"[ .()-]{0,2}\d", down(digits, 15, 10), lambda m: _phone(m, key))),
+        one(SSN, _ssn), one(CARD_DOTS, _card),
+        F.when(w.rlike(f"^{CARD}"), _longest(w, CARD, r"\d", r"[ -]?\d", down(F.array(issuer), 19, 13), lambda m: _card(m, key), CARD_END)),
+        F.when(w.rlike(f"^{IBAN}"), _longest(w, IBAN, "[A-Z]", " ?[A-Z0-9]", down(F.when(land.isNull(), none).otherwise(F.array(land)), 35, 12), lambda m: _iban(m, key))),
+        F.when(land.isNotNull() & w.rlike(f"^{IBAN_SMALL}"), _longest(w, IBAN_SMALL, "[a-z]", " ?[a-z0-9]", F.array(land), lambda m: _iban(m, key))))
 
 
 def _scan(run: Column, key: str) -> Column:
@@ -247,7 +300,12 @@ def _scan(run: Column, key: str) -> Column:
     return F.aggregate(F.split(run, START, -1), zero, step, lambda s: F.struct(s["text"].alias("text"), s["n"].alias("n")))
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text: str = "text", count: str | None = None) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key in the session's setting, the trial key where it is unset."""
+    return spark.conf.get(KEY_SETTING, TRIAL_KEY)
+
+
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
     """The columns of ``docs`` with pseudonyms in ``text``; ``count`` names a column for the number of values replaced."""
     new = free_name(docs, "new")
     t = F.col(text)
@@ -265,4 +323,4 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text: str = "text", co
 def op9_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document: doc_id, text with pseudonyms, n_replaced."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return pseudonymise(docs, count="n_replaced")
+    return pseudonymise(docs, session_key(spark), count="n_replaced")

@@ -240,7 +240,7 @@ def test_pseudonyms_keep_format_and_links(spark):
     t = "card 4111 1111 1111 1111, on 2021-02-28 or 03/04/1999, call +49 170 1234567, Ann.Lee@mail.org, 10.0.0.255, 078-05-1120; DE89 3704 0044 0532 0130 00"
     bad = "4111 1111 1111 1112 and 2021-02-30 and 300.1.1.1 and 000-12-3456"
     rows = [(1, t), (2, f"again {t}"), (3, bad), (4, None), (5, ""), (6, LONG)]
-    got = {r["doc_id"]: r for r in feistel_pii.pseudonymise(docs(spark, rows).withColumn("found", F.lit("x")), count="n").collect()}
+    got = {r["doc_id"]: r for r in feistel_pii.pseudonymise(docs(spark, rows).withColumn("found", F.lit("x")), "key", count="n").collect()}
     assert got[2]["text"] == "again " + got[1]["text"] and got[1]["n"] >= 7
     same = lambda s: "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in s)
     no_ip = lambda x: re.sub(r"\d+(\.\d+){3}", "IP", x)
@@ -255,7 +255,7 @@ def test_pseudonyms_of_values_beside_other_digits_and_capitals(spark):
               ("", austrian, " IS mine"), ("", phone, " 1234 5678"), ("", phone, " 24 times"), ("no 12 ", card, " ok"), ("A1 ", iban, "."), ("7 ", "2021-02-28", " 12")]
     rows = [(i, a + v + b) for i, (a, v, b) in enumerate(beside)] + [(100 + i, v) for i, (_, v, _) in enumerate(beside)]
     rows += [(200, f"{amex} {card} {iban}"), (201, amex), (202, f"\n{card}\n"), (203, "7 " * 3000)]
-    got = {r["doc_id"]: r for r in feistel_pii.pseudonymise(docs(spark, rows), count="n").collect()}
+    got = {r["doc_id"]: r for r in feistel_pii.pseudonymise(docs(spark, rows), "key", count="n").collect()}
     for i, (a, v, b) in enumerate(beside):
         assert got[100 + i]["text"] != v and got[100 + i]["n"] == 1
         assert got[i]["text"] == a + got[100 + i]["text"] + b and got[i]["n"] == 1
