@@ -48,7 +48,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by pseudonyms; n_chars follows the text's new length."""
     old = free_name(docs, "old_length")
-    df = feistel_pii.pseudonymise(docs.withColumn(old, F.length("text")))
+    df = feistel_pii.pseudonymise(docs.withColumn(old, F.length("text")), feistel_pii.session_key(spark))
     if "n_chars" in docs.columns:
         df = df.withColumn("n_chars", (F.col("n_chars") + F.coalesce(F.length("text") - F.col(old), F.lit(0))).cast(docs.schema["n_chars"].dataType))
     return df.drop(old)
