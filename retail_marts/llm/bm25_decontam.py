@@ -10,14 +10,17 @@ Every passage of every document is a query: windows of 96 words that start every
 32, so any run of 65 words lies whole in one. Evaluation is block-max WAND over
 many passages at once:
 
+* threshold: that of an entry is the least weight a passage can hold and still verify
+  (its lighter side quoted to 0.8, or both to 0.5), and 0.35 at most, so retrieval is never stricter
+  than the verification behind it;
 * pivot: words are ordered by how common they are; the most common ones, which
-  together never reach half of the threshold in any entry, can't make a result alone, so
+  together never reach half of an entry's threshold, can't make a result alone, so
   only the others open blocks;
 * block bound: a passage goes on with a block only if the block's maxima of its
   words, plus what the common words could add, reach the threshold;
 * the entries of those blocks get their exact score from the passage's words.
 
-All entries at or above the threshold are retrieved and verified: the entry's
+All entries at or above their threshold are retrieved and verified: the entry's
 first half is its question, the second its answer (or the columns given), and
 their runs of five words are looked up in the passage with its neighbours. A
 document is contaminated if one part is found to 0.8 or both to 0.5. A part of fewer
@@ -62,6 +65,64 @@ def _grams(words: np.ndarray) -> np.ndarray:
     return np.unique(T.shingles(words, np.array([0, words.size]), n)[0])
 
 
+def _lost(weight: np.ndarray, cost: np.ndarray, drops: int, run: int) -> float:
+    """The most weight that words lose when runs of ``run`` words may be missing at a cost of ``drops`` in all.
+
+    A word is lost if every run that holds it is. Runs are taken from left to right, ``best[d, r]`` being the most
+    weight lost at cost d where the last r runs (``run`` at most) are missing: a word is lost once its last run is."""
+    m = cost.size
+    never = -1.0
+    best = np.full((drops + 1, run + 1), never)
+    best[0, run] = 0.0  # before the first run all are missing
+    for i in range(m):
+        new = np.full_like(best, never)
+        new[:, 0] = best.max(axis=1)  # run i is there
+        c = int(cost[i])
+        if c <= drops:
+            # run i missing: the word it is the last to hold, i itself, is lost if the run - 1 before it are missing too
+            from_ = best[:drops + 1 - c]
+            for r in range(run + 1):
+                to = min(r + 1, run)
+                gain = weight[i] if to == run else 0.0
+                new[c:, to] = np.maximum(new[c:, to], np.where(from_[:, r] >= 0, from_[:, r] + gain, never))
+        best = new
+    # words past the start of the last run: lost if all runs that hold them are missing
+    out = best[:, 0].max()
+    for r in range(1, run + 1):
+        tail = float(weight[max(m, m - r + run - 1):].sum())
+        top = best[:, r].max()
+        if top >= 0:
+            out = max(out, top + tail)
+    return max(float(out), 0.0)
+
+
+def least_weight(e: dict, weight: dict[int, float]) -> float:
+    """A lower bound of the weight of an entry's words in a passage that quotes enough of it to verify.
+
+    A repeated run costs nothing after its first, a repeated word has its weight shared by its places; both only lower the bound."""
+    def left(words: np.ndarray, grams: int, share: float, own: dict[int, float]) -> float:
+        run = min(GRAM, words.size)
+        each = [tuple(words[i:i + run].tolist()) for i in range(words.size - run + 1)]
+        seen: set = set()
+        cost = np.array([0 if g in seen or seen.add(g) else 1 for g in each])
+        w = np.array([own[t] for t in words.tolist()])
+        drops = grams - int(np.ceil(share * grams - 1e-9))
+        return float(w.sum()) - _lost(w, cost, drops, run)
+
+    def spread(places: np.ndarray) -> dict[int, float]:
+        t, n = np.unique(places, return_counts=True)
+        return {x: weight[x] / k for x, k in zip(t.tolist(), n.tolist())}
+
+    sides = [(e["side"][k], e[k].size) for k in ("question", "answer") if e[k].size]
+    if not sides:
+        return 0.0
+    bounds = [left(x, n, ONE_PART, spread(x)) for x, n in sides]
+    if len(sides) == 2:
+        both = spread(np.concatenate([x for x, _ in sides]))
+        bounds.append(sum(left(x, n, BOTH_PARTS, both) for x, n in sides))
+    return min(bounds)
+
+
 def entries(items: list[tuple[int, str, str]]) -> list[dict]:
     """Entries of (item_id, question, answer) rows; an empty answer means: second half of the text."""
     out = []
@@ -77,7 +138,7 @@ def entries(items: list[tuple[int, str, str]]) -> list[dict]:
             terms, tf = np.unique(part, return_counts=True)
             sides = {"question": part[own], "answer": part[~own]}
             sides = {k: x if x.size >= LEAST else part if part.size >= GRAM else part[:0] for k, x in sides.items()}
-            out.append({"item": item, "n": part.size, "terms": terms, "tf": tf, "words": {k: x.size for k, x in sides.items()},
+            out.append({"item": item, "n": part.size, "terms": terms, "tf": tf, "words": {k: x.size for k, x in sides.items()}, "side": sides,
                         **{k: _grams(x) for k, x in sides.items()}})
     return out
 
@@ -86,7 +147,7 @@ class Index:
     """The index of one shard. ``df``, ``total`` and ``length`` describe the entries of all shards."""
 
     def __init__(self, found: list[dict], df: dict[int, int], total: int, length: float, threshold: float = THRESHOLD):
-        self.entries, self.threshold = found, threshold
+        self.entries = found
         self.vocab = np.unique(np.concatenate([e["terms"] for e in found])) if found else np.zeros(0, np.uint64)
         freq = np.array([df.get(int(t), 1) for t in self.vocab], float)
         idf = np.log1p((total - freq + 0.5) / (freq + 0.5))
@@ -96,23 +157,25 @@ class Index:
             t = np.searchsorted(self.vocab, e["terms"])
             w = idf[t] * e["tf"] * (K1 + 1) / (e["tf"] + K1 * (1 - B + B * e["n"] / length))
             e["w"], e["t"] = w / w.sum(), t
+            e["threshold"] = min(threshold, least_weight(e, dict(zip(e["terms"].tolist(), e["w"].tolist()))))
             rows.append(np.stack([t, np.full(t.size, k // BLOCK), e["w"]], 1))
         post = np.concatenate(rows) if rows else np.zeros((0, 3))
-        # pivot: the most common words whose weights together stay below half the threshold in every entry
+        # pivot: the most common words whose weights together stay below half of every entry's threshold
         order = np.argsort(-freq, kind="stable")
         place = np.empty(order.size, int)
         place[order] = np.arange(order.size)
         cut = order.size
         for e in found:
             by = np.argsort(place[e["t"]], kind="stable")
-            over = np.flatnonzero(np.cumsum(e["w"][by]) >= threshold / 2)
+            over = np.flatnonzero(np.cumsum(e["w"][by]) >= e["threshold"] / 2)
             if over.size:
                 cut = min(cut, int(place[e["t"]][by][over[0]]))
         self.opens = place >= cut
-        rest = np.zeros(self.blocks)
+        self.need = np.full(self.blocks, np.inf)
+        self.least = np.full((self.blocks, BLOCK), np.inf)
         for k, e in enumerate(found):
-            rest[k // BLOCK] = max(rest[k // BLOCK], float(e["w"][~self.opens[e["t"]]].sum()))
-        self.need = threshold - rest
+            self.least[k // BLOCK, k % BLOCK] = e["threshold"]
+            self.need[k // BLOCK] = min(self.need[k // BLOCK], e["threshold"] - float(e["w"][~self.opens[e["t"]]].sum()))
         # one posting per (word, block), words in order: the weights of the block's entries, and the largest of them
         width = max(self.blocks, 1)
         slot = np.concatenate([np.full(e["t"].size, k % BLOCK) for k, e in enumerate(found)]) if found else np.zeros(0, int)
@@ -190,7 +253,7 @@ class Index:
             live = goes_on.ravel()[cell]
             cells, number = np.unique(cell[live], return_inverse=True)
             score = np.stack([np.bincount(number, weights=self.post_weights[at[live], k], minlength=cells.size) for k in range(BLOCK)], 1)
-            c, k = np.nonzero(score >= self.threshold - 1e-9)
+            c, k = np.nonzero(score >= self.least[cells % self.blocks] - 1e-9)
             if not c.size:
                 continue
             # verification; passages in whose neighbourhood no entry's run of words occurs need none

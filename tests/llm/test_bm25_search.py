@@ -15,7 +15,7 @@ def _brute(index, words):
             near = words.hash[max(a, at - m.ENTRY):min(b, min(b, at + m.WINDOW * m.STRIPE) + m.ENTRY)]
             for e in index.entries:
                 score = sum(w for t, w in zip(e["terms"].tolist(), e["w"]) if t in here)
-                if score < index.threshold - 1e-9:
+                if score < e["threshold"] - 1e-9:
                     continue
                 share = []
                 for side in ("question", "answer"):
@@ -50,3 +50,47 @@ def test_search_equals_scoring_everything():
     for x, y in zip(got, want):
         assert set(x) == set(y)
         assert all(np.allclose(x[i], y[i]) for i in x)
+
+
+def test_no_quote_of_a_side_is_lost():
+    """Every piece of an entry that verifies weighs its threshold or more, whatever words are left out."""
+    rng = np.random.default_rng(11)
+    vocab = np.array([f"w{i}" for i in range(400)])
+    often = 1.0 / np.arange(1, 401)
+    say = lambda n: " ".join(rng.choice(vocab, n, p=often / often.sum()))
+    found = m.entries([(i, say(int(rng.integers(5, 64))), "") for i in range(120)] + [(200, "a b c d e f g h " * 7, ""), (201, "z " * 40, "")])
+    df = {}
+    for e in found:
+        for t in e["terms"].tolist():
+            df[t] = df.get(t, 0) + 1
+    index = m.Index(found, df, len(found), float(np.mean([e["n"] for e in found])))
+    below = 0
+    for e in index.entries:
+        weight = dict(zip(e["terms"].tolist(), e["w"].tolist()))
+        below += e["threshold"] < m.THRESHOLD
+        for side in ("question", "answer"):
+            words, n = e["side"][side], index.gram_words(e, side)
+            for _ in range(40):  # quotes with words replaced, in one to three places
+                quote = words.copy()
+                for _ in range(int(rng.integers(0, 4))):
+                    a = int(rng.integers(0, quote.size))
+                    quote[a:a + int(rng.integers(1, 4))] = 1
+                if np.isin(e[side], T.shingles(quote, np.array([0, quote.size]), n)[0]).mean() >= m.ONE_PART:
+                    assert sum(w for t, w in weight.items() if t in set(quote.tolist())) >= e["threshold"] - 1e-9
+    assert below
+
+
+def test_lost_weight_equals_brute_force():
+    rng = np.random.default_rng(12)
+    for _ in range(200):
+        size, run = int(rng.integers(1, 11)), int(rng.integers(1, 6))
+        run = min(run, size)
+        w, runs = rng.random(size), size - run + 1
+        cost = rng.integers(0, 2, runs)
+        drops = int(rng.integers(0, runs + 1))
+        best = 0.0
+        for mask in range(1 << runs):
+            gone = [i for i in range(runs) if mask >> i & 1]
+            if sum(cost[i] for i in gone) <= drops:
+                best = max(best, sum(w[p] for p in range(size) if all(i in gone for i in range(max(0, p - run + 1), min(p, runs - 1) + 1))))
+        assert np.isclose(m._lost(w, cost, drops, run), best)
