@@ -24,8 +24,8 @@ All entries at or above their threshold are retrieved and verified: the entry's
 first half is its question, the second its answer (or the columns given), and
 their runs of five words are looked up in the passage with its neighbours. A
 document is contaminated if one part is found to 0.8 or both to 0.5. A part of fewer
-than eight words (under four runs) is too little to tell: the whole entry stands in
-its place. No match rests on fewer than five words.
+than seven words (under three runs) is too little to tell: the whole entry stands in
+its place; one of seven must be there whole. No match rests on fewer than five words.
 
 The index goes to the executors in shards of at most ``SHARD_BYTES`` of item text;
 each shard is one pass over the documents, whatever their number.
@@ -50,7 +50,7 @@ from retail_marts.llm import text as T
 from retail_marts.llm.common import Scratch, free_name, table
 
 ENTRY, STRIPE, WINDOW, BLOCK, GRAM = 64, 32, 3, 4, 5
-LEAST = 8  # words of a part that can stand alone
+LEAST = 7  # words of a part that can stand alone
 K1, B = 1.2, 0.75
 SHARD_BYTES = 8 << 20
 THRESHOLD, ONE_PART, BOTH_PARTS = 0.35, 0.8, 0.5

@@ -94,3 +94,13 @@ def test_lost_weight_equals_brute_force():
             if sum(cost[i] for i in gone) <= drops:
                 best = max(best, sum(w[p] for p in range(size) if all(i in gone for i in range(max(0, p - run + 1), min(p, runs - 1) + 1))))
         assert np.isclose(m._lost(w, cost, drops, run), best)
+
+
+def test_a_side_of_seven_words_is_found_whole_only():
+    words = [f"v{i}" for i in range(15)]
+    found = m.entries([(1, " ".join(words), ""), (2, " ".join(f"x{i}" for i in range(40)), "")])
+    df = {t: 1 for e in found for t in e["terms"].tolist()}
+    index = m.Index(found, df, len(found), 27.5)
+    pad = " ".join(f"p{i}" for i in range(90))
+    texts = [" ".join([pad, *q, pad]) for q in (words[8:], words[:8], words[8:14], words[2:7])]
+    assert [set(x) for x in index.search(T.Words(pa.array(texts), T.ALNUM))] == [{1}, {1}, set(), set()]
