@@ -71,10 +71,10 @@ SSN = r"\d{3}-\d{2}-\d{4}"
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
 IBAN_SMALL = r"[a-z]{2}\d{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?"
 END = r"(?![A-SU-Za-z0-9]|T(?!\d{2}:\d{2})|[.-]\d)"
-#: Where a candidate starts; no character is consumed, so starts inside a candidate are found too.
-START = rf"(?={MAIL}|(?<![A-Za-z0-9]|\d\.)(?:{DATE}|{DATE_NAMED}|{IPV4}|{IPV6}|{PHONE}|{NATIONAL}|{CARD}|{CARD_DOTS}|{SSN}|{IBAN}|{IBAN_SMALL}){END})"
+#: Where a candidate starts; no character is consumed, so starts inside a candidate are found too. Its first characters are looked at first.
+START = rf"(?={MAIL}|(?=[+(]|[A-Fa-f]{{0,3}}[0-9]|[A-Za-z]{{2}}[0-9]{{2}})(?<![A-Za-z0-9]|\d\.)(?:{DATE}|{DATE_NAMED}|{IPV4}|{IPV6}|{PHONE}|{NATIONAL}|{CARD}|{CARD_DOTS}|{SSN}|{IBAN}|{IBAN_SMALL}){END})"
 #: White space that no candidate holds, before a word with a digit or @: candidates hold single blanks between [A-Z0-9)] or a month and [A-Z0-9(].
-BREAK = rf"(?=[\t\n\x0B\f\r][^\s0-9@]*+[0-9@])|(?=(?: (?<!(?:[A-Z0-9)]|{MONTH}) )| (?![A-Z0-9(]))[^\s0-9@]*+[0-9@])"
+BREAK = rf"(?=[\t\n\x0B\f\r][^\s0-9@]*+[0-9@])|(?= (?=[^\s0-9@]*+[0-9@])(?:(?![A-Z0-9(])|(?<!(?:[A-Z0-9)]|{MONTH}) )))"
 #: No candidate is longer (a mail address: 64 + 1 + 8 * 64 + 24), one more character shows its end.
 REACH = 640
 #: Length of an IBAN by country; others are tried at every length.
