@@ -5,11 +5,14 @@ A word is looked up by three hashes (whole word, first 6 and first 9 bytes,
 fewer than three training documents have none. Filters of widths 1, 2 and 3 run
 over the whole text, k-max pooling keeps each filter's four greatest
 activations of different 16-word stripes, and a logistic layer gives the score.
-Embeddings, filters and output are trained by gradient steps (Adagrad) on the
-driver, on at most ``sample`` labelled rows of each class in the order of a hash of the id.
-
-Thresholds are calibrated by language on a fifth of those rows that training
-leaves out, with non-toxic rows weighed up to their share in all labelled rows.
+Embeddings, filters and output are trained by gradient steps (Adagrad) on every
+labelled row that may be learned from. The rows are dealt into shards of about ``shard``
+by a hash of the id; one shard makes the first parameters, and then in each round every
+shard takes its steps from the common ones, in Spark tasks, and the changes are averaged (a bucket's over the shards that saw it). They
+are summed as whole numbers, so the result doesn't depend on the order of tasks.
+
+Thresholds are calibrated by language on the fifth of the labelled rows that training
+leaves out, all of it, from counts by label of logits rounded to a thousandth.
 The language is guessed from the text's words (naive Bayes learned on the
 same rows): the lang column, like id, source and labels, is never an input of
 a score. The score is shifted so that 0.5 is the language's threshold.
@@ -29,10 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_marts.llm import text as T
-from retail_marts.llm.common import fold, table
+from retail_marts.llm.common import Scratch, fold, table
 
 BITS, DIM, PER_WIDTH, WIDTHS, KMAX, STRIPE = 22, 16, 8, (1, 2, 3), 4, 16
 FILTERS = PER_WIDTH * len(WIDTHS)
+UNIT, STEP, ENDS = 2.0 ** 24, 1000, 40  # parameters' changes are summed in 1 / UNIT, logits counted in 1 / STEP up to ENDS
 
 
 def buckets(words: T.Words) -> np.ndarray:
@@ -66,6 +70,11 @@ class Cnn:
         self.bias = np.zeros(FILTERS, np.float32)
         self.out = r.normal(0, 0.1, (KMAX, FILTERS)).astype(np.float32)
         self.base = np.zeros(1, np.float32)
+        self.acc = [np.full_like(p, 1e-3) for p in (self.emb, *self.filt, self.bias, self.out, self.base)]
+
+    def dense(self) -> list[np.ndarray]:
+        """The parameters beside the embeddings, and their sums of squared gradients."""
+        return [*self.filt, self.bias, self.out, self.base, *self.acc[1:]]
 
     def activations(self, ids: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = self.emb[ids[:, 0]]
@@ -106,8 +115,7 @@ class Cnn:
         return np.tensordot(best, self.out, 2) + self.base[0]
 
     def train(self, ids: np.ndarray, starts: np.ndarray, y: np.ndarray, epochs: int, rate: float = 0.06, batch: int = 32, seed: int = 6) -> None:
-        r = np.random.default_rng(seed)
-        acc = [np.full_like(p, 1e-3) for p in (self.emb, *self.filt, self.bias, self.out, self.base)]
+        r, acc = np.random.default_rng(seed), self.acc
 
         def ada(p, g, a, l2=0.0):
             g = g + l2 * p
@@ -187,68 +195,142 @@ class Model:
         return np.where(np.diff(words.starts) > 0, 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -40, 40))), 0.0)
 
 
-def _threshold(z: np.ndarray, y: np.ndarray, weight: float) -> float:
-    """Cut with the least weighed errors, the middle of the best gap."""
-    order = np.argsort(z)
-    zs, ys = z[order], y[order]
-    missed = np.concatenate([[0], np.cumsum(ys)])                    # positives below the cut
-    false = np.concatenate([[0], np.cumsum((1 - ys)[::-1])])[::-1]   # negatives above it
-    k = np.flatnonzero((e := missed + weight * false) == e.min())
+def _threshold(z: np.ndarray, toxic: np.ndarray, other: np.ndarray) -> float:
+    """Cut with the least errors, the middle of the best gap: ``z`` ascending, with its rows of either class."""
+    missed = np.concatenate([[0], np.cumsum(toxic)])                   # positives below the cut
+    false = np.concatenate([[0], np.cumsum(other[::-1])])[::-1]        # negatives above it
+    k = np.flatnonzero((e := missed + false) == e.min())
     k = int(k[len(k) // 2])
-    return float((zs[max(k - 1, 0)] + zs[min(k, len(zs) - 1)]) / 2)
+    return float((z[max(k - 1, 0)] + z[min(k, len(z) - 1)]) / 2)
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per bucket and language: documents that hold it, and its words (by the first hash)."""
     for whole in batches:
         for b in T.chunks(whole):
             words = T.Words(b.column("text"), T.ALNUM)
-            ids = buckets(words)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("lang"), b.column("toxic"),
-                 pa.array([ids[i:j].tobytes() for i, j in zip(words.starts[:-1], words.starts[1:])], pa.binary())],
-                names=["doc_id", "lang", "toxic", "ids"])
+            ids, langs = buckets(words), np.array(b.column("lang").to_pylist(), object)
+            doc = np.repeat(np.arange(len(langs)), np.diff(words.starts))
+            for lang in set(langs):
+                own = np.array([x == lang for x in langs], bool)[doc]
+                pairs = np.unique(np.stack([np.repeat(doc[own], 3), ids[own].ravel()], 1), axis=0)[:, 1]
+                bucket, docs = np.unique(pairs, return_counts=True)
+                n = np.bincount(np.searchsorted(bucket, ids[own, 0]), minlength=bucket.size)
+                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array([lang] * bucket.size, pa.string()), pa.array(docs, pa.int64()), pa.array(n, pa.int64())],
+                                                 names=["bucket", "lang", "docs", "words"])
+
+
+def _vocabulary(fit: DataFrame, scratch: Scratch, least: int, langs: list[str]) -> Model:
+    """The buckets in ``least`` documents or more and the language tables, counted over all rows; an untrained network."""
+    n = fit.select("text", "lang").mapInArrow(_seen, "bucket int, lang string, docs long, words long").groupBy("bucket", "lang").agg(
+        F.sum("docs").alias("docs"), F.sum("words").alias("words"))
+    n = scratch.put(n, "buckets")
+    total = {r["lang"]: r["w"] for r in n.groupBy("lang").agg(F.sum("words").alias("w")).collect()}
+    often = n.groupBy("bucket").agg(F.sum("docs").alias("d")).where(F.col("d") >= least).select("bucket")
+    got = n.join(often, "bucket").select("bucket", "lang", "words").toArrow()  # the model's own size
+    bucket, lang = got["bucket"].to_numpy(), got["lang"].to_pylist()
+    known = np.unique(bucket)
+    count = np.full((known.size + 1, len(langs)), 0.1)
+    place = {x: k for k, x in enumerate(langs)}
+    k = np.array([place.get(x, -1) for x in lang], int)
+    row = np.searchsorted(known, bucket) + 1
+    np.add.at(count, (row[k >= 0], k[k >= 0]), got["words"].to_numpy()[k >= 0])
+    every = np.array([total.get(x, 0) for x in langs]) + 0.1 * len(count)
+    model = Model(known.astype(np.int64), Cnn(known.size), np.log(count / every).astype(np.float32), np.zeros(len(langs)))
+    model.lang[0] = 0
+    scratch.drop(n)
+    return model
+
+
+SUMS = [f"s{i}" for i in range(2 * DIM)]
 
 
-def train(docs: DataFrame, labels: DataFrame, learn, sample: int = 2500, epochs: int = 8) -> Model | None:
-    h = F.xxhash64(F.col("doc_id"), F.lit(29))
+def _round(fit: DataFrame, model: Model, epochs: int, seed: int) -> None:
+    """Every shard trains from ``model``; the averaged changes are applied to it."""
+    net = model.net
+
+    def steps(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("place", "ascending"), ("doc_id", "ascending")])
+        ids, sizes = [], []
+        for b in group.to_batches():
+            words = T.Words(b.column("text"), T.ALNUM)
+            ids.append(model.rows(buckets(words)))
+            sizes.append(np.diff(words.starts))
+        own = Cnn.__new__(Cnn)
+        own.emb, own.filt, own.bias, own.out, own.base = net.emb.copy(), [w.copy() for w in net.filt], net.bias.copy(), net.out.copy(), net.base.copy()
+        own.acc = [p.copy() for p in net.acc]
+        own.train(np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), group["toxic"].to_numpy().astype(float), epochs, seed=seed)
+        hit = np.flatnonzero((own.acc[0] != net.acc[0]).any(1))
+        change = np.concatenate([own.emb[hit] - net.emb[hit], own.acc[0][hit] - net.acc[0][hit]], 1)
+        flat = np.concatenate([(n - o).ravel() for n, o in zip(own.dense(), net.dense())])
+        flat = np.pad(flat, (0, -flat.size % (2 * DIM))).reshape(-1, 2 * DIM)   # after the buckets: negative rows
+        rows = np.concatenate([hit, -1 - np.arange(len(flat))])
+        whole = np.rint(np.concatenate([change, flat]).astype(np.float64) * UNIT).astype(np.int64)
+        return pa.table([pa.array(rows, pa.int32()), *[pa.array(whole[:, i]) for i in range(2 * DIM)]], names=["row", *SUMS])
+
+    moved = (fit.groupBy("shard").applyInArrow(steps, "row int, " + ", ".join(f"{c} long" for c in SUMS))
+             .groupBy("row").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in SUMS]).toArrow())  # the model's own size
+    row, n = moved["row"].to_numpy(), moved["n"].to_numpy()
+    mean = (np.stack([moved[c].to_numpy() for c in SUMS], 1) / UNIT / n[:, None]).astype(np.float32)
+    emb = row >= 0
+    net.emb[row[emb]] += mean[emb, :DIM]
+    net.acc[0][row[emb]] += mean[emb, DIM:]
+    flat, at = mean[~emb][np.argsort(-row[~emb])].ravel(), 0
+    for p in net.dense():
+        p += flat[at:at + p.size].reshape(p.shape)
+        at += p.size
+
+
+def _calibrate(rows: DataFrame, model: Model) -> None:
+    """Thresholds by language from all of ``rows``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in T.chunks(whole):
+                words = T.Words(b.column("text"), T.ALNUM)
+                ids = model.rows(buckets(words))
+                z = np.clip(model.net.logits(*layout(ids, words.starts)), -ENDS, ENDS)
+                yield pa.RecordBatch.from_arrays([pa.array(model.language(ids, words.starts), pa.int32()), pa.array(np.rint(z * STEP).astype(np.int32)), b.column("toxic")],
+                                                 names=["k", "z", "toxic"])
+
+    got = (rows.select("text", "toxic").mapInArrow(run, "k int, z int, toxic int").groupBy("k", "z")
+           .agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).orderBy("z", "k").toArrow())  # languages x 2 x ENDS x STEP rows at most
+    k, z, toxic = got["k"].to_numpy(), got["z"].to_numpy() / STEP, got["toxic"].to_numpy()
+    other = got["n"].to_numpy() - toxic
+    zs, at = np.unique(z, return_inverse=True)
+    everywhere = _threshold(zs, np.bincount(at, toxic), np.bincount(at, other))
+    for i in range(len(model.shift)):
+        own = k == i
+        few = min(toxic[own].sum(), other[own].sum()) < 10
+        model.shift[i] = everywhere if few else _threshold(z[own], toxic[own], other[own])
+
+
+def train(docs: DataFrame, labels: DataFrame, learn, shard: int = 4096, rounds: int = 6, epochs: int = 8) -> Model | None:
+    """A model of all labelled rows in ``learn``. One shard's ``epochs`` passes give the first parameters (averaged
+    from random ones, the shards undo each other's steps); where there are more shards, all then train in ``rounds`` rounds of a pass."""
     marked = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(learn)
-              .where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    total = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    pick = lambda v: marked.where(F.col("toxic") == v).orderBy(h, "doc_id").limit(sample)
-    chosen = F.broadcast(pick(1).union(pick(0)))  # at most 2 * sample ids
+              .where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")))
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-            .where(learn).join(chosen, "doc_id").select("doc_id", "lang", "toxic", "text")
-            .mapInArrow(_hashed, "doc_id long, lang string, toxic int, ids binary")
-            .groupBy("doc_id", "toxic").agg(F.min(F.struct("lang", "ids")).alias("x")).orderBy(F.xxhash64("doc_id", F.lit(31)), "doc_id").collect())
-    y = np.array([r["toxic"] for r in rows], float)
-    if len(set(y)) < 2:
-        return None
-    raw = [np.frombuffer(bytes(r["x"]["ids"]), np.int32).reshape(-1, 3) for r in rows]
-    langs = sorted({r["x"]["lang"] for r in rows if r["x"]["lang"] is not None}) or ["?"]
-    held = np.arange(len(y)) % 5 == 0 if len(y) >= 50 else np.zeros(len(y), bool)
-    seen = np.bincount(np.concatenate([np.unique(x) for x, out in zip(raw, held) if not out] or [np.zeros(0, np.int64)]), minlength=1 << BITS)
-    known = np.flatnonzero(seen >= min(3, max(1, len(y) // 20)))
-    model = Model(known, Cnn(known.size), np.zeros((known.size + 1, len(langs)), np.float32), np.zeros(len(langs)))
-    ids = [model.rows(x) for x in raw]
-    count = np.full((known.size + 1, len(langs)), 0.1)
-    for x, r, out in zip(ids, rows, held):
-        if not out and r["x"]["lang"] is not None:
-            count[:, langs.index(r["x"]["lang"])] += np.bincount(x[:, 0], minlength=known.size + 1)
-    model.lang = np.log(count / count.sum(0)).astype(np.float32)
-    model.lang[0] = 0
-    fit = np.flatnonzero(~held)
-    model.net.train(np.concatenate([ids[i] for i in fit]), np.concatenate([[0], np.cumsum([len(ids[i]) for i in fit])]), y[fit], epochs)
-    check = np.flatnonzero(held) if held.any() else fit
-    starts = np.concatenate([[0], np.cumsum([len(ids[i]) for i in check])])
-    flat = np.concatenate([ids[i] for i in check])
-    z, lang = model.net.logits(*layout(flat, starts)), model.language(flat, starts)
-    weight = (total.get(0, 0) / max((y == 0).sum(), 1)) / max(total.get(1, 0) / max((y == 1).sum(), 1), 1e-9)
-    everywhere = _threshold(z, y[check], weight)
-    for k in range(len(langs)):
-        own = lang == k
-        few = min((y[check][own] == v).sum() for v in (0, 1)) < 10
-        model.shift[k] = everywhere if few else _threshold(z[own], y[check][own], weight)
-    return model
+            .where(learn).join(marked, "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("lang", "text")).alias("x")))
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    rows = scratch.put(rows.select("doc_id", "toxic", "x.lang", "x.text", F.xxhash64("doc_id", F.lit(31)).alias("place")), "labelled")
+    try:
+        n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        if len(n) < 2:
+            return None
+        size = sum(n.values())
+        langs = sorted(r["lang"] for r in rows.where("lang IS NOT NULL").select("lang").distinct().collect()) or ["?"]
+        out = F.pmod("place", F.lit(5)) == 0 if size >= 50 else F.lit(False)
+        shards = -(-size // shard)
+        fit = rows.where(~out).withColumn("shard", F.pmod(F.shiftright("place", 8), F.lit(shards)))
+        model = _vocabulary(fit, scratch, min(3, max(1, size // 20)), langs)
+        _round(fit.where("shard = 0"), model, epochs, 6)
+        for i in range(rounds if shards > 1 else 0):
+            _round(fit, model, 1, 7 + i)
+        _calibrate(rows.where(out) if size >= 50 else rows, model)
+        model.net.acc = None  # not needed to score
+        return model
+    finally:
+        scratch.close()
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

@@ -65,6 +65,23 @@ def test_toxicity_on_planted_words(spark):
     assert {r["score"] for r in none.collect()} == {0.0, 0.25}
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Each shard holds a part of the rows; vocabulary, steps and thresholds come from all of them."""
+    d, lab = labelled(spark)
+    model = cnn_toxicity.train(d, lab, F.lit(True), shard=100)
+    got = {r["doc_id"]: r["score"] for r in cnn_toxicity.score(d, model).collect()}
+    assert np.mean([(got[i] >= 0.5) == (i % 4 == 0) for i in range(400)]) > 0.97
+
+
+def test_toxicity_counts_words_in_all_rows(spark):
+    """Each word is in three of 3,600 rows: half of the words are in three rows that aren't held out (a third, of 2,500 rows a class)."""
+    d = docs(spark, [(i, f"word{i // 3} here") for i in range(3600)])
+    lab = spark.createDataFrame([(i, 1, int(i % 360 == 0)) for i in range(3600)], "doc_id long, quality int, toxic int")
+    model = cnn_toxicity.train(d, lab, F.lit(True), epochs=1)
+    first = cnn_toxicity.buckets(T.Words(pa.array([f"word{i}" for i in range(1200)]), T.ALNUM))[:, 0]
+    assert (model.rows(first) > 0).mean() > 0.43
+
+
 def test_quality_on_planted_junk(spark):
     d, lab = labelled(spark, 900)
     model = pu_quality.train(d, lab, F.lit(True))
