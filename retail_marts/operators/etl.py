@@ -87,7 +87,7 @@ def flag_rejects(df: DataFrame, rules: dict[str, Column] | None = None,
                  parents: list[Parent] | None = None,
                  first: dict[str, Column] | None = None,
                  hot: HotKeys | None = HotKeys(), spread: list[str] | None = None,
-                 counted: DataFrame | None = None) -> DataFrame:
+                 counted: DataFrame | None = None, settled: bool = True) -> DataFrame:
     """Add ``reject_reason``: null for an accepted row, else the first broken
     check (``first``, then parents, then rules, in the order given).
     ``first`` holds checks that must hold and are already resolved on
@@ -95,10 +95,10 @@ def flag_rejects(df: DataFrame, rules: dict[str, Column] | None = None,
 
     A rule is a boolean column that must be true; null counts as broken. A
     child key that is null is *not* an orphan (it maps to the unknown member
-    later); a non-null key with no parent row is. Each parent costs one left
-    join against its distinct key columns (``skew.match_keys``: hot keys from a
-    side table, the rest by shuffle), so a parent with repeated keys cannot
-    multiply child rows. ``hot``, ``spread`` and ``counted`` are passed on to it.
+    later); a non-null key with no parent row is. The keys that a parent lacks are found
+    first (``skew.match_keys``, ``settled``): distinct keys are shuffled for it, the rows only
+    where very many keys are missing. A parent with repeated keys cannot multiply child
+    rows. ``hot``, ``spread``, ``counted`` and ``settled`` are passed on.
     """
     rules = rules or {}
     parents = parents or []
@@ -106,7 +106,7 @@ def flag_rejects(df: DataFrame, rules: dict[str, Column] | None = None,
                              for name, c in (first or {}).items()]
     out = df
     for i, p in enumerate(parents):
-        out = match_keys(out, p.df, p.on, f"_p{i}", hot=hot, spread=spread, counted=df if counted is None else counted)
+        out = match_keys(out, p.df, p.on, f"_p{i}", hot=hot, spread=spread, counted=df if counted is None else counted, settled=settled)
         child_present = reduce(lambda a, b: a & b, [F.col(cc).isNotNull() for cc in p.on.keys()])
         reasons.append(F.when(child_present & F.col(f"_p{i}").isNull(), F.lit(p.reason)))
     for name, cond in rules.items():

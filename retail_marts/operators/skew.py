@@ -15,8 +15,13 @@ takes two paths in one pass over the child:
    part in that join under a number drawn from the row itself, which no parent
    has, so they are spread over all tasks and match nothing.
 
-Everything is lazy and declarative: each side is unique on its key, so a query
+All this is lazy and declarative: each side is unique on its key, so a query
 that doesn't use the result loses joins and sketch alike.
+
+Where the result is used for certain, ``settled=True`` asks first which keys of the child the
+parent lacks. Only distinct keys cross the shuffle for that, whatever the rows' width. The keys
+missing are few in sound data: without any there is no join left, up to ``few`` of them are broadcast,
+and with more the rows take the two paths above.
 """
 
 from __future__ import annotations
@@ -31,12 +36,14 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class HotKeys:
     """``share``: of the rows, above which a key is hot. ``k``: most keys listed (at least 1 / share).
-    ``tracked``: counters of the sketch. ``ways``: numbers that bypassing rows are spread over."""
+    ``tracked``: counters of the sketch. ``ways``: numbers that bypassing rows are spread over.
+    ``few``: most missing keys that are broadcast (``settled``)."""
 
     share: float = 0.005
     k: int = 256
     tracked: int = 8192
     ways: int = 4096
+    few: int = 100_000
 
     def __post_init__(self):
         if self.k * self.share < 1.0:
@@ -63,16 +70,37 @@ def heavy_keys(df: DataFrame, keys: list[str], hot: HotKeys = HotKeys()) -> Data
             .select(F.col("t.item").alias("item"), F.col("t.count").alias("rows")))
 
 
+def missing_keys(child: DataFrame, parent: DataFrame, on: dict[str, str]) -> DataFrame:
+    """The distinct keys of ``child`` (none with a null part) that ``parent`` lacks."""
+    names = [f"_m{i}" for i in range(len(on))]
+    keys = child.where(_all([F.col(c).isNotNull() for c in on])).select(*[F.col(c).alias(n) for c, n in zip(on, names)]).distinct()
+    theirs = parent.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(on.values())])
+    return keys.join(theirs, _all([F.col(n) == F.col(f"_k{i}") for i, n in enumerate(names)]), "left_anti")
+
+
 def match_keys(child: DataFrame, parent: DataFrame, on: dict[str, str], hit: str = "_hit", value: str | None = None,
-               hot: HotKeys | None = HotKeys(), spread: list[str] | None = None, counted: DataFrame | None = None) -> DataFrame:
+               hot: HotKeys | None = HotKeys(), spread: list[str] | None = None, counted: DataFrame | None = None,
+               settled: bool = False, stored: bool = True) -> DataFrame:
     """``child`` with one more column: ``hit``, true where ``parent`` has the key (else null), or
     with ``value`` the greatest value of that parent column under the key.
 
     ``on`` maps child to parent columns; a key with a null part matches nothing. The child keeps
     exactly its rows. ``spread`` names the columns that tell rows of one key apart (default: all);
     ``counted`` is a frame with the child's key columns that is cheaper to count hot keys in (the
-    table the child was derived from); ``hot=None`` joins plainly.
+    table the child was derived from); ``hot=None`` joins plainly. ``settled`` (without ``value``) finds the
+    missing keys now, in the same frame; the plan reads what was found, or with ``stored=False`` only its size
+    decides and the plan finds them itself.
     """
+    if settled and value is None:
+        missing = missing_keys(child if counted is None else counted, parent, on)
+        found = missing.checkpoint(eager=True)
+        n, present = found.count(), _all([F.col(c).isNotNull() for c in on])
+        if n == 0 and stored:
+            return child.withColumn(hit, F.when(present, F.lit(True)))
+        if n <= (hot or HotKeys()).few:
+            gone = F.broadcast((found if stored else missing).withColumn("_gone", F.lit(True)))
+            out = child.join(gone, _all([F.col(c) == F.col(f"_m{i}") for i, c in enumerate(on)]), "left")
+            return out.select(*child.columns, F.when(present & F.col("_gone").isNull(), F.lit(True)).alias(hit))
     mine, theirs = list(on), list(on.values())
     names = [f"_k{i}" for i in range(len(on))]
     present = parent.where(_all([F.col(c).isNotNull() for c in theirs])).select(

@@ -71,3 +71,26 @@ def test_unused_key_costs_no_join(spark):
     out = W.lookup(child(spark), parent(spark), {"k": "p"}, "key", spread=["id"]).groupBy("s").count()
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "approx_top_k" not in plan
+
+
+@pytest.mark.parametrize("on", [{"k": "p"}, {"k": "p", "s": "q"}])
+@pytest.mark.parametrize("few", [100_000, 1])  # missing keys broadcast; too many for that
+def test_settled_equals_the_plain_join(spark, on, few):
+    c, rows = child(spark, 6000), lambda df: sorted(map(str, df.collect()))
+    for p in (parent(spark, False), parent(spark).limit(0), spark.range(-1, 9000).select(F.col("id").alias("p"), F.lit("a").alias("q"))):
+        got = match_keys(c, p, on, spread=["id"], hot=HotKeys(few=few), settled=True)
+        assert rows(got) == rows(match_keys(c, p, on, hot=None))
+
+
+def test_rows_are_not_shuffled_where_no_key_is_missing(spark):
+    """Broadcasts by size are off, as for parents of any size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        every = spark.range(-1, 9000).withColumnRenamed("id", "p")
+        for p, joins in ((every, 0), (every.where("p <> 1"), 1)):
+            out = E.flag_rejects(child(spark), {}, [E.Parent("p", p, {"k": "p"})], spread=["id"])
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("BroadcastHashJoin") == joins and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+            assert out.where("reject_reason IS NOT NULL").count() == (child(spark).where("k = 1").count() if joins else 0)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
