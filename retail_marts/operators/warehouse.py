@@ -129,7 +129,7 @@ def dim_seller(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Dat
 def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], key: str,
            as_: str | None = None, key_of: Callable[..., Column] | None = dim_key,
            hot: HotKeys | None = HotKeys(), spread: list[str] | None = None,
-           counted: DataFrame | None = None) -> DataFrame:
+           counted: DataFrame | None = None, settled: bool = False) -> DataFrame:
     """Add ``dim``'s surrogate ``key`` to ``fact`` by natural key.
 
     ``on`` maps fact columns to the dimension's natural key columns. A left
@@ -145,12 +145,12 @@ def lookup(fact: DataFrame, dim: DataFrame, on: dict[str, str], key: str,
     AQE can't split a hot key here, as the distinct keys are an aggregate; the
     join itself does (``skew.match_keys``): keys that hold a large share of the
     fact are resolved from a bounded side table, null keys pass by, the rest is
-    joined by shuffle. ``hot``, ``spread`` and ``counted`` are passed on to it;
-    ``hot=None`` joins plainly.
+    joined by shuffle. ``hot``, ``spread``, ``counted`` and ``settled`` (for a key that is used for
+    certain: its missing members are found now, and the fact isn't shuffled) are passed on to it; ``hot=None`` joins plainly.
     """
     as_ = as_ or key
     if key_of is not None:
-        out = match_keys(fact, dim, on, "_hit", hot=hot, spread=spread, counted=counted)
+        out = match_keys(fact, dim, on, "_hit", hot=hot, spread=spread, counted=counted, settled=settled, stored=False)
         matched = F.when(F.col("_hit"), key_of(*[F.col(fc) for fc in on]))
     else:
         out = match_keys(fact, dim, on, "_hit", key, hot, spread, counted)
@@ -164,7 +164,7 @@ def _money_round(c: Column) -> Column:
     return F.round(c, 2).cast(MONEY)
 
 
-def sales_orders(orders: DataFrame, dim_customer: DataFrame | None = None) -> DataFrame:
+def sales_orders(orders: DataFrame, dim_customer: DataFrame | None = None, settled: bool = False) -> DataFrame:
     """The order side of the sales fact: order key, customer id and key,
     status, order time. The customer lookup runs here, on orders, where it
     touches 4x fewer rows than on lines."""
@@ -172,12 +172,14 @@ def sales_orders(orders: DataFrame, dim_customer: DataFrame | None = None) -> Da
                       F.upper(F.trim(F.col("o_orderstatus"))).alias("order_status"),
                       F.col("o_orderdate").alias("ordered_at"))
     if dim_customer is not None:
-        return lookup(o, dim_customer, {"customer_id": "customer_id"}, "customer_key", spread=["o_orderkey"])
+        return lookup(o, dim_customer, {"customer_id": "customer_id"}, "customer_key", spread=["o_orderkey"],
+                      counted=orders.select(F.col("o_custkey").alias("customer_id")), settled=settled)
     return o.withColumn("customer_key", dim_key("customer_id"))
 
 
 def sales_measures(lines_with_orders: DataFrame, dim_product: DataFrame | None = None,
-                   dim_seller: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
+                   dim_seller: DataFrame | None = None, lines: DataFrame | None = None,
+                   settled: tuple[str, ...] = ()) -> DataFrame:
     """The sales fact from lines (source columns) already joined to
     ``sales_orders``: measures, product and seller keys, date keys. Hot
     product and seller keys are counted in ``lines``, the lines before the join."""
@@ -194,12 +196,12 @@ def sales_measures(lines_with_orders: DataFrame, dim_product: DataFrame | None =
         "customer_id", "customer_key", "order_status", "ordered_at")
     if dim_product is not None:
         s = lookup(s, dim_product, {"product_id": "product_id"}, "product_key", spread=["order_id", "line_no"],
-                   counted=lines.select(F.col("l_partkey").alias("product_id")))
+                   counted=lines.select(F.col("l_partkey").alias("product_id")), settled="product" in settled)
     else:
         s = s.withColumn("product_key", dim_key("product_id"))
     if dim_seller is not None:
         s = lookup(s, dim_seller, {"seller_id": "seller_id"}, "seller_key", spread=["order_id", "line_no"],
-                   counted=lines.select(F.col("l_suppkey").alias("seller_id")))
+                   counted=lines.select(F.col("l_suppkey").alias("seller_id")), settled="seller" in settled)
     else:
         s = s.withColumn("seller_key", dim_key("seller_id"))
     disc = _money_round(F.col("gross_amount") * F.col("discount_rate"))
@@ -218,7 +220,8 @@ def sales_measures(lines_with_orders: DataFrame, dim_product: DataFrame | None =
 
 
 def fact_sales(lineitem: DataFrame, orders: DataFrame, dim_customer: DataFrame | None = None,
-               dim_product: DataFrame | None = None, dim_seller: DataFrame | None = None) -> DataFrame:
+               dim_product: DataFrame | None = None, dim_seller: DataFrame | None = None,
+               settled: tuple[str, ...] = ()) -> DataFrame:
     """One row per order line (inner join of lines and orders).
 
     gross = extended price; discount amount = gross x discount (to the cent);
@@ -228,11 +231,12 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame, dim_customer: DataFrame |
     Keys: with a dimension given, the key comes from a lookup (W6) and an
     unmatched member becomes ``'-1'``. Without one (the rows were already
     checked against their parents by ``split_rejects``), the key is the hash
-    of the natural key and no join is spent on it.
+    of the natural key and no join is spent on it. ``settled`` names the dimensions
+    (customer, product, seller) whose key is used for certain (``lookup``).
     """
-    o = sales_orders(orders, dim_customer)
+    o = sales_orders(orders, dim_customer, "customer" in settled)
     joined = lineitem.join(o, lineitem.l_orderkey == o.o_orderkey, "inner")
-    return sales_measures(joined, dim_product, dim_seller, lineitem)
+    return sales_measures(joined, dim_product, dim_seller, lineitem, settled)
 
 
 # W8 ------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retail_marts.functions.columns import MONEY, month_key
+from retail_marts.functions.columns import MONEY, UNKNOWN_KEY, dim_key, month_key
 from retail_marts.operators import etl, warehouse as W
 from retail_marts.plans import standins
 from retail_marts.sources import read_table, remove_table, write_fact, write_table
@@ -74,7 +74,7 @@ class Warehouse:
         the lines are shuffled by order key once.
         """
         li = self.table("lineitem")
-        o_side = W.sales_orders(etl.latest_per_key(self.table("orders"), ["o_orderkey"], ["o_orderdate"]), customers)
+        o_side = W.sales_orders(etl.latest_per_key(self.table("orders"), ["o_orderkey"], ["o_orderdate"]), customers, settled=True)
         li_o = li.join(o_side, li.l_orderkey == o_side.o_orderkey, "left")
         parents = [etl.Parent("part", self.table("part"), {"l_partkey": "p_partkey"}),
                    etl.Parent("supplier", self.table("supplier"), {"l_suppkey": "s_suppkey"})]
@@ -82,6 +82,12 @@ class Warehouse:
         first = {"missing orders": F.col("o_orderkey").isNotNull()}
         return etl.flag_rejects(li_o, line_rules(), parents, first, spread=["l_orderkey", "l_linenumber"], counted=li)
 
+    def sales_keyed(self, *settled: str) -> DataFrame:
+        """``sales`` for a query that uses the keys of these dimensions (customer, product, seller) for certain."""
+        if self.checked or not self.lookups:
+            return self.sales
+        return W.fact_sales(self.table("lineitem"), self.table("orders"), self.dim_customer, self.dim_product, self.dim_seller, settled)
+
     @cached_property
     def sales(self) -> DataFrame:
         """W7. Accepted lines were checked against products and sellers, so these keys are derived
@@ -139,6 +145,9 @@ class LoadedWarehouse(Warehouse):
     def dim_date(self) -> DataFrame:
         return self.table("dim_date")
 
+    def sales_keyed(self, *settled: str) -> DataFrame:
+        return self.sales
+
     @cached_property
     def sales(self) -> DataFrame:
         return self.table("fact_sales")
@@ -163,16 +172,26 @@ def _reconciled(spark: SparkSession, li: DataFrame, ok: DataFrame, bad: DataFram
 
 
 def _staged_lines(wh: Warehouse, path: str) -> tuple[DataFrame, DataFrame]:
-    """Accepted and rejected lines of one checked pass, written once partitioned by outcome."""
-    flagged = wh.checked_lines(wh.dim_customer).withColumn(
-        "outcome", F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected"))
-    flagged.write.partitionBy("outcome").parquet(path)
+    """Accepted and rejected lines of one checked pass, written once partitioned by outcome. The customer's
+    key is kept as whether it was found (``customer_known``): ``_loaded_sales`` makes it again."""
+    flagged = (wh.checked_lines(wh.dim_customer).withColumn("customer_known", F.col("customer_key") != UNKNOWN_KEY).drop("customer_key")
+               .withColumn("outcome", F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected")))
+    flagged.write.option("compression", "zstd").partitionBy("outcome").parquet(path)
     checked = wh.spark.read.schema(flagged.schema).parquet(path)
     ok = checked.filter(F.col("outcome") == "accepted").drop("outcome", "reject_reason")
     bad = checked.filter(F.col("outcome") == "rejected").drop("outcome")
     return ok, bad.select(*wh.table("lineitem").columns, "reject_reason")
 
 
+def _loaded_sales(ok: DataFrame) -> DataFrame:
+    """The sales fact of staged lines. Product and seller were checked, so their keys are derived; the customer
+    was looked up on the order side ('-1' when unknown). Lines are clustered by month here, before the
+    keys and measures make them three times as wide."""
+    lines = ok.withColumn("month_key", month_key("ordered_at")).hint("rebalance", "month_key")
+    key = F.when(F.col("customer_known"), dim_key("customer_id")).otherwise(F.lit(UNKNOWN_KEY))
+    return W.sales_measures(lines.withColumn("customer_key", key))
+
+
 def load_version(spark: SparkSession, src: str, root: str) -> DataFrame:
     """Batch load of the warehouse as the next published version of ``root``; returns the E5
     reconciliation. Readers see the version before until all tables are written, and a load
@@ -183,7 +202,7 @@ def load_version(spark: SparkSession, src: str, root: str) -> DataFrame:
         out.add_table(getattr(wh, name), name)
     ok, bad = _staged_lines(wh, out.folder("_checked_lineitem"))
     out.add_table(bad, "rejects_lineitem")
-    sales = out.add_fact(W.sales_measures(ok), "fact_sales")
+    sales = out.add_fact(_loaded_sales(ok), "fact_sales", clustered=True)
     out.add_fact(W.fact_payments(standins.payments_source(wh.table("events")), wh.dim_customer), "fact_payments")
     latest = etl.latest_per_key(wh.table("orders"), ["o_orderkey"], ["o_orderdate"])
     out.add_fact(standins.orders_source(latest).withColumn("month_key", month_key("ordered_at")), "fact_orders")
@@ -210,10 +229,8 @@ def load(spark: SparkSession, src: str, dst: str) -> DataFrame:
     ok, bad = _staged_lines(wh, checked)
     write_table(bad, os.path.join(dst, "rejects_lineitem"))
 
-    # product and seller were checked above, so their keys are derived; the
-    # customer was looked up on the order side ('-1' when unknown).
-    sales = W.sales_measures(ok)
-    write_fact(sales, os.path.join(dst, "fact_sales"), "month_key")
+    sales = _loaded_sales(ok)
+    write_fact(sales, os.path.join(dst, "fact_sales"), "month_key", clustered=True)
     pay = W.fact_payments(standins.payments_source(wh.table("events"), ["purchase"]), wh.dim_customer)
     write_fact(pay, os.path.join(dst, "fact_payments"), "month_key")
     write_table(wh.ratings, os.path.join(dst, "fact_ratings"))

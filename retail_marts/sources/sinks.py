@@ -13,11 +13,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_fact(df: DataFrame, path: str, by: str | list[str] = "month_key") -> None:
-    """Write ``df`` under ``path`` partitioned by ``by``; replaces only the months it holds."""
+def write_fact(df: DataFrame, path: str, by: str | list[str] = "month_key", clustered: bool = False) -> None:
+    """Write ``df`` under ``path`` partitioned by ``by``; replaces only the months it holds.
+    ``clustered``: the rows are clustered already."""
     cols = [by] if isinstance(by, str) else list(by)
-    (df.hint("rebalance", *cols)
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path))
+    ((df if clustered else df.hint("rebalance", *cols))
+       .write.option("compression", "zstd").mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path))
 
 
 def write_table(df: DataFrame, path: str) -> None:
