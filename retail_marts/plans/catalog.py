@@ -450,7 +450,7 @@ LEFT JOIN supplier su ON s.seller_id = su.s_suppkey
 """)
 def q_fact_sales(spark, d):
     """W7 with dimension lookups."""
-    return wh(spark, d).sales
+    return wh(spark, d).sales_keyed("customer", "product", "seller")
 
 
 @query("fact_payments", """
@@ -542,7 +542,7 @@ geo AS (SELECT c.c_custkey, n.n_name AS nation, r.r_name AS region, c.c_mktsegme
 
 def _sales_with(w: Warehouse, dim: str, *cols: str) -> DataFrame:
     dd = getattr(w, f"dim_{dim}")
-    return w.sales.join(dd.select(f"{dim}_key", *cols), f"{dim}_key", "left")
+    return w.sales_keyed(dim).join(dd.select(f"{dim}_key", *cols), f"{dim}_key", "left")
 
 
 @query("sales_kpis", f"""

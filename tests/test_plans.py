@@ -51,3 +51,27 @@ def test_written_fact_is_pruned_by_month(spark, tmp_out):
     plan = _plan(df.select("net_amount"))
     assert "PartitionFilters: [isnotnull(month_key" in plan and "(month_key#" in plan
     assert df.count() > 0
+
+
+def test_loaded_lines_are_clustered_before_their_keys_are_made(spark, tmp_path):
+    """The shuffle by month carries no hashed key; an unknown customer still gets the unknown member."""
+    from pyspark.sql import functions as F
+    from retail_marts.plans.warehouse import Warehouse, _loaded_sales, _staged_lines
+    w = Warehouse(spark, SF0001, lookups=False)
+    w.dim_customer = w.dim_customer.where("customer_id % 3 <> 0")
+    sales = _loaded_sales(_staged_lines(w, str(tmp_path / "staged"))[0])
+    above, below = sales._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
+    assert above.count("sha2") >= 3 and "sha2" not in below and "customer_key" not in below
+    assert sales.where((F.col("customer_key") == "-1") != (F.col("customer_id") % 3 == 0)).count() == 0
+    assert sales.where("customer_key = '-1'").count() > 0
+
+
+def test_fact_sales_shuffles_lines_once(spark):
+    """Broadcasts by size are off, as for dimensions of any size: lines meet orders by shuffle, keys that are missing by broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(E.queries()["fact_sales"](spark, SF0001))
+        assert len(re.findall(r"SortMergeJoin.*Inner", plan)) == 1 and "approx_top_k" not in plan
+        assert not re.search(r"SortMergeJoin \[_?(customer|product|seller)_id.*LeftOuter", plan) and len(re.findall(r"BroadcastHashJoin.*LeftOuter", plan)) == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
