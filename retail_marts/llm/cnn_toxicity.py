@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_marts.llm import text as T
-from retail_marts.llm.common import Scratch, fold, table
+from retail_marts.llm.common import Scratch, fold, short_shuffles, table
 
 BITS, DIM, PER_WIDTH, WIDTHS, KMAX, STRIPE = 22, 16, 8, (1, 2, 3), 4, 16
 FILTERS = PER_WIDTH * len(WIDTHS)
@@ -59,6 +59,16 @@ def layout(rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, real, at
 
 
+def _sums_by(key: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, rising, and the sum of each one's rows of ``values``, added in their order."""
+    if not key.size:
+        return key, values
+    both = np.sort(key.astype(np.int64) << 32 | np.arange(key.size))
+    key = both >> 32
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[first], np.add.reduceat(values[both & 0xFFFFFFFF], first, axis=0)
+
+
 class Cnn:
     """emb: one row per known bucket, row 0 empty. filt: per width a (width * DIM, PER_WIDTH) matrix."""
 
@@ -77,38 +87,39 @@ class Cnn:
         return [*self.filt, self.bias, self.out, self.base, *self.acc[1:]]
 
     def activations(self, ids: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.emb[ids[:, 0]]
+        x = self.emb.take(ids[:, 0], 0)
         for j in range(1, ids.shape[1]):
-            x = x + self.emb[ids[:, j]]
-        ys = []
-        for f in self.filt:
-            y = x @ f[0]
-            for o in range(1, len(f)):
-                y[:-o] += x[o:] @ f[o]
-            ys.append(y)
-        y = np.concatenate(ys, 1) + self.bias
+            x += self.emb.take(ids[:, j], 0)
+        # every filter's part of the same offset side by side, all in one product
+        z = x @ np.concatenate([f[o] for o in range(max(WIDTHS)) for f in self.filt if o < len(f)], 1)
+        y, at = z[:, :FILTERS], FILTERS
+        for o in range(1, max(WIDTHS)):
+            first = sum(len(f) <= o for f in self.filt) * PER_WIDTH  # widths rise, so the last ones reach this far
+            y[:-o, first:] += z[o:, at:at + FILTERS - first]
+            at += FILTERS - first
+        y = y + self.bias
         y[~real] = -1.0
         return x, y
 
-    def pool(self, y: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """k greatest stripe maxima of each document and filter, and the places they came from."""
-        s = y.reshape(-1, STRIPE, FILTERS)
-        where = s.argmax(1)
-        top = np.take_along_axis(s, where[:, None, :], 1)[:, 0, :]
+    @staticmethod
+    def pool(y: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """k greatest stripe maxima of each document and filter, and the stripes they came from (-1: none)."""
+        top = y.reshape(-1, STRIPE, FILTERS).max(1)
         docs = at.size - 1
-        best, place = np.zeros((docs, KMAX, FILTERS), np.float32), np.full((docs, KMAX, FILTERS), -1)
-        place_of = where + (np.arange(len(s)) * STRIPE)[:, None]
-        for d in range(docs):
-            t = top[at[d]:at[d + 1]]
-            k = min(KMAX, len(t))
-            o = np.argsort(-t, 0, kind="stable")[:k] if len(t) < 64 else np.argpartition(-t, KMAX - 1, 0)[:KMAX]
-            v = np.take_along_axis(t, o, 0)
-            if len(t) >= 64:
-                again = np.argsort(-v, 0, kind="stable")
-                o, v = np.take_along_axis(o, again, 0), np.take_along_axis(v, again, 0)
-            best[d, :k] = v
-            place[d, :k] = np.take_along_axis(place_of[at[d]:at[d + 1]], o, 0)
-        return np.maximum(best, 0), place
+        best, stripe = np.zeros((docs, KMAX, FILTERS), np.float32), np.full((docs, KMAX, FILTERS), -1)
+        size = np.diff(at)
+        for n in np.unique(size):  # documents of one size at once
+            own = np.flatnonzero(size == n)
+            t = top[(at[own][:, None] + np.arange(n)).ravel()].reshape(own.size, n, FILTERS)
+            k = min(KMAX, int(n))
+            o = np.argsort(-t, 1, kind="stable")[:, :k] if n < 64 else np.argpartition(-t, KMAX - 1, 1)[:, :KMAX]
+            v = np.take_along_axis(t, o, 1)
+            if n >= 64:
+                again = np.argsort(-v, 1, kind="stable")
+                o, v = np.take_along_axis(o, again, 1), np.take_along_axis(v, again, 1)
+            best[own, :k] = v
+            stripe[own, :k] = o + at[own][:, None, None]
+        return np.maximum(best, 0), stripe
 
     def logits(self, ids: np.ndarray, real: np.ndarray, at: np.ndarray) -> np.ndarray:
         best, _ = self.pool(self.activations(ids, real)[1], at)
@@ -116,6 +127,8 @@ class Cnn:
 
     def train(self, ids: np.ndarray, starts: np.ndarray, y: np.ndarray, epochs: int, rate: float = 0.06, batch: int = 32, seed: int = 6) -> None:
         r, acc = np.random.default_rng(seed), self.acc
+        padded, words, stripes = layout(ids, starts)
+        padded, words = padded.reshape(-1, STRIPE, ids.shape[1]), words.reshape(-1, STRIPE)
 
         def ada(p, g, a, l2=0.0):
             g = g + l2 * p
@@ -126,34 +139,32 @@ class Cnn:
             order = r.permutation(len(y))
             for lo in range(0, len(y), batch):
                 docs = order[lo:lo + batch]
-                part = np.concatenate([np.arange(starts[d], starts[d + 1]) for d in docs])
-                own = np.concatenate([[0], np.cumsum(np.diff(starts)[docs])])
-                got, real, at = layout(ids[part], own)
+                at = np.concatenate([[0], np.cumsum(np.diff(stripes)[docs])])
+                part = np.arange(at[-1]) + np.repeat(stripes[docs] - at[:-1], np.diff(at))
+                got, real = padded[part].reshape(-1, ids.shape[1]), words[part].ravel()
                 x, act = self.activations(got, real)
-                best, place = self.pool(act, at)
+                best, stripe = self.pool(act, at)
                 z = np.tensordot(best, self.out, 2) + self.base[0]
                 dz = ((1 / (1 + np.exp(-z))) - y[docs]).astype(np.float32) / len(docs)
                 g_out = np.tensordot(dz, best, 1)
                 g_best = dz[:, None, None] * self.out[None] * (best > 0)
                 d, k, f = np.nonzero(g_best)
-                g, p = g_best[d, k, f], place[d, k, f]
+                g, s = g_best[d, k, f], stripe[d, k, f]
+                p = s * STRIPE + act.reshape(-1, STRIPE, FILTERS)[s, :, f].argmax(1)
                 g_bias = np.bincount(f, weights=g, minlength=FILTERS).astype(np.float32)
                 g_filt = [np.zeros_like(w) for w in self.filt]
-                g_x = np.zeros_like(x)
+                at_word, g_word = [np.zeros(0, np.int64)], [np.zeros((0, DIM), np.float32)]
                 for i, w in enumerate(WIDTHS):
-                    own_f = f // PER_WIDTH == i
-                    for o in range(w):
-                        q, c = p[own_f] + o, f[own_f] % PER_WIDTH
-                        ok = q < len(x)
-                        q, c, v = q[ok], c[ok], g[own_f][ok]
-                        np.add.at(g_filt[i][o].T, c, v[:, None] * x[q])
-                        np.add.at(g_x, q, v[:, None] * self.filt[i][o].T[c])
-                hot = np.flatnonzero(g_x.any(1))
-                rows = got[hot].ravel()
-                grad = np.repeat(g_x[hot], got.shape[1], axis=0)
-                u, inv = np.unique(rows, return_inverse=True)
-                g_emb = np.zeros((u.size, DIM), np.float32)
-                np.add.at(g_emb, inv, grad)
+                    own_f = np.flatnonzero(f // PER_WIDTH == i)
+                    by = np.zeros((own_f.size, PER_WIDTH), np.float32)
+                    by[np.arange(own_f.size), f[own_f] % PER_WIDTH] = g[own_f]
+                    for o in range(w):  # a word is followed by two empty places at least
+                        q = p[own_f] + o
+                        g_filt[i][o] = x[q].T @ by
+                        at_word.append(q)
+                        g_word.append(by @ self.filt[i][o].T)
+                q, grad = _sums_by(np.concatenate(at_word), np.concatenate(g_word))
+                u, g_emb = _sums_by(got[q].ravel(), np.repeat(grad, got.shape[1], axis=0))
                 g_emb[u == 0] = 0
                 acc[0][u] += g_emb * g_emb
                 self.emb[u] -= rate * g_emb / np.sqrt(acc[0][u])
@@ -207,16 +218,18 @@ def _threshold(z: np.ndarray, toxic: np.ndarray, other: np.ndarray) -> float:
 def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket and language: documents that hold it, and its words (by the first hash)."""
     for whole in batches:
-        for b in T.chunks(whole):
+        for b in T.chunks(whole, limit=4 * T.CHUNK_BYTES):
             words = T.Words(b.column("text"), T.ALNUM)
             ids, langs = buckets(words), np.array(b.column("lang").to_pylist(), object)
             doc = np.repeat(np.arange(len(langs)), np.diff(words.starts))
             for lang in set(langs):
                 own = np.array([x == lang for x in langs], bool)[doc]
-                pairs = np.unique(np.stack([np.repeat(doc[own], 3), ids[own].ravel()], 1), axis=0)[:, 1]
-                bucket, docs = np.unique(pairs, return_counts=True)
+                pairs = np.sort((ids[own].astype(np.int64) << 32 | doc[own][:, None]).ravel())
+                bucket = pairs[np.append(pairs[1:] != pairs[:-1], True)[:pairs.size]] >> 32
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:bucket.size])
+                docs, bucket = np.diff(np.append(first, bucket.size)), bucket[first]
                 n = np.bincount(np.searchsorted(bucket, ids[own, 0]), minlength=bucket.size)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array([lang] * bucket.size, pa.string()), pa.array(docs, pa.int64()), pa.array(n, pa.int64())],
+                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.repeat(pa.scalar(lang, pa.string()), bucket.size), pa.array(docs, pa.int64()), pa.array(n, pa.int64())],
                                                  names=["bucket", "lang", "docs", "words"])
 
 
@@ -228,17 +241,19 @@ def _vocabulary(fit: DataFrame, scratch: Scratch, least: int, langs: list[str])
     total = {r["lang"]: r["w"] for r in n.groupBy("lang").agg(F.sum("words").alias("w")).collect()}
     often = n.groupBy("bucket").agg(F.sum("docs").alias("d")).where(F.col("d") >= least).select("bucket")
     got = n.join(often, "bucket").select("bucket", "lang", "words").toArrow()  # the model's own size
-    bucket, lang = got["bucket"].to_numpy(), got["lang"].to_pylist()
+    bucket, lang = got["bucket"].to_numpy(), got["lang"].combine_chunks().dictionary_encode()
     known = np.unique(bucket)
     count = np.full((known.size + 1, len(langs)), 0.1)
     place = {x: k for k, x in enumerate(langs)}
-    k = np.array([place.get(x, -1) for x in lang], int)
+    k = np.append([place.get(x, -1) for x in lang.dictionary.to_pylist()], -1)[lang.indices.fill_null(-1).to_numpy(zero_copy_only=False)].astype(int)
     row = np.searchsorted(known, bucket) + 1
     np.add.at(count, (row[k >= 0], k[k >= 0]), got["words"].to_numpy()[k >= 0])
     every = np.array([total.get(x, 0) for x in langs]) + 0.1 * len(count)
     model = Model(known.astype(np.int64), Cnn(known.size), np.log(count / every).astype(np.float32), np.zeros(len(langs)))
     model.lang[0] = 0
     scratch.drop(n)
+    del got, lang
+    pa.default_memory_pool().release_unused()
     return model
 
 
@@ -247,43 +262,59 @@ SUMS = [f"s{i}" for i in range(2 * DIM)]
 
 def _round(fit: DataFrame, model: Model, epochs: int, seed: int) -> None:
     """Every shard trains from ``model``; the averaged changes are applied to it."""
-    net = model.net
+    net, shared = model.net, fit.sparkSession.sparkContext.broadcast(model)
 
     def steps(group: pa.Table) -> pa.Table:
+        model, net = shared.value, shared.value.net
         group = group.sort_by([("place", "ascending"), ("doc_id", "ascending")])
         ids, sizes = [], []
-        for b in group.to_batches():
-            words = T.Words(b.column("text"), T.ALNUM)
-            ids.append(model.rows(buckets(words)))
-            sizes.append(np.diff(words.starts))
-        own = Cnn.__new__(Cnn)
-        own.emb, own.filt, own.bias, own.out, own.base = net.emb.copy(), [w.copy() for w in net.filt], net.bias.copy(), net.out.copy(), net.base.copy()
-        own.acc = [p.copy() for p in net.acc]
-        own.train(np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), group["toxic"].to_numpy().astype(float), epochs, seed=seed)
-        hit = np.flatnonzero((own.acc[0] != net.acc[0]).any(1))
-        change = np.concatenate([own.emb[hit] - net.emb[hit], own.acc[0][hit] - net.acc[0][hit]], 1)
+        for whole in group.to_batches():
+            for b in T.chunks(whole):
+                words = T.Words(b.column("text"), T.ALNUM)
+                ids.append(model.rows(buckets(words)))
+                sizes.append(np.diff(words.starts))
+        ids = np.concatenate(ids)
+        number = np.zeros(len(net.emb), np.int32)  # only the shard's own buckets are copied
+        number[0] = 1
+        number[ids] = 1
+        used = np.flatnonzero(number)
+        number[used] = np.arange(used.size)
+        own, emb, acc = Cnn.__new__(Cnn), net.emb[used], net.acc[0][used]
+        own.emb, own.filt, own.bias, own.out, own.base = emb.copy(), [w.copy() for w in net.filt], net.bias.copy(), net.out.copy(), net.base.copy()
+        own.acc = [acc.copy(), *[p.copy() for p in net.acc[1:]]]
+        own.train(number[ids], np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), group["toxic"].to_numpy().astype(float), epochs, seed=seed)
+        hit = np.flatnonzero((own.acc[0] != acc).any(1))
+        change = np.concatenate([own.emb[hit] - emb[hit], own.acc[0][hit] - acc[hit]], 1)
         flat = np.concatenate([(n - o).ravel() for n, o in zip(own.dense(), net.dense())])
         flat = np.pad(flat, (0, -flat.size % (2 * DIM))).reshape(-1, 2 * DIM)   # after the buckets: negative rows
-        rows = np.concatenate([hit, -1 - np.arange(len(flat))])
+        rows = np.concatenate([used[hit], -1 - np.arange(len(flat))])
         whole = np.rint(np.concatenate([change, flat]).astype(np.float64) * UNIT).astype(np.int64)
         return pa.table([pa.array(rows, pa.int32()), *[pa.array(whole[:, i]) for i in range(2 * DIM)]], names=["row", *SUMS])
 
     moved = (fit.groupBy("shard").applyInArrow(steps, "row int, " + ", ".join(f"{c} long" for c in SUMS))
-             .groupBy("row").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in SUMS]).toArrow())  # the model's own size
-    row, n = moved["row"].to_numpy(), moved["n"].to_numpy()
-    mean = (np.stack([moved[c].to_numpy() for c in SUMS], 1) / UNIT / n[:, None]).astype(np.float32)
-    emb = row >= 0
-    net.emb[row[emb]] += mean[emb, :DIM]
-    net.acc[0][row[emb]] += mean[emb, DIM:]
-    flat, at = mean[~emb][np.argsort(-row[~emb])].ravel(), 0
+             .groupBy("row").agg(*[(F.sum(c) / F.lit(UNIT) / F.count(F.lit(1))).cast("float").alias(c) for c in SUMS]).toArrow())  # the model's own size
+    shared.destroy()  # the next round has its own
+    row = moved["row"].to_numpy()
+    emb = np.flatnonzero(row >= 0)
+    for i, c in enumerate(SUMS):
+        part = net.emb if i < DIM else net.acc[0]
+        part[row[emb], i % DIM] += moved[c].to_numpy()[emb]
+    rest = np.flatnonzero(row < 0)
+    mean = np.stack([moved[c].to_numpy()[rest] for c in SUMS], 1)
+    flat, at = mean[np.argsort(-row[rest])].ravel(), 0
     for p in net.dense():
         p += flat[at:at + p.size].reshape(p.shape)
         at += p.size
+    del moved
+    pa.default_memory_pool().release_unused()
 
 
 def _calibrate(rows: DataFrame, model: Model) -> None:
     """Thresholds by language from all of ``rows``."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for whole in batches:
             for b in T.chunks(whole):
                 words = T.Words(b.column("text"), T.ALNUM)
@@ -294,6 +325,7 @@ def _calibrate(rows: DataFrame, model: Model) -> None:
 
     got = (rows.select("text", "toxic").mapInArrow(run, "k int, z int, toxic int").groupBy("k", "z")
            .agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).orderBy("z", "k").toArrow())  # languages x 2 x ENDS x STEP rows at most
+    shared.destroy()
     k, z, toxic = got["k"].to_numpy(), got["z"].to_numpy() / STEP, got["toxic"].to_numpy()
     other = got["n"].to_numpy() - toxic
     zs, at = np.unique(z, return_inverse=True)
@@ -312,30 +344,38 @@ def train(docs: DataFrame, labels: DataFrame, learn, shard: int = 4096, rounds:
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
             .where(learn).join(marked, "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("lang", "text")).alias("x")))
     scratch = Scratch(docs.sparkSession, "toxicity")
-    rows = scratch.put(rows.select("doc_id", "toxic", "x.lang", "x.text", F.xxhash64("doc_id", F.lit(31)).alias("place")), "labelled")
     try:
-        n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-        if len(n) < 2:
-            return None
-        size = sum(n.values())
-        langs = sorted(r["lang"] for r in rows.where("lang IS NOT NULL").select("lang").distinct().collect()) or ["?"]
-        out = F.pmod("place", F.lit(5)) == 0 if size >= 50 else F.lit(False)
-        shards = -(-size // shard)
-        fit = rows.where(~out).withColumn("shard", F.pmod(F.shiftright("place", 8), F.lit(shards)))
-        model = _vocabulary(fit, scratch, min(3, max(1, size // 20)), langs)
-        _round(fit.where("shard = 0"), model, epochs, 6)
-        for i in range(rounds if shards > 1 else 0):
-            _round(fit, model, 1, 7 + i)
-        _calibrate(rows.where(out) if size >= 50 else rows, model)
-        model.net.acc = None  # not needed to score
-        return model
+        with short_shuffles(docs.sparkSession):
+            return _trained(rows, scratch, shard, rounds, epochs)
     finally:
         scratch.close()
 
 
+def _trained(rows: DataFrame, scratch: Scratch, shard: int, rounds: int, epochs: int) -> Model | None:
+    rows = scratch.put(rows.select("doc_id", "toxic", "x.lang", "x.text", F.xxhash64("doc_id", F.lit(31)).alias("place")), "labelled")
+    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if len(n) < 2:
+        return None
+    size = sum(n.values())
+    langs = sorted(r["lang"] for r in rows.where("lang IS NOT NULL").select("lang").distinct().collect()) or ["?"]
+    out = F.pmod("place", F.lit(5)) == 0 if size >= 50 else F.lit(False)
+    shards = -(-size // shard)
+    fit = rows.where(~out).withColumn("shard", F.pmod(F.shiftright("place", 8), F.lit(shards)))
+    model = _vocabulary(fit, scratch, min(3, max(1, size // 20)), langs)
+    _round(fit.where("shard = 0"), model, epochs, 6)
+    for i in range(rounds if shards > 1 else 0):
+        _round(fit, model, 1, 7 + i)
+    model.net.acc = None  # not needed to score
+    _calibrate(rows.where(out) if size >= 50 else rows, model)
+    return model
+
+
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, score of every document."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for whole in batches:
             for b in T.chunks(whole):
                 s = model.score(b.column("text")) if model else np.where(np.diff(T.Words(b.column("text"), T.ALNUM).starts) > 0, 0.25, 0.0)

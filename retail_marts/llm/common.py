@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retail_marts.session import checkpoint_dir
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
@@ -22,6 +25,17 @@ def fold(id_col: Column, n: int) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % n
 
 
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """A query's shuffles are deleted with its end in here: for rounds whose shuffles are read once."""
+    had = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, had)
+
+
 class Scratch:
     """Tables of one run in the shared folder of ``spark.checkpoint.dir``. Each
     write gets a folder of its own and is read back, which cuts the lineage: a
