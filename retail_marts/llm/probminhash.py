@@ -44,6 +44,7 @@ from retail_marts.llm.common import Scratch, table
 
 BANDS, ROWS = 30, 5
 REGISTERS = BANDS * ROWS
+MARKS = 16  # 64-bit maps of the shingles that a document holds, for a bound on what a pair can share
 PRIOR = 16  # rarer shingles that a listed one carries, so that a pair is made once and not at every shared shingle
 _G = np.uint64(0x9E3779B97F4A7C15)
 
@@ -237,6 +238,10 @@ def _rare_pairs(whole: DataFrame, open_: DataFrame, threshold: float, scratch: S
     shingle is not shared: at most 1 - t of either, (1 - t) / (1 + t) of one. So only a document's rarest
     shingles are listed, up to these weights, and a pair meets in one that is in a short list. What a large
     group shares comes last in every list and pairs nobody.
+
+    Near copies in a large group meet in many a rare shingle without being linked. Each document carries a map of
+    ``64 * MARKS`` bits, a shingle setting one of them. A bit that one has and the other lacks is a shingle that isn't
+    shared, of the document's least weight at least, which lowers X or Y; the pair must still be able to reach t.
     """
     own = whole.join(open_.select("node"), "node", "left_semi")
     bag = scratch.put(own.mapInArrow(_bag, "node long, shingle long, w double"), "bag")
@@ -253,14 +258,21 @@ def _rare_pairs(whole: DataFrame, open_: DataFrame, threshold: float, scratch: S
     scratch.drop(shared)
     able = listed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("short").alias("s")).where("x <> y AND s").select("shingle")
     met = scratch.put(listed.join(able, "shingle"), "met")
-    a = met.where("short").select("shingle", F.col("node").alias("a"), F.col("label").alias("la"), (1 / (1 - F.col("before"))).alias("xa"), F.col("prior").alias("pa"))
-    b = met.select("shingle", F.col("node").alias("b"), F.col("label").alias("lb"), (1 / (1 - F.col("before"))).alias("xb"), F.col("prior").alias("pb"), F.col("short").alias("sb"))
+    names = [f"m{i}" for i in range(MARKS)]
+    marks = scratch.put(own.join(met.select("node").distinct(), "node", "left_semi").mapInArrow(_marks, "node long, least double, " + ", ".join(f"{m} long" for m in names)), "marks")
+    met = met.join(marks, "node")
+    side = lambda x: [F.col("least").alias(f"w{x}"), *[F.col(m).alias(f"{m}{x}") for m in names]]
+    a = met.where("short").select("shingle", F.col("node").alias("a"), F.col("label").alias("la"), (1 / (1 - F.col("before"))).alias("xa"), F.col("prior").alias("pa"), *side("a"))
+    b = met.select("shingle", F.col("node").alias("b"), F.col("label").alias("lb"), (1 / (1 - F.col("before"))).alias("xb"), F.col("prior").alias("pb"), F.col("short").alias("sb"), *side("b"))
     # were this the rarest shared one, X and Y were at most what is left: the pair must still reach the threshold
     able = F.col("xa") + F.col("xb") <= 1 + 1 / threshold + 1e-8
     # a pair that shares one of the rarer shingles just before has met there, where both conditions are weaker
     first = ~F.arrays_overlap("pa", "pb")
     once = (F.col("a") < F.col("b")) | ~F.col("sb")
-    return a.join(b, "shingle").where((F.col("la") != F.col("lb")) & able & (F.col("a") != F.col("b")) & once & first).select("a", "b")
+    alone = lambda x, y: sum((F.bit_count(F.col(f"{m}{x}").bitwiseAND(F.bitwise_not(F.col(f"{m}{y}")))) for m in names), F.lit(0))
+    left_a, left_b = (F.greatest(1 - F.col(f"w{x}") * alone(x, y), F.lit(0.0)) for x, y in ("ab", "ba"))
+    alike = left_a + left_b <= (1 + 1 / threshold + 1e-8) * left_a * left_b
+    return a.join(b, "shingle").where((F.col("la") != F.col("lb")) & able & (F.col("a") != F.col("b")) & once & first & alike).select("a", "b")
 
 
 def _bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,6 +282,20 @@ def _bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b.column("node").take(pa.array(d)), pa.array(h.view(np.int64)), pa.array(w)], names=["node", "shingle", "w"])
 
 
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per document: the least weight of a shingle, and the map of its shingles."""
+    for whole in batches:
+        for b in T.chunks(whole):
+            h, d, w = weighted_shingles(T.Words(b.column("text")))
+            bits = np.zeros((b.num_rows, 64 * MARKS), bool)
+            bits[d, (T.mix(h) % np.uint64(64 * MARKS)).astype(np.int64)] = True
+            least = np.ones(b.num_rows)
+            np.minimum.at(least, d, w)
+            maps = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(least), *[pa.array(np.ascontiguousarray(maps[:, i])) for i in range(MARKS)]],
+                                             names=["node", "least", *[f"m{i}" for i in range(MARKS)]])
+
+
 def _of(whole: DataFrame, pairs: DataFrame) -> DataFrame:
     """The texts of the documents in ``pairs``."""
     ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
