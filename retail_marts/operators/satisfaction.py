@@ -46,6 +46,22 @@ def training_rows(candidates: DataFrame, labels: DataFrame, key: str, target: st
     return labelled, unlabelled
 
 
+#: Values (4 bytes each) of training rows that one partition holds at most, about.
+PART_VALUES = 1 << 24
+
+
+def spread(df: DataFrame, values: int) -> DataFrame:
+    """``df``, which holds about ``values`` values, in so many partitions that none holds many more than
+    ``PART_VALUES``: a join that broadcasts the labels keeps the documents' own splits, however large."""
+    parts = -(-values // PART_VALUES)
+    return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism)) if parts > 1 else df
+
+
+def spread_texts(df: DataFrame, text: str) -> DataFrame:
+    """``spread`` by the characters of ``text``; words of a text take about four bytes for each of them."""
+    return spread(df, df.agg(F.sum(F.length(text))).first()[0] or 0)
+
+
 # P3 ----------------------------------------------------------------------------
 
 def split(df: DataFrame, group: str, test_share: float, salt: str = "") -> tuple[DataFrame, DataFrame]:
@@ -164,14 +180,17 @@ def train(df: DataFrame, kind: str, features: Pipeline, params: dict | None = No
     The feature vectors are computed once and written to the checkpoint
     folder before the classifier runs its many passes: the iterations read
     (label, features) rows, not the text again, and a lost executor resumes
-    from the checkpoint.
+    from the checkpoint. Trees keep a value for every feature of every row in memory, so the rows are
+    dealt by that (``spread``).
     """
     if kind == "baseline":
         return PipelineModel(stages=[MajorityBaseline().fit(df)])
     data = class_weights(df) if weighted else df
     fitted = features.fit(data)
     cols = ["label", "features"] + (["weight"] if weighted else [])
-    x = fitted.transform(data).select(*cols).checkpoint(eager=True)
+    x = fitted.transform(data).select(*cols)
+    width = x.schema["features"].metadata.get("ml_attr", {}).get("num_attrs", 1)
+    x = spread(x, df.count() * width).checkpoint(eager=True)
     clf = _classifier(kind, params or {}, weighted).fit(x)
     return PipelineModel(stages=list(fitted.stages) + [clf])
 

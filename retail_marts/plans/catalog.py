@@ -1192,7 +1192,7 @@ def q_train_models(spark, d):
     from functools import reduce
     lab, _ = _training(spark, d)
     # one pass: split by text hash, tokenise, checkpoint; both parts read it
-    both = (P.tokenizer("comment", "tokens").transform(P.split_flag(lab, "comment", TEST_SHARE))
+    both = (P.tokenizer("comment", "tokens").transform(P.split_flag(P.spread_texts(lab, "comment"), "comment", TEST_SHARE))
              .drop("comment").checkpoint(eager=True))
     train = both.filter(F.col("part") == "train").drop("part")
     test = both.filter(F.col("part") == "test").drop("part")
@@ -1210,7 +1210,7 @@ def q_score_batch(spark, d):
     """A random forest fitted on every labelled review scores every
     unlabelled one. Rows only."""
     lab, unl = _training(spark, d)
-    lab = lab.checkpoint(eager=True)
+    lab = P.spread_texts(lab, "comment").checkpoint(eager=True)
     m = P.train(lab, "rf", P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=1 << 12),
                 weighted=True)
     return P.score_batch(m, unl, "rating_id", version="rf-v1")
@@ -1225,7 +1225,7 @@ UNION ALL SELECT 'rf-v2', n, k, n FROM u
 def q_score_versions(spark, d):
     """Every unlabelled review scored and stored under two model versions, one of them twice; read back per version."""
     lab, unl = _training(spark, d)
-    lab = lab.checkpoint(eager=True)
+    lab = P.spread_texts(lab, "comment").checkpoint(eager=True)
     path = scratch_path(spark, "scores-" + uuid.uuid4().hex[:8])
     features = P.feature_pipeline(NUMERIC, CATEGORICAL, "comment", num_text_features=1 << 12)
     model = P.train(lab, "rf", features, weighted=True)
