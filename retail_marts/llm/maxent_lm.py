@@ -10,18 +10,20 @@ with ``FAN_OUT`` branches a node. A token's way through it is the leading bits o
 so a token never seen has one too; the tree is as deep as its distinct tokens ask for, about
 ``LEAF`` a leaf, and at most ``DEPTH`` levels.
 
-    P(token | history) = P(class | history) * P(token | class, history)
+    P(token | history) = P(last class or not | history) * P(class | history) * P(token | class, history)
     in the last class:   P(branch | history) * P(branch | node, history) * ... * P(token | leaf)
 
-All but the last factor are softmaxes over sums of feature weights; in a leaf it is
-(c + 0.1) / (N' + 0.1 (V' + 1)) over that leaf's counts. Features, hashed to rows of
-``CLASSES``, ``MEMBERS`` or ``FAN_OUT`` weights: none, the last token, the last two, and the
-second and third last alone (skips). Weights start at the token frequencies.
+All but the first and the last factor are choices among 32, each of them ``FAN_BITS`` choices between two
+halves: softmaxes over sums of feature weights, so that a token costs the weights on its own way and not
+those of all its neighbours. In a leaf the last factor is
+(c + 0.1) / (N' + 0.1 (V' + 1)) over that leaf's counts. Features, hashed with the choice to one
+weight: none, the last token, the last two, and the
+second and third last alone (skips). Choices start at the token frequencies.
 
 Training is by distributed gradient updates: in each of ``ROUNDS`` rounds the documents
 of that round (all learning documents are in one) update copies of the weights, one for about
-``COPY_TOKENS`` tokens and dealt by a hash of the document, so the cluster doesn't matter, by row-wise Adagrad steps; the copies' changes are averaged row by row, each
-weighed by how many tokens touched the row there, by groups of ``FAN`` copies at a time.
+``COPY_TOKENS`` tokens and dealt by a hash of the document, so the cluster doesn't matter, by Adagrad steps; the copies' changes are averaged weight by weight, each
+weighed by the squared gradients that moved it there, by groups of ``FAN`` copies at a time.
 
 Scoring goes through whole documents in numpy batches with the ``FREQUENT`` most
 frequent counts at hand (a fixed number); the counts of all rarer tokens are joined to
@@ -49,37 +51,64 @@ from retail_marts.llm.common import Scratch, fold, table
 CLASSES, MEMBERS = 32, 32
 FAN_BITS = 5
 FAN_OUT, LEAF, DEPTH = 1 << FAN_BITS, 16, 4
-ROW_BITS = 15                 # rows of each of the three weight tables
-FREQUENT = 1 << 17
-ROUNDS, FAN, BLOCKS = 2, 32, 64
-STEP, BATCH = 0.5, 8192
+TABLE_BITS = (20, 21)         # hashed weights for choices of classes and members, and for those of branches
+BLOCK, ROOT = 1 << 16, 40     # weights that travel together; their changes' roots travel in units of 1 / ROOT
+FREQUENT, NEAR_BITS = 1 << 17, 18
+ROUNDS, FAN = 2, 32
+STEP, BATCH, SHARE = 0.3, 4096, 2  # 2^SHARE neighbouring rows have one sum of squared gradients
 COPY_TOKENS = 1 << 20         # tokens of a round that a copy of the weights is worth
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 END = np.uint64(0xE0D0FE0DC0FFEE01)
 _G = np.uint64(0x9E3779B97F4A7C15)
-_SHIFT = np.uint64(64 - ROW_BITS)
+_KEY = np.uint64(0xD6E8FEB86659FD93)
+_PIECE = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # masks of a word's first n bytes
+# the choices between halves that lead to a child, as numbered in a node, and whether the second half is taken; of two children and of 32
+_LEVEL = np.arange(FAN_BITS, 0, -1)
+_CHILD = np.arange(FAN_OUT)[:, None]
+_WAYS = {1: (np.ones((2, 1), np.int64), np.array([[0], [1]], np.float32)),
+         FAN_BITS: (_CHILD + FAN_OUT >> _LEVEL, (_CHILD >> _LEVEL - 1 & 1).astype(np.float32))}
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Token hashes of all texts, each text's end last, and where each text's tokens start (one more entry)."""
-    w = T.Words(col, T.TOKEN, ascii_only=True)
-    starts = w.starts + np.arange(w.starts.size)
+    raw, offs = T.buffers(col)
+    inside = (raw != 0x20) & (raw - np.uint8(0x09) > 4)  # 0x09 to 0x0D: unsigned, so smaller bytes are large here
+    edge = np.zeros(raw.size + 1, bool)
+    edge[1:-1] = inside[1:] != inside[:-1]
+    if raw.size:
+        edge[offs] = True  # a word never runs over a text's end
+    bounds = np.flatnonzero(edge)
+    runs = inside[bounds[:-1]] if raw.size else np.zeros(0, bool)
+    at, size = bounds[:-1][runs], np.diff(bounds)[runs]
+    # bytes are hashed by eights, all words at once, then the longer ones' next eight
+    low = np.zeros(raw.size + 8, np.uint8)
+    low[:raw.size] = raw | (((raw - np.uint8(0x41)) < 26) << 5).astype(np.uint8)
+    eight = np.lib.stride_tricks.as_strided(low[:8].view("<u8"), (raw.size + 1,), (1,))
+    word = T.mix((eight[at] & _PIECE[np.minimum(size, 8)]) * _KEY + size.astype(np.uint64))
+    left, back = np.flatnonzero(size > 8), 8
+    while left.size:
+        word[left] = T.mix((word[left] ^ eight[at[left] + back] & _PIECE[np.minimum(size[left] - back, 8)]) * _KEY + _G)
+        back += 8
+        left = left[size[left] > back]
+    before = np.searchsorted(at, offs)
+    starts = before + np.arange(before.size)
     out = np.full(int(starts[-1]), END, np.uint64)
-    out[np.arange(w.hash.size) + w.doc] = w.hash
+    out[np.arange(at.size) + np.repeat(np.arange(before.size - 1), np.diff(before))] = word
     return out, starts
 
 
 def contexts(h: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """Feature hash arrays, one entry per token: none, last, last two, second last, third last."""
-    doc = np.repeat(np.arange(starts.size - 1), np.diff(starts))
-    place = np.arange(h.size) - starts[doc]
+    """Feature hash arrays, one entry per token: last, last two, second last, third last."""
     back = []
     for n in (1, 2, 3):
         p = np.full(h.size, n, np.uint64)  # before the text: a mark of its own
-        p[n:][place[n:] >= n] = h[:-n][place[n:] >= n]
+        p[n:] = h[:-n]
+        for k in range(n):
+            first = starts[:-1] + k
+            p[first[first < starts[1:]]] = n
         back.append(p)
-    return [np.zeros(h.size, np.uint64), T.mix(back[0] + _G), T.mix(T.mix(back[0] + _G) + back[1] * _G + np.uint64(2)),
-            T.mix(back[1] * _G + np.uint64(3)), T.mix(back[2] * _G + np.uint64(4))]
+    last = T.mix(back[0] + _G)
+    return [last, T.mix(last + back[1] * _G + np.uint64(2)), T.mix(back[1] * _G + np.uint64(3)), T.mix(back[2] * _G + np.uint64(4))]
 
 
 class Vocabulary:
@@ -92,11 +121,9 @@ class Vocabulary:
         place[:size] = np.arange(size)
         order = np.argsort(hashes)
         self.hashes, self.counts, self.place = hashes[order], counts[order], place[order]
+        self.near = np.searchsorted(self.hashes, np.arange(1 << NEAR_BITS, dtype=np.uint64) << np.uint64(64 - NEAR_BITS))
         self.total, self.distinct, self.size = total, distinct, size
         self.rest_total, self.rest_distinct = total - int(counts[:size].sum()), distinct - size
-        self.known_mask = np.zeros((CLASSES, MEMBERS), np.float32)
-        self.known_mask.reshape(-1)[size:] = -1e9
-        self.known_mask[-1] = 0
         share = np.zeros((CLASSES, MEMBERS))
         share.reshape(-1)[:size] = counts[:size]
         self.member = share
@@ -109,7 +136,6 @@ class Vocabulary:
         """The last class's tree: counts and distinct tokens of each leaf."""
         self.depth, self.room = depth, total + 0.1 * (distinct + 1)
         self.by_class = np.append(self.member[:-1].sum(1), self.room.sum())
-        self.class_mask = np.where((self.by_class > 0), 0, -1e9).astype(np.float32)
 
     def leaf(self, h: np.ndarray) -> np.ndarray:
         return (h >> np.uint64(64 - FAN_BITS * self.depth)).astype(np.int64) if self.depth else np.zeros(h.size, np.int64)
@@ -126,8 +152,15 @@ class Vocabulary:
         """(count, or -1 for a token that isn't frequent; number in the classes, or -1)."""
         if not self.hashes.size:
             return np.full(h.size, -1, np.int64), np.full(h.size, -1, np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, h), self.hashes.size - 1)
-        hit = self.hashes[at] == h
+        at, end = self.near.take((h >> np.uint64(64 - NEAR_BITS)).view(np.int64)), self.hashes.size - 1
+        np.minimum(at, end, out=at)
+        less = np.flatnonzero(self.hashes.take(at) < h)
+        while less.size:  # hashes that begin alike, few
+            at[less] += 1
+            less = less[at[less] <= end]
+            less = less[self.hashes.take(at[less]) < h[less]]
+        np.minimum(at, end, out=at)
+        hit = self.hashes.take(at) == h
         return np.where(hit, self.counts[at], -1), np.where(hit, self.place[at], -1).astype(np.int64)
 
     def base(self, c: np.ndarray) -> np.ndarray:
@@ -139,120 +172,154 @@ class Vocabulary:
 
 
 class Weights:
-    """Three tables of 2^ROW_BITS rows: over classes by feature, over members by (feature, class),
-    over branches by (feature, node).
+    """Weights of choices between two halves, one after the other in ``all``.
+
+    Nodes are choices among 32: 0 is the last class or not (one choice between two), 1 the class, 2 and on a class's
+    member, ``TAIL`` and on a branch of the tree. The choices of a node are numbered from 1 as in a heap. ``bias`` has
+    32 weights a node, which start at the logit of the second half in the frequency model (beyond any weight where a half is
+    empty); ``hashed`` are the weights of a feature and a choice, those of classes and members apart from those of branches."""
 
-    Row c of ``start`` is the frequency model of class c's members (node c's branches); it takes no hashed row."""
+    TAIL = 2 + CLASSES
 
     def __init__(self, v: Vocabulary):
-        self.cls = np.zeros((1 << ROW_BITS, CLASSES), np.float32)
-        self.mem = np.zeros((1 << ROW_BITS, MEMBERS), np.float32)
-        self.tail = np.zeros((1 << ROW_BITS, FAN_OUT), np.float32)
-        self.cls_start = (np.log(np.maximum(v.by_class, 1e-9)) + v.class_mask).astype(np.float32)
-        self.mem_start = (np.log(np.maximum(v.member, 1e-9)) + v.known_mask).astype(np.float32)
         levels = [v.room.reshape(FAN_OUT ** k, FAN_OUT, -1).sum(2) for k in range(v.depth)]
-        self.tail_start = np.log(np.concatenate([np.zeros((0, FAN_OUT)), *levels])).astype(np.float32)
+        rest = np.zeros((1, FAN_OUT))
+        rest[0, [0, FAN_OUT // 2]] = v.by_class[:-1].sum(), v.by_class[-1]
+        known = np.append(v.by_class[:-1], 0)[None]
+        self._cut(np.concatenate([*[np.zeros(1 << b, np.float32) for b in TABLE_BITS], self._halves(np.concatenate([rest, known, v.member, *levels]))]))
 
-    def tables(self) -> list[np.ndarray]:
-        return [self.cls, self.mem, self.tail]
+    def _cut(self, every: np.ndarray) -> None:
+        self.all, at = every, np.cumsum([0, *[1 << b for b in TABLE_BITS]])
+        self.hashed = [every[i:j] for i, j in zip(at[:-1], at[1:])]
+        self.bias = every[at[-1]:]
 
-    @staticmethod
-    def rows(features: list[np.ndarray], cls: np.ndarray | None = None) -> list[np.ndarray]:
-        if cls is None:
-            return [(f * _G >> _SHIFT).astype(np.uint16) for f in features]  # the hashes are mixed already
-        own = T.mix(cls.astype(np.uint64) + np.uint64(1))
-        return [((f ^ own) * _G >> _SHIFT).astype(np.uint16) for f in features]
+    def __getstate__(self):
+        return self.all
+
+    def __setstate__(self, every):
+        self._cut(every)
+
+    def copy(self) -> Weights:
+        out = Weights.__new__(Weights)
+        out._cut(self.all.copy())
+        return out
 
     @staticmethod
-    def logits(start: np.ndarray, weights: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-        """Feature sums, the greatest of each token at zero."""
-        z = start + weights.take(rows[0], 0)
-        for r in rows[1:]:
-            z += weights.take(r, 0)
-        z -= z.max(1, keepdims=True)
-        return z
+    def _halves(mass: np.ndarray) -> np.ndarray:
+        out = np.zeros(mass.shape, np.float32)
+        for level in range(FAN_BITS):
+            half = mass.reshape(len(mass), 1 << level, 2, -1).sum(3)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                z = np.log(half[:, :, 1]) - np.log(half[:, :, 0])
+            out[:, 1 << level:2 << level] = np.nan_to_num(z, nan=0.0, posinf=1e9, neginf=-1e9)
+        return out.ravel()
+
+    def tables(self) -> list[np.ndarray]:
+        return [self.all]
+
+    def choices(self, v: Vocabulary, h: np.ndarray, number: np.ndarray) -> Iterator[tuple[int, np.ndarray | slice, np.ndarray, np.ndarray, int]]:
+        """Choices of a batch of tokens: (hashed table, the tokens that have them, nodes and children, a row for each of
+        a token's nodes, halvings that a choice in them takes)."""
+        last = (number < 0).astype(np.int64)[None]
+        yield 0, slice(None), np.zeros_like(last), last, 1
+        k = np.flatnonzero(number >= 0)
+        if k.size:
+            cls = number[k] // MEMBERS
+            yield 0, k, np.stack([np.ones_like(cls), 2 + cls]), np.stack([cls, number[k] % MEMBERS]), FAN_BITS
+        k = np.flatnonzero(number < 0)
+        if k.size and v.depth:
+            node, branch = (np.stack(x) for x in zip(*v.path(h[k])))
+            yield 1, k, self.TAIL + node, branch, FAN_BITS
 
     @staticmethod
-    def log_probability(start: np.ndarray, weights: np.ndarray, rows: list[np.ndarray], target: np.ndarray) -> np.ndarray:
-        z = Weights.logits(start, weights, rows)
-        own = z[np.arange(target.size), target]
-        return own - np.log(np.exp(z, out=z).sum(1))
-
-
-def _sums(x: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Sums of the runs of rows that end at ``end``; runs of one row, the most, are only copied."""
-    out = x.take(end, 0)
-    size = np.diff(end, prepend=-1)
-    left = np.flatnonzero(size > 1)
-    back = 1
-    while left.size > 16:  # one more row of every run that still has one
-        out[left] += x.take(end[left] - back, 0)
-        back += 1
-        left = left[size[left] > back]
-    for k in left:
-        out[k] += x[end[k] - size[k] + 1:end[k] - back + 1].sum(0)
-    return out
-
-
-def _steps(weights: np.ndarray, acc: np.ndarray, seen: np.ndarray, start: np.ndarray, rows: list[np.ndarray], target: np.ndarray) -> None:
-    """One gradient step on a batch: every feature's row moves towards the targets."""
-    g = Weights.logits(start, weights, rows)
-    np.exp(g, out=g)
-    g *= -1 / g.sum(1, keepdims=True)
-    g[np.arange(target.size), target] += 1
-    for r in rows:
-        order = np.argsort(r, kind="stable")
-        by = r[order]
-        end = np.append(np.flatnonzero(by[1:] != by[:-1]), by.size - 1)
-        u, total = by[end], _sums(g.take(order, 0), end)
-        acc[u] += np.einsum("ij,ij->i", total, total) / total.shape[1]
-        seen[u] += np.diff(end, prepend=-1)
-        total *= (STEP / np.sqrt(acc[u]))[:, None]
-        weights[u] += total
+    def rows(table: int, features: list[np.ndarray], node: np.ndarray) -> list[np.ndarray]:
+        """Where each feature's weights of each node are: that of choice n is at ``row ^ n``, all of them side by side."""
+        own, shift = node.astype(np.uint64) * _KEY, np.uint64(64 - TABLE_BITS[table])
+        return [((f ^ own) * _G >> shift).view(np.int64).ravel() for f in features]  # the hashes are mixed already
+
+    def logits(self, table: int, node: np.ndarray, child: np.ndarray, levels: int, rows: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Sums of the weights of the choices between halves, a node's one after the other, and where these are: the bias, then the features'."""
+        way = _WAYS[levels][0].take(child.ravel(), 0).ravel()
+        at = [np.repeat(node.ravel() * FAN_OUT, levels) + way, *[np.repeat(r, levels) ^ way for r in rows]]
+        z = self.bias.take(at[0], mode="clip")
+        for a in at[1:]:
+            z += self.hashed[table].take(a, mode="clip")  # all are inside; no checks
+        return z, at
+
+    def log_probability(self, table: int, features: list[np.ndarray], node: np.ndarray, child: np.ndarray, levels: int) -> np.ndarray:
+        """Of all choices of each token together."""
+        z, _ = self.logits(table, node, child, levels, self.rows(table, features, node))
+        z *= 1 - 2 * _WAYS[levels][1].take(child.ravel(), 0).ravel()
+        np.minimum(z, 80, out=z)
+        z = np.log1p(np.exp(z, out=z), out=z).reshape(len(node), -1, levels)
+        return -sum(z[:, :, i].sum(0, dtype=np.float64) for i in range(levels))
+
+
+class Steps:
+    """A copy of the weights under training, with the squared gradients that every node's and every feature's weights have had."""
+
+    def __init__(self, w: Weights):
+        self.w = w.copy()
+        self.acc = [np.zeros(x.size >> SHARE, np.float32) for x in self.w.hashed]
+        self.bias_acc = np.zeros(self.w.bias.size // FAN_OUT, np.float32)
+
+    def take(self, table: int, features: list[np.ndarray], node: np.ndarray, child: np.ndarray, levels: int) -> None:
+        """One gradient step on a batch: all weights move towards the halves taken, the less, the more they have moved."""
+        w, rows = self.w, self.w.rows(table, features, node)
+        g, at = w.logits(table, node, child, levels, rows)
+        np.clip(g, -80, 80, out=g)
+        np.negative(g, out=g)
+        np.exp(g, out=g)
+        g += 1
+        np.divide(-1, g, out=g)
+        g += _WAYS[levels][1].take(child.ravel(), 0).ravel()
+        by = g.reshape(-1, levels)
+        square = sum(by[:, i] * by[:, i] for i in range(levels))
+        for acc, weights, r, a in [(self.bias_acc, w.bias, node.ravel(), at[0]), *[(self.acc[table], w.hashed[table], r >> SHARE, a) for r, a in zip(rows, at[1:])]]:
+            np.add.at(acc, r, square)
+            rate = acc.take(r, mode="clip")
+            rate += 1
+            np.sqrt(rate, out=rate)
+            np.divide(STEP, rate, out=rate)
+            np.add.at(weights, a, g * np.repeat(rate, levels))
 
 
 def train_partition(v: Vocabulary, w: Weights):
-    """Task that updates a copy of the weights by its documents and yields the change, in blocks of rows."""
+    """Task that updates a copy of the weights by its documents and yields the change, in blocks of weights."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [x.copy() for x in w.tables()]
-        acc = [np.ones(1 << ROW_BITS, np.float32) for _ in tables]
-        seen = [np.zeros(1 << ROW_BITS, np.float32) for _ in tables]
+        steps = Steps(w)
         for whole in batches:
             for b in T.chunks(whole):
                 h, starts = tokens(b.column("text"))
                 features, number = contexts(h, starts), v.find(h)[1]
                 for at in range(0, h.size, BATCH):
                     s = slice(at, at + BATCH)
-                    f, n = [x[s] for x in features], number[s]
-                    c = np.where(n >= 0, n // MEMBERS, CLASSES - 1)
-                    _steps(tables[0], acc[0], seen[0], w.cls_start, Weights.rows(f), c)
-                    k = np.flatnonzero(n < 0)
-                    for node, branch in v.path(h[s][k]) if k.size else ():
-                        _steps(tables[2], acc[2], seen[2], w.tail_start[node], Weights.rows([x[k] for x in f], node), branch)
-                    k = np.flatnonzero(n >= 0)
-                    if k.size:
-                        _steps(tables[1], acc[1], seen[1], w.mem_start[c[k]], Weights.rows([x[k] for x in f], c[k]), n[k] % MEMBERS)
-        size = (1 << ROW_BITS) // BLOCKS
-        for t, (new, old) in enumerate(zip(tables, w.tables())):
-            for k in range(BLOCKS):
-                own = slice(k * size, (k + 1) * size)
-                if seen[t][own].any():
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([t * BLOCKS + k], pa.int32()), pa.array([seen[t][own].tobytes()], pa.binary()),
-                         pa.array([(new[own] - old[own]).astype(np.float16).tobytes()], pa.binary())], names=["block", "seen", "change"])
+                    for table, k, *choice in w.choices(v, h[s], number[s]):
+                        steps.take(table, [x[s][k] for x in features], *choice)
+        for at in range(0, w.all.size, BLOCK):
+            change = steps.w.all[at:at + BLOCK] - w.all[at:at + BLOCK]
+            change = np.rint(np.sign(change) * np.minimum(np.sqrt(np.abs(change)) * ROOT, 127)).astype(np.int8)  # most are small
+            if change.any():
+                yield pa.RecordBatch.from_arrays([pa.array([at // BLOCK], pa.int32()), pa.array([b""], pa.binary()), pa.array([change.tobytes()], pa.binary())],
+                                                 names=["block", "seen", "change"])
 
     return run
 
 
 def _average(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Changes of one block averaged row by row, weighed by the tokens seen."""
+    """Changes of one block averaged weight by weight, weighed by their sizes; ``seen`` has these of an average already."""
     seen = total = None
     for s, c in zip(pdf["seen"], pdf["change"]):
-        n = np.frombuffer(s, np.float32)
-        x = np.frombuffer(c, np.float16).reshape(n.size, -1).astype(np.float32) * n[:, None]
+        if s:
+            x, n = np.frombuffer(c, np.float16).astype(np.float32), np.frombuffer(s, np.float16).astype(np.float32)
+        else:
+            x = np.frombuffer(c, np.int8).astype(np.float32) / ROOT
+            n = x * x
+            x = np.copysign(n, x)
+        x *= n
         seen, total = (n, x) if seen is None else (seen + n, total + x)
-    mean = (total / np.maximum(seen, 1)[:, None]).astype(np.float16)
-    return pd.DataFrame({"block": [pdf["block"].iloc[0]], "seen": [seen.tobytes()], "change": [mean.tobytes()]})
+    mean = (total / np.where(seen > 0, seen, 1)).astype(np.float16)
+    return pd.DataFrame({"block": [pdf["block"].iloc[0]], "seen": [(seen / FAN).astype(np.float16).tobytes()], "change": [mean.tobytes()]})
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -282,7 +349,6 @@ def train(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> tuple[Voc
         v.leaves(v.depth, *sums)
     w = Weights(v)
     src = docs.withColumn("round", F.pmod(F.xxhash64("doc_id", F.lit(41)), F.lit(rounds)))
-    size = (1 << ROW_BITS) // BLOCKS
     copies = max(-(-v.total // (rounds * COPY_TOKENS)), 1)
     deal = F.xxhash64("doc_id", "text", F.lit(43))
     # a round's shuffles are deleted with its end, they are read once
@@ -299,11 +365,10 @@ def train(docs: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> tuple[Voc
                 few = (change.withColumn("part", F.spark_partition_id() % -(-copies // FAN)).groupBy("block", "part")
                        .applyInPandas(lambda pdf: _average(pdf), "block int, seen binary, change binary"))
             whole = few.groupBy("block").applyInPandas(lambda pdf: _average(pdf), "block int, seen binary, change binary")
-            new = Weights(v)
-            new.cls, new.mem, new.tail = (x.copy() for x in w.tables())
+            new = w.copy()
             for r in whole.collect():  # the weights themselves: a fixed size
-                at = r["block"] % BLOCKS * size
-                new.tables()[r["block"] // BLOCKS][at:at + size] += np.frombuffer(bytes(r["change"]), np.float16).reshape(size, -1)
+                at = r["block"] * BLOCK
+                new.all[at:at + BLOCK] += np.frombuffer(bytes(r["change"]), np.float16)
             w = new
     finally:
         conf.set(CLEANUP, had)
@@ -318,15 +383,9 @@ def score_tokens(v: Vocabulary, w: Weights, h: np.ndarray, starts: np.ndarray) -
     model = np.zeros(h.size)
     for at in range(0, h.size, BATCH):
         s = slice(at, at + BATCH)
-        f, n = [x[s] for x in features], number[s]
-        cls = np.where(n >= 0, n // MEMBERS, CLASSES - 1)
-        out = Weights.log_probability(w.cls_start, w.cls, Weights.rows(f), cls).astype(np.float64)
-        k = np.flatnonzero(n < 0)
-        for node, branch in v.path(h[s][k]) if k.size else ():
-            out[k] += Weights.log_probability(w.tail_start[node], w.tail, Weights.rows([x[k] for x in f], node), branch)
-        k = np.flatnonzero(n >= 0)
-        if k.size:
-            out[k] += Weights.log_probability(w.mem_start[cls[k]], w.mem, Weights.rows([x[k] for x in f], cls[k]), n[k] % MEMBERS)
+        out = np.zeros(h[s].size)
+        for table, k, *choice in w.choices(v, h[s], number[s]):
+            out[k] += w.log_probability(table, [x[s][k] for x in features], *choice)
         model[s] = out / np.log(10)
     own = (c >= 0) & (number < 0)
     model[own] += v.rest(c[own], v.leaf(h[own]))
