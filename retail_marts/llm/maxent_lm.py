@@ -23,7 +23,7 @@ second and third last alone (skips). Choices start at the token frequencies.
 Training is by distributed gradient updates: in each of ``ROUNDS`` rounds the documents
 of that round (all learning documents are in one) update copies of the weights, one for about
 ``COPY_TOKENS`` tokens and dealt by a hash of the document, so the cluster doesn't matter, by Adagrad steps; the copies' changes are averaged weight by weight, each
-weighed by the squared gradients that moved it there, by groups of ``FAN`` copies at a time.
+weighed by its size, by groups of ``FAN`` copies at a time.
 
 Scoring goes through whole documents in numpy batches with the ``FREQUENT`` most
 frequent counts at hand (a fixed number); the counts of all rarer tokens are joined to
