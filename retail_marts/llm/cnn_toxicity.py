@@ -9,7 +9,8 @@ Embeddings, filters and output are trained by gradient steps (Adagrad) on every
 labelled row that may be learned from. The rows are dealt into shards of about ``shard``
 by a hash of the id; one shard makes the first parameters, and then in each round every
 shard takes its steps from the common ones, in Spark tasks, and the changes are averaged (a bucket's over the shards that saw it). They
-are summed as whole numbers, so the result doesn't depend on the order of tasks.
+are summed as multiples of 2^-24, exactly, so the result doesn't depend on the order of tasks. A shard's words are
+looked up once, before the first round, and kept as numbers; buckets' parameters and changes travel as half-precision floats in blocks.
 
 Thresholds are calibrated by language on the fifth of the labelled rows that training
 leaves out, all of it, from counts by label of logits rounded to a thousandth.
@@ -36,7 +37,8 @@ from retail_marts.llm.common import Scratch, fold, short_shuffles, table
 
 BITS, DIM, PER_WIDTH, WIDTHS, KMAX, STRIPE = 22, 16, 8, (1, 2, 3), 4, 16
 FILTERS = PER_WIDTH * len(WIDTHS)
-UNIT, STEP, ENDS = 2.0 ** 24, 1000, 40  # parameters' changes are summed in 1 / UNIT, logits counted in 1 / STEP up to ENDS
+UNIT, STEP, ENDS = 2.0 ** 24, 1000, 40  # changes of dense parameters are summed in 1 / UNIT (halves are multiples of it), logits counted in 1 / STEP up to ENDS
+BLOCK = 1 << 10  # buckets whose changes travel together
 
 
 def buckets(words: T.Words) -> np.ndarray:
@@ -257,58 +259,100 @@ def _vocabulary(fit: DataFrame, scratch: Scratch, least: int, langs: list[str])
     return model
 
 
-SUMS = [f"s{i}" for i in range(2 * DIM)]
+def _shards(fit: DataFrame, model: Model, scratch: Scratch) -> DataFrame:
+    """One row per shard: the number of each word among the shard's distinct ones, these words' buckets (as the model
+    numbers them), and the words and label of each document."""
+    shared = fit.sparkSession.sparkContext.broadcast(model.known)
 
-
-def _round(fit: DataFrame, model: Model, epochs: int, seed: int) -> None:
-    """Every shard trains from ``model``; the averaged changes are applied to it."""
-    net, shared = model.net, fit.sparkSession.sparkContext.broadcast(model)
-
-    def steps(group: pa.Table) -> pa.Table:
-        model, net = shared.value, shared.value.net
+    def pack(group: pa.Table) -> pa.Table:
+        model = Model(shared.value, None, None, None)
         group = group.sort_by([("place", "ascending"), ("doc_id", "ascending")])
-        ids, sizes = [], []
+        hashes, ids, sizes = [], [], []
         for whole in group.to_batches():
             for b in T.chunks(whole):
                 words = T.Words(b.column("text"), T.ALNUM)
-                ids.append(model.rows(buckets(words)))
+                u, first, number = np.unique(words.hash, return_index=True, return_inverse=True)
+                hashes.append((u, number))
+                ids.append(model.rows(buckets(words)[first]))
                 sizes.append(np.diff(words.starts))
-        ids = np.concatenate(ids)
-        number = np.zeros(len(net.emb), np.int32)  # only the shard's own buckets are copied
-        number[0] = 1
-        number[ids] = 1
-        used = np.flatnonzero(number)
-        number[used] = np.arange(used.size)
-        own, emb, acc = Cnn.__new__(Cnn), net.emb[used], net.acc[0][used]
-        own.emb, own.filt, own.bias, own.out, own.base = emb.copy(), [w.copy() for w in net.filt], net.bias.copy(), net.out.copy(), net.base.copy()
-        own.acc = [acc.copy(), *[p.copy() for p in net.acc[1:]]]
-        own.train(number[ids], np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), group["toxic"].to_numpy().astype(float), epochs, seed=seed)
-        hit = np.flatnonzero((own.acc[0] != acc).any(1))
-        change = np.concatenate([own.emb[hit] - emb[hit], own.acc[0][hit] - acc[hit]], 1)
-        flat = np.concatenate([(n - o).ravel() for n, o in zip(own.dense(), net.dense())])
-        flat = np.pad(flat, (0, -flat.size % (2 * DIM))).reshape(-1, 2 * DIM)   # after the buckets: negative rows
-        rows = np.concatenate([used[hit], -1 - np.arange(len(flat))])
-        whole = np.rint(np.concatenate([change, flat]).astype(np.float64) * UNIT).astype(np.int64)
-        return pa.table([pa.array(rows, pa.int32()), *[pa.array(whole[:, i]) for i in range(2 * DIM)]], names=["row", *SUMS])
-
-    moved = (fit.groupBy("shard").applyInArrow(steps, "row int, " + ", ".join(f"{c} long" for c in SUMS))
-             .groupBy("row").agg(*[(F.sum(c) / F.lit(UNIT) / F.count(F.lit(1))).cast("float").alias(c) for c in SUMS]).toArrow())  # the model's own size
+        u, first, number = np.unique(np.concatenate([u for u, _ in hashes]), return_index=True, return_inverse=True)
+        cut = np.cumsum([len(u) for u, _ in hashes])[:-1]
+        words = np.concatenate([n[w] for n, (_, w) in zip(np.split(number, cut), hashes)])
+        cells = [words.astype(np.int32), np.concatenate(ids)[first], np.concatenate(sizes).astype(np.int32), group["toxic"].to_numpy().astype(np.int8)]
+        return pa.table([group["shard"].slice(0, 1), *[pa.array([x.tobytes()], pa.binary()) for x in cells]], names=["shard", "words", "buckets", "sizes", "toxic"])
+
+    out = scratch.put(fit.groupBy("shard").applyInArrow(pack, "shard long, words binary, buckets binary, sizes binary, toxic binary"), "shards")
+    shared.destroy()
+    return out
+
+
+def _mean(group: pa.Table) -> pa.Table:
+    """Averages of one block's changes; those of the dense parameters are block -1."""
+    block = group["block"][0].as_py()
+    if block < 0:
+        whole = sum(np.frombuffer(c.as_buffer(), np.int64) for c in group["change"])
+        return pa.table([pa.array([block], pa.int32()), pa.array([b""], pa.binary()), pa.array([(whole / UNIT / len(group)).tobytes()], pa.binary())], names=["block", "rows", "change"])
+    total, n = np.zeros((BLOCK, 2 * DIM)), np.zeros(BLOCK)
+    for r, c in zip(group["rows"], group["change"]):
+        own = np.frombuffer(r.as_buffer(), np.uint16)
+        total[own] += np.frombuffer(c.as_buffer(), np.float16).reshape(-1, 2 * DIM)
+        n[own] += 1
+    own = np.flatnonzero(n)
+    mean = (total[own] / n[own, None]).astype(np.float32)
+    return pa.table([pa.array([block], pa.int32()), pa.array([own.astype(np.uint16).tobytes()], pa.binary()), pa.array([mean.tobytes()], pa.binary())], names=["block", "rows", "change"])
+
+
+def _round(shards: DataFrame, model: Model, epochs: int, seed: int) -> None:
+    """Every shard trains from ``model``; the averaged changes are applied to it."""
+    net = model.net
+    shared = shards.sparkSession.sparkContext.broadcast(([net.emb.astype(np.float16), net.acc[0].astype(np.float16)], net.filt, net.bias, net.out, net.base, net.acc[1:]))
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (emb, acc), *dense, rest = shared.value
+        for b in batches:
+            for k in range(b.num_rows):
+                words, ids, sizes, toxic = (np.frombuffer(b.column(c)[k].as_buffer(), t) for c, t in
+                                            (("words", np.int32), ("buckets", np.int32), ("sizes", np.int32), ("toxic", np.int8)))
+                number = np.zeros(len(emb), np.int32)  # only the shard's own buckets are copied
+                number[0] = 1
+                number[ids] = 1
+                used = np.flatnonzero(number)
+                number[used] = np.arange(used.size)
+                own, first = Cnn.__new__(Cnn), [x[used].astype(np.float32) for x in (emb, acc)]
+                own.emb, (own.filt, own.bias, own.out, own.base) = first[0].copy(), [[w.copy() for w in x] if isinstance(x, list) else x.copy() for x in dense]
+                own.acc = [first[1].copy(), *[p.copy() for p in rest]]
+                old = [*[p.copy() for p in own.dense()]]
+                own.train(number[ids].reshape(-1, 3).take(words, 0), np.concatenate([[0], np.cumsum(sizes)]), toxic.astype(float), epochs, seed=seed)
+                whole = np.concatenate([(n - o).ravel() for n, o in zip(own.dense(), old)]).astype(np.float64)
+                yield _record(-1, b"", np.rint(whole * UNIT).astype(np.int64))
+                hit = np.flatnonzero((own.acc[0] != first[1]).any(1))
+                change = np.concatenate([own.emb[hit] - first[0][hit], own.acc[0][hit] - first[1][hit]], 1).astype(np.float16)
+                row = used[hit]
+                at = np.append(np.flatnonzero(np.diff(row // BLOCK, prepend=-1)), row.size)
+                for i, j in zip(at[:-1], at[1:]):
+                    yield _record(int(row[i] // BLOCK), (row[i:j] % BLOCK).astype(np.uint16).tobytes(), change[i:j])
+
+    moved = (shards.mapInArrow(steps, "block int, rows binary, change binary").groupBy("block")
+             .applyInArrow(lambda group: _mean(group), "block int, rows binary, change binary").toArrow())  # the model's own size
     shared.destroy()  # the next round has its own
-    row = moved["row"].to_numpy()
-    emb = np.flatnonzero(row >= 0)
-    for i, c in enumerate(SUMS):
-        part = net.emb if i < DIM else net.acc[0]
-        part[row[emb], i % DIM] += moved[c].to_numpy()[emb]
-    rest = np.flatnonzero(row < 0)
-    mean = np.stack([moved[c].to_numpy()[rest] for c in SUMS], 1)
-    flat, at = mean[np.argsort(-row[rest])].ravel(), 0
-    for p in net.dense():
-        p += flat[at:at + p.size].reshape(p.shape)
-        at += p.size
+    for block, rows, change in zip(*(moved[c] for c in ("block", "rows", "change"))):
+        if block.as_py() < 0:
+            flat, at = np.frombuffer(change.as_buffer(), np.float64), 0
+            for p in net.dense():
+                p += flat[at:at + p.size].reshape(p.shape)
+                at += p.size
+        else:
+            row, mean = block.as_py() * BLOCK + np.frombuffer(rows.as_buffer(), np.uint16).astype(np.int64), np.frombuffer(change.as_buffer(), np.float32).reshape(-1, 2 * DIM)
+            net.emb[row] += mean[:, :DIM]
+            net.acc[0][row] += mean[:, DIM:]
     del moved
     pa.default_memory_pool().release_unused()
 
 
+def _record(block: int, rows: bytes, change: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([rows], pa.binary()), pa.array([change.tobytes()], pa.binary())], names=["block", "rows", "change"])
+
+
 def _calibrate(rows: DataFrame, model: Model) -> None:
     """Thresholds by language from all of ``rows``."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
@@ -362,9 +406,11 @@ def _trained(rows: DataFrame, scratch: Scratch, shard: int, rounds: int, epochs:
     shards = -(-size // shard)
     fit = rows.where(~out).withColumn("shard", F.pmod(F.shiftright("place", 8), F.lit(shards)))
     model = _vocabulary(fit, scratch, min(3, max(1, size // 20)), langs)
-    _round(fit.where("shard = 0"), model, epochs, 6)
+    packed = _shards(fit, model, scratch)
+    _round(packed.where("shard = 0"), model, epochs, 6)
     for i in range(rounds if shards > 1 else 0):
-        _round(fit, model, 1, 7 + i)
+        _round(packed, model, 1, 7 + i)
+    scratch.drop(packed)
     model.net.acc = None  # not needed to score
     _calibrate(rows.where(out) if size >= 50 else rows, model)
     return model
