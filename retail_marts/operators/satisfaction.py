@@ -47,7 +47,7 @@ def training_rows(candidates: DataFrame, labels: DataFrame, key: str, target: st
 
 
 #: Values (4 bytes each) of training rows that one partition holds at most, about.
-PART_VALUES = 1 << 24
+PART_VALUES = 1 << 25
 
 
 def spread(df: DataFrame, values: int) -> DataFrame:

@@ -28,3 +28,10 @@ def test_texts_are_dealt_by_their_length(spark, monkeypatch):
     out = P.spread_texts(df, "comment")
     assert out.rdd.getNumPartitions() == 20 and out.count() == 101
     assert P.spread_texts(df.where("comment IS NULL"), "comment").count() == 1
+
+
+def test_partitions_are_few_enough_for_the_trees_statistics(spark):
+    """Every partition sends statistics of every node of the trees, so a quarter of a GB has two and not four."""
+    df = spark.range(400)
+    assert P.spread(df, 100 << 25).rdd.getNumPartitions() == 100
+    assert 4 * P.PART_VALUES <= 150_000_000  # MB that a task reads of cached rows, whatever the input
